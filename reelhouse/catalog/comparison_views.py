@@ -79,7 +79,7 @@ SELECT f.id AS showing_id, f.movie_id, f.theater_id,
     WHEN 2 THEN concat('SALLE ', lpad(CAST(f.true_screen AS VARCHAR), CAST(greatest(3, length(CAST(f.true_screen AS VARCHAR))) AS INTEGER), '0'))
     WHEN 3 THEN concat('Auditorium #', f.true_screen, ' bis') WHEN 4 THEN 'le' ELSE concat('Grande Salle ', f.true_screen % 10) END AS auditorium,
   CASE WHEN f.id % 17 = 0 THEN NULL ELSE CAST(f.true_seats - floor(f.value) AS INTEGER) END AS seats_remaining,
-  CAST(f.true_seats + f.id % 25 - 12 AS INTEGER) AS capacity,
+  CAST(f.true_seats + f.id // 7 % 25 - 12 AS INTEGER) AS capacity,
   CASE WHEN f.id % 4 = 0 THEN 'cineentreprise' ELSE 'cineplex' END AS source,
   f.start_at + INTERVAL '13' MINUTE AS measured_at
 FROM showing_facts f"""
@@ -106,3 +106,40 @@ SELECT f.id AS showing_id, c.seat_count AS candidate, c.seat_count <= f.true_sea
 FROM showing_facts f
 JOIN (SELECT DISTINCT theater_id, seat_count FROM screens) c ON c.theater_id = f.theater_id
 WHERE f.screen_id IS NULL"""
+
+VIEWS["wanted_shows"] = """
+SELECT id AS showing_id, theater_id, date, strftime(local_start, '%H:%M') AS time, movie_title AS title,
+  CASE WHEN id % 8 = 0 THEN NULL ELSE runtime END AS runtime, CASE WHEN id % 3 = 0 THEN 'FR' WHEN id % 3 = 1 THEN 'EN' END AS language
+FROM block_showings"""
+
+VIEWS["sessions"] = """
+SELECT theater_id, id AS pos,
+  CASE id % 4 WHEN 0 THEN movie_title WHEN 1 THEN upper(movie_title) WHEN 2 THEN concat(movie_title, ' 3D') ELSE left(movie_title, 7) END AS movie_name,
+  concat('/film/', movie_id) AS film_url,
+  CAST(CASE WHEN id % 9 = 0 THEN NULL ELSE runtime + id % 13 - 6 END AS INTEGER) AS runtime_minutes,
+  CASE WHEN id % 2 = 0 THEN 'FR' ELSE 'EN' END AS language_code,
+  CASE id % 3 WHEN 0 THEN 'Regular' WHEN 1 THEN 'D-BOX' ELSE 'UltraAVX' END AS experience,
+  concat(' Salle ', true_screen, ' ') AS auditorium,
+  strftime(local_start, '%Y-%m-%dT%H:%M:%S') AS start_local,
+  CASE WHEN id % 10 = 0 THEN NULL ELSE concat('s', id // 2) END AS session_id,
+  CAST(true_seats - id % 70 AS INTEGER) AS seats_remaining,
+  CASE id % 5 WHEN 0 THEN '0000000001' WHEN 1 THEN '0000000004' ELSE '0000000002' END AS area_code,
+  date, strftime(local_start, '%H:%M') AS time,
+  CASE WHEN id % 6 = 0 THEN date + 1 ELSE date END AS session_date
+FROM block_showings"""
+
+VIEWS["search_wants"] = """
+SELECT p_partkey AS want_id,
+  CASE p_partkey % 5 WHEN 0 THEN concat(p_name, ' VF') WHEN 1 THEN concat('Le ', p_name) WHEN 2 THEN concat(p_brand, ' : ', p_name) WHEN 3 THEN concat('Inconnu ', p_brand) ELSE p_name END AS title,
+  CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE CAST(2021 + p_size % 6 AS INTEGER) END AS year_hint,
+  concat(p_type, ' ', p_name) AS extra_query
+FROM part"""
+
+VIEWS["search_results"] = """
+SELECT CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN concat('Le ', p_name) ELSE concat(p_brand, ' | ', p_name) END AS query,
+  CAST(2022 + p_size % 4 AS INTEGER) AS year, CAST(p_partkey AS INTEGER) AS pos, 500000 + p_partkey AS id,
+  CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN upper(p_name) WHEN 2 THEN concat(p_name, ' deux') ELSE p_brand END AS title,
+  CASE p_partkey % 7 WHEN 0 THEN concat('The ', p_name) WHEN 1 THEN p_name ELSE p_type END AS original_title,
+  CASE WHEN p_partkey % 13 = 0 THEN '' ELSE concat(CAST(2021 + p_partkey % 6 AS VARCHAR), '-05-01') END AS release_date,
+  CASE WHEN p_partkey % 4 = 1 THEN 99 ELSE 18 END AS genre, p_size * 1.5 AS popularity
+FROM part"""

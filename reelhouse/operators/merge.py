@@ -188,13 +188,19 @@ def merge_theaters(theaters: DataFrame, source: DataFrame) -> DataFrame:
     known = update(keyed, per_name, ["_key"], {"company": prefer_target, "screens": prefer_target})
     added = new_rows(keyed, per_name, ["_key"])
     last_id = theaters.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    numbered = added.withColumn("id", last_id + _dense_numbers(added, "_key"))
+    numbered = dense_numbers(added, "_key").withColumn("id", last_id + F.col("_number"))
     return known.unionByName(shaped_like(keyed, numbered)).drop("_key")
 
 
-def _dense_numbers(rows: DataFrame, key: str) -> Column:
-    """1..n over the new names of one batch (a handful; every theatre is added once)."""
-    return F.row_number().over(Window.orderBy(key))
+def dense_numbers(rows: DataFrame, key: str) -> DataFrame:
+    """Number rows 1..n without a global sort: by hash bucket, each bucket starting after those before it."""
+    bucketed = rows.withColumn("_bucket", F.left(F.md5(F.col(key)), F.lit(2)))
+    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    # At most 256 buckets, so this one window is of fixed size.
+    before = F.sum("_size").over(Window.orderBy("_bucket")) - F.col("_size")
+    starts = sizes.select("_bucket", before.alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
+    return bucketed.join(starts, "_bucket").withColumn("_number", F.col("_before") + within).drop("_bucket", "_before")
 
 
 def write_seats(showings: DataFrame, source: DataFrame, as_of: Column) -> DataFrame:

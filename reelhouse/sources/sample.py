@@ -142,7 +142,7 @@ class SampleTables:
             "theater_id",
             auditorium.alias("auditorium"),
             F.when(F.col("id") % 17 != 0, (F.col("true_seats") - F.floor("value")).cast("int")).alias("seats_remaining"),
-            (F.col("true_seats") + F.col("id") % 25 - 12).cast("int").alias("capacity"),
+            (F.col("true_seats") + F.floor(F.col("id") / 7) % 25 - 12).cast("int").alias("capacity"),
             F.when(F.col("id") % 4 == 0, "cineentreprise").otherwise("cineplex").alias("source"),
             (F.col("start_at") + F.expr("interval 13 minutes")).alias("measured_at"),
         )
@@ -194,3 +194,91 @@ class SampleTables:
             .join(counts, "theater_id")
             .select(F.col("id").alias("showing_id"), "candidate", (F.col("candidate") <= F.col("true_seats")).alias("ok"))
         )
+
+    @property
+    def wanted_shows(self) -> DataFrame:
+        key = F.col("id")
+        return self.block_showings.select(
+            key.alias("showing_id"),
+            "theater_id",
+            "date",
+            tm.hhmm(F.col("local_start")).alias("time"),
+            F.col("movie_title").alias("title"),
+            F.when(key % 8 != 0, F.col("runtime")).alias("runtime"),
+            F.when(key % 3 == 0, "FR").when(key % 3 == 1, "EN").alias("language"),
+        )
+
+    @property
+    def sessions(self) -> DataFrame:
+        key, title = F.col("id"), F.col("movie_title")
+        name = (
+            F.when(key % 4 == 0, title)
+            .when(key % 4 == 1, F.upper(title))
+            .when(key % 4 == 2, F.concat(title, F.lit(" 3D")))
+            .otherwise(F.left(title, F.lit(7)))
+        )
+        experience = F.when(key % 3 == 0, "Regular").when(key % 3 == 1, "D-BOX").otherwise("UltraAVX")
+        area = F.when(key % 5 == 0, fv.GENERAL_AREA).when(key % 5 == 1, fv.MOTION_SEAT_AREA).otherwise("0000000002")
+        return self.block_showings.select(
+            "theater_id",
+            key.alias("pos"),
+            name.alias("movie_name"),
+            F.concat(F.lit("/film/"), F.col("movie_id").cast("string")).alias("film_url"),
+            F.when(key % 9 != 0, F.col("runtime") + key % 13 - 6).cast("int").alias("runtime_minutes"),
+            F.when(key % 2 == 0, "FR").otherwise("EN").alias("language_code"),
+            F.array(experience).alias("experience_types"),
+            F.concat(F.lit(" Salle "), F.col("true_screen").cast("string"), F.lit(" ")).alias("auditorium"),
+            F.date_format("local_start", "yyyy-MM-dd'T'HH:mm:ss").alias("start_local"),
+            F.lit(None).cast("string").alias("start_utc"),
+            F.when(key % 10 != 0, F.concat(F.lit("s"), F.floor(key / 2).cast("string"))).alias("session_id"),
+            (F.col("true_seats") - key % 70).cast("int").alias("seats_remaining"),
+            area.alias("area_code"),
+            "date",
+            tm.hhmm(F.col("local_start")).alias("time"),
+            F.when(key % 6 == 0, F.date_add("date", 1)).otherwise(F.col("date")).alias("session_date"),
+        )
+
+    @property
+    def search_wants(self) -> DataFrame:
+        key, name = F.col("p_partkey"), F.col("p_name")
+        title = (
+            F.when(key % 5 == 0, F.concat(name, F.lit(" VF")))
+            .when(key % 5 == 1, F.concat(F.lit("Le "), name))
+            .when(key % 5 == 2, F.concat("p_brand", F.lit(" : "), name))
+            .when(key % 5 == 3, F.concat(F.lit("Inconnu "), "p_brand"))
+            .otherwise(name)
+        )
+        return self.raw("part").select(
+            key.alias("want_id"),
+            title.alias("title"),
+            F.when(key % 11 != 0, 2021 + F.col("p_size") % 6).cast("int").alias("year_hint"),
+            F.array(F.concat_ws(" ", "p_type", name)).alias("extra_queries"),
+        )
+
+    @property
+    def search_results(self) -> DataFrame:
+        key, name = F.col("p_partkey"), F.col("p_name")
+        query = (
+            F.when(key % 3 == 0, name)
+            .when(key % 3 == 1, F.concat(F.lit("Le "), name))
+            .otherwise(F.concat("p_brand", F.lit(" | "), name))
+        )
+        title = (
+            F.when(key % 4 == 0, name).when(key % 4 == 1, F.upper(name))
+            .when(key % 4 == 2, F.concat(name, F.lit(" deux"))).otherwise(F.col("p_brand"))
+        )
+        original = (
+            F.when(key % 7 == 0, F.concat(F.lit("The "), name)).when(key % 7 == 1, name).otherwise(F.col("p_type"))
+        )
+        released = F.concat((2021 + key % 6).cast("string"), F.lit("-05-01"))
+        return self.raw("part").select(
+            query.alias("query"),
+            (2022 + F.col("p_size") % 4).cast("int").alias("year"),
+            key.cast("int").alias("pos"),
+            (500000 + key).alias("id"),
+            title.alias("title"),
+            original.alias("original_title"),
+            F.when(key % 13 == 0, "").otherwise(released).alias("release_date"),
+            F.array(F.when(key % 4 == 1, fv.DOCUMENTARY_GENRE).otherwise(18)).alias("genre_ids"),
+            (F.col("p_size") * 1.5).alias("popularity"),
+        )
