@@ -141,5 +141,5 @@ SELECT CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN concat('Le ', p_name) E
   CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN upper(p_name) WHEN 2 THEN concat(p_name, ' deux') ELSE p_brand END AS title,
   CASE p_partkey % 7 WHEN 0 THEN concat('The ', p_name) WHEN 1 THEN p_name ELSE p_type END AS original_title,
   CASE WHEN p_partkey % 13 = 0 THEN '' ELSE concat(CAST(2021 + p_partkey % 6 AS VARCHAR), '-05-01') END AS release_date,
-  CASE WHEN p_partkey % 4 = 1 THEN 99 ELSE 18 END AS genre, p_size * 1.5 AS popularity
+  CASE WHEN p_partkey % 4 = 1 THEN 99 ELSE 18 END AS genre, CAST(p_size * 1.5 AS DOUBLE) AS popularity
 FROM part"""
