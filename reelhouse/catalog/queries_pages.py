@@ -24,12 +24,12 @@ BOX_SHORT = _BOX.format(figure="CAST(floor(r.revenue_qc / 100) * 10000 AS BIGINT
 
 @query("s06a_box_office", BOX_LOCAL)
 def _(spark, folder):
-    return pages.box_office(sample_pages.box_office_pages(SampleTables(spark, folder)), "box-office-qc-box-office", False, SITE)
+    return pages.box_office(sample_pages.box_office_pages(SampleTables(spark, folder)), "box-office-qc-box-office", False, SITE).drop("pos")
 
 
 @query("s06a_box_office_short_money", BOX_SHORT)
 def _(spark, folder):
-    return pages.box_office(sample_pages.box_office_pages(SampleTables(spark, folder)), "box-office-murica-box-office", True, SITE)
+    return pages.box_office(sample_pages.box_office_pages(SampleTables(spark, folder)), "box-office-murica-box-office", True, SITE).drop("pos")
 
 
 @query("s06b_page_links", r"""

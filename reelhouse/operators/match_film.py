@@ -58,16 +58,18 @@ def best_results(results: DataFrame) -> DataFrame:
     )
 
 
-def search_films(wants: DataFrame, results: DataFrame) -> DataFrame:
+def search_films(
+    wants: DataFrame, results: DataFrame, year_offsets: tuple[int, ...] = (0, -1, 1), clean: bool = True
+) -> DataFrame:
     """(title, year_hint, extra_queries) to a film id: queries in order, years y, y-1, y+1, no
     documentaries first, title variants, then neighbouring years; within one search the best score.
     """
-    cleaned = tx.without_version_markers(F.col("title"))
+    cleaned = tx.without_version_markers(F.col("title")) if clean else tx.trim_space(F.col("title"))
     queries = F.array_distinct(
         F.filter(F.concat(F.array(cleaned), F.coalesce("extra_queries", F.array().cast("array<string>"))), lambda q: q != "")
     )
     hint = F.col("year_hint")
-    years = F.when(hint.isNull(), F.array(F.lit(None).cast("int"))).otherwise(F.array(hint, hint - 1, hint + 1))
+    years = F.when(hint.isNull(), F.array(F.lit(None).cast("int"))).otherwise(F.array(*[hint + o for o in year_offsets]))
     steps = F.when(F.col("year").isNull(), F.array(F.lit(0))).otherwise(F.array(*[F.lit(s) for s in YEAR_STEPS]))
     keys = ["title", "year_hint", "extra_queries"]
     attempts = (

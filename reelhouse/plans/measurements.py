@@ -45,6 +45,7 @@ def resolve(measurements: DataFrame, screens: DataFrame) -> DataFrame:
         .select(
             "showing_id",
             "seats_remaining",
+            "measured_at",
             path.alias("path"),
             F.when(grid, F.col("size_screen")).otherwise(F.col("name_screen")).alias("matched_screen"),
             F.when(grid, F.col("size_seats")).otherwise(F.col("name_seats")).alias("matched_seats"),
@@ -53,12 +54,14 @@ def resolve(measurements: DataFrame, screens: DataFrame) -> DataFrame:
 
 
 def apply_measurements(
-    showings: DataFrame, screens: DataFrame, measurements: DataFrame, as_of: Column
+    showings: DataFrame, screens: DataFrame, measurements: DataFrame, as_of: Column | None = None
 ) -> DataFrame:
     """Next state of the showings: seats sold, write-once screen, stamp; and the path each took.
 
     The showings table keeps its columns and gains 'path' (NULL where nothing was measured).
+    Without as_of the stamp is the time of the measurement itself.
     """
+    stamp = F.col("measured_at") if as_of is None else as_of
     known = screens.select(F.col("id").alias("_screen"), F.col("seat_count").alias("known_seats"))
     resolved = resolve(latest_measurements(measurements), screens)
     both = (
@@ -79,6 +82,6 @@ def apply_measurements(
         "screen_id": F.coalesce(
             "screen_id", F.when(path.isin("capacity", "auditorium"), F.col("matched_screen"))
         ),
-        "scraped_at": F.when(changed | (path == "stamped"), as_of).otherwise(F.col("scraped_at")),
+        "scraped_at": F.when(changed | (path == "stamped"), stamp).otherwise(F.col("scraped_at")),
     }
     return both.select(*[new[c].alias(c) if c in new else F.col(c) for c in showings.columns], path.alias("path"))

@@ -112,7 +112,7 @@ def box_office(pages: DataFrame, section: str, short_money: bool, site: str) ->
     rows = extract(pages, box_office_spec(section, short_money, site))
     return (
         rows.groupBy(*rest, "title")
-        .agg(F.max_by(F.struct("fr_title", "week_end", "cumulative", "url"), "pos").alias("r"))
+        .agg(F.max(F.struct("pos", "fr_title", "week_end", "cumulative", "url")).alias("r"))
         .select(*rest, "title", "r.*")
     )
 
@@ -162,19 +162,24 @@ def showtime_blocks(pages: DataFrame) -> DataFrame:
 
     labels = F.transform(pieces_after(F.col("html"), with_class("days-slider-slide-trigger-content")), label)
     sections = pieces_after(F.col("html"), with_class("cinema-schedule-movies"))
-    days = pages.select(*rest, labels.alias("labels"), F.posexplode(sections).alias("day", "section"))
+    days = pages.select(*rest, labels.alias("label"), sections.alias("section")).select(
+        *rest, F.posexplode(F.arrays_zip("label", "section")).alias("day", "d")
+    )
     theaters = days.select(
-        *rest, F.get("labels", F.col("day")).alias("day_label"), "day",
-        F.posexplode(pieces_after(F.col("section"), with_class("theater-item"))).alias("item", "theater_html"),
+        *rest, F.col("d.label").alias("day_label"), "day",
+        F.posexplode(pieces_after(F.col("d.section"), with_class("theater-item"))).alias("item", "theater_html"),
     )
     html = F.col("theater_html")
     name = F.coalesce(text_in(html, with_class("cinema-schedule-movie-title"), "a"), text_in(html, r"<a\s[^>]*>", "a"))
     subtitle = F.coalesce(text_in(html, with_class("cinema-schedule-movie-subtitle"), "div"), inner_text(html), F.lit(""))
-    chain, count = tx.chain_and_screens(subtitle)
     times = F.transform(all_of(html, f"(?s){with_class('cinema-schedule-movie-time')}(.*?)</", 1), tx.plain_text)
-    return theaters.select(
-        *rest, "day", "item", "day_label", F.coalesce(name, F.lit("")).alias("theater"), chain.alias("company"), count.alias("screens"),
-        F.filter(times, lambda x: x != "").alias("times"),
+    read = theaters.select(
+        *rest, "day", "item", "day_label", F.coalesce(name, F.lit("")).alias("theater"), subtitle.alias("subtitle"), times.alias("times")
+    )
+    chain, count = tx.chain_and_screens(F.col("subtitle"))
+    return read.select(
+        *rest, "day", "item", "day_label", "theater", chain.alias("company"), count.alias("screens"),
+        F.array_remove("times", "").alias("times"),
     )
 
 
@@ -308,28 +313,32 @@ def _row_cells(html: Column) -> Column:
     )
 
 
+def _timed(cells: Column) -> Column:
+    """Cells with the clock time their text shows, if any."""
+    time = lambda c: F.when(F.rlike(c["text"], F.lit("[0-9]")), tm.schedule_time(c["text"]))
+    return F.transform(cells, lambda c: c.withField("time", time(c)))
+
+
 def ticket_rows(pages: DataFrame, spec: TicketSpec) -> DataFrame:
     """Schedule rows: title, time and purchase address.
 
-    A button without its own key takes the next hidden key of its row, in order. Pages are
-    small documents, so each is taken apart within its own row and nothing is shuffled.
+    A button without its own key takes the next hidden key of its row, in order.
     """
     rest = [c for c in pages.columns if c != "html"]
-    cells = pages.select(*rest, _row_cells(F.col("html")).alias("cells"))
+    cells = pages.select(*rest, _timed(_row_cells(F.col("html"))).alias("cells"))
     rows = cells.select(
         *rest, "cells", F.explode(F.array_distinct(F.transform("cells", lambda c: c["row"]))).alias("row")
     )
     mine = F.filter("cells", lambda c: c["row"] == F.col("row"))
     is_key = lambda c: F.rlike(c["text"], F.lit("^[0-9]{5,}$"))
-    time = lambda c: tm.schedule_time(c["text"])
-    buttons = F.filter("mine", lambda c: time(c).isNotNull() & F.rlike(c["tag"], F.lit(r'^<a\s|role="button"')))
+    buttons = F.filter("mine", lambda c: c["time"].isNotNull() & F.rlike(c["tag"], F.lit(r'^<a\s|role="button"')))
     keyless = lambda c: F.coalesce(tx.url_param(attribute(c["tag"], "href"), "P3"), F.lit("")) == ""
     title_ids = [F.replace(F.lit(t), F.lit("{row}"), F.col("row")) for t in spec.title_cells]
 
     def cell(cell_id: Column) -> Column:
         return F.nullif(F.get(F.filter("mine", lambda c: c["id"] == cell_id), F.lit(0))["text"], F.lit(""))
 
-    any_cell = F.nullif(F.get(F.filter("mine", lambda c: ~is_key(c) & time(c).isNull() & (c["text"] != "")), F.lit(0))["text"], F.lit(""))
+    any_cell = F.nullif(F.get(F.filter("mine", lambda c: ~is_key(c) & c["time"].isNull() & (c["text"] != "")), F.lit(0))["text"], F.lit(""))
     prepared = rows.select(*rest, "row", mine.alias("mine")).select(
         *rest, "row",
         F.coalesce(*[cell(i) for i in title_ids], any_cell).alias("raw_title"),
@@ -348,7 +357,7 @@ def ticket_rows(pages: DataFrame, spec: TicketSpec) -> DataFrame:
         shows.select(
             *rest, "row", "pos",
             F.nullif(tx.trim_space(tx.collapse_space(title)), F.lit("")).alias("title"),
-            tm.schedule_time(F.col("button.text")).alias("time"),
+            F.col("button.time").alias("time"),
             key.alias("key"),
         )
         .where(F.col("time").isNotNull() | F.col("key").isNotNull())
