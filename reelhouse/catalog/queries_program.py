@@ -7,6 +7,7 @@ from reelhouse.catalog.queries_pages import BOX_LOCAL, BOX_SHORT, SITE
 from reelhouse.catalog.queries_tables import shown
 from reelhouse.catalog.registry import query
 from reelhouse.functions import text as tx
+from reelhouse.session import written
 from reelhouse.plans import program, rank, reports, upcoming, weekly_load
 from reelhouse.sources import pages, sample_pages
 from reelhouse.sources.sample import SampleTables
@@ -67,7 +68,7 @@ SELECT s.movie_id, t.id AS theater_id, strftime(date_trunc('minute', s.start_at)
 FROM showings s JOIN theaters t ON t.id = s.theater_id GROUP BY ALL""".replace("FROM showings s JOIN theaters t ON t.id = s.theater_id", f"FROM showings s JOIN (SELECT id, regexp_replace(name, '\\s+', ' ', 'g') AS n FROM theaters) t ON t.id = s.theater_id JOIN ({_TOTALS}) x ON x.id = s.movie_id JOIN ({_LISTING}) l ON l.id = s.movie_id WHERE x.total >= CASE WHEN l.source = 'now' THEN 5 ELSE 1 END"))
 def _(spark, folder):
     t = SampleTables(spark, folder)
-    blocks = program_blocks(t)
+    blocks = written(program_blocks(t), "show-blocks")
     chosen = program.build_program(program.merge_listings(*listings(t)), blocks)
     films = chosen.select("href", F.regexp_extract("href", "([0-9]+)$", 1).cast("bigint").alias("film_id"))
     tidy = t.theaters.withColumn("name", tx.collapse_space(F.col("name")))
@@ -118,11 +119,11 @@ def _(spark, folder):
 
 
 @query("a16_lookahead_outcomes", f"""
-SELECT CASE WHEN title IN (SELECT title FROM movies WHERE runtime > 100 UNION SELECT fr_title FROM movies WHERE runtime > 100 AND fr_title IS NOT NULL) THEN 'updated' ELSE 'inserted' END AS outcome, count(*) AS n FROM ({_ANNOUNCED}) WHERE k > 1 GROUP BY 1""")
+SELECT CASE WHEN title IN (SELECT title FROM movies WHERE runtime > 129 UNION SELECT fr_title FROM movies WHERE runtime > 129 AND fr_title IS NOT NULL) THEN 'updated' ELSE 'inserted' END AS outcome, count(*) AS n FROM ({_ANNOUNCED}) WHERE k > 1 GROUP BY 1""")
 def _(spark, folder):
     t = SampleTables(spark, folder)
     films = upcoming.later_films(month_pages(t), january(), SITE)
-    return upcoming.outcomes(films, t.movies.where(F.col("runtime") > 100)).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    return upcoming.outcomes(films, t.movies.where(F.col("runtime") > 129)).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("q12_published_load", f"""

@@ -68,7 +68,8 @@ def search_titles(wants: DataFrame) -> DataFrame:
 
 def program_showings(program: DataFrame, blocks: DataFrame, films: DataFrame, theaters: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Next theatres, and the showing rows of the program's films (href -> film_id)."""
-    kept = blocks.join(program.select("href"), "href", "left_semi").join(films.select("href", F.col("film_id").alias("movie_id")), "href")
+    needed = blocks.select("href", "date", "theater", "company", "screens", "times")
+    kept = needed.join(program.select("href"), "href", "left_semi").join(films.select("href", F.col("film_id").alias("movie_id")), "href")
     named = kept.select(F.col("theater").alias("name"), "company", "screens").distinct()
     next_theaters = merge.merge_theaters(theaters, named)
     ids = next_theaters.groupBy(F.upper("name").alias("_name")).agg(F.min("id").alias("theater_id"))

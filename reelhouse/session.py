@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -31,3 +32,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="reelhouse-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a plan once to the shared folder and read it back, where several plans go on from it."""
+    spark = df.sparkSession
+    path = shared_folder(spark, f"{purpose}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
