@@ -96,26 +96,28 @@ FRENCH_MONTHS = {
     "aout": 8, "septembre": 9, "octobre": 10, "novembre": 11, "decembre": 12,
 }
 
-# ---- title patterns (word boundaries written {B}: ASCII letters, digits, underscore) ------
-NOISE_TOKENS = r"{B}(VF|VOA?|VOST(?:FR)?|IMAX|ATMOS|4DX|D-?BOX|HFR|3D|2D|Dolby(?:\s+Cinema)?){B}"
+# ---- title patterns ({B} word boundary, {L} and {R} left and right edge of a word; words are
+# ---- ASCII letters, digits and underscore) -------------------------------------------------
+NOISE_TOKENS = r"{L}(VF|VOA?|VOST(?:FR)?|IMAX|ATMOS|4DX|D-?BOX|HFR|3D|2D|Dolby(?:\s+Cinema)?){R}"
 LEADING_ARTICLE = r"^(le|la|les|the|l|un|une)\s+"
 BRACKETED = r"\([^)]*\)|\[[^\]]*\]"
+# flag, capital letters any title with it contains, pattern
 VERSION_FLAGS = [
-    ("VF", r"{B}V\.?F\.?{B}|{B}VF{B}"),
-    ("VOA", r"{B}V\.?O\.?A?\.?{B}|{B}VOA?{B}"),
-    ("VOST", r"{B}VOST(?:FR|A)?{B}"),
-    ("IMAX", r"{B}IMAX{B}"),
-    ("ATMOS", r"{B}ATMOS{B}"),
-    ("4DX", r"{B}4DX{B}"),
-    ("DBOX", r"{B}D-?BOX{B}"),
-    ("HFR", r"{B}HFR{B}"),
-    ("3D", r"{B}3D{B}"),
-    ("2D", r"{B}2D{B}"),
+    ("VF", "V", r"{L}V\.?F\.?{B}"),
+    ("VOA", "V", r"{L}V\.?O\.?A?\.?{B}"),
+    ("VOST", "VOST", r"{L}VOST(?:FR|A)?{R}"),
+    ("IMAX", "IMAX", r"{L}IMAX{R}"),
+    ("ATMOS", "ATMOS", r"{L}ATMOS{R}"),
+    ("4DX", "4DX", r"{L}4DX{R}"),
+    ("DBOX", "BOX", r"{L}D-?BOX{R}"),
+    ("HFR", "HFR", r"{L}HFR{R}"),
+    ("3D", "3D", r"{L}3D{R}"),
+    ("2D", "2D", r"{L}2D{R}"),
 ]
-AUDITORIUM_WORDS = r"{B}(salle|aud|auditorium|screen|vip){B}"
+AUDITORIUM_WORDS = r"{L}(salle|aud|auditorium|screen|vip){R}"
 VERSION_MARKERS = [
-    r"{B}V\.?F\.?(\s*Q|O?F)?{B}",
-    r"{B}V\.?O\.?(S?T\.)?{B}",
+    r"{L}V\.?F\.?(\s*Q|O?F)?{B}",
+    r"{L}V\.?O\.?(S?T\.)?{B}",
     r"\s*\(\s*version\s+fran(?:ç|c)aise\s*\)\s*",
     r"\s*\(\s*vf(?:of)?\s*\)\s*",
     r"\s+vf(?:of)?\s*$",

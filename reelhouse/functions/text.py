@@ -12,16 +12,26 @@ from reelhouse import fixed_values as fv
 # ASCII word boundary; the regex engine's own \b also counts accented letters as word characters.
 _WORD = "[A-Za-z0-9_]"
 BOUNDARY = f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
+BEFORE_WORD = f"(?<!{_WORD})"
+AFTER_WORD = f"(?!{_WORD})"
 # White space including the no-break and typographic spaces.
-SPACE = "[\\s\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\ufeff]"
+SPACE = r"[\s\p{Z}\ufeff]"
+_SPACE_CHARACTERS = " \t\n\x0b\f\r\u00a0\u1680\u2028\u2029\u202f\u205f\u3000\ufeff" + "".join(
+    chr(c) for c in range(0x2000, 0x200B)
+)
 
 _MARKS = "[\\u0300-\\u036f]"
 _MARKS_AND_SPACING_ACCENTS = "[\\^`\\u00a8\\u00af\\u00b4\\u00b7\\u00b8\\u0300-\\u036f]"
 
 
 def pattern(text: str) -> str:
-    """Fill the word boundary and the wide white-space class into a stored pattern."""
-    return text.replace("{B}", BOUNDARY).replace(r"\s", SPACE)
+    """Fill the word edges and the wide white-space class into a stored pattern.
+
+    {L} and {R} are the cheaper forms of {B} next to a pattern that itself starts or ends with
+    a word character.
+    """
+    edges = text.replace("{B}", BOUNDARY).replace("{L}", BEFORE_WORD).replace("{R}", AFTER_WORD)
+    return edges.replace(r"\s", SPACE)
 
 
 def _base_letter_table() -> tuple[str, str]:
@@ -63,11 +73,12 @@ def strip_diacritics(c: Column) -> Column:
 
 
 def trim_space(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.trim(c, F.lit(_SPACE_CHARACTERS))
 
 
 def collapse_space(c: Column) -> Column:
-    return F.regexp_replace(c, f"{SPACE}+", " ")
+    """Every run of white space to one plain space; lone plain spaces are not touched."""
+    return F.regexp_replace(c, SPACE + r"{2,}|[\s\p{Z}\ufeff&&[^ ]]", " ")
 
 
 def name_key(c: Column) -> Column:
@@ -138,11 +149,13 @@ def base_title(c: Column) -> Column:
     return trim_space(collapse_space(F.when(head != "", head).otherwise(x)))
 
 
+def long_words(c: Column) -> Column:
+    """Distinct space-separated words longer than two letters."""
+    return F.array_distinct(F.filter(F.split(c, " "), lambda w: F.length(w) > 2))
+
+
 def long_word_overlap(a: Column, b: Column) -> Column:
     """Number of distinct words longer than two letters that two strings share."""
-    def long_words(c: Column) -> Column:
-        return F.array_distinct(F.filter(F.split(c, " "), lambda w: F.length(w) > 2))
-
     return F.size(F.array_intersect(long_words(a), long_words(b)))
 
 
@@ -153,7 +166,11 @@ def characters(c: Column) -> Column:
 def title_distance(a: Column, b: Column) -> Column:
     """0 equal, 1 one contains the other, else 3 less a third per shared-character share; 4 empty."""
     sa, sb = squished(F.coalesce(a, F.lit(""))), squished(F.coalesce(b, F.lit("")))
-    ca, cb = characters(sa), characters(sb)
+    return squished_distance(sa, characters(sa), sb, characters(sb))
+
+
+def squished_distance(sa: Column, ca: Column, sb: Column, cb: Column) -> Column:
+    """title_distance of two titles given their squished forms and distinct characters."""
     smaller = F.greatest(F.lit(1), F.least(F.size(ca), F.size(cb)))
     thirds = F.floor(F.size(F.array_intersect(ca, cb)) * 3 / smaller).cast("int")
     return (
@@ -166,8 +183,12 @@ def title_distance(a: Column, b: Column) -> Column:
 
 def version_signature(c: Column) -> Column:
     """Sorted '+'-joined version flags found in a raw title, 'default' without any."""
+    capitals = F.upper(c)
     flags = F.array(
-        *[F.when(F.rlike(c, F.lit("(?i)" + pattern(p))), F.lit(flag)) for flag, p in fv.VERSION_FLAGS]
+        *[
+            F.when(F.contains(capitals, F.lit(letters)) & F.rlike(c, F.lit("(?i)" + pattern(p))), F.lit(flag))
+            for flag, letters, p in fv.VERSION_FLAGS
+        ]
     )
     joined = F.array_join(F.array_sort(F.array_compact(flags)), "+")
     return F.when(joined == "", "default").otherwise(joined)

@@ -29,9 +29,10 @@ def _first_entries(items: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _shared_words(entry: Column, wanted: Column) -> Column:
+def _shared_words(entry: Column, repeats: Column, wanted: Column) -> Column:
     """Entry words found in the wanted title; a repeated entry word counts every time."""
-    return F.size(F.filter(entry, lambda w: F.array_contains(wanted, w)))
+    every = F.size(F.filter(entry, lambda w: F.array_contains(wanted, w)))
+    return F.when(repeats, every).otherwise(F.size(F.array_intersect(entry, wanted)))
 
 
 def _title_forms(df: DataFrame, title: str, prefix: str) -> DataFrame:
@@ -48,7 +49,9 @@ def _compared(wanted: DataFrame, items: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("entries"), F.min(F.struct("pos", "url")).alias("first")
     )
     titles = _title_forms(wanted.select(*SLOT, "title").distinct(), "title", "want")
-    entries = _title_forms(_first_entries(usable, SLOT), "entry_title", "entry")
+    entries = _title_forms(_first_entries(usable, SLOT), "entry_title", "entry").withColumn(
+        "entry_repeats", F.size("entry_words") > F.size(F.array_distinct("entry_words"))
+    )
     return titles.join(slots, SLOT).join(entries, SLOT)
 
 
@@ -77,7 +80,7 @@ def pick_entries(wanted: DataFrame, items: DataFrame) -> DataFrame:
     contained = (F.col("entry_flat") != "") & (
         F.contains("want_flat", "entry_flat") | F.contains("entry_flat", "want_flat")
     )
-    shared = _shared_words(F.col("entry_words"), F.col("want_words"))
+    shared = _shared_words(F.col("entry_words"), F.col("entry_repeats"), F.col("want_words"))
     tier = F.when(contained, 1).when(shared >= 2, 2).otherwise(3)
     rank = F.when(contained, 0).when(shared >= 2, -shared).otherwise(0)
     names = {
@@ -158,16 +161,12 @@ def pick_near(wanted: DataFrame, items: DataFrame, minutes: int = 10) -> DataFra
             )
         ).alias("entry_minute"),
     )
-    forms = {"want_listing": tx.listing_title(F.col("title")), "want_base": tx.base_title(F.col("title"))}
-    asked = asked.withColumns(forms)
-    entry_forms = {
-        "entry_listing": tx.listing_title(F.col("entry_title")),
-        "entry_base": tx.base_title(F.col("entry_title")),
-    }
-    entries = _first_entries(listed.withColumnRenamed("minute", "entry_minute"), [*DAY, "entry_minute"]).withColumns(entry_forms)
+    asked = _near_forms(asked, "title", "want")
+    listed_at = listed.withColumnRenamed("minute", "entry_minute")
+    entries = _near_forms(_first_entries(listed_at, [*DAY, "entry_minute"]), "entry_title", "entry")
     exact = F.col("entry_listing") == F.col("want_listing")
     starts = F.startswith(F.col("entry_base"), F.col("want_base"))
-    overlap = tx.long_word_overlap(F.col("entry_base"), F.col("want_base"))
+    overlap = F.size(F.array_intersect("entry_long", "want_long"))
     score = F.when(exact, 300).when(starts, 200).otherwise(0) + overlap
     best = lambda s: F.min(F.struct((-s).alias("minus"), F.col("entry.pos").alias("pos"), F.col("entry.url").alias("url"))).alias("b")
     timed = (
@@ -176,7 +175,8 @@ def pick_near(wanted: DataFrame, items: DataFrame, minutes: int = 10) -> DataFra
         .select(*SLOT, "title", F.col("b.pos").alias("pos"), F.col("b.url").alias("url"), (-F.col("b.minus")).alias("score"), F.lit("time").alias("found_by"))
     )
     untimed = asked.join(reached.select(*DAY, "minute").distinct(), [*DAY, "minute"], "left_anti")
-    day_entries = _first_entries(listed, DAY).withColumns(entry_forms)
+    open_days = listed.join(untimed.select(*DAY).distinct(), DAY, "left_semi")
+    day_entries = _near_forms(_first_entries(open_days, DAY), "entry_title", "entry")
     by_title = (
         _sharing(untimed, day_entries)
         .groupBy(*SLOT, "title").agg(best(F.col("score")))
@@ -185,14 +185,19 @@ def pick_near(wanted: DataFrame, items: DataFrame, minutes: int = 10) -> DataFra
     return timed.unionByName(by_title)
 
 
+def _near_forms(df: DataFrame, title: str, prefix: str) -> DataFrame:
+    return (
+        df.withColumn(f"{prefix}_listing", tx.listing_title(F.col(title)))
+        .withColumn(f"{prefix}_base", tx.base_title(F.col(title)))
+        .withColumn(f"{prefix}_long", tx.long_words(F.col(f"{prefix}_base")))
+    )
+
+
 def _sharing(untimed: DataFrame, entries: DataFrame) -> DataFrame:
     """Pairs of one theatre and day that share a long word or a title head, with their score.
 
     Pairs are found through keys (words; heads of the entry title), so unrelated titles never meet.
     """
-    def long_words(c: str) -> Column:
-        return F.array_distinct(F.filter(F.split(c, " "), lambda w: F.length(w) > 2))
-
     def word_keys(words: Column) -> Column:
         return F.transform(words, lambda w: F.struct(F.lit(1).alias("points"), w.alias("key")))
 
@@ -201,9 +206,9 @@ def _sharing(untimed: DataFrame, entries: DataFrame) -> DataFrame:
 
     heads = F.transform(F.sequence(F.lit(0), F.length("entry_base")), lambda n: F.left(F.col("entry_base"), n))
     left = untimed.withColumn(
-        "k", F.explode(F.concat(word_keys(long_words("want_base")), head_keys(F.array("want_base"))))
+        "k", F.explode(F.concat(word_keys(F.col("want_long")), head_keys(F.array("want_base"))))
     ).select(*SLOT, "title", "k.points", "k.key")
-    right = entries.withColumn("k", F.explode(F.concat(word_keys(long_words("entry_base")), head_keys(heads)))).select(
+    right = entries.withColumn("k", F.explode(F.concat(word_keys(F.col("entry_long")), head_keys(heads)))).select(
         *DAY, "entry_title", "entry", "k.points", "k.key"
     )
     return (

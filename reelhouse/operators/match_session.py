@@ -56,15 +56,27 @@ def scored_session(wanted: DataFrame, sessions: DataFrame) -> DataFrame:
     Runtime distance, title distance and language add up; two best closer than a quarter
     point are reported as ambiguous with the three best.
     """
-    wants = wanted.select(*SLOT, "title", "runtime", "language").distinct()
+    wants = (
+        wanted.select(*SLOT, "title", "runtime", "language").distinct()
+        .withColumn("want_form", tx.squished(F.coalesce("title", F.lit(""))))
+        .withColumn("want_chars", tx.characters(F.col("want_form")))
+    )
     offers = sessions.select(
         *SLOT, "pos", "auditorium", F.coalesce("movie_name", F.lit("")).alias("offer_title"),
         F.nullif("runtime_minutes", F.lit(0)).alias("offer_runtime"), F.col("language_code").alias("offer_language"),
     )
+    # Offers alike in all that is scored tie, so the first three of them are enough.
+    alike = Window.partitionBy(*SLOT, "offer_title", "offer_runtime", "offer_language").orderBy("pos")
+    offers = (
+        offers.withColumn("_copy", F.row_number().over(alike)).where(F.col("_copy") <= 3).drop("_copy")
+        .withColumn("offer_form", tx.squished(F.col("offer_title")))
+        .withColumn("offer_chars", tx.characters(F.col("offer_form")))
+    )
     off = F.abs(F.col("offer_runtime") - F.col("runtime"))
     by_runtime = F.when(off <= 3, 0.0).when(off <= 6, 0.5).when(off <= 10, 1.0).when(off.isNotNull(), 2.0).otherwise(0.5)
     by_language = F.when(F.col("offer_language") != F.col("language"), 0.5).otherwise(0.0)
-    score = by_runtime + tx.title_distance(F.col("offer_title"), F.col("title")) + by_language
+    by_title = tx.squished_distance(*[F.col(c) for c in ("offer_form", "offer_chars", "want_form", "want_chars")])
+    score = by_runtime + by_title + by_language
     keys = [*SLOT, "title", "runtime", "language"]
     order = Window.partitionBy(*keys).orderBy("score", "pos")
     offer = F.struct("score", "pos", "auditorium", "offer_title")
