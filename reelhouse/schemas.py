@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
-_DDL = {
+SCHEMAS: dict[str, str] = {
     "movies": (
         "id bigint, title string, fr_title string, release_date date, popularity double, "
         "poster_path string, backdrop_path string, budget bigint, runtime int, "
@@ -53,4 +53,7 @@ _DDL = {
     "raw_pages": "url string, source string, fetched_at timestamp_ntz, html string",
 }
 
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+
+def schema_of(name: str) -> StructType:
+    """Declared schema of a table as a type (needs a running session)."""
+    return StructType.fromDDL(SCHEMAS[name])

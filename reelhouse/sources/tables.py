@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.schemas import SCHEMAS
+from reelhouse.schemas import SCHEMAS, schema_of
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,7 +17,7 @@ def read_jdbc(spark: SparkSession, url: str, name: str, **options: str) -> DataF
     """The same table from a relational database. Give partitionColumn and bounds to read in parallel."""
     rows = spark.read.format("jdbc").option("url", url).option("dbtable", name).options(**options).load()
     return rows.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields if f.name in rows.columns]
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema_of(name).fields if f.name in rows.columns]
     )
 
 
