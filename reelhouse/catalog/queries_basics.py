@@ -14,7 +14,10 @@ from reelhouse.plans import rank, worklist
 from reelhouse.plans.weekend_estimate import Weekend, published_floor
 from reelhouse.sources.sample import SampleTables
 
-ROWS = F.count(F.lit(1))
+
+
+def row_count():
+    return F.count(F.lit(1))
 LOCAL = "(start_at - INTERVAL '5' HOUR)"
 
 
@@ -22,7 +25,7 @@ LOCAL = "(start_at - INTERVAL '5' HOUR)"
 @query("p01_display_title", "SELECT coalesce(fr_title, title) AS display_title, count(*) AS n FROM movies GROUP BY 1")
 def _(spark, folder):
     m = SampleTables(spark, folder).movies
-    return m.groupBy(F.coalesce("fr_title", "title").alias("display_title")).agg(ROWS.alias("n"))
+    return m.groupBy(F.coalesce("fr_title", "title").alias("display_title")).agg(row_count().alias("n"))
 
 
 @query("p02_weekend_bounds", """
@@ -145,8 +148,8 @@ def _(spark, folder):
 SELECT weekend_id, n, round(n / (SELECT count(*) FROM revenues), 6) AS share FROM (SELECT weekend_id, count(*) AS n FROM revenues GROUP BY 1)""")
 def _(spark, folder):
     r = SampleTables(spark, folder).revenues
-    total = r.agg(ROWS).scalar()
-    return r.groupBy("weekend_id").agg(ROWS.alias("n")).select("weekend_id", "n", F.round(F.col("n") / total, 6).alias("share"))
+    total = r.agg(row_count()).scalar()
+    return r.groupBy("weekend_id").agg(row_count().alias("n")).select("weekend_id", "n", F.round(F.col("n") / total, 6).alias("share"))
 
 
 @query("j05_shows_in_range", """
@@ -327,14 +330,14 @@ SELECT band, count(*) AS n FROM (SELECT CASE WHEN sec BETWEEN 39600 AND 50340 TH
   FROM (SELECT epoch({LOCAL} - date_trunc('day', {LOCAL})) AS sec FROM showings)) GROUP BY 1""")
 def _(spark, folder):
     s = SampleTables(spark, folder).showings
-    return s.groupBy(tm.band(tm.second_of_day(tm.to_local(F.col("start_at")))).alias("band")).agg(ROWS.alias("n"))
+    return s.groupBy(tm.band(tm.second_of_day(tm.to_local(F.col("start_at")))).alias("band")).agg(row_count().alias("n"))
 
 
 @query("f23_quiet_hours", f"""
 SELECT theater_id, count(*) FILTER (WHERE strftime({LOCAL}, '%H:%M') >= '01:00' AND strftime({LOCAL}, '%H:%M') < '09:30') AS quiet, count(*) AS n FROM showings GROUP BY 1""")
 def _(spark, folder):
     s = SampleTables(spark, folder).showings
-    return s.groupBy("theater_id").agg(F.count_if(tm.in_quiet_hours(F.col("start_at"))).alias("quiet"), ROWS.alias("n"))
+    return s.groupBy("theater_id").agg(F.count_if(tm.in_quiet_hours(F.col("start_at"))).alias("quiet"), row_count().alias("n"))
 
 
 @query("f24_seats_sold", """

@@ -11,7 +11,10 @@ from reelhouse.functions import text as tx
 from reelhouse.functions import time as tm
 from reelhouse.sources.sample import SampleTables
 
-ROWS = F.count(F.lit(1))
+
+
+def row_count():
+    return F.count(F.lit(1))
 SP = r"[\s\x0b\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 
 
@@ -37,7 +40,7 @@ _TITLES = "SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) A
 
 def keyed_counts(df, key):
     """Rows per key, the key shown by its digest (texts can be long)."""
-    return df.groupBy(F.md5(key).alias("key")).agg(ROWS.alias("n"))
+    return df.groupBy(F.md5(key).alias("key")).agg(row_count().alias("n"))
 
 
 @query("f01_name_key", f"SELECT md5({sql_space(f'lower({sql_plain(chr(116)+chr(101)+chr(120)+chr(116))})')}) AS key, count(*) AS n FROM documents GROUP BY 1")
@@ -48,17 +51,17 @@ def _(spark, folder):
 @query("f02_title_key", f"SELECT {sql_title_key('title')} AS title_key, count(*) AS n FROM (SELECT title FROM ({_TITLES}) UNION ALL SELECT title FROM schedule_items) GROUP BY 1")
 def _(spark, folder):
     titles = page_titles(spark, folder).select("title").unionByName(SampleTables(spark, folder).schedule_items.select("title"))
-    return titles.groupBy(tx.title_key(F.col("title")).alias("title_key")).agg(ROWS.alias("n"))
+    return titles.groupBy(tx.title_key(F.col("title")).alias("title_key")).agg(row_count().alias("n"))
 
 
 @query("f03_title_words", f"SELECT word, count(*) AS n FROM (SELECT unnest({sql_words(sql_title_key('text'))}) AS word FROM documents) GROUP BY 1")
 def _(spark, folder):
-    return docs(spark, folder).select(F.explode(tx.title_words(F.col("text"))).alias("word")).groupBy("word").agg(ROWS.alias("n"))
+    return docs(spark, folder).select(F.explode(tx.title_words(F.col("text"))).alias("word")).groupBy("word").agg(row_count().alias("n"))
 
 
 @query("f03_flat_title", f"SELECT replace({sql_title_key('title')}, ' ', '') AS flat, count(*) AS n FROM schedule_items GROUP BY 1")
 def _(spark, folder):
-    return SampleTables(spark, folder).schedule_items.groupBy(tx.flat_title(F.col("title")).alias("flat")).agg(ROWS.alias("n"))
+    return SampleTables(spark, folder).schedule_items.groupBy(tx.flat_title(F.col("title")).alias("flat")).agg(row_count().alias("n"))
 
 
 @query("f04_word_similarity", f"""
@@ -79,7 +82,7 @@ def _(spark, folder):
     titles = t.schedule_items.select("title").union(part.select(F.concat("p_name", F.lit("…")))).union(
         part.select(F.concat_ws(" - ", "p_brand", "p_name"))
     )
-    return titles.groupBy(tx.base_title(F.col("title")).alias("base")).agg(ROWS.alias("n"))
+    return titles.groupBy(tx.base_title(F.col("title")).alias("base")).agg(row_count().alias("n"))
 
 
 _TURNS = "FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1"
@@ -121,7 +124,7 @@ def _(spark, folder):
     titles = t.schedule_items.select("title").union(t.raw("documents").select("text")).union(
         t.raw("part").select(F.concat("p_name", F.lit(" v.o.a. D-Box")))
     )
-    return titles.groupBy(tx.version_signature(F.col("title")).alias("version")).agg(ROWS.alias("n"))
+    return titles.groupBy(tx.version_signature(F.col("title")).alias("version")).agg(row_count().alias("n"))
 
 
 @query("f09_auditorium_key", r"""
@@ -132,7 +135,7 @@ def _(spark, folder):
     t = SampleTables(spark, folder)
     names = t.measurements.select("auditorium").union(t.raw("supplier").select("s_name"))
     a = F.col("auditorium")
-    return names.groupBy(tx.auditorium_key(a).alias("plain"), tx.digits(a).alias("digits")).agg(ROWS.alias("n"))
+    return names.groupBy(tx.auditorium_key(a).alias("plain"), tx.digits(a).alias("digits")).agg(row_count().alias("n"))
 
 
 _IDENTITY = sql_space("lower(strip_accents(nfc_normalize(translate(replace(replace(regexp_replace(text, '[\\x{200b}-\\x{200d}\\x{feff}]', '', 'g'), '…', '...'), '™', 'TM'), '“”„‟’‘‛', '\"\"\"\"'''''''))))")
@@ -164,7 +167,7 @@ def _(spark, folder):
     titles = t.schedule_items.select("title").union(part.select(F.concat("p_name", F.lit(" (version française)")))).union(
         part.select(F.concat("p_name", F.lit(" V.O. (VFOF)")))
     )
-    return titles.groupBy(tx.without_version_markers(F.col("title")).alias("title")).agg(ROWS.alias("n"))
+    return titles.groupBy(tx.without_version_markers(F.col("title")).alias("title")).agg(row_count().alias("n"))
 
 
 _ENTITIES = "replace(replace(replace(replace(replace({c}, '&apos;', chr(39)), '&quot;', '\"'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>')"

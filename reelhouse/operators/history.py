@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from reelhouse.functions import money
 
-# One row per film and weekend, so a film's window holds at most its weekends on screen.
-BY_FILM = Window.partitionBy("film_id").orderBy("weekend_id")
+
+def by_film() -> WindowSpec:
+    """One row per film and weekend, so a film's window holds at most its weekends on screen."""
+    return Window.partitionBy("film_id").orderBy("weekend_id")
 
 
 def with_previous(revenues: DataFrame) -> DataFrame:
     """The latest earlier row of the same film, from any source; its figures may be NULL."""
     return revenues.withColumns(
         {
-            "prev_weekend": F.lag("weekend_id").over(BY_FILM),
-            "prev_rev": F.lag("revenue_qc").over(BY_FILM),
-            "prev_cumul": F.lag("cumulatif_qc_to_date").over(BY_FILM),
+            "prev_weekend": F.lag("weekend_id").over(by_film()),
+            "prev_rev": F.lag("revenue_qc").over(by_film()),
+            "prev_cumul": F.lag("cumulatif_qc_to_date").over(by_film()),
         }
     )
 
@@ -27,7 +29,7 @@ def had_real_weekend(revenues: DataFrame, weekends: DataFrame, movies: DataFrame
     """Whether an earlier weekend of the film ended on or after its release; unknown release: no."""
     ends = weekends.select(F.col("id").alias("weekend_id"), "end_date")
     released = movies.select(F.col("id").alias("film_id"), "release_date")
-    earlier = BY_FILM.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = by_film().rowsBetween(Window.unboundedPreceding, -1)
     return (
         revenues.join(ends, "weekend_id", "left").join(released, "film_id", "left")
         .withColumn(
@@ -47,5 +49,5 @@ def week_over_week(revenues: DataFrame, weekends: DataFrame, movies: DataFrame)
 
 def running_totals(revenues: DataFrame) -> DataFrame:
     """Cumulative revenue of a film up to and with each weekend; NULL counts as 0."""
-    so_far = BY_FILM.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = by_film().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return revenues.withColumn("running_qc", F.sum(F.coalesce("revenue_qc", F.lit(0))).over(so_far))
