@@ -127,3 +127,11 @@ def _(spark, folder):
 SELECT DISTINCT movie_id, movie_title AS movie, CAST(date AS VARCHAR) AS date, strftime(local_start, '%H:%M') AS time, CASE WHEN id % 3 <> 0 THEN concat('Salle ', true_screen % 12) ELSE 'Grand Studio' END AS salle FROM block_showings""")
 def _(spark, folder):
     return pages.hall_schedule(sample_pages.hall_pages(SampleTables(spark, folder)))
+
+
+@query("x01_title_hook", """
+SELECT theater_id, CAST(date AS VARCHAR) AS date, CAST(pos AS VARCHAR) AS row, upper(trim(title)) AS title, time FROM schedule_items""")
+def _(spark, folder):
+    shouting = pages.TicketSpec("https://tickets.example/FR/Film-achat.awp?P1=01&P2=01", clean_title=F.upper)
+    rows = pages.ticket_rows(sample_pages.ticket_pages(SampleTables(spark, folder)), shouting).where(F.col("time") != "23:30")
+    return shown(rows.select("theater_id", "date", "row", "title", "time"))

@@ -83,10 +83,10 @@ def _(spark, folder):
 
 
 @query("k04_missing_data_alert_rows", f"""
-WITH r AS (SELECT t.name AS theater_name, s.seats_sold {_RECENT}.replace),
+WITH r AS (SELECT t.name AS theater_name, s.seats_sold {_RECENT}),
 c AS (SELECT theater_name, count(*) AS total_shows, count(*) FILTER (WHERE seats_sold IS NULL) AS missing_shows FROM r GROUP BY 1)
 SELECT 'all' AS theater_name, CAST(sum(total_shows) AS BIGINT) AS total_shows, CAST(sum(missing_shows) AS BIGINT) AS missing_shows FROM c HAVING sum(missing_shows) / sum(total_shows) >= 0.1
-UNION ALL SELECT * FROM c WHERE missing_shows > 0 AND (SELECT sum(missing_shows) / sum(total_shows) FROM c) >= 0.1""".replace(".replace", "").replace(AS_OF, "2024-01-15 18:00:00"))
+UNION ALL SELECT * FROM c WHERE missing_shows > 0 AND (SELECT sum(missing_shows) / sum(total_shows) FROM c) >= 0.1""".replace(AS_OF, "2024-01-15 18:00:00"))
 def _(spark, folder):
     t = SampleTables(spark, folder)
     at = F.lit("2024-01-15 18:00:00").cast("timestamp_ntz")
@@ -106,7 +106,7 @@ _AFTER_MERGE = estimate_steps(WEEKEND, PRICE, BIAS) + """SELECT film_id, weekend
 
 @query("a17_estimates_without_features", f"""
 SELECT weekend_id, count(*) FILTER (WHERE average_showing_occupancy IS NULL OR showings_proportion IS NULL) AS n_null FROM (
-{_AFTER_MERGE}) GROUP BY 1""".replace("WITH w AS", "WITH w AS"))
+{_AFTER_MERGE}) GROUP BY 1""")
 def _(spark, folder):
     return monitor.estimates_without_features(weekend_estimate_query(spark, folder))
 
@@ -169,3 +169,16 @@ def _(spark, folder):
     return prefill.prefill(
         shows, t.theaters, t.movies, t.screens, t.schedule_items, t.probe_outcomes, as_of()
     ).select("id", "purchase_url", "screen_id")
+
+
+@query("x03_registered_theaters", """
+SELECT id, CASE WHEN n_nationkey IN (3, 11) THEN 'notDisplayingSeats' WHEN n_nationkey = 1 THEN 'displayingSeats' END AS kind,
+  CASE WHEN n_nationkey IN (3, 11) THEN 'https://b.example' WHEN n_nationkey = 1 THEN 'https://a.example' END AS site, CAST(CASE WHEN n_nationkey = 1 THEN 600 END AS INTEGER) AS first, CAST(CASE WHEN n_nationkey = 1 THEN 900 END AS INTEGER) AS last
+FROM theaters JOIN nation ON n_nationkey = id""")
+def _(spark, folder):
+    sites = [
+        providers.Registration(["Cinema Beaubien"], "https://a.example/FR/horaire?P1=01", "https://a.example/FR/achat", window=(600, 900)),
+        providers.Registration(["Cinéma Rgfm Beloeil", "Cinéma Magog"], "https://b.example/FR/horaire", "https://b.example/FR/achat", kind="no-seats"),
+    ]
+    registered = providers.registry(spark, sites)
+    return providers.with_registration(SampleTables(spark, folder).theaters, registered).select("id", "kind", "site", "first", "last")

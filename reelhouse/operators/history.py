@@ -27,11 +27,12 @@ def with_previous(revenues: DataFrame) -> DataFrame:
 
 def had_real_weekend(revenues: DataFrame, weekends: DataFrame, movies: DataFrame) -> DataFrame:
     """Whether an earlier weekend of the film ended on or after its release; unknown release: no."""
+    # one row per ISO week, so the broadcast is bounded
     ends = weekends.select(F.col("id").alias("weekend_id"), "end_date")
     released = movies.select(F.col("id").alias("film_id"), "release_date")
     earlier = by_film().rowsBetween(Window.unboundedPreceding, -1)
     return (
-        revenues.join(ends, "weekend_id", "left").join(released, "film_id", "left")
+        revenues.join(F.broadcast(ends), "weekend_id", "left").join(released, "film_id", "left")
         .withColumn(
             "had_real_weekend",
             F.coalesce(F.max("end_date").over(earlier) >= F.col("release_date"), F.lit(False)),

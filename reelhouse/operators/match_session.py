@@ -108,24 +108,31 @@ def narrowed_session(wanted: DataFrame, sessions: DataFrame) -> DataFrame:
     """Wanted (theater_id, date, time, title, runtime) to a session by narrowing: runtime within three
     minutes if any, then title if any; of several auditoriums the general area; else the first.
     """
-    wants = wanted.select(*SLOT, "title", "runtime").distinct()
-    offers = sessions.select(*SLOT, "pos", "auditorium", "movie_name", "runtime_minutes", "area_code", "seats_remaining")
-    near = F.coalesce(F.abs(F.col("runtime_minutes") - F.col("runtime")) <= 3, F.lit(False))
-    lowered = tx.strip_marks(F.lower(F.coalesce("movie_name", F.lit(""))))
-    named = F.contains(lowered, tx.strip_marks(F.lower("title"))) | F.contains(
-        tx.squished(F.coalesce("movie_name", F.lit(""))), tx.squished(F.col("title"))
-    )
-    named = F.when(F.coalesce("title", F.lit("")) == "", False).otherwise(named)
     pick = F.struct("pos", "auditorium", "seats_remaining")
     hall = tx.trim_space(F.coalesce("auditorium", F.lit("")))
+    name = F.coalesce("movie_name", F.lit(""))
+    # Sessions alike in all that is compared collapse to their first before any want meets them.
+    offers = (
+        sessions.groupBy(*SLOT, name.alias("offer_title"), "runtime_minutes", hall.alias("hall"))
+        .agg(F.min(pick).alias("any"), F.min(F.when(F.col("area_code") == fv.GENERAL_AREA, pick)).alias("general"))
+        .withColumn("offer_low", tx.strip_marks(F.lower("offer_title")))
+        .withColumn("offer_form", tx.squished(F.col("offer_title")))
+    )
+    wants = (
+        wanted.select(*SLOT, "title", "runtime").distinct()
+        .withColumn("want_low", tx.strip_marks(F.lower(F.coalesce("title", F.lit("")))))
+        .withColumn("want_form", tx.squished(F.coalesce("title", F.lit(""))))
+    )
+    near = F.coalesce(F.abs(F.col("runtime_minutes") - F.col("runtime")) <= 3, F.lit(False))
+    named = (F.col("want_low") != "") & (F.contains("offer_low", "want_low") | F.contains("offer_form", "want_form"))
     keys = [*SLOT, "title", "runtime"]
     groups = (
         wants.join(offers, SLOT)
         .groupBy(*keys, near.alias("near"), named.alias("named"))
         .agg(
-            F.min(pick).alias("any"),
-            F.min(F.when(F.col("area_code") == fv.GENERAL_AREA, pick)).alias("general"),
-            (F.min(hall) == F.max(hall)).alias("one_hall"),
+            F.min("any").alias("any"),
+            F.min("general").alias("general"),
+            (F.min("hall") == F.max("hall")).alias("one_hall"),
         )
     )
     chosen = F.when(F.col("one_hall"), F.col("any")).otherwise(F.coalesce("general", "any"))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse import fixed_values as fv
@@ -63,3 +65,44 @@ def priority(provider: Column) -> Column:
     for tag, order in fv.PROVIDER_PRIORITY.items():
         out = F.when(provider == tag, order).otherwise(out)
     return out
+
+
+@dataclass(frozen=True)
+class Registration:
+    """One ticketing site: the theatres it serves and how their shows are measured."""
+
+    names: Sequence[str]
+    schedule_url: str
+    purchase_url: str
+    kind: str = fv.DISPLAYING_SEATS
+    window: tuple[int, int] | None = None
+
+
+_KIND_WORDS = ["noseat", "noseats", "notdisplayingseats"]
+
+
+def registry(spark: SparkSession, registrations: Sequence[Registration]) -> DataFrame:
+    """Registered theatres by name key (as many rows as names were configured).
+
+    A theatre registered twice keeps the later entry. The site address is the origin of the
+    schedule address; a window counts only with both bounds.
+    """
+    entries = [
+        (order, n, r.kind, r.schedule_url, r.purchase_url, *(r.window or (None, None)))
+        for order, r in enumerate(registrations)
+        for n in r.names
+    ]
+    columns = "seq int, name string, kind string, schedule_url string, purchase_url string, first int, last int"
+    word = F.regexp_replace(F.lower("kind"), r"[\s_-]", "")
+    rows = spark.createDataFrame(entries, columns).select(
+        name_key(F.col("name")).alias("name_key"), "seq",
+        F.when(word.isin(_KIND_WORDS), fv.NOT_DISPLAYING_SEATS).otherwise(fv.DISPLAYING_SEATS).alias("kind"),
+        F.regexp_extract("schedule_url", "^(https?://[^/?#]+)", 1).alias("site"), "schedule_url", "purchase_url", "first", "last",
+    )
+    rest = [c for c in rows.columns if c not in ("name_key", "seq")]
+    return rows.groupBy("name_key").agg(F.max(F.struct("seq", *rest)).alias("r")).select("name_key", *[f"r.{c}" for c in rest])
+
+
+def with_registration(theaters: DataFrame, registered: DataFrame) -> DataFrame:
+    """Theatres with the site they are registered under, if any."""
+    return theaters.withColumn("name_key", name_key(F.col("name"))).join(registered, "name_key", "left")

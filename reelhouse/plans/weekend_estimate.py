@@ -78,14 +78,18 @@ def film_cells(showings: DataFrame, screens: DataFrame, weekend: Weekend) -> Dat
 
 
 def film_history(revenues: DataFrame, weekends: DataFrame, weekend: Weekend) -> DataFrame:
-    """What the revenue table knows per film up to this weekend: one scan, one aggregation."""
+    """What the revenue table knows per film up to this weekend: one scan, one aggregation.
+
+    The weekends table holds one row per ISO week (a few thousand per century), so it may be
+    broadcast whatever the size of the revenues; a shuffle on its few keys would be skewed.
+    """
     prior = F.col("weekend_id") < weekend.id
     here = F.col("weekend_id") == weekend.id
     ends = weekends.select(F.col("id").alias("weekend_id"), "end_date")
     latest = lambda c: F.max_by(c, F.when(prior, F.col("weekend_id")))
     return (
         revenues.where(F.col("weekend_id") <= weekend.id)
-        .join(ends, "weekend_id", "left")
+        .join(F.broadcast(ends), "weekend_id", "left")
         .groupBy("film_id")
         .agg(
             F.coalesce(F.bool_or(prior), F.lit(False)).alias("has_prior"),

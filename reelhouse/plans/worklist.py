@@ -30,15 +30,22 @@ def around(instant: Column, as_of: Column, back: str, ahead: str) -> Column:
     return instant.between(as_of - F.expr(f"interval {back}"), as_of + F.expr(f"interval {ahead}"))
 
 
-def with_windows(shows: DataFrame) -> DataFrame:
-    """Add provider, measuring window and priority; unmapped theatres keep a NULL provider."""
-    provider = providers.provider_of(F.col("theater_name"))
-    first, last = providers.measuring_window(F.col("provider"), F.col("theater_name"))
+def with_windows(shows: DataFrame, theaters: DataFrame) -> DataFrame:
+    """Add provider, measuring window and priority; unmapped theatres keep a NULL provider.
+
+    Names are classified once per theatre, not once per show.
+    """
+    name = F.col("name")
+    served = theaters.select(F.col("id").alias("theater_id"), name, providers.provider_of(name).alias("provider"))
+    first, last = providers.measuring_window(F.col("provider"), name)
+    served = served.select(
+        "theater_id", "provider", first.alias("_first"), last.alias("_last"), providers.priority(F.col("provider")).alias("priority")
+    )
     return (
-        shows.withColumn("provider", provider)
-        .withColumn("window_start", F.col("start_at") + F.make_dt_interval(secs=first))
-        .withColumn("window_end", F.col("start_at") + F.make_dt_interval(secs=last))
-        .withColumn("priority", providers.priority(F.col("provider")))
+        shows.join(served, "theater_id")
+        .withColumn("window_start", F.col("start_at") + F.make_dt_interval(secs=F.col("_first")))
+        .withColumn("window_end", F.col("start_at") + F.make_dt_interval(secs=F.col("_last")))
+        .drop("_first", "_last")
     )
 
 
@@ -49,7 +56,7 @@ def candidates(
         F.col("seats_sold").isNull()
         & around(F.col("start_at"), as_of, f"{BACK_MINUTES} minutes", f"{LOOKAHEAD_HOURS} hours")
     )
-    return with_windows(shows_in_context(unseen, theaters, movies, screens))
+    return with_windows(shows_in_context(unseen, theaters, movies, screens), theaters)
 
 
 def work_list(
