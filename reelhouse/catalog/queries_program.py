@@ -187,7 +187,7 @@ def _(spark, folder):
 _CENSUS = """
 SELECT t.name AS theater_name, CAST(s.date AS VARCHAR) AS date, coalesce(m.fr_title, m.title) AS title, strftime(s.start_at - INTERVAL '5' HOUR, '%H:%M') AS time,
   CASE WHEN s.id % 5 > 1 THEN concat('Salle ', x.capacity % 20) END AS auditorium, CASE WHEN s.id % 5 > 1 AND x.seats_remaining >= 0 THEN x.seats_remaining END AS seats_remaining,
-  CASE WHEN s.id % 5 > 1 THEN 'ok' ELSE 'fail' END AS status, CASE s.id % 5 WHEN 0 THEN 'no answer' WHEN 1 THEN 'HTTP 500, "busy"' END AS error
+  CASE WHEN s.id % 5 > 1 THEN 'ok' ELSE 'fail' END AS status, CASE s.id % 5 WHEN 0 THEN 'timeout' WHEN 1 THEN 'HTTP 500, "busy"' END AS error
 FROM showings s JOIN theaters t ON t.id = s.theater_id JOIN movies m ON m.id = s.movie_id JOIN measurements x ON x.showing_id = s.id"""
 
 
@@ -200,9 +200,10 @@ def census_rows(t: SampleTables):
     shows = shows_in_context(t.showings, t.theaters, t.movies, t.screens).select(
         "theater_name", local.cast("date").cast("string").alias("date"), F.col("movie_title").alias("title"), tm.hhmm(local).alias("time"), url.alias("url")
     )
-    failed = F.col("showing_id") % 5 == 1
-    answers = sample_pages.purchase_pages(t).where(F.col("showing_id") % 5 != 0).select(
-        url.alias("url"), F.when(~failed, F.col("html")).alias("html"), F.when(failed, 'HTTP 500, "busy"').alias("error")
+    kind = F.col("showing_id") % 5
+    answers = sample_pages.purchase_pages(t).select(
+        url.alias("url"), F.when(kind > 1, F.col("html")).alias("html"),
+        F.when(kind == 0, "timeout").when(kind == 1, 'HTTP 500, "busy"').alias("error"),
     )
     return reports.census(shows, answers)
 

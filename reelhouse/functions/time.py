@@ -126,22 +126,23 @@ def french_date(text: Column, after: str = "") -> Column:
 
 def french_day_month(label: Column, as_of: Column) -> Column:
     """Date from a label without year: the year of as_of, but January seen in December is next year's."""
-    parts = F.split(trim_space(F.lower(label)), f"{SPACE}+")
-    day_word = F.get(F.filter(parts, lambda p: F.rlike(p, F.lit("^[0-9]{1,2}(er)?$"))), F.lit(0))
-    day = F.regexp_extract(day_word, "^([0-9]{1,2})", 1).try_cast("int")
-    month = F.get(F.array_compact(F.transform(parts, _month_number)), F.lit(0))
+    low = F.lower(label)
+    edge = f"(?:^|{SPACE})", f"(?={SPACE}|$)"
+    day = F.regexp_extract(low, f"{edge[0]}([0-9]{{1,2}})(?:er)?{edge[1]}", 1)
+    month = _month_number(F.regexp_extract(low, f"{edge[0]}({_MONTH_WORDS}){edge[1]}", 1))
     year = F.year(as_of) + F.when((month == 1) & (F.month(as_of) == 12), 1).otherwise(0)
-    return F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day), "yyyy-MM-dd")
+    iso = F.concat_ws("-", year.cast("string"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
+    return F.when((day != "") & month.isNotNull(), F.try_to_date(iso, "yyyy-MM-dd"))
 
 
 # ---- time text ----------------------------------------------------------------------------
 def program_time(text: Column) -> Column:
     """'18h45' or '18:45' as HH:MM; hour 24 reads as 00; anything else NULL."""
     x = F.regexp_replace(text, "[^0-9hH:]", "")
-    h = F.regexp_extract(x, "^([0-9]{1,2})[:hH]([0-9]{2})$", 1).try_cast("int")
-    m = F.regexp_extract(x, "^([0-9]{1,2})[:hH]([0-9]{2})$", 2).try_cast("int")
-    h = F.when(h == 24, 0).otherwise(h)
-    return F.when((h <= 23) & (m <= 59), F.format_string("%02d:%02d", h, m))
+    clock = F.regexp_extract(x, "^((?:[01]?[0-9]|2[0-4])[:hH][0-5][0-9])$", 1)
+    hour = F.lpad(F.regexp_replace(clock, "[:hH].*$", ""), 2, "0")
+    hour = F.when(hour == "24", "00").otherwise(hour)
+    return F.when(clock != "", F.concat(hour, F.lit(":"), F.right(clock, F.lit(2))))
 
 
 def schedule_time(text: Column) -> Column:

@@ -22,34 +22,49 @@ def latest_measurements(measurements: DataFrame) -> DataFrame:
     )
 
 
-def resolve(measurements: DataFrame, screens: DataFrame) -> DataFrame:
-    """Tag each measurement with its path and, where the text or capacity tells, its screen."""
+def screen_lookup(measurements: DataFrame, screens: DataFrame) -> DataFrame:
+    """(theater_id, match_key) to a screen, for every distinct capacity and auditorium text measured."""
     grid = F.col("source") == GRID_SOURCE
-    blank = F.coalesce(tx.trim_space(F.col("auditorium")), F.lit("")) == ""
-    by_size = screen_within(measurements.where(grid), screens).select(
-        "theater_id", "capacity", F.col("screen_id").alias("size_screen"), F.col("seat_count").alias("size_seats")
+    by_size = screen_within(measurements.where(grid), screens)
+    by_name = screen_by_auditorium(measurements.where(~grid), screens)
+    return by_size.select(
+        "theater_id", _capacity_key(F.col("capacity")).alias("match_key"), F.col("screen_id").alias("matched_screen"), F.col("seat_count").alias("matched_seats")
+    ).unionByName(
+        by_name.select(
+            "theater_id", _auditorium_key(F.col("auditorium")).alias("match_key"), F.col("screen_id").alias("matched_screen"), F.col("seat_count").alias("matched_seats")
+        )
     )
-    by_name = screen_by_auditorium(measurements.where(~grid & ~blank), screens).select(
-        "theater_id", "auditorium", F.col("screen_id").alias("name_screen"), F.col("seat_count").alias("name_seats")
+
+
+def _capacity_key(capacity: Column) -> Column:
+    return F.concat(F.lit("capacity:"), capacity.cast("string"))
+
+
+def _auditorium_key(auditorium: Column) -> Column:
+    return F.concat(F.lit("auditorium:"), auditorium)
+
+
+def resolve(measurements: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Tag each measurement with its path and, where the text or capacity tells, its screen.
+
+    One join serves both kinds of key. Rows without a key get one of their own that matches
+    nothing, so they spread over the partitions instead of meeting on NULL.
+    """
+    grid = F.col("source") == GRID_SOURCE
+    blank = F.coalesce(tx.trim_space(F.col("auditorium")), F.lit("")) == ""
+    own = F.concat(F.lit("none:"), F.col("showing_id").cast("string"))
+    key = F.coalesce(
+        F.when(grid, _capacity_key(F.col("capacity"))).when(~blank, _auditorium_key(F.col("auditorium"))), own
     )
+    found = F.col("matched_screen").isNotNull()
     path = (
         F.when(F.col("seats_remaining").isNull(), "skipped")
-        .when(grid, F.when(F.col("size_screen").isNotNull(), "capacity").otherwise("skipped"))
+        .when(grid, F.when(found, "capacity").otherwise("skipped"))
         .when(blank, "known_screen")
-        .when(F.col("name_screen").isNotNull(), "auditorium")
-        .otherwise("stamped")
+        .otherwise(F.when(found, "auditorium").otherwise("stamped"))
     )
-    return (
-        measurements.join(by_size, ["theater_id", "capacity"], "left")
-        .join(by_name, ["theater_id", "auditorium"], "left")
-        .select(
-            "showing_id",
-            "seats_remaining",
-            "measured_at",
-            path.alias("path"),
-            F.when(grid, F.col("size_screen")).otherwise(F.col("name_screen")).alias("matched_screen"),
-            F.when(grid, F.col("size_seats")).otherwise(F.col("name_seats")).alias("matched_seats"),
-        )
+    return measurements.withColumn("match_key", key).join(lookup, ["theater_id", "match_key"], "left").select(
+        "showing_id", "seats_remaining", "measured_at", path.alias("path"), "matched_screen", "matched_seats"
     )
 
 
@@ -63,10 +78,13 @@ def apply_measurements(
     """
     stamp = F.col("measured_at") if as_of is None else as_of
     known = screens.select(F.col("id").alias("_screen"), F.col("seat_count").alias("known_seats"))
-    resolved = resolve(latest_measurements(measurements), screens)
+    # The lookup covers every measurement, not just the latest ones: a superset of distinct keys
+    # is cheaper than picking the latest twice more.
+    resolved = resolve(latest_measurements(measurements), screen_lookup(measurements, screens))
+    no_screen = -1 - F.col("id")
     both = (
         showings.join(resolved, F.col("id") == F.col("showing_id"), "left")
-        .withColumn("_screen", F.when(F.col("path") == "known_screen", F.col("screen_id")))
+        .withColumn("_screen", F.coalesce(F.when(F.col("path") == "known_screen", F.col("screen_id")), no_screen))
         .join(known, "_screen", "left")
     )
     path = F.when((F.col("path") == "known_screen") & F.col("known_seats").isNull(), "stamped").otherwise(F.col("path"))

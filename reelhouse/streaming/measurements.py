@@ -112,6 +112,10 @@ class ShowingUpdates:
     def rejections(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/rejected")
 
+    def compact(self, folder: str) -> None:
+        """Write the current state as a new base table, from which a fresh update folder can start."""
+        self.current().write.mode("overwrite").parquet(folder)
+
     def start(self, measurements: DataFrame, interval: str | None = None) -> StreamingQuery:
         """Run the stream: every interval, or once over all that has landed."""
         trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
