@@ -8,6 +8,7 @@ from reelhouse.catalog.registry import query
 from reelhouse.functions import time as tm
 from reelhouse.operators import merge, publish
 from reelhouse.plans import rank
+from reelhouse.session import written
 from reelhouse.sources.sample import SampleTables
 
 AS_OF = "2024-01-15 12:00:00"
@@ -97,7 +98,7 @@ SELECT coalesce(t.film_id, s.film_id) AS film_id, coalesce(t.weekend_id, s.weeke
 FROM revenues t FULL JOIN final s ON s.film_id = t.film_id AND s.weekend_id = t.weekend_id""")
 def _(spark, folder):
     t = SampleTables(spark, folder)
-    return merge.merge_estimates(t.revenues, weekend_estimate_query(spark, folder))
+    return merge.merge_estimates(t.revenues, written(weekend_estimate_query(spark, folder), "estimates"))
 
 
 @query("m03_estimated_films", estimate_steps(WEEKEND, PRICE, BIAS) + """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reelhouse import fixed_values as fv
 from reelhouse.functions.text import SPACE
 
 _NUMBER = r"^([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+))"
@@ -69,9 +70,7 @@ def change_percent(current: Column, previous: Column, first: Column) -> Column:
 
 
 def is_provisional(film_id: Column) -> Column:
-    from reelhouse.fixed_values import PROVISIONAL_BASE
-
-    return film_id >= PROVISIONAL_BASE
+    return film_id >= fv.PROVISIONAL_BASE
 
 
 def budget_or_null(budget: Column) -> Column:

@@ -3,7 +3,8 @@
 The source of a merge is one batch (a weekend, a scrape, a micro-batch) and the target the
 whole history, so a merge is a left join for the updates and an anti join for the inserts.
 When the batch is small, adaptive execution broadcasts it and the target is only scanned,
-never shuffled. The source must hold one row per key.
+never shuffled. The source must hold one row per key; it is gone over twice, so write an expensive
+one to a table first.
 """
 
 from __future__ import annotations

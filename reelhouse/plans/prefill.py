@@ -11,6 +11,7 @@ from reelhouse.functions import time as tm
 from reelhouse.operators import match_schedule, merge
 from reelhouse.operators.match_screen import nearest_screen
 from reelhouse.operators.providers import ticketing_kind
+from reelhouse.session import written
 
 LOOKAHEAD_DAYS = 14
 
@@ -82,9 +83,14 @@ def prefill(
     showings: DataFrame, theaters: DataFrame, movies: DataFrame, screens: DataFrame,
     items: DataFrame, outcomes: DataFrame, as_of: Column,
 ) -> DataFrame:
-    """Next state of the showings: purchase_url and screen_id set where they were NULL."""
-    work = targets(showings, theaters, movies, as_of)
-    urls = filled_urls(work, items, showings, as_of).select(F.col("showing_id").alias("id"), "purchase_url")
+    """Next state of the showings: purchase_url and screen_id set where they were NULL.
+
+    The work list and the addresses found for it (both small beside the showings) are written
+    once, since the merges go over them again.
+    """
+    work = written(targets(showings, theaters, movies, as_of), "prefill-work")
+    found_urls = filled_urls(work, items, showings, as_of)
+    urls = written(found_urls.select(F.col("showing_id").alias("id"), "purchase_url"), "prefill-urls")
     with_urls = merge.write_once(showings, urls, "purchase_url")
     probed = (
         work.join(urls.select(F.col("id").alias("showing_id"), F.lit(True).alias("_filled")), "showing_id", "left")

@@ -148,7 +148,9 @@ def estimate_weekend(
     """Estimate rows for films shown in the week that have no revenue row, or an estimate, there."""
     weekend = Weekend.of(weekend_id)
     cells = film_cells(showings, screens, weekend)
-    total_shows = cells.where(F.col("day_class") == "fri_sun").agg(F.sum("shows")).scalar()
+    # All films' shows, counted over the date column alone rather than through the film cells.
+    on_weekend = F.col("date").between(F.lit(weekend.friday), F.lit(weekend.sunday))
+    total_shows = showings.where(on_weekend).agg(F.count(F.lit(1))).scalar()
     released = movies.select(F.col("id").alias("film_id"), "release_date")
     history = ["is_first", "prev_rev", "prev_cumul", "last_prior_end"]
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reelhouse.operators import match_film, merge, publish
 from reelhouse.plans.rank import rank_weekends
 from reelhouse.plans.weekend_estimate import estimate_weekend
+from reelhouse.session import written
 
 
 def published_figures(local: DataFrame, abroad: DataFrame, results: DataFrame, year: int) -> DataFrame:
@@ -45,8 +46,11 @@ def estimate_and_rank(
 ) -> DataFrame:
     """Revenues after refreshing one weekend's estimates and ranks.
 
-    The next weekend's estimate reads this result, so write it to a table between the two.
+    The estimates and the refreshed table are written once, since the merge and the ranking go
+    over them again. The next weekend's estimate reads this result, so write that too.
     """
-    estimates = estimate_weekend(showings, screens, revenues, weekends, movies, weekend_id, ticket_price, bias)
-    refreshed = merge.merge_estimates(revenues, estimates)
+    estimates = written(
+        estimate_weekend(showings, screens, revenues, weekends, movies, weekend_id, ticket_price, bias), "estimates"
+    )
+    refreshed = written(merge.merge_estimates(revenues, estimates), "refreshed-revenues")
     return merge.write_ranks(refreshed, rank_weekends(refreshed, showings, weekend_id))

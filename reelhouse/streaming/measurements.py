@@ -101,6 +101,7 @@ class ShowingUpdates:
         return base.join(latest, "id", "left").select(*[over[c].alias(c) if c in over else F.col(c) for c in base.columns])
 
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read several times below; lost blocks are read again from the source
         windowed = with_window(batch, self.showings, self.theaters)
         good = accepted(windowed).select(*batch.columns)
         ids = good.select(F.col("showing_id").alias("id")).distinct()
@@ -108,6 +109,7 @@ class ShowingUpdates:
         changed = apply_measurements(state, self.screens, good).where(F.col("path").isNotNull() & (F.col("path") != "skipped"))
         changed.select(*UPDATE_COLUMNS).write.mode("overwrite").parquet(f"{self.folder}/updates/batch_id={batch_id}")
         rejected(windowed).select(*batch.columns, "error").write.mode("overwrite").parquet(f"{self.folder}/rejected/batch_id={batch_id}")
+        batch.unpersist()
 
     def rejections(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/rejected")

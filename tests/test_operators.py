@@ -165,3 +165,63 @@ def test_weekly_run_feeds_the_next_weekend(t):
 def test_local_showing_rows(spark):
     blocks = spark.createDataFrame([(1, 2, dt.date(2025, 7, 1), ["9:05", "abc", "19:30"])], "movie_id bigint, theater_id bigint, date date, times array<string>")
     assert [r.start_at for r in merge.showing_rows(blocks).orderBy("start_at").collect()] == [dt.datetime(2025, 7, 1, 13, 5), dt.datetime(2025, 7, 1, 23, 30)]
+
+
+def test_first_films_keeps_running_ones_first(spark):
+    from reelhouse.plans import program
+
+    now = spark.createDataFrame([("/films/a/", "A", 2), ("/films/b", "B", 1)], "href string, title string, pos int")
+    soon = spark.createDataFrame([("/films/a", "A bientôt", 0), ("/films/c", "C", 1)], "href string, title string, pos int")
+    merged = program.merge_listings(now, soon)
+    assert [(r.href, r.title, r.source) for r in program.first_films(merged, 3).collect()] == [
+        ("/films/b", "B", "now"), ("/films/a", "A", "now"), ("/films/c", "C", "upcoming"),
+    ]
+    assert program.first_films(merged, 1).count() == 1
+
+
+def test_versions_of_picked_entries(spark):
+    from reelhouse.plans import prefill
+
+    key = "theater_id bigint, date string, time string, url string"
+    picks = spark.createDataFrame([(1, "2024-01-05", "19:00", "u1"), (1, "2024-01-05", "20:00", "u2")], key)
+    items = spark.createDataFrame([(1, "2024-01-05", "19:00", "u1", 1, "Dune VF 3D")], key + ", pos int, title string")
+    assert {r.url: r.version for r in prefill.version_of(picks, items).collect()} == {"u1": "3D+VF", "u2": "default"}
+
+
+def test_provisional_films_share_one_id_per_title(spark):
+    from reelhouse.operators import match_film
+
+    wants = spark.createDataFrame(
+        [("L’Été", 2024, []), ("L'ete  VF", None, ["x"]), ("Autre", None, []), ("Connu", None, [])], "title string, year_hint int, extra_queries array<string>"
+    )
+    movies = spark.createDataFrame([(1_000_000_004, "Vieux", None), (7, "Connu", "Le connu"), (9, "connu", None)], "id bigint, title string, fr_title string")
+    results = spark.createDataFrame(
+        [], "query string, year int, pos int, id bigint, title string, original_title string, release_date string, genre_ids array<int>, popularity double"
+    )
+    resolved = match_film.resolve_films(wants, results, movies)
+    out = {r.title: (r.film_id, r.found_by) for r in resolved.collect()}
+    assert out["Connu"] == (7, "known")
+    assert out["L’Été"] == out["L'ete  VF"] and out["L’Été"][1] == "provisional"
+    assert {out["L’Été"][0], out["Autre"][0]} == {1_000_000_005, 1_000_000_006}
+    rows_ = match_film.provisional_movies(resolved).collect()
+    assert len(rows_) == 2 and all(r.provisional and r.title == r.fr_title for r in rows_)
+
+
+def test_documentaries_only_when_nothing_else(spark):
+    from reelhouse.operators import match_film
+
+    results = spark.createDataFrame(
+        [("Dune", 2024, 0, 1, "Dune", "Dune", "2024-03-01", [99], 500.0), ("Dune", 2024, 1, 2, "Dune autre", "x", "2023-03-01", [18], 1.0),
+         ("Rare", 2024, 0, 3, "Rare", "Rare", "2024-01-01", [99], 1.0), ("Tard", 2025, 0, 4, "Tard", "Tard", "2025-01-01", [], 1.0)],
+        "query string, year int, pos int, id bigint, title string, original_title string, release_date string, genre_ids array<int>, popularity double",
+    )
+    wants = spark.createDataFrame([(t, 2024, []) for t in ("Dune", "Rare", "Tard", "Absent")], "title string, year_hint int, extra_queries array<string>")
+    assert {r.title: r.film_id for r in match_film.search_films(wants, results).collect()} == {"Dune": 2, "Rare": 3, "Tard": 4}
+
+
+def test_announced_film_wants(spark):
+    from reelhouse.plans import upcoming
+
+    films = spark.createDataFrame([("https://x.example/films/le-film-vf", "Le film", dt.date(2025, 2, 1))], "href string, title string, release_date date")
+    row = upcoming.film_wants(films).first()
+    assert (row.title, row.year_hint, row.extra_queries) == ("Le film", 2025, ["Le Film"])
