@@ -124,3 +124,50 @@ VERSION_MARKERS = [
 ]
 VENUE_WORDS = r"(th[eé]âtre|cin[eé]|rgfm|guzzo|beaubien|forum|imax|vip)"
 VENUE_OR_FORMAT_WORDS = r"(th[eé]âtre|cin[eé]|rgfm|guzzo|beaubien|forum|imax|vip|4d|d-box)"
+
+# ---- markup: entities, attribute remains ({B} and \s as above) ----------------------------
+ENTITIES = [("&apos;", "'"), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")]
+# pattern, whether case counts
+ATTRIBUTE_CRUMBS = [
+    (r"{B}(?:data-[A-Za-z0-9_-]+|[a-zA-Z-]+-media)\s*=\s*\"\[[^\"]*\]\"\s*", True),
+    (r";\s*[a-z-]+\s*:\s*[^;\"]+;?", True),
+    (r"{B}visibility\s*:\s*hidden{B}", False),
+    (r"{B}pos[0-9]+{B}", False),
+]
+MARKUP_REMAINS = [
+    (r"\[[^\]]*\]\">?$", True),
+    (r"[\"']\s*>?$", True),
+    (r"{B}[a-z-]*media\s*=\s*[\"'][^\"']*[\"']", False),
+    (r"{B}style\s*=\s*[\"'][^\"']*[\"']", False),
+]
+
+# ---- page records: class names and text patterns ------------------------------------------
+BOX_OFFICE_SECTION = "box-office-wrapper"
+BOX_OFFICE_ROW = "table-row"
+FILM_INFO = "movie-infos"
+WEEKEND_TOTAL = "is-week-end-total"
+ALL_TIME_TOTAL = "is-all-time-total"
+DAY_TAB = "days-slider-slide-trigger-content"
+DAY_PARTS = ["days-slider-weekday", "days-slider-date", "days-slider-month"]
+DAY_SECTION = "cinema-schedule-movies"
+THEATER_ITEM = "theater-item"
+THEATER_TITLE = "cinema-schedule-movie-title"
+THEATER_SUBTITLE = "cinema-schedule-movie-subtitle"
+SHOW_TIME = "cinema-schedule-movie-time"
+RELEASE_NOTE = "movie-schedule-next"
+LANGUAGE_LINES = "movie-languages-content"
+HALL_CARD, HALL_DAY, HALL_TIME, HALL_NAME = "list-item", "schedule-day-grid", "hour", "salle"
+ORIGINAL_TITLE_IN_INFO = r"\(([^()]+)\s+-\s+V\.O\.A\."
+ORIGINAL_TITLE_LABEL = r"(?i)titre\s+original\s*:?\s*([^|•<\n]{2,120})"
+LANGUAGE_TITLE = r"(?i)(?:v\.?\s*o\.?\s*a?\.?[^:]*?|titre\s+original)[^:]*:\s*([^|•<\n]+)$"
+PURCHASE_HEADER = (
+    r"(?i)([A-Za-zéèêàîôûç ,'-]+-\s*[0-9]{1,2}[:hH][0-9]{2}\s*-\s*Salle\s*[A-Za-z0-9 ]+[^|]*?)(?=\s{2,}|$)"
+)
+SEATS_LEFT = r"(?i){B}places?[^0-9]{0,10}(?:disp\.?|disponibles?)\s*:\s*([0-9]+){B}"
+HALL_IN_HEADER = r"(?i){B}Salle\s*([A-Za-z0-9 ]+){B}"
+HALL_NUMBER = r"(?i){B}(salle|auditorium)\s*#?\s*([a-z0-9]+){B}"
+SCHEDULE_NOISE = r"(?i){B}(?:VF|VO|VOA|VOSTA|VOSTFR|FR|ENG|IMAX|ATMOS|4DX|3D|2D){B}|{B}[0-9]{6}{B}"
+TITLE_TAIL = r"\s*[–—\-|•·:,/]\s*$"
+HEADING_MARKER = r'id="zrl_[0-9]+_A9"'
+TITLE_CELLS = ("zrl_{row}_A37", "zrl_{row}_A35")
+HIDDEN_KEY = "^[0-9]{5,}$"

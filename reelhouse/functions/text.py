@@ -122,7 +122,7 @@ def word_similarity(a: Column, b: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    for entity, char in (("&apos;", "'"), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
+    for entity, char in fv.ENTITIES:
         c = F.replace(c, F.lit(entity), F.lit(char))
     return c
 
@@ -230,24 +230,21 @@ def separator_variants(c: Column) -> Column:
     return F.array_distinct(F.array_remove(F.array(*forms), ""))
 
 
+def _blanked(c: Column, patterns: list[tuple[str, bool]]) -> Column:
+    """Every match to a space, then single spaces and no outer ones."""
+    for p, cased in patterns:
+        c = F.regexp_replace(c, ("" if cased else "(?i)") + pattern(p), " ")
+    return trim_space(F.regexp_replace(c, SPACE + "{2,}", " "))
+
+
 def without_attribute_crumbs(c: Column) -> Column:
     """Attribute-like remains that leak into text taken from markup."""
-    x = F.regexp_replace(
-        c, pattern(r"{B}(?:data-[A-Za-z0-9_-]+|[a-zA-Z-]+-media)\s*=\s*\"\[[^\"]*\]\"\s*"), " "
-    )
-    x = F.regexp_replace(x, pattern(r";\s*[a-z-]+\s*:\s*[^;\"]+;?"), " ")
-    x = F.regexp_replace(x, "(?i)" + pattern(r"{B}visibility\s*:\s*hidden{B}"), " ")
-    x = F.regexp_replace(x, "(?i)" + pattern(r"{B}pos[0-9]+{B}"), " ")
-    return trim_space(F.regexp_replace(x, SPACE + "{2,}", " "))
+    return _blanked(c, fv.ATTRIBUTE_CRUMBS)
 
 
 def without_markup_remains(c: Column) -> Column:
     """Stronger form: bracket tails, dangling quotes, media and style attributes."""
-    x = F.regexp_replace(c, r"\[[^\]]*\]\">?$", " ")
-    x = F.regexp_replace(x, pattern(r"[\"']\s*>?$"), " ")
-    x = F.regexp_replace(x, "(?i)" + pattern(r"{B}[a-z-]*media\s*=\s*[\"'][^\"']*[\"']"), " ")
-    x = F.regexp_replace(x, "(?i)" + pattern(r"{B}style\s*=\s*[\"'][^\"']*[\"']"), " ")
-    return without_attribute_crumbs(trim_space(F.regexp_replace(x, SPACE + "{2,}", " ")))
+    return without_attribute_crumbs(_blanked(c, fv.MARKUP_REMAINS))
 
 
 def canonical_href(c: Column) -> Column:

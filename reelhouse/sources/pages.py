@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelhouse import fixed_values as fv
 from reelhouse.functions import money
 from reelhouse.functions import text as tx
 from reelhouse.functions import time as tm
@@ -76,15 +77,15 @@ def box_office_spec(section: str, short_money: bool, site: str) -> RecordSpec:
     amount = money.money_text if short_money else money.plain_amount
 
     def section_rows(html: Column) -> Column:
-        body = F.regexp_extract(html, f"(?s){opening}(.*?)(?:{with_class('box-office-wrapper')}|$)", 1)
-        return all_of(body, f"(?s){with_class('table-row')}.*?</tr>")
+        body = F.regexp_extract(html, f"(?s){opening}(.*?)(?:{with_class(fv.BOX_OFFICE_SECTION)}|$)", 1)
+        return all_of(body, f"(?s){with_class(fv.BOX_OFFICE_ROW)}.*?</tr>")
 
     def title(row: Column) -> Column:
         return text_in(row, '<h2[^>]*movie-title[^>]*>', "h2")
 
     def original(row: Column) -> Column:
-        infos = F.coalesce(text_in(row, with_class("movie-infos"), "div"), F.lit(""))
-        return F.nullif(tx.trim_space(F.regexp_extract(infos, tx.pattern(r"\(([^()]+)\s+-\s+V\.O\.A\."), 1)), F.lit(""))
+        infos = F.coalesce(text_in(row, with_class(fv.FILM_INFO), "div"), F.lit(""))
+        return F.nullif(tx.trim_space(F.regexp_extract(infos, tx.pattern(fv.ORIGINAL_TITLE_IN_INFO), 1)), F.lit(""))
 
     def total(name: str) -> FieldOf:
         return lambda row: amount(F.coalesce(text_in(row, with_class(name) + r"\s*<span[^>]*>", "span"), F.lit("")))
@@ -98,8 +99,8 @@ def box_office_spec(section: str, short_money: bool, site: str) -> RecordSpec:
         {
             "title": lambda r: F.coalesce(original(r), title(r)),
             "fr_title": title,
-            "week_end": total("is-week-end-total"),
-            "cumulative": total("is-all-time-total"),
+            "week_end": total(fv.WEEKEND_TOTAL),
+            "cumulative": total(fv.ALL_TIME_TOTAL),
             "url": address,
         },
         lambda: F.col("title").isNotNull() & (F.col("week_end") != 0),
@@ -153,26 +154,22 @@ def showtime_blocks(pages: DataFrame) -> DataFrame:
     rest = [c for c in pages.columns if c != "html"]
 
     def label(slide: Column) -> Column:
-        parts = [
-            text_in(slide, with_class("days-slider-weekday") , "span"),
-            text_in(slide, with_class("days-slider-date"), "span"),
-            text_in(slide, with_class("days-slider-month"), "span"),
-        ]
+        parts = [text_in(slide, with_class(part), "span") for part in fv.DAY_PARTS]
         return F.nullif(F.concat_ws(" ", *parts), F.lit(""))
 
-    labels = F.transform(pieces_after(F.col("html"), with_class("days-slider-slide-trigger-content")), label)
-    sections = pieces_after(F.col("html"), with_class("cinema-schedule-movies"))
+    labels = F.transform(pieces_after(F.col("html"), with_class(fv.DAY_TAB)), label)
+    sections = pieces_after(F.col("html"), with_class(fv.DAY_SECTION))
     days = pages.select(*rest, labels.alias("label"), sections.alias("section")).select(
         *rest, F.posexplode(F.arrays_zip("label", "section")).alias("day", "d")
     )
     theaters = days.select(
         *rest, F.col("d.label").alias("day_label"), "day",
-        F.posexplode(pieces_after(F.col("d.section"), with_class("theater-item"))).alias("item", "theater_html"),
+        F.posexplode(pieces_after(F.col("d.section"), with_class(fv.THEATER_ITEM))).alias("item", "theater_html"),
     )
     html = F.col("theater_html")
-    name = F.coalesce(text_in(html, with_class("cinema-schedule-movie-title"), "a"), text_in(html, r"<a\s[^>]*>", "a"))
-    subtitle = F.coalesce(text_in(html, with_class("cinema-schedule-movie-subtitle"), "div"), inner_text(html), F.lit(""))
-    times = F.transform(all_of(html, f"(?s){with_class('cinema-schedule-movie-time')}(.*?)</", 1), tx.plain_text)
+    name = F.coalesce(text_in(html, with_class(fv.THEATER_TITLE), "a"), text_in(html, r"<a\s[^>]*>", "a"))
+    subtitle = F.coalesce(text_in(html, with_class(fv.THEATER_SUBTITLE), "div"), inner_text(html), F.lit(""))
+    times = F.transform(all_of(html, f"(?s){with_class(fv.SHOW_TIME)}(.*?)</", 1), tx.plain_text)
     read = theaters.select(
         *rest, "day", "item", "day_label", F.coalesce(name, F.lit("")).alias("theater"), subtitle.alias("subtitle"), times.alias("times")
     )
@@ -232,7 +229,7 @@ def release_dates(pages: DataFrame) -> DataFrame:
     html = F.col("html")
     body = F.coalesce(F.nullif(F.regexp_extract(html, "(?s)<body[^>]*>(.*)", 1), F.lit("")), html)
     schedule = F.array_join(
-        F.transform(all_of(html, f"(?s){with_class('movie-schedule-next')}(.*?)</span>", 1), tx.plain_text), "\n"
+        F.transform(all_of(html, f"(?s){with_class(fv.RELEASE_NOTE)}(.*?)</span>", 1), tx.plain_text), "\n"
     )
     by_attribute = F.regexp_extract(html, 'data-release-date="([0-9]{4}-[0-9]{2}-[0-9]{2})"', 1)
     return pages.select(
@@ -252,18 +249,14 @@ def _linked_data(html: Column) -> Column:
     return F.filter(nodes, lambda n: n["@type"].isin("Movie", "CreativeWork"))
 
 
-_LABEL = r"(?i)titre\s+original\s*:?\s*([^|•<\n]{2,120})"
-_LANGUAGE_TITLE = r"(?i)(?:v\.?\s*o\.?\s*a?\.?[^:]*?|titre\s+original)[^:]*:\s*([^|•<\n]+)$"
-
-
 def alternate_titles(pages: DataFrame) -> DataFrame:
     """Every other-language title a film page states: language lines, 'titre original', JSON-LD."""
     rest = [c for c in pages.columns if c != "html"]
     html = F.col("html")
-    lines = F.transform(all_of(html, f"(?s){with_class('movie-languages-content')}(.*?)</div>", 1), tx.plain_text)
-    by_line = F.transform(lines, lambda x: F.regexp_extract(x, tx.pattern(_LANGUAGE_TITLE), 1))
+    lines = F.transform(all_of(html, f"(?s){with_class(fv.LANGUAGE_LINES)}(.*?)</div>", 1), tx.plain_text)
+    by_line = F.transform(lines, lambda x: F.regexp_extract(x, tx.pattern(fv.LANGUAGE_TITLE), 1))
     body = F.coalesce(F.nullif(F.regexp_extract(html, "(?s)<body[^>]*>(.*)", 1), F.lit("")), html)
-    by_label = F.regexp_extract(tx.plain_text(body), tx.pattern(_LABEL), 1)
+    by_label = F.regexp_extract(tx.plain_text(body), tx.pattern(fv.ORIGINAL_TITLE_LABEL), 1)
     by_data = F.transform(_linked_data(html), lambda n: F.coalesce(F.nullif(n["alternateName"], F.lit("")), n["name"], F.lit("")))
     titles = tx.without_blanks(F.concat(by_line, F.array(by_label), F.coalesce(by_data, F.array().cast("array<string>"))))
     return pages.select(*rest, titles.alias("titles"))
@@ -273,8 +266,8 @@ def original_titles(pages: DataFrame) -> DataFrame:
     """The first usable original title: labelled text, '(title - V.O.A.)' in a header, JSON-LD."""
     rest = [c for c in pages.columns if c != "html"]
     html = F.col("html")
-    info = F.coalesce(text_in(html, with_class("movie-infos"), "div"), F.lit(""))
-    labelled = tx.title_candidate(F.regexp_extract(info, tx.pattern(_LABEL), 1))
+    info = F.coalesce(text_in(html, with_class(fv.FILM_INFO), "div"), F.lit(""))
+    labelled = tx.title_candidate(F.regexp_extract(info, tx.pattern(fv.ORIGINAL_TITLE_LABEL), 1))
     definition = tx.title_candidate(
         F.coalesce(inner_text(F.regexp_extract(html, r"(?is)<(?:dt|th)[^>]*>\s*titre original.*?</(?:dt|th)>\s*<(?:dd|td)[^>]*>(.*?)</(?:dd|td)>", 1)), F.lit(""))
     )
@@ -291,7 +284,7 @@ class TicketSpec:
     """Per-site parts of a row schedule: title cells in order of preference, buttons, hidden keys."""
 
     purchase_url: str
-    title_cells: tuple[str, ...] = ("zrl_{row}_A37", "zrl_{row}_A35")
+    title_cells: tuple[str, ...] = fv.TITLE_CELLS
     clean_title: FieldOf = lambda t: t
 
 
@@ -330,7 +323,7 @@ def ticket_rows(pages: DataFrame, spec: TicketSpec) -> DataFrame:
         *rest, "cells", F.explode(F.array_distinct(F.transform("cells", lambda c: c["row"]))).alias("row")
     )
     mine = F.filter("cells", lambda c: c["row"] == F.col("row"))
-    is_key = lambda c: F.rlike(c["text"], F.lit("^[0-9]{5,}$"))
+    is_key = lambda c: F.rlike(c["text"], F.lit(fv.HIDDEN_KEY))
     buttons = F.filter("mine", lambda c: c["time"].isNotNull() & F.rlike(c["tag"], F.lit(r'^<a\s|role="button"')))
     keyless = lambda c: F.coalesce(tx.url_param(attribute(c["tag"], "href"), "P3"), F.lit("")) == ""
     title_ids = [F.replace(F.lit(t), F.lit("{row}"), F.col("row")) for t in spec.title_cells]
@@ -351,7 +344,7 @@ def ticket_rows(pages: DataFrame, spec: TicketSpec) -> DataFrame:
     own = tx.url_param(attribute(F.col("button.tag"), "href"), "P3")
     place = F.size(F.filter(F.slice("buttons", F.lit(1), F.col("pos") + 1), keyless)) - 1
     key = F.coalesce(F.nullif(own, F.lit("")), F.get("keys", place))
-    tail = tx.pattern(r"\s*[–—\-|•·:,/]\s*$")
+    tail = tx.pattern(fv.TITLE_TAIL)
     title = F.regexp_replace(spec.clean_title(F.coalesce("raw_title", F.lit(""))), tail, "")
     return (
         shows.select(
@@ -371,7 +364,7 @@ class LinkScheduleSpec:
     """Per-site parts of a schedule whose shows are purchase links below a film heading."""
 
     purchase_url: str
-    heading: str = r'id="zrl_[0-9]+_A9"'
+    heading: str = fv.HEADING_MARKER
     clean_title: FieldOf = lambda t: t
 
 
@@ -386,7 +379,7 @@ def link_schedule(pages: DataFrame, spec: LinkScheduleSpec) -> DataFrame:
     cut = F.split(html, f"(?s)(?=<table(?:(?!<table).)*?{spec.heading})")
     sections = pages.select(*rest, F.posexplode(cut).alias("section", "part"))
     link = r'(?is)<a[^>]+href="[^"]*Film-achat\.awp[^"]*P3=[0-9]+[^"]*"[^>]*>.*?</a>'
-    noise = "(?i)" + tx.pattern(r"{B}(?:VF|VO|VOA|VOSTA|VOSTFR|FR|ENG|IMAX|ATMOS|4DX|3D|2D){B}|{B}[0-9]{6}{B}")
+    noise = tx.pattern(fv.SCHEDULE_NOISE)
     block = tx.plain_text(F.regexp_extract("part", "(?s)^(.*?)(?:</table>|$)", 1))
     block = tx.trim_space(tx.collapse_space(F.regexp_replace(block, noise, " ")))
     links = sections.select(*rest, "section", block.alias("block"), F.posexplode(all_of(F.col("part"), link)).alias("pos", "link"))
@@ -411,13 +404,10 @@ def purchase_headers(pages: DataFrame) -> DataFrame:
     """Auditorium, seats left and time of a purchase page."""
     rest = [c for c in pages.columns if c != "html"]
     text = tx.plain_text(F.col("html"))
-    header = F.regexp_extract(
-        text, r"(?i)([A-Za-zéèêàîôûç ,'-]+-\s*[0-9]{1,2}[:hH][0-9]{2}\s*-\s*Salle\s*[A-Za-z0-9 ]+[^|]*?)(?=\s{2,}|$)", 1
-    )
+    header = F.regexp_extract(text, fv.PURCHASE_HEADER, 1)
     line = F.when(header != "", header).otherwise(text)
-    seats = r"(?i){B}places?[^0-9]{0,10}(?:disp\.?|disponibles?)\s*:\s*([0-9]+){B}"
-    left = lambda c: F.regexp_extract(c, tx.pattern(seats), 1).try_cast("int")
-    hall = F.regexp_extract(line, tx.pattern(r"(?i){B}Salle\s*([A-Za-z0-9 ]+){B}"), 0)
+    left = lambda c: F.regexp_extract(c, tx.pattern(fv.SEATS_LEFT), 1).try_cast("int")
+    hall = F.regexp_extract(line, tx.pattern(fv.HALL_IN_HEADER), 0)
     return pages.select(
         *rest,
         F.nullif(tx.trim_space(F.regexp_replace(hall, r"\s{2,}", " ")), F.lit("")).alias("auditorium"),
@@ -442,19 +432,19 @@ def seat_elements(pages: DataFrame) -> DataFrame:
 def hall_schedule(pages: DataFrame) -> DataFrame:
     """Film cards with day grids: film, date, time and hall of every show, repeats dropped."""
     rest = [c for c in pages.columns if c != "html"]
-    cards = pages.select(*rest, F.explode(pieces_after(F.col("html"), with_class("list-item"))).alias("card"))
+    cards = pages.select(*rest, F.explode(pieces_after(F.col("html"), with_class(fv.HALL_CARD))).alias("card"))
     days = cards.select(
         *rest, text_in(F.col("card"), "<h2[^>]*>", "h2").alias("movie"),
-        F.explode(pieces_after(F.col("card"), with_class("schedule-day-grid"))).alias("grid"),
+        F.explode(pieces_after(F.col("card"), with_class(fv.HALL_DAY))).alias("grid"),
     )
     shows = days.select(
         *rest, "movie", attribute(F.regexp_extract("grid", "^(<[^>]*>)", 1), "data-date").alias("date"),
         F.posexplode(all_of(F.col("grid"), r"(?s)<a\s[^>]*>.*?</a>")).alias("pos", "link"),
     )
     link = F.col("link")
-    clock = F.regexp_extract(F.coalesce(text_in(link, with_class("hour"), "span"), F.lit("")), tx.pattern("{B}(0?[0-9]|1[0-9]|2[0-3]):([0-9]{2}){B}"), 0)
-    hall = text_in(link, with_class("salle"), "span")
-    named = tx.pattern(r"(?i){B}(salle|auditorium)\s*#?\s*([a-z0-9]+){B}")
+    clock = F.regexp_extract(F.coalesce(text_in(link, with_class(fv.HALL_TIME), "span"), F.lit("")), tx.pattern("{B}(0?[0-9]|1[0-9]|2[0-3]):([0-9]{2}){B}"), 0)
+    hall = text_in(link, with_class(fv.HALL_NAME), "span")
+    named = tx.pattern(fv.HALL_NUMBER)
     word, number = F.regexp_extract(hall, named, 1), F.regexp_extract(hall, named, 2)
     tidy = F.when(word != "", F.concat_ws(" ", F.initcap(F.lower(word)), number)).otherwise(hall)
     return (
