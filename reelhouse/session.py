@@ -26,9 +26,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """Folder every executor can reach: the cluster's checkpoint folder, else a local one."""
+    """Folder every executor can reach: the cluster's checkpoint folder. Only a local session may do without one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="reelhouse-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}"
