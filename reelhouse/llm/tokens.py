@@ -10,11 +10,11 @@ from collections.abc import Sequence
 import numpy as np
 
 #: Pieces whose ids an encoder remembers, and the longest piece that it does.
-REMEMBERED, LONGEST = 300_000, 48
-#: Pieces in one call of the library.
-BATCH = 4096
+REMEMBERED, LONGEST = 800_000, 48
 
-_PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+_LETTER = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+#: A word before white space or a stop; one line end; stops before white space; else all up to the next white space.
+_PIECES = re.compile(rf" ?[{_LETTER}]+(?![^ \n.,!?;:])|\n(?![ \n])|[.,!?;:]+(?![^ \n])|[ \n]*[^ \n]+|[ \n]+")
 _OTHER_SPACE = re.compile("[^\\S \\n]|[\u180e\u200b\ufeff]")
 
 
@@ -50,7 +50,7 @@ def _splits_at_space(tokenizer) -> bool:
 class Encoder:
     """Ids as the library gives them for the whole text, without added special tokens.
 
-    Where the tokenizer allows it, a text is cut into pieces in front of spaces and line ends, and the library encodes each
+    Where the tokenizer allows it, a text is cut into pieces at spaces, line ends and stops behind a word, and the library encodes each
     piece once. Texts with other white space, or with the string of a special token, are encoded in one go.
     """
 
@@ -69,6 +69,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self.cut, self.size = _splits_at_space(self.tokenizer), self.tokenizer.get_vocab_size()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.last_special = self.tokenizer.token_to_id(self.special[-1]) if self.special else None
         self.known: dict[str, bytes] = {}
 
     def _library(self, texts: Sequence[str]) -> list[bytes]:
@@ -83,22 +84,27 @@ class Encoder:
             return b""
         if not self.cut or _OTHER_SPACE.search(text) or any(s in text for s in self.special):
             return self._library([text])[0]
-        pieces = _PIECES.findall(text)
-        try:
-            return b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            pass
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        long: dict[str, bytes] = {}
-        for at in range(0, len(new), BATCH):
-            part = new[at : at + BATCH]
-            for piece, ids in zip(part, self._library(part)):
-                (self.known if len(piece) <= LONGEST else long)[piece] = ids
-        found = b"".join(long[p] if p in long else self.known[p] for p in pieces)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        pieces, known = _PIECES.findall(text), self.known
+        new = list(set(pieces).difference(known))
+        if new:
+            known.update(zip(new, self._together(new)))
+        found = b"".join(map(known.__getitem__, pieces))
+        if len(known) > REMEMBERED:
+            known.clear()
+        for piece in new:
+            if len(piece) > LONGEST:
+                known.pop(piece, None)
         return found
 
+    def _together(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces in one call, with a special token between them: the library encodes what stands between apart."""
+        if len(pieces) == 1 or not self.special:
+            return self._library(pieces)
+        ids = np.frombuffer(self._library([self.special[-1].join(pieces)])[0], dtype="<u4")
+        ends = np.flatnonzero(ids == self.last_special)
+        raw, bounds = ids.tobytes(), [0, *(4 * ends + 4).tolist(), 4 * len(ids) + 4]
+        return [raw[a : b - 4] for a, b in zip(bounds, bounds[1:])]
+
 
 @functools.cache
 def encoder(name: str) -> Encoder:
