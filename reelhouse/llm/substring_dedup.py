@@ -69,11 +69,11 @@ def cuts(data: bytes) -> np.ndarray:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, nth, start, bytes, words, low, high (128 bits of digest) of every chunk; rows without doc_id or text have none.
+    """doc_id, nth, start, bytes, words, digest of every chunk; rows without doc_id or text have none.
 
-    Words are counted where they end.
+    Words are counted where they end. 64 bits of digest do: a span takes several chunks in a row, so one chance match is none.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("nth", pa.int32()), ("start", pa.int64()), ("bytes", pa.int32()), ("words", pa.int32()), ("low", pa.int64()), ("high", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("nth", pa.int32()), ("start", pa.int64()), ("bytes", pa.int32()), ("words", pa.int32()), ("digest", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,8 +86,8 @@ def chunks(docs: DataFrame) -> DataFrame:
                 starts = np.r_[0, ends[:-1]]
                 space = _SPACE[np.frombuffer(data, dtype=np.uint8)]
                 ended = np.r_[0, np.cumsum(~space & np.r_[space[1:], True])]
-                digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]), dtype="<i8").reshape(-1, 2)
-                parts.append((np.full(len(ends), doc_id), np.arange(len(ends)), starts, ends - starts, ended[ends] - ended[starts], digests[:, 0], digests[:, 1]))
+                digests = np.frombuffer(b"".join([xxhash.xxh3_64_digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]), dtype="<i8")
+                parts.append((np.full(len(ends), doc_id), np.arange(len(ends)), starts, ends - starts, ended[ends] - ended[starts], digests))
                 held += len(ends)
                 if held > 100_000:
                     yield _batch(parts, schema)
@@ -96,7 +96,7 @@ def chunks(docs: DataFrame) -> DataFrame:
                 yield _batch(parts, schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    return rows.mapInArrow(cut, "doc_id long, nth int, start long, bytes int, words int, low long, high long")
+    return rows.mapInArrow(cut, "doc_id long, nth int, start long, bytes int, words int, digest long")
 
 
 def _batch(parts, schema: pa.Schema) -> pa.RecordBatch:
@@ -116,10 +116,9 @@ def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
     exact repeats of a row once. An empty table has no spans. Other columns are not looked at.
     """
     found = written(chunks(docs), "chunks")
-    digest = ["low", "high"]
-    holders = found.groupBy(*digest).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    holders = found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     repeated = holders.where("first < last").drop("last")
-    hits = found.join(repeated, digest).select("doc_id", "nth", "start", "bytes", "words", "first", (F.col("first") < F.col("doc_id")).alias("dropped"))
+    hits = found.join(repeated, "digest").select("doc_id", "nth", "start", "bytes", "words", "first", (F.col("first") < F.col("doc_id")).alias("dropped"))
     hits = hits.dropDuplicates(["doc_id", "nth", "start", "bytes", "first"])
     order = Window.partitionBy("doc_id", "dropped").orderBy("nth", "start")
     runs = hits.withColumn("run", F.col("nth") - F.dense_rank().over(order))
