@@ -17,8 +17,8 @@ from pyspark.sql.window import Window
 from reelhouse.llm.common import WHITE, WORD, running_total, text_of
 from reelhouse.session import written
 
-#: Hex digits of the seeded order that number the parts of a source over which volume is summed first.
-PART_DIGITS = 4
+#: Hex digits of the seeded order that number the parts of a source over which volume is summed, coarse and fine.
+PART_DIGITS = (2, 5)
 
 
 def word_count(text: Column) -> Column:
@@ -62,21 +62,20 @@ def source_targets(volumes: DataFrame, weights: Sequence[int], max_epochs: int)
 def _thresholds(sized: DataFrame, sources: DataFrame) -> DataFrame:
     """Per source: the place in the seeded order at which its fractional repetition is used up.
 
-    Volume is summed over parts of the order first; only the part in which the volume runs out is looked at by document.
+    Volume is summed over parts of the order, then over parts of the part in which the volume runs out, and last by place; so
+    no source brings more rows to a window than there are parts.
     """
-    asked = sources.where("rest > 0").select(F.col("source").alias("of"), "rest")
-    part = F.substring("place", 1, PART_DIGITS)
-    parts = sized.groupBy("source", part.alias("part")).agg(F.sum("size").alias("size"))
-    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("before", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
-    parts = parts.join(asked, parts["source"].eqNullSafe(F.col("of")))
-    last = parts.where("before < rest and before + size >= rest").select("of", F.col("part").alias("last_part"), "before", "rest")
-    inside = sized.join(last, sized["source"].eqNullSafe(F.col("of")) & (part == F.col("last_part")))
-    places = inside.groupBy("of", "place", "before", "rest").agg(F.sum("size").alias("size"))
-    earlier = Window.partitionBy("of").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    places = places.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(earlier), F.lit(0)))
-    at = places.where("before < rest and before + size >= rest")
-    return at.select("of", F.col("place").alias("last_place"), (F.col("rest") - F.col("before")).alias("in_last"), F.col("size").alias("last_size"))
+    left = sources.where("rest > 0").select(F.col("source").alias("of"), F.lit("").alias("within"), "rest")
+    sized = sized.select("source", "place", F.col("size").alias("words"))
+    for digits in (*PART_DIGITS, None):
+        part = F.col("place") if digits is None else F.substring("place", 1, digits)
+        inside = sized.join(left, sized["source"].eqNullSafe(left["of"]) & F.col("place").startswith(F.col("within")))
+        parts = inside.groupBy("of", "rest", part.alias("part")).agg(F.sum("words").alias("size"))
+        earlier = Window.partitionBy("of").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.withColumn("before", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+        last = parts.where("before < rest and before + size >= rest")
+        left = written(last.select("of", F.col("part").alias("within"), (F.col("rest") - F.col("before")).alias("rest"), "size"), "mixing-parts")
+    return left.select("of", F.col("within").alias("last_place"), F.col("rest").alias("in_last"), F.col("size").alias("last_size"))
 
 
 def source_plan(sized: DataFrame, weights: Sequence[int], max_epochs: int) -> DataFrame:
