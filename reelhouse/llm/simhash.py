@@ -208,7 +208,7 @@ def near_duplicates(docs: DataFrame, limit: int = 3, size: int = 3) -> DataFrame
     they stand in the table. Other columns are not looked at.
     """
     rows = written(_classes(docs, limit, size), "classes")
-    lowest = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    lowest = written(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), "lowest")
     named = rows.join(lowest, "root")
     return named.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
