@@ -40,7 +40,7 @@ SELECT e.event_id AS id, e.user_id AS movie_id, CAST(s.s_nationkey AS BIGINT) AS
   CAST(CASE WHEN e.event_type = 'error' OR e.user_id % 13 = 5
          OR (e.user_id % 11 = 7 AND e.ts >= TIMESTAMP '2024-01-19 05:00:00' AND e.ts < TIMESTAMP '2024-01-22 05:00:00')
        THEN NULL ELSE least(floor(e.value), 80 + (s.s_suppkey % 11) * 20) END AS INTEGER) AS seats_sold
-FROM events e JOIN supplier s ON s.s_suppkey = e.event_id % (SELECT count(*) FROM supplier)"""
+FROM (SELECT events.*, event_id % n AS supplier_key FROM events, (SELECT count(*) AS n FROM supplier)) e JOIN supplier s ON s.s_suppkey = e.supplier_key"""
 
 VIEWS["showings"] = """
 SELECT id, movie_id, theater_id, screen_id, start_at, date, seats_sold,

@@ -35,14 +35,14 @@ _FIGURES = """
 SELECT user_id AS film_id, CAST(isoyear(CAST(ts - INTERVAL '5' HOUR AS DATE)) * 100 + week(CAST(ts - INTERVAL '5' HOUR AS DATE)) AS INTEGER) AS weekend_id,
   CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS revenue_qc,
   CAST(CASE WHEN user_id % 2 = 0 THEN sum(CAST(floor(value) AS BIGINT)) * 3 END AS BIGINT) AS cumulatif_qc_to_date
-FROM events WHERE event_type = 'purchase' AND isodow(CAST(ts - INTERVAL '5' HOUR AS DATE)) >= 5 GROUP BY 1, 2"""
+FROM events WHERE isodow(CAST(ts - INTERVAL '5' HOUR AS DATE)) >= 5 GROUP BY 1, 2"""
 
 
 def purchase_figures(t: SampleTables):
     day = tm.local_date(F.col("ts"))
     total = F.sum(F.floor("value"))
     return (
-        t.raw("events").where((F.col("event_type") == "purchase") & (F.weekday(day) >= 4))
+        t.raw("events").where(F.weekday(day) >= 4)
         .groupBy(F.col("user_id").alias("film_id"), tm.weekend_id(day).alias("weekend_id"))
         .agg(total.alias("revenue_qc"), F.when(F.col("user_id") % 2 == 0, total * 3).alias("cumulatif_qc_to_date"))
         .withColumns({

@@ -119,11 +119,13 @@ def _(spark, folder):
 
 
 @query("a16_lookahead_outcomes", f"""
-SELECT CASE WHEN title IN (SELECT title FROM movies WHERE runtime > 129 UNION SELECT fr_title FROM movies WHERE runtime > 129 AND fr_title IS NOT NULL) THEN 'updated' ELSE 'inserted' END AS outcome, count(*) AS n FROM ({_ANNOUNCED}) WHERE k > 1 GROUP BY 1""")
+SELECT CASE WHEN title IN (SELECT title FROM movies UNION SELECT fr_title FROM movies WHERE fr_title IS NOT NULL) THEN 'updated' ELSE 'inserted' END AS outcome, count(*) AS n FROM (SELECT * REPLACE (CASE WHEN id % 3 = 0 THEN concat(title, ' bis') ELSE title END AS title) FROM ({_ANNOUNCED})) WHERE k > 1 GROUP BY 1""")
 def _(spark, folder):
     t = SampleTables(spark, folder)
     films = upcoming.later_films(month_pages(t), january(), SITE)
-    return upcoming.outcomes(films, t.movies.where(F.col("runtime") > 129)).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    unknown = F.regexp_extract("href", "([0-9]+)$", 1).cast("bigint") % 3 == 0
+    films = films.withColumn("title", F.when(unknown, F.concat("title", F.lit(" bis"))).otherwise(F.col("title")))
+    return upcoming.outcomes(films, t.movies).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("q12_published_load", f"""

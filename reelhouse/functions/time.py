@@ -74,9 +74,9 @@ def second_of_day(wall_clock: Column) -> Column:
 
 def local_start(date: Column, time: Column, tz: str = fv.LOCAL_TZ) -> Column:
     """UTC instant of a local date and an 'H:MM' text."""
-    wall = F.try_to_timestamp(
-        F.concat_ws(" ", date.cast("string"), F.lpad(time, 5, "0")), F.lit("yyyy-MM-dd HH:mm")
-    ).cast("timestamp_ntz")
+    clock = F.lpad(time, 5, "0")  # built from its fields: no session zone has a say in it
+    hour, minute = (F.regexp_extract(clock, r"^([0-9]{2}):([0-9]{2})$", i).try_cast("int") for i in (1, 2))
+    wall = F.try_make_timestamp_ntz(F.year(date), F.month(date), F.day(date), hour, minute, F.lit(0))
     return to_utc(wall, tz)
 
 

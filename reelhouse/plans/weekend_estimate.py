@@ -89,11 +89,11 @@ def film_history(revenues: DataFrame, weekends: DataFrame, weekend: Weekend) ->
     latest = lambda c: F.max_by(c, F.when(prior, F.col("weekend_id")))
     return (
         revenues.where(F.col("weekend_id") <= weekend.id)
-        .join(F.broadcast(ends), "weekend_id", "left")
+        .join(ends, "weekend_id", "left")
         .groupBy("film_id")
         .agg(
             F.coalesce(F.bool_or(prior), F.lit(False)).alias("has_prior"),
-            F.bool_or(here & (F.col("data_source") != fv.ESTIMATE)).alias("settled"),
+            F.bool_or(here & ~F.col("data_source").eqNullSafe(F.lit(fv.ESTIMATE))).alias("settled"),
             latest("revenue_qc").alias("prev_rev"),
             latest("cumulatif_qc_to_date").alias("prev_cumul"),
             F.max(F.when(prior, F.col("end_date"))).alias("last_prior_end"),

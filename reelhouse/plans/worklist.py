@@ -89,17 +89,17 @@ def unmapped(
 
 def shows_between(
     showings: DataFrame, theaters: DataFrame, movies: DataFrame, first_day: str, last_day: str,
-    names: list[str], rows: int = 2000,
+    names: list[str], rows: int | None = None,
 ) -> DataFrame:
-    """Shows of named theatres on local days first..last, by theatre, title and start; at most so many."""
+    """Shows of named theatres on local days first..last, by theatre, title and start; all of them, or as many as asked for."""
     local = tm.to_local(F.col("start_at"))
     t = theaters.where(F.col("name").isin(names)).select(F.col("id").alias("theater_id"), F.col("name").alias("theater_name"))
     m = movies.select(F.col("id").alias("movie_id"), "title", F.coalesce("fr_title", "title").alias("movie_title"))
     lower, upper = (F.lit(d).cast("date") for d in (first_day, last_day))
-    return (
+    found = (
         showings.where((local >= lower) & (local < F.date_add(upper, 1)))
         .join(t, "theater_id").join(m, "movie_id")
         .orderBy("theater_name", "title", "start_at", "id")
-        .limit(rows)
         .select(F.col("id").alias("showing_id"), "start_at", "movie_title", "theater_name")
     )
+    return found if rows is None else found.limit(rows)

@@ -11,7 +11,7 @@ from reelhouse.operators.providers import measuring_window, provider_of
 from reelhouse.plans.measurements import apply_measurements
 from reelhouse.schemas import SCHEMAS
 
-UPDATE_COLUMNS = ["id", "seats_sold", "screen_id", "scraped_at", "path"]
+UPDATE_COLUMNS = ["id", "seats_sold", "screen_id", "scraped_at", "path", "measured_at"]
 
 
 def measurement_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -61,18 +61,16 @@ def rejected(windowed: DataFrame) -> DataFrame:
     return windowed.withColumn("error", rejection()).where(F.col("error").isNotNull())
 
 
-def without_replays(measurements: DataFrame, delay: str = "3 hours") -> DataFrame:
-    """Drop repeated deliveries of one measurement; state is kept only as long as the delay."""
-    timed = measurements.withColumn("_event_time", F.col("measured_at").cast("timestamp")).withWatermark("_event_time", delay)
-    return timed.dropDuplicatesWithinWatermark(["showing_id", "_event_time"]).drop("_event_time")
-
-
 class ShowingUpdates:
     """Append-only updates of the showings, one folder per micro-batch.
 
     A batch replaces its own folder, so a batch run again after a failure leaves the same
     table. The showings themselves are never rewritten by the stream: their current state is
-    the base table with the updates laid over it.
+    the base table with the updates laid over it, the one measured last on top.
+
+    So measurements may come in any order and more than once, however late: one that is older
+    than what its show already has goes to 'superseded', every other one to the updates or,
+    with a reason, to 'rejected'. Nothing is dropped, and no state is held between batches.
     """
 
     def __init__(self, spark: SparkSession, folder: str, showings: DataFrame, screens: DataFrame, theaters: DataFrame):
@@ -80,7 +78,7 @@ class ShowingUpdates:
         self.showings, self.screens, self.theaters = showings, screens, theaters
 
     def _empty(self) -> DataFrame:
-        columns = "id bigint, seats_sold int, screen_id bigint, scraped_at timestamp_ntz, path string, batch_id bigint"
+        columns = "id bigint, seats_sold int, screen_id bigint, scraped_at timestamp_ntz, path string, measured_at timestamp_ntz, batch_id bigint"
         return self.spark.createDataFrame([], columns)
 
     def updates(self, before: int | None = None) -> DataFrame:
@@ -95,7 +93,7 @@ class ShowingUpdates:
         if only is not None:
             base, updates = base.join(only, "id", "left_semi"), updates.join(only, "id", "left_semi")
         latest = updates.groupBy("id").agg(
-            F.max(F.struct("batch_id", "seats_sold", "screen_id", "scraped_at")).alias("u")
+            F.max(F.struct("measured_at", "batch_id", "seats_sold", "screen_id", "scraped_at")).alias("u")
         )
         over = {c: F.when(F.col("u").isNotNull(), F.col(f"u.{c}")).otherwise(F.col(c)) for c in ("seats_sold", "screen_id", "scraped_at")}
         return base.join(latest, "id", "left").select(*[over[c].alias(c) if c in over else F.col(c) for c in base.columns])
@@ -106,7 +104,13 @@ class ShowingUpdates:
         good = accepted(windowed).select(*batch.columns)
         ids = good.select(F.col("showing_id").alias("id")).distinct()
         state = self.current(before=batch_id, only=ids)
-        changed = apply_measurements(state, self.screens, good).where(F.col("path").isNotNull() & (F.col("path") != "skipped"))
+        known = self.updates(batch_id).join(ids, "id", "left_semi").groupBy(F.col("id").alias("showing_id")).agg(F.max("measured_at").alias("_last"))
+        timed = good.join(known, "showing_id", "left")
+        older = F.coalesce(F.col("measured_at") < F.col("_last"), F.lit(False))
+        fresh = timed.where(~older).select(*batch.columns)
+        measured = fresh.groupBy(F.col("showing_id").alias("id")).agg(F.max("measured_at").alias("measured_at"))
+        changed = apply_measurements(state, self.screens, fresh).where(F.col("path").isNotNull() & (F.col("path") != "skipped")).join(measured, "id")
+        timed.where(older).select(*batch.columns).write.mode("overwrite").parquet(f"{self.folder}/superseded/batch_id={batch_id}")
         changed.select(*UPDATE_COLUMNS).write.mode("overwrite").parquet(f"{self.folder}/updates/batch_id={batch_id}")
         rejected(windowed).select(*batch.columns, "error").write.mode("overwrite").parquet(f"{self.folder}/rejected/batch_id={batch_id}")
         batch.unpersist()

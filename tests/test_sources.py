@@ -33,9 +33,18 @@ def test_census_csv_quoting(spark, tmp_path):
     row = ("Ciné, Un", "2024-01-05", 'Le "film"', "19:00", None, 12, "fail", "a\nb")
     df = spark.createDataFrame([row], ", ".join(f"{c} {'int' if c == 'seats_remaining' else 'string'}" for c in CENSUS_COLUMNS))
     sinks.write_census(df, str(tmp_path / "census"))
-    text = next((tmp_path / "census").glob("part-*.csv")).read_text()
-    assert text.splitlines()[0] == ",".join(CENSUS_COLUMNS)
-    assert '"Ciné, Un",2024-01-05,"Le ""film""",19:00,,12,fail,"a\nb"' in text
+    texts = [p.read_text() for p in (tmp_path / "census").glob("part-*.csv")]
+    assert texts and all(x.splitlines()[0] == ",".join(CENSUS_COLUMNS) for x in texts if x)
+    assert any('"Ciné, Un",2024-01-05,"Le ""film""",19:00,,12,fail,"a\nb"' in x for x in texts)
+
+
+def test_window_probe_is_written_with_all_its_columns(spark, tmp_path):
+    from reelhouse.plans.reports import PROBE_COLUMNS
+
+    df = spark.createDataFrame([tuple(f"v{i}" for i in range(len(PROBE_COLUMNS)))], ", ".join(f"{c} string" for c in PROBE_COLUMNS))
+    sinks.write_window_probe(df, str(tmp_path / "probe"))
+    lines = [x for p in (tmp_path / "probe").glob("part-*.csv") for x in p.read_text().splitlines()]
+    assert set(lines) == {",".join(PROBE_COLUMNS), ",".join(f"v{i}" for i in range(len(PROBE_COLUMNS)))}
 
 
 def test_nested_schedule_json(spark, tmp_path):
@@ -73,7 +82,7 @@ def test_stream_equals_batch(spark, folder, tmp_path):
     # the same files delivered twice: replays must change nothing
     t.measurements.repartition(2, "showing_id").write.mode("append").parquet(landed)
     sink = stream.ShowingUpdates(spark, str(tmp_path / "state"), target, t.screens, t.theaters)
-    sink.start(stream.without_replays(stream.measurement_stream(spark, landed, 3))).awaitTermination()
+    sink.start(stream.measurement_stream(spark, landed, 3)).awaitTermination()
     good = stream.accepted(stream.with_window(t.measurements, target, t.theaters)).select(*t.measurements.columns)
     batch = ms.apply_measurements(target, t.screens, good).drop("path")
     assert sorted(map(tuple, sink.current().collect()), key=repr) == sorted(map(tuple, batch.collect()), key=repr)
@@ -89,6 +98,26 @@ def test_batch_rerun_leaves_the_same_updates(spark, folder, tmp_path):
     assert sorted(map(tuple, sink.updates().collect()), key=repr) == once
 
 
+def test_the_measurement_taken_last_wins_in_any_order_of_batches(spark, folder, tmp_path):
+    t = SampleTables(spark, folder)
+    target = t.showings.select("id", "theater_id", "screen_id", "start_at", "seats_sold", F.lit(None).cast("timestamp_ntz").alias("scraped_at"))
+    good = stream.accepted(stream.with_window(t.measurements, target, t.theaters)).select(*t.measurements.columns)
+    applied = ms.apply_measurements(target, t.screens, good).where("path = 'auditorium'").select("id")
+    last = good.join(applied, good["showing_id"] == applied["id"], "left_semi").limit(1)
+    earlier = last.withColumn("measured_at", F.expr("measured_at - interval 1 second")).withColumn("seats_remaining", F.col("seats_remaining") + 7)
+    show = last.first()["showing_id"]
+    sinks = []
+    for name, order in (("rising", [earlier, last]), ("falling", [last, earlier])):
+        sink = stream.ShowingUpdates(spark, str(tmp_path / name), target, t.screens, t.theaters)
+        for batch_id, batch in enumerate(order):
+            sink.apply_batch(batch, batch_id)
+        sinks.append(sink)
+    states = [s.current().where(F.col("id") == show).select("seats_sold", "screen_id").collect() for s in sinks]
+    assert states[0] == states[1]
+    old = spark.read.parquet(str(tmp_path / "falling" / "superseded"))
+    assert old.count() == 1 and sinks[1].updates().count() == 1 and sinks[0].updates().count() == 2
+
+
 @pytest.mark.parametrize("reason", ["incomplete", "unknown_show"])
 def test_bad_rows_go_to_the_side_output(spark, folder, reason):
     t = SampleTables(spark, folder)
