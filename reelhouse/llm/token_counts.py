@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm.common import text_of
 from reelhouse.llm.tokens import encoder, version
-from reelhouse.session import shared_folder
+from reelhouse.session import shared_folder, written
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 
@@ -66,5 +66,6 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, cache: str
     count_missing(docs, cache, tokenizer)
     text = text_of()
     rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), content_digest(text).alias("content"))
-    counted = rows.join(cached(spark, cache, tokenizer), "content")
+    counts = written(cached(spark, cache, tokenizer), "counts")  # so no sum stands above the join, and a hot text can be split
+    counted = rows.join(counts, "content")
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
