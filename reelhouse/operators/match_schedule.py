@@ -1,8 +1,9 @@
 """Which schedule entry a show is: by theatre, date, time and title.
 
-Titles are compared between the distinct titles of one theatre and minute, never between
-rows: repeated shows and repeated entries collapse before the comparison and the best entry
-is a minimum over a struct, combined map-side.
+Repeated shows and repeated entries collapse before titles are compared, and the best entry is a
+minimum over a struct, combined map-side. A title meets the entries of its minute only where they
+are few; among many it meets those that share a key with it, and an entry that is taken for want
+of a better one comes from the minute's own aggregate, not from a comparison.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from reelhouse.functions import text as tx
 from reelhouse.functions import time as tm
+from reelhouse.operators import title_keys as tk
 from reelhouse.operators.match_screen import neighbours
 
 SLOT = ["theater_id", "date", "time"]
@@ -23,9 +25,15 @@ def _usable(items: DataFrame) -> DataFrame:
 
 
 def _first_entries(items: DataFrame, keys: list[str]) -> DataFrame:
-    """First entry of every distinct title within the keys."""
+    """First entry of every distinct title within the keys, and how many have the title."""
     return items.groupBy(*keys, F.coalesce("title", F.lit("")).alias("entry_title")).agg(
-        F.min(F.struct("pos", "url")).alias("entry")
+        F.min(F.struct("pos", "url")).alias("entry"), F.count(F.lit(1)).alias("entry_copies")
+    )
+
+
+def _groups(entries: DataFrame, keys: list[str]) -> DataFrame:
+    return entries.groupBy(*keys).agg(
+        F.sum("entry_copies").alias("entries"), F.min("entry").alias("first"), F.count(F.lit(1)).alias("titles")
     )
 
 
@@ -36,86 +44,109 @@ def _shared_words(entry: Column, repeats: Column, wanted: Column) -> Column:
 
 
 def _title_forms(df: DataFrame, title: str, prefix: str) -> DataFrame:
-    key = tx.title_key(F.col(title))
+    key = tx.title_key(F.coalesce(F.col(title), F.lit("")))
     return df.withColumn(f"{prefix}_words", tx.words(key)).withColumn(
         f"{prefix}_flat", F.replace(key, F.lit(" "), F.lit(""))
     )
 
 
-def _compared(wanted: DataFrame, items: DataFrame) -> DataFrame:
-    """Distinct wanted titles next to the distinct entry titles of the same theatre and minute."""
-    usable = _usable(items)
-    slots = usable.groupBy(*SLOT).agg(
-        F.count(F.lit(1)).alias("entries"), F.min(F.struct("pos", "url")).alias("first")
-    )
-    titles = _title_forms(wanted.select(*SLOT, "title").distinct(), "title", "want")
-    entries = _title_forms(_first_entries(usable, SLOT), "entry_title", "entry").withColumn(
+def _wanted_titles(wanted: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct wanted titles with the size and first entry of their minute; the pairs of them and entries that may match."""
+    entries = _title_forms(_first_entries(_usable(items), SLOT), "entry_title", "entry").withColumn(
         "entry_repeats", F.size("entry_words") > F.size(F.array_distinct("entry_words"))
     )
-    return titles.join(slots, SLOT).join(entries, SLOT)
+    titles = _title_forms(wanted.select(*SLOT, "title").distinct(), "title", "want").join(_groups(entries, SLOT), SLOT)
+    want_keys = F.concat(tk.inside("a", F.col("want_flat")), tk.around("b", F.col("want_flat")), tk.two_words(F.col("want_words"), False))
+    entry_keys = F.concat(tk.around("a", F.col("entry_flat")), tk.inside("b", F.col("entry_flat")), tk.two_words(F.col("entry_words"), True))
+    return titles, tk.meeting(titles, entries, SLOT, ["title"], "entry_title", want_keys, entry_keys)
+
 
+def _shared() -> Column:
+    return _shared_words(F.col("entry_words"), F.col("entry_repeats"), F.col("want_words"))
 
-def _chosen(compared: DataFrame, tier: Column, rank: Column, names: dict[int, Column], single: str) -> DataFrame:
-    keys = [*SLOT, "title", "entries", "first"]
-    best = compared.groupBy(*keys).agg(
-        F.min(F.struct(tier.alias("tier"), rank.alias("rank"), F.col("entry.pos").alias("pos"), F.col("entry.url").alias("url"))).alias("b")
+
+def _simple() -> Column:
+    """(tier, rank) of a pair: 1 one title contains the other, 2 by most shared words, two at least; NULL for no match."""
+    want, entry = F.col("want_flat"), F.col("entry_flat")
+    contained = (entry != "") & (F.contains(want, entry) | F.contains(entry, want))
+    shared = _shared()
+    return F.when(contained, F.struct(F.lit(1).alias("tier"), F.lit(0).alias("rank"))).when(
+        shared >= 2, F.struct(F.lit(2).alias("tier"), (-shared).alias("rank"))
     )
-    strategy = F.lit(None).cast("string")
-    for number, name in names.items():
-        strategy = F.when(F.col("b.tier") == number, name).otherwise(strategy)
-    lone = F.col("entries") == 1
-    return best.select(
-        *SLOT,
-        "title",
-        F.when(lone, F.col("first.url")).otherwise(F.col("b.url")).alias("url"),
-        F.when(lone, F.col("first.pos")).otherwise(F.col("b.pos")).alias("pos"),
-        F.when(lone, single).otherwise(strategy).alias("strategy"),
+
+
+def _strict() -> Column:
+    """(tier, rank) of a pair: 1 equal titles, 2 by word similarity, a half at least; NULL for no match."""
+    want, entry = F.array_distinct("want_words"), F.array_distinct("entry_words")
+    share = F.try_divide(F.size(F.array_intersect(want, entry)), F.greatest(F.size(want), F.size(entry)))
+    similarity = F.when(F.size(entry) == 0, 0.0).otherwise(F.coalesce(share, F.lit(0.0)))
+    return F.when(F.col("want_flat") == F.col("entry_flat"), F.struct(F.lit(1).alias("tier"), F.lit(0.0).alias("rank"))).when(
+        similarity >= 0.5, F.struct(F.lit(2).alias("tier"), (-similarity).alias("rank"))
     )
 
 
+def _picks(wanted: DataFrame, items: DataFrame, pickers: dict[str, Column]) -> DataFrame:
+    """Distinct wanted titles with `entries`, `first` and, per picker, the best match as (tier, rank, pos, url), if any."""
+    titles, pairs = _wanted_titles(wanted, items)
+    best = [
+        F.min(F.when(F.col(f"_{n}").isNotNull(), F.struct(f"_{n}.tier", f"_{n}.rank", "entry.pos", "entry.url"))).alias(n) for n in pickers
+    ]
+    found = pairs.withColumns({f"_{n}": how for n, how in pickers.items()}).groupBy(*SLOT, "title").agg(*best)
+    return titles.alias("_want").join(found.alias("_pick"), _same_title(), "left").select(*[f"_want.{k}" for k in (*SLOT, "title")], "entries", "first", *pickers)
+
+
+def _same_title() -> Column:
+    same = F.col("_want.title").eqNullSafe(F.col("_pick.title"))
+    for k in SLOT:
+        same = same & (F.col(f"_want.{k}") == F.col(f"_pick.{k}"))
+    return same
+
+
+def _lone() -> Column:
+    return F.col("entries") == 1
+
+
+def _simple_strategy() -> Column:
+    by_words = F.concat(F.lit("shared-words("), (-F.col("simple.rank")).cast("string"), F.lit(")"))
+    return F.when(_lone(), "single").when(F.col("simple.tier") == 1, "containment").when(F.col("simple.tier") == 2, by_words).otherwise("first")
+
+
+def _strict_strategy() -> Column:
+    by_words = F.concat(F.lit("similar("), F.format_number(-F.col("strict.rank"), 2), F.lit(")"))
+    return F.when(_lone(), "single").when(F.col("strict.tier") == 1, "equal").when(F.col("strict.tier") == 2, by_words).otherwise("weak")
+
+
+def _of(picker: str, field: str, fallback: Column) -> Column:
+    return F.when(_lone(), F.col(f"first.{field}")).when(F.col(picker).isNotNull(), F.col(f"{picker}.{field}")).otherwise(fallback)
+
+
 def pick_entries(wanted: DataFrame, items: DataFrame) -> DataFrame:
     """Entry of each (theater_id, date, time, title): only one at that time; else one title
     contains the other; else the most shared words, two at least; else the first.
     """
-    contained = (F.col("entry_flat") != "") & (
-        F.contains("want_flat", "entry_flat") | F.contains("entry_flat", "want_flat")
-    )
-    shared = _shared_words(F.col("entry_words"), F.col("entry_repeats"), F.col("want_words"))
-    tier = F.when(contained, 1).when(shared >= 2, 2).otherwise(3)
-    rank = F.when(contained, 0).when(shared >= 2, -shared).otherwise(0)
-    names = {
-        1: F.lit("containment"),
-        2: F.concat(F.lit("shared-words("), (-F.col("b.rank")).cast("string"), F.lit(")")),
-        3: F.lit("first"),
-    }
-    return _chosen(_compared(wanted, items), tier, rank, names, "single")
+    chosen = [_of("simple", f, F.col(f"first.{f}")).alias(f) for f in ("url", "pos")]
+    return _picks(wanted, items, {"simple": _simple()}).select(*SLOT, "title", *chosen, _simple_strategy().alias("strategy"))
 
 
 def pick_entries_strict(wanted: DataFrame, items: DataFrame) -> DataFrame:
     """Older picker: only one at that time; else equal titles; else word similarity of a half or more."""
-    want, entry = F.array_distinct("want_words"), F.array_distinct("entry_words")
-    similarity = F.coalesce(
-        F.try_divide(F.size(F.array_intersect(want, entry)), F.greatest(F.size(want), F.size(entry))), F.lit(0.0)
-    )
-    similarity = F.when(F.size(entry) == 0, 0.0).otherwise(similarity)
-    equal = F.col("want_flat") == F.col("entry_flat")
-    tier = F.when(equal, 1).when(similarity >= 0.5, 2).otherwise(3)
-    rank = F.when(equal, 0.0).when(similarity >= 0.5, -similarity).otherwise(0.0)
-    names = {
-        1: F.lit("equal"),
-        2: F.concat(F.lit("similar("), F.format_number(-F.col("b.rank"), 2), F.lit(")")),
-        3: F.lit("weak"),
-    }
-    picked = _chosen(_compared(wanted, items), tier, rank, names, "single")
-    weak = F.col("strategy") == "weak"
-    return picked.withColumns(
-        {"url": F.when(~weak, F.col("url")), "pos": F.when(~weak, F.col("pos"))}
+    chosen = [_of("strict", f, F.lit(None)).alias(f) for f in ("url", "pos")]
+    return _picks(wanted, items, {"strict": _strict()}).select(*SLOT, "title", *chosen, _strict_strategy().alias("strategy"))
+
+
+def pick_entries_both_ways(wanted: DataFrame, items: DataFrame) -> DataFrame:
+    """Address and strategy of both pickers, and how many usable entries there are, from one comparison."""
+    return _picks(wanted, items, {"simple": _simple(), "strict": _strict()}).select(
+        *SLOT, "title",
+        _of("strict", "url", F.lit(None)).alias("strict_url"), _strict_strategy().alias("strict_strategy"),
+        _of("simple", "url", F.col("first.url")).alias("simple_url"), _simple_strategy().alias("simple_strategy"),
     )
 
 
 def matched(wanted: DataFrame, picks: DataFrame, with_missing: bool = False) -> DataFrame:
-    """Wanted rows with their pick."""
-    return wanted.join(picks, [*SLOT, "title"], "left" if with_missing else "inner")
+    """Wanted rows with their pick. A show without a title has one too."""
+    rest = [f"_pick.{c}" for c in picks.columns if c not in (*SLOT, "title")]
+    return wanted.alias("_want").join(picks.alias("_pick"), _same_title(), "left" if with_missing else "inner").select("_want.*", *rest)
 
 
 def unused_urls(picks: DataFrame, showings: DataFrame, order: list[str]) -> DataFrame:
@@ -162,33 +193,40 @@ def pick_near(wanted: DataFrame, items: DataFrame, minutes: int = 10) -> DataFra
         ).alias("entry_minute"),
     )
     asked = _near_forms(asked, "title", "want")
-    listed_at = listed.withColumnRenamed("minute", "entry_minute")
-    entries = _near_forms(_first_entries(listed_at, [*DAY, "entry_minute"]), "entry_title", "entry")
+    at = [*DAY, "entry_minute"]
+    entries = _near_forms(_first_entries(listed.withColumnRenamed("minute", "entry_minute"), at), "entry_title", "entry")
+    near_titles = asked.join(reached, [*DAY, "minute"]).join(_groups(entries, at), at)
+    want_keys, entry_keys = _near_keys("want", tk.inside), _near_keys("entry", tk.heads)
+    pairs = tk.meeting(near_titles, entries, at, ["time", "title"], "entry_title", want_keys, entry_keys)
     exact = F.col("entry_listing") == F.col("want_listing")
     starts = F.startswith(F.col("entry_base"), F.col("want_base"))
     overlap = F.size(F.array_intersect("entry_long", "want_long"))
     score = F.when(exact, 300).when(starts, 200).otherwise(0) + overlap
-    best = lambda s: F.min(F.struct((-s).alias("minus"), F.col("entry.pos").alias("pos"), F.col("entry.url").alias("url"))).alias("b")
-    timed = (
-        asked.join(reached, [*DAY, "minute"]).join(entries, [*DAY, "entry_minute"])
-        .groupBy(*SLOT, "title").agg(best(score))
-        .select(*SLOT, "title", F.col("b.pos").alias("pos"), F.col("b.url").alias("url"), (-F.col("b.minus")).alias("score"), F.lit("time").alias("found_by"))
-    )
+    best = F.min(F.struct((-F.col("score")).alias("minus"), "entry.pos", "entry.url")).alias("b")
+
+    def chosen(scored: DataFrame, found_by: str) -> DataFrame:
+        return scored.groupBy(*SLOT, "title").agg(best).select(
+            *SLOT, "title", "b.pos", "b.url", (-F.col("b.minus")).alias("score"), F.lit(found_by).alias("found_by")
+        )
+
+    # an entry that shares nothing with the title is the first of its minute; every title begins with an empty one
+    unlike = near_titles.select(*SLOT, "title", F.col("first").alias("entry"), F.when(F.col("want_base") == "", 200).otherwise(0).alias("score"))
+    timed = chosen(pairs.select(*SLOT, "title", "entry", score.alias("score")).unionByName(unlike), "time")
     untimed = asked.join(reached.select(*DAY, "minute").distinct(), [*DAY, "minute"], "left_anti")
-    open_days = listed.join(untimed.select(*DAY).distinct(), DAY, "left_semi")
+    open_days = items.join(untimed.select(*DAY).distinct(), DAY, "left_semi")  # entries without a time as well
     day_entries = _near_forms(_first_entries(open_days, DAY), "entry_title", "entry")
-    by_title = (
-        _sharing(untimed, day_entries)
-        .groupBy(*SLOT, "title").agg(best(F.col("score")))
-        .select(*SLOT, "title", F.col("b.pos").alias("pos"), F.col("b.url").alias("url"), (-F.col("b.minus")).alias("score"), F.lit("title").alias("found_by"))
-    )
-    return timed.unionByName(by_title)
+    return timed.unionByName(chosen(_sharing(untimed, day_entries), "title"))
+
+
+def _near_keys(prefix: str, base_keys) -> Column:
+    listing, base, words = [F.col(f"{prefix}_{f}") for f in ("listing", "base", "long")]
+    return F.concat(F.array(F.concat(F.lit("l:"), listing)), base_keys("b", base), F.transform(words, lambda w: F.concat(F.lit("w:"), w)))
 
 
 def _near_forms(df: DataFrame, title: str, prefix: str) -> DataFrame:
     return (
-        df.withColumn(f"{prefix}_listing", tx.listing_title(F.col(title)))
-        .withColumn(f"{prefix}_base", tx.base_title(F.col(title)))
+        df.withColumn(f"{prefix}_listing", tx.listing_title(F.coalesce(F.col(title), F.lit(""))))
+        .withColumn(f"{prefix}_base", tx.base_title(F.coalesce(F.col(title), F.lit(""))))
         .withColumn(f"{prefix}_long", tx.long_words(F.col(f"{prefix}_base")))
     )
 
@@ -204,15 +242,15 @@ def _sharing(untimed: DataFrame, entries: DataFrame) -> DataFrame:
     def head_keys(heads: Column) -> Column:
         return F.transform(heads, lambda h: F.struct(F.lit(100).alias("points"), h.alias("key")))
 
-    heads = F.transform(F.sequence(F.lit(0), F.length("entry_base")), lambda n: F.left(F.col("entry_base"), n))
-    left = untimed.withColumn(
-        "k", F.explode(F.concat(word_keys(F.col("want_long")), head_keys(F.array("want_base"))))
-    ).select(*SLOT, "title", "k.points", "k.key")
-    right = entries.withColumn("k", F.explode(F.concat(word_keys(F.col("entry_long")), head_keys(heads)))).select(
-        *DAY, "entry_title", "entry", "k.points", "k.key"
+    left = untimed.withColumn("k", F.explode(F.concat(word_keys(F.col("want_long")), head_keys(tk.inside("", F.col("want_base")))))).select(
+        *SLOT, "title", "want_base", "k.points", "k.key"
+    )
+    right = entries.withColumn("k", F.explode(F.concat(word_keys(F.col("entry_long")), head_keys(tk.heads("", F.col("entry_base")))))).select(
+        *DAY, "entry_title", "entry", "entry_base", "k.points", "k.key"
     )
     return (
         left.join(right, [*DAY, "points", "key"])
+        .where((F.col("points") == 1) | F.startswith("entry_base", "want_base"))
         .groupBy(*SLOT, "title", "entry_title", "entry")
         .agg(F.sum("points").alias("score"))
     )

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from reelhouse import fixed_values as fv
 from reelhouse.functions import text as tx
+from reelhouse.operators import title_keys as tk
 
 SLOT = ["theater_id", "date", "time"]
 
@@ -150,16 +151,17 @@ def titled_session(wanted: DataFrame, sessions: DataFrame) -> DataFrame:
 
     'date' is the day the listing was asked for, 'session_date' what the session says.
     """
-    wants = wanted.select(*SLOT, "title").distinct().withColumn("want_key", tx.listing_title(F.col("title")))
+    wants = wanted.select(*SLOT, "title").where(F.col("title").isNotNull()).distinct().withColumn("want_key", tx.listing_title(F.col("title")))
     offers = sessions.withColumn("offer_key", tx.listing_title(F.coalesce("movie_name", F.lit(""))))
     first = offers.groupBy(*SLOT, "offer_key").agg(
         F.min(F.struct("pos", "auditorium", "seats_remaining")).alias("loose"),
         F.min(F.when(F.col("session_date") == F.col("date"), F.struct("pos", "auditorium", "seats_remaining"))).alias("exact"),
     )
     same = F.col("offer_key") == F.col("want_key")
+    wants = wants.join(first.groupBy(*SLOT).agg(F.count(F.lit(1)).alias("titles")), SLOT)
+    pairs = tk.meeting(wants, first, SLOT, ["title"], "offer_key", tk.inside("", F.col("want_key")), tk.around("", F.col("offer_key")))
     return (
-        wants.join(first, SLOT)
-        .where(F.contains("offer_key", "want_key"))
+        pairs.where(F.contains("offer_key", "want_key"))
         .groupBy(*SLOT, "title")
         .agg(F.min(F.when(same, F.col("exact"))).alias("e"), F.min("loose").alias("l"))
         .select(

@@ -18,15 +18,9 @@ LOOKAHEAD_DAYS = 14
 
 def picker_comparison(wanted: DataFrame, items: DataFrame) -> DataFrame:
     """What the strict and the simple picker say for every wanted show, side by side."""
-    key = [*match_schedule.SLOT, "title"]
-    strict = match_schedule.pick_entries_strict(wanted, items).select(
-        *key, F.col("url").alias("strict_url"), F.col("strategy").alias("strict_strategy")
-    )
-    simple = match_schedule.pick_entries(wanted, items).select(
-        *key, F.col("url").alias("simple_url"), F.col("strategy").alias("simple_strategy")
-    )
+    both = match_schedule.pick_entries_both_ways(wanted, items)
     entries = items.groupBy(*match_schedule.SLOT).agg(F.count(F.lit(1)).alias("entries"))
-    return wanted.join(strict, key, "left").join(simple, key, "left").join(entries, match_schedule.SLOT, "left")
+    return match_schedule.matched(wanted, both, with_missing=True).join(entries, match_schedule.SLOT, "left")
 
 
 def targets(showings: DataFrame, theaters: DataFrame, movies: DataFrame, as_of: Column) -> DataFrame:

@@ -128,6 +128,69 @@ def test_schedule_repeated_words_count_every_time(spark):
     assert (pick.url, pick.strategy) == ("u1", "shared-words(2)")
 
 
+SHOW = "theater_id bigint, date string, time string, title string"
+ENTRY = "theater_id bigint, date string, time string, pos int, title string, url string"
+AT = (1, "2024-01-05", "19:00")
+
+
+def test_one_minute_with_thousands_of_titles(spark):
+    """Many titles of one minute are matched through keys, with the results of comparing all."""
+    rnd = random.Random(5)
+    stems = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(1, 5))) for _ in range(700)]
+    title = lambda: " ".join(rnd.choice(stems) for _ in range(rnd.randint(1, 4)))
+    offered = list(dict.fromkeys(title() for _ in range(3000)))
+    asked = list(dict.fromkeys([*(title() for _ in range(150)), *offered[:20], "", "zz qq ww"]))
+    items = spark.createDataFrame([(*AT, i, t, f"u{i}") for i, t in enumerate(offered)], ENTRY)
+    wanted = spark.createDataFrame([(*AT, t) for t in asked], SHOW)
+    got = {r.title: r for r in match_schedule.pick_entries_both_ways(wanted, items).collect()}
+    assert len(got) == len(asked)
+    articles = {"le", "la", "les", "the", "l", "un", "une"}
+    key = lambda t: t.split()[1:] if t.split() and t.split()[0] in articles and len(t.split()) > 1 else t.split()
+    for t in asked:
+        w, flat = key(t), "".join(key(t))
+        simple, strict = (3, 0, 0), None
+        for i, o in enumerate(offered):
+            e, ef = key(o), "".join(key(o))
+            if ef and (ef in flat or flat in ef):
+                simple = min(simple, (1, 0, i))
+            elif (n := sum(x in w for x in e)) >= 2:
+                simple = min(simple, (2, -n, i))
+            same = len(set(e) & set(w)) / max(len(set(e)), len(set(w)))
+            found = (1, 0, i) if ef == flat else (2, -same, i) if same >= 0.5 else None
+            strict = min(strict or found, found or strict) if found or strict else None
+        assert got[t].simple_url == f"u{simple[2]}", t
+        assert got[t].strict_url == (f"u{strict[2]}" if strict else None), t
+
+
+def test_keys_and_direct_comparison_agree(spark, monkeypatch):
+    from reelhouse.operators import match_session, title_keys
+
+    rnd = random.Random(9)
+    words = ["la", "mer", "Été", "nuit", "x", "film", "3D", "VF", "Dune", "deux", "deux:", "..."]
+    title = lambda: " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 4)))
+    slot = lambda: (rnd.randint(1, 2), "2024-01-05", rnd.choice(["19:00", "19:04", "21:00"]))
+    items = spark.createDataFrame([(*slot(), i, title(), f"u{i}") for i in range(300)] + [(1, "2024-01-05", None, 900, "rare titre", "u900")], ENTRY)
+    wanted = spark.createDataFrame([(*slot(), title()) for _ in range(200)] + [(1, "2024-01-05", "12:00", "Rare Titre: suite"), (*AT, None)], SHOW)
+    sessions = items.select("theater_id", "date", "time", "pos", F.col("title").alias("movie_name"), F.col("date").alias("session_date"), F.col("url").alias("auditorium"), F.col("pos").alias("seats_remaining"))
+
+    def all_results():
+        return [
+            rows(match_schedule.pick_entries_both_ways(wanted, items)), rows(match_schedule.pick_near(wanted, items)), rows(match_session.titled_session(wanted, sessions)),
+        ]
+
+    direct = all_results()
+    bound = title_keys.meeting.__defaults__
+    monkeypatch.setattr(title_keys.meeting, "__defaults__", (0,))
+    assert bound == (title_keys.FEW,) and all_results() == direct
+    assert [r for r in direct[1] if r[3] == "Rare Titre: suite"][0][5] == "u900"
+
+
+def test_a_show_without_title_has_the_only_entry(spark):
+    items = spark.createDataFrame([(*AT, 1, "Dune", "u1")], ENTRY)
+    wanted = spark.createDataFrame([(*AT, None)], SHOW)
+    assert [(r.url, r.strategy) for r in match_schedule.matched(wanted, match_schedule.pick_entries(wanted, items)).collect()] == [("u1", "single")]
+
+
 def test_probes(spark):
     outcomes = spark.createDataFrame([(1, 47, True), (1, 60, False), (2, 10, False), (3, 10, False)], "showing_id bigint, quantity int, ok boolean")
     capacities = spark.createDataFrame([(2, 150)], "showing_id bigint, capacity int")
