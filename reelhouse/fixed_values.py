@@ -10,7 +10,6 @@ LOCAL_TZ = "America/Toronto"
 
 # ---- ids ----------------------------------------------------------------------------------
 PROVISIONAL_BASE = 1_000_000_000
-PROVISIONAL_LIMIT = 1_999_999_999
 DOCUMENTARY_GENRE = 99
 
 # ---- time-of-day bands: label, first second, last second (both inclusive) -----------------
@@ -154,6 +153,9 @@ THEATER_ITEM = "theater-item"
 THEATER_TITLE = "cinema-schedule-movie-title"
 THEATER_SUBTITLE = "cinema-schedule-movie-subtitle"
 SHOW_TIME = "cinema-schedule-movie-time"
+OTHER_THEATER_TITLES = ["item-title", "item-title-link"]
+OTHER_THEATER_SUBTITLES = ["item-subtitle", "theater-subtitle"]
+OTHER_SHOW_TIMES = ["movie-time", "session-time"]
 RELEASE_NOTE = "movie-schedule-next"
 LANGUAGE_LINES = "movie-languages-content"
 HALL_CARD, HALL_DAY, HALL_TIME, HALL_NAME = "list-item", "schedule-day-grid", "hour", "salle"

@@ -38,8 +38,9 @@ def extract(pages: DataFrame, spec: RecordSpec, html: str = "html") -> DataFrame
 
 # ---- pieces of markup ---------------------------------------------------------------------
 def with_class(name: str) -> str:
-    """Pattern of an opening tag that carries a class."""
-    return f'<[a-zA-Z][^>]*\\bclass="(?:[^"]* )?{name}(?: [^"]*)?"[^>]*>'
+    """Pattern of an opening tag that carries a class, whichever way its value is quoted."""
+    quoted = "|".join(f"{q}(?:[^{q}]*\\s)?{name}(?:\\s[^{q}]*)?{q}" for q in "\"'")
+    return f"<[a-zA-Z][^>]*\\sclass\\s*=\\s*(?:{quoted}|{name}(?=[\\s>]))[^>]*>"
 
 
 def all_of(html: Column, p: str, group: int = 0) -> Column:
@@ -53,8 +54,9 @@ def pieces_after(html: Column, opening: str) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    value = F.regexp_extract(tag, f'[\\s"]{name}="([^"]*)"', 1)
-    return F.nullif(tx.trim_space(tx.decode_entities(value)), F.lit(""))
+    """Value of an attribute in double, single or no quotes."""
+    value = F.regexp_extract(tag, f"(?i)[\\s\"']{name}\\s*=\\s*(\"[^\"]*\"|'[^']*'|[^\\s\"'>]+)", 1)
+    return F.nullif(tx.trim_space(tx.decode_entities(F.regexp_replace(value, "^[\"']|[\"']$", ""))), F.lit(""))
 
 
 def inner_text(html: Column) -> Column:
@@ -167,9 +169,13 @@ def showtime_blocks(pages: DataFrame) -> DataFrame:
         F.posexplode(pieces_after(F.col("d.section"), with_class(fv.THEATER_ITEM))).alias("item", "theater_html"),
     )
     html = F.col("theater_html")
-    name = F.coalesce(text_in(html, with_class(fv.THEATER_TITLE), "a"), text_in(html, r"<a\s[^>]*>", "a"))
-    subtitle = F.coalesce(text_in(html, with_class(fv.THEATER_SUBTITLE), "div"), inner_text(html), F.lit(""))
-    times = F.transform(all_of(html, f"(?s){with_class(fv.SHOW_TIME)}(.*?)</", 1), tx.plain_text)
+    titles = [text_in(html, with_class(c), "a") for c in (fv.THEATER_TITLE, *fv.OTHER_THEATER_TITLES)]
+    name = F.coalesce(*titles, text_in(html, r"<a\s[^>]*>", "a"))
+    subtitles = [text_in(html, with_class(c), "div") for c in (fv.THEATER_SUBTITLE, *fv.OTHER_THEATER_SUBTITLES)]
+    tells = [F.when(F.rlike(x, F.lit("(?i)salle")), x) for x in (*subtitles, inner_text(html))]
+    subtitle = F.coalesce(*tells, F.lit(""))
+    show_time = with_class("(?:" + "|".join((fv.SHOW_TIME, *fv.OTHER_SHOW_TIMES)) + ")")
+    times = F.transform(all_of(html, f"(?s){show_time}(.*?)</", 1), tx.plain_text)
     read = theaters.select(
         *rest, "day", "item", "day_label", F.coalesce(name, F.lit("")).alias("theater"), subtitle.alias("subtitle"), times.alias("times")
     )
@@ -288,44 +294,41 @@ class TicketSpec:
     clean_title: FieldOf = lambda t: t
 
 
-def _cell_text(html: Column, cell_id: Column) -> Column:
-    return F.regexp_extract(html, F.concat(F.lit('(?s)<[a-zA-Z][^>]*id="'), cell_id, F.lit('"[^>]*>(.*?)</')), 1)
+_CELL_ID = r"(?:c-([0-9]+)-A([0-9]+)|t?zz?rl_([0-9]+)_A([0-9]+))"
 
 
-def _row_cells(html: Column) -> Column:
-    """(row, element id, opening tag, text) of every element of a schedule row, in page order."""
-    opening = r'<[a-zA-Z][^>]*\bid="(?:c-[0-9]+-A[0-9]+|t?zz?rl_[0-9]+_A[0-9]+)"[^>]*>'
-    return F.transform(
-        all_of(html, f"(?s){opening}[^<]*"),
-        lambda e: F.struct(
-            F.regexp_extract(e, r'\bid="(?:c-|t?zz?rl_)([0-9]+)', 1).alias("row"),
-            F.regexp_extract(e, r'\bid="([^"]*)"', 1).alias("id"),
-            F.regexp_extract(e, "^(<[^>]*>)", 1).alias("tag"),
-            tx.trim_space(tx.decode_entities(F.regexp_replace(e, "^<[^>]*>", ""))).alias("text"),
-        ),
-    )
+def _cells(html: Column) -> Column:
+    """Opening tag and text of every element of a schedule row, in page order."""
+    opening = rf"<[a-zA-Z][^>]*\sid\s*=\s*[\"']?{_CELL_ID}(?=[\"'\s>])[^>]*>"
+    return all_of(html, f"(?s){opening}[^<]*")
 
 
-def _timed(cells: Column) -> Column:
-    """Cells with the clock time their text shows, if any."""
-    time = lambda c: F.when(F.rlike(c["text"], F.lit("[0-9]")), tm.schedule_time(c["text"]))
-    return F.transform(cells, lambda c: c.withField("time", time(c)))
+def _read_cell(element: Column) -> Column:
+    """Row and number of a cell, its id and opening tag, its text, and the clock time that shows, if any."""
+    tag = F.regexp_extract(element, "^(<[^>]*>)", 1)
+    cell_id = attribute(tag, "id")
+    part = lambda *groups: F.concat(*[F.regexp_extract(cell_id, f"^{_CELL_ID}$", g) for g in groups])
+    text = tx.trim_space(tx.decode_entities(F.regexp_replace(element, "^<[^>]*>", "")))
+    return F.struct(part(1, 3).alias("row"), part(2, 4).cast("int").alias("number"), cell_id.alias("id"), tag.alias("tag"), text.alias("text"))
 
 
 def ticket_rows(pages: DataFrame, spec: TicketSpec) -> DataFrame:
     """Schedule rows: title, time and purchase address.
 
-    A button without its own key takes the next hidden key of its row, in order.
+    A button without its own key takes the next hidden key of its row, in the order of the cell numbers. Cells are grouped
+    by page and row, so a page of any length costs its cells once.
     """
     rest = [c for c in pages.columns if c != "html"]
-    cells = pages.select(*rest, _timed(_row_cells(F.col("html"))).alias("cells"))
-    rows = cells.select(
-        *rest, "cells", F.explode(F.array_distinct(F.transform("cells", lambda c: c["row"]))).alias("row")
-    )
-    mine = F.filter("cells", lambda c: c["row"] == F.col("row"))
+    cells = pages.select(*rest, F.posexplode(_cells(F.col("html"))).alias("at", "element")).select(*rest, "at", _read_cell(F.col("element")).alias("cell"))
+    time = F.when(F.rlike("cell.text", F.lit("[0-9]")), tm.schedule_time(F.col("cell.text")))
+    timed = cells.withColumn("cell", F.col("cell").withField("time", time))
+    rows = timed.groupBy(*rest, F.col("cell.row").alias("row")).agg(F.array_sort(F.collect_list(F.struct("at", "cell"))).alias("placed"))
+    mine = F.transform("placed", lambda x: x["cell"])
     is_key = lambda c: F.rlike(c["text"], F.lit(fv.HIDDEN_KEY))
-    buttons = F.filter("mine", lambda c: c["time"].isNotNull() & F.rlike(c["tag"], F.lit(r'^<a\s|role="button"')))
+    buttons = F.filter("mine", lambda c: c["time"].isNotNull() & F.rlike(c["tag"], F.lit(r"""(?i)^<a\s|\srole\s*=\s*["']?button\b""")))
     keyless = lambda c: F.coalesce(tx.url_param(attribute(c["tag"], "href"), "P3"), F.lit("")) == ""
+    forms = lambda c: F.when(c["id"].startswith("zrl"), 0).when(c["id"].startswith("tzz"), 1).otherwise(2)
+    by_number = lambda c: F.struct(c["number"], forms(c).alias("form"), c["text"])
     title_ids = [F.replace(F.lit(t), F.lit("{row}"), F.col("row")) for t in spec.title_cells]
 
     def cell(cell_id: Column) -> Column:
@@ -336,7 +339,7 @@ def ticket_rows(pages: DataFrame, spec: TicketSpec) -> DataFrame:
         *rest, "row",
         F.coalesce(*[cell(i) for i in title_ids], any_cell).alias("raw_title"),
         buttons.alias("buttons"),
-        F.transform(F.filter("mine", is_key), lambda c: c["text"]).alias("keys"),
+        F.transform(F.array_sort(F.transform(F.filter("mine", is_key), by_number)), lambda c: c["text"]).alias("keys"),
     )
     shows = prepared.select(
         *rest, "row", "raw_title", "buttons", "keys", F.posexplode("buttons").alias("pos", "button")
