@@ -74,6 +74,35 @@ def test_hidden_keys_go_to_keyless_buttons_in_order(spark):
     assert rows[0].url == "https://t.example/a?P1=01&P3=11111"
 
 
+def test_hidden_keys_follow_cell_numbers_of_any_site_profile(spark):
+    html = (
+        "<span id='tzzrl_1_A12'>Autre titre</span><span id=zrl_1_A37>Dune</span><span id='zrl_1_A11'>22222</span><span class=x id=tzzrl_1_A8>11111</span>"
+        "<a role='button' id='zrl_1_A5'>19 h 10</a><a role=button id=zrl_1_A6>20:15</a>"
+    )
+    df = spark.createDataFrame([("u", html)], "page string, html string")
+    read = lambda **profile: [(r.title, r.time, r.key) for r in pages.ticket_rows(df, pages.TicketSpec("https://t.example/a?P1=01", **profile)).orderBy("pos").collect()]
+    assert read() == [("Dune", "19:10", "11111"), ("Dune", "20:15", "22222")]
+    assert read(title_cells=("tzzrl_{row}_A12",)) == [("Autre titre", "19:10", "11111"), ("Autre titre", "20:15", "22222")]
+
+
+def test_a_page_of_thousands_of_rows(spark):
+    html = "".join(f'<span id="zrl_{i}_A37">Film {i}</span><a id="c-{i}-A5" role="button" href="/x?P3={100000 + i}">19:10</a>' for i in range(5000))
+    df = spark.createDataFrame([("u", html)], "page string, html string")
+    rows = pages.ticket_rows(df, pages.TicketSpec("https://t.example/a?P1=01")).collect()
+    assert {(r.title, r.key) for r in rows} == {(f"Film {i}", str(100000 + i)) for i in range(5000)} and len(rows) == 5000
+
+
+def test_showtimes_in_other_markup(spark):
+    html = (
+        "<div class='days-slider-slide-trigger-content'><span class=days-slider-weekday>lundi</span><span class='a days-slider-date'>8</span>"
+        "<span class='days-slider-month b'>janvier</span></div><section data-x=1 class='cinema-schedule-movies'><div class=theater-item>"
+        "<h3 class='item-title'><a href='/c'>Cinéma Un</a></h3><div class='item-subtitle'>Groupe A • 4 salles</div>"
+        "<span class=movie-time>13h05</span><span class='session-time late'>19h10</span></div></section>"
+    )
+    row = pages.showtime_blocks(spark.createDataFrame([("u", html)], "page string, html string")).first()
+    assert (row.day_label, row.theater, row.company, row.screens, row.times) == ("lundi 8 janvier", "Cinéma Un", "Groupe A", 4, ["13h05", "19h10"])
+
+
 def test_stream_equals_batch(spark, folder, tmp_path):
     t = SampleTables(spark, folder)
     target = t.showings.select("id", "theater_id", "screen_id", "start_at", "seats_sold", F.lit(None).cast("timestamp_ntz").alias("scraped_at"))
