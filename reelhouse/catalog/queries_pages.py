@@ -135,3 +135,13 @@ def _(spark, folder):
     shouting = pages.TicketSpec("https://tickets.example/FR/Film-achat.awp?P1=01&P2=01", clean_title=F.upper)
     rows = pages.ticket_rows(sample_pages.ticket_pages(SampleTables(spark, folder)), shouting)
     return shown(rows.select("theater_id", "date", "row", "title", "time"))
+
+
+@query("x02_site_profile", """
+SELECT theater_id, CAST(date AS VARCHAR) AS date, CAST(pos AS VARCHAR) AS row, trim(title) AS title, unnest([time, '23:30']) AS time FROM schedule_items""")
+def _(spark, folder):
+    # a site that keeps its titles in another cell, and something else where they usually are
+    moved = F.regexp_replace("html", 'id="zrl_([0-9]+)_A37">', "id='zrl_$1_A37'>Menu</span><span id='tzzrl_$1_A12'>")
+    landed = sample_pages.ticket_pages(SampleTables(spark, folder)).withColumn("html", moved)
+    rows = pages.ticket_rows(landed, pages.TicketSpec("https://tickets.example/FR/Film-achat.awp?P1=01&P2=01", title_cells=("tzzrl_{row}_A12",)))
+    return shown(rows.select("theater_id", "date", "row", "title", "time"))
