@@ -22,8 +22,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.one_of_each(docs, limit=3, size=3)
+    """One document of each group of near-duplicates, shared five-word shingles of 80% included."""
+    return simhash.one_of_similar(docs, limit=3, size=3)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
