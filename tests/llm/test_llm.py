@@ -110,6 +110,47 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def similarities(texts):
+    """Jaccard similarity of the sets of five-word shingles, for pairs that share one."""
+    sets, holders, shared = {}, {}, {}
+    for i, text in texts.items():
+        seen = (text or "").lower().split()
+        sets[i] = {tuple(seen[k : k + 5]) for k in range(max(1, len(seen) - 4))}
+        for s in sets[i]:
+            for j in holders.setdefault(s, []):
+                shared[j, i] = shared.get((j, i), 0) + 1
+            holders[s].append(i)
+    return {(i, j): n / (len(sets[i]) + len(sets[j]) - n) for (i, j), n in shared.items()}
+
+
+def test_simhash_of_similar_texts(spark):
+    rows, draw = odd_rows(), random.Random(5)
+    for i in range(80):
+        base = words(i // 4, 200 + i)
+        for _ in range(i % 4):  # each changed word takes five shingles away
+            base[draw.randrange(200)] = "changed"
+        rows.append((100 + i, " ".join(base[: 200 + i // 4]), "n"))
+    docs = frame(spark, rows)
+    kept = simhash.one_of_similar(docs)
+    assert kept.columns == docs.columns
+    ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None and r.doc_id >= 100)
+    assert ids == [100 + 4 * i for i in range(20)]
+    apart = frame(spark, [(i, " ".join(words(1000 + i, 60)), "n") for i in range(50)])
+    assert simhash.one_of_similar(apart).count() == 50
+    assert simhash.one_of_similar(docs.limit(0)).count() == 0
+
+
+def test_simhash_of_one_large_group(spark, monkeypatch):
+    """Copies of one text whose word sets hardly differ, in more than one upper node."""
+    monkeypatch.setattr(simhash, "GROUP_ROWS", 64)
+    draw, base, rows = random.Random(6), words(77, 300), []
+    for i in range(600):
+        copy = list(base)
+        copy[draw.randrange(300)] = f"w{draw.randrange(40)}"
+        rows.append((i, " ".join(copy), "n"))
+    assert [r.doc_id for r in simhash.one_of_similar(frame(spark, rows)).collect()] == [0]
+
+
 def test_simhash(spark):
     rows, draw = odd_rows(), random.Random(3)
     for i in range(60):
@@ -374,7 +415,12 @@ def test_pipeline_stages(spark, folder):
     assert {r.doc_id for r in single.collect()} == {min(x)[1] for x in best.values()} and single.count() == len(best)
     near = written(stages["simhash_dedup"](spark, single, folder), "test")
     classes = {r.component_id for r in simhash.near_duplicates(single).collect()}
-    assert {r.doc_id for r in near.collect()} == classes and near.columns == docs.columns
+    stayed = {r.doc_id for r in near.collect()}
+    assert stayed <= classes and near.count() == len(stayed) and near.columns == docs.columns
+    alike = similarities({r.doc_id: r.text for r in single.collect()})
+    assert not [pair for pair, share in alike.items() if share >= 0.8 and set(pair) <= stayed]
+    partners = {i for pair, share in alike.items() if share >= 0.65 for i in pair}
+    assert classes - stayed <= partners, "only documents with a similar one go"
     mixed = written(stages["source_mix"](spark, near, folder), "test")
     plan = mixing.mix(near).toPandas()
     assert sum(len(r.text.split()) for r in mixed.collect()) == pytest.approx(plan.taken.sum(), rel=0.01) and mixed.columns == docs.columns
