@@ -8,8 +8,8 @@ with the bits its members have in common. Pairs of nodes, then of leaves, whose
 exceed the limit are pruned as a whole before any two fingerprints meet.
 
 One fingerprint within three bits finds only the closest copies. `one_of_similar`, which thins a corpus, therefore asks
-for more: several fingerprints of the set of words, searched by the same index, name candidates, and a wide fingerprint of
-the five-word shingles tells which of those are similar.
+for more: texts that share one of several MinHash keys of their five-word shingles are candidates, whatever kind of edit
+sets them apart, and the exact overlap of the shingle sets tells which of those are similar.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.llm.common import chosen_rows, connected, row_key, text_of
@@ -33,15 +33,16 @@ GROUP_ROWS, LEAF = 2048, 16
 TASK_ROWS, PAIRS_AT_ONCE = 60_000, 2_000_000
 #: Shingles whose hash bits are counted at a time.
 SHINGLES_AT_ONCE = 65_536
-#: Fingerprints of the word set that name candidates. Two texts that share 80% of their shingles meet within three bits
-#: in a single one about two times in five.
-BANDS = 8
-#: Numbers of 64 bits in a wide fingerprint, and words of its shingles.
-WIDE, WIDE_SIZE = 8, 5
-#: Share of differing bits up to which wide fingerprints are similar. Sets with a Jaccard similarity of 0.8 have a cosine
-#: of 0.89, so 0.15 of their bits differ, give or take 0.016.
-WIDE_LIMIT = 0.176
+#: MinHash keys of a shingle set, and minima in a key. Two sets with a Jaccard similarity of 0.8 agree in a key with
+#: probability 0.8**4, so they share none of 32 keys about once in 20 million, and less than two about once in a million.
+BANDS, BAND_ROWS = 32, 4
+#: Words of a shingle.
+SHINGLE_WORDS = 5
+#: Jaccard similarity from which texts are similar, as a fraction.
+SIMILAR = (4, 5)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_SALT, _ODD = np.random.default_rng(5).integers(0, 1 << 32, (2, BANDS * BAND_ROWS, 1), dtype=np.uint64).astype(np.uint32)
+_ODD |= np.uint32(1)
 
 
 def fingerprint(text: str, size: int = 3) -> int:
@@ -70,17 +71,6 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
     return rows.mapInPandas(score, "doc_id long, row_key long, fp long")
 
 
-def _majority(hashes: np.ndarray, numbers: int) -> np.ndarray:
-    """A fingerprint of `numbers` times 64 bits of the set of hashes; the n-th number is the one of the n-th rehash."""
-    hashes = np.unique(hashes)
-    counts = np.zeros(numbers * BITS, dtype=np.int64)
-    for at in range(0, len(hashes), SHINGLES_AT_ONCE // 8):
-        part = hashes[at : at + SHINGLES_AT_ONCE // 8, None] + np.arange(1, numbers + 1, dtype=np.uint64) * _STEP
-        part = _scattered(part).astype("<u8").view(np.uint8)
-        counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")
-
-
 def _scattered(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -88,28 +78,37 @@ def _scattered(x: np.ndarray) -> np.ndarray:
 
 
 def signature(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The fingerprints of the set of words, and the wide one of the set of shingles; zeros without words."""
+    """MinHash keys of the set of shingles, and the set itself (32 bits of each hash); both empty without words."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     hashes = np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in words), dtype=np.uint64, count=len(words))
-    shingles = hashes[: max(1, len(words) - WIDE_SIZE + 1)]
-    for i in range(1, min(WIDE_SIZE, len(words))):
+    shingles = hashes[: max(1, len(words) - SHINGLE_WORDS + 1)]
+    for i in range(1, min(SHINGLE_WORDS, len(words))):
         shingles = _scattered(shingles * _STEP + hashes[i : i + len(shingles)])
-    return _majority(hashes, BANDS), _majority(shingles, WIDE)
+    shingles = np.unique((shingles >> np.uint64(32)).astype(np.uint32))
+    if not len(shingles):
+        return np.empty(0, dtype=np.int64), shingles.view(np.int32)
+    least = np.full(BANDS * BAND_ROWS, (1 << 32) - 1, dtype=np.uint32)
+    for at in range(0, len(shingles), SHINGLES_AT_ONCE // 64):
+        np.minimum(least, ((shingles[at : at + SHINGLES_AT_ONCE // 64] ^ _SALT) * _ODD).min(axis=1), out=least)
+    keys = np.zeros(BANDS, dtype=np.uint64)
+    for part in least.reshape(BANDS, BAND_ROWS).T:
+        keys = _scattered(keys * _STEP + part)
+    return keys.view(np.int64), shingles.view(np.int32)
 
 
 def signatures(docs: DataFrame, size: int = 3) -> DataFrame:
-    """doc_id, row_key, fp (see `fingerprints`), fps and wide (see `signature`) and node, which stands for those two, per row."""
+    """doc_id, row_key, fp (see `fingerprints`), keys and shingles (see `signature`) and node, which stands for the shingles, per row."""
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             both = [signature(t) for t in rows["text"]]
             fps = np.array([fingerprint(t, size) for t in rows["text"]], dtype=np.uint64)
-            sets = {"fps": [b[0] for b in both], "wide": [b[1] for b in both]}
+            sets = {"keys": [b[0] for b in both], "shingles": [b[1] for b in both]}
             yield pd.DataFrame({"doc_id": rows["doc_id"], "row_key": rows["row_key"], "fp": fps.view(np.int64), **sets})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), text_of().alias("text"))
-    scored = rows.mapInPandas(score, "doc_id long, row_key long, fp long, fps array<long>, wide array<long>")
-    return scored.withColumn("node", F.xxhash64("fps", "wide"))
+    scored = rows.mapInPandas(score, "doc_id long, row_key long, fp long, keys array<long>, shingles array<int>")
+    return scored.withColumn("node", F.xxhash64("shingles"))
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -176,18 +175,6 @@ def linked(codes: np.ndarray, groups: np.ndarray, limit: int) -> np.ndarray:
     return labels
 
 
-def closest(codes: np.ndarray, groups: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of positions: each code with the closest one of its group before it and the closest one behind it."""
-    none = np.iinfo(np.int64).max
-    before, behind = np.full(len(codes), none), np.full(len(codes), none)
-    for left, right, apart in close_pairs(codes, groups, limit):
-        np.minimum.at(before, right, apart.astype(np.int64) << 40 | left)
-        np.minimum.at(behind, left, apart.astype(np.int64) << 40 | right)
-    has_before, has_behind = np.flatnonzero(before < none), np.flatnonzero(behind < none)
-    place = (1 << 40) - 1
-    return np.r_[before[has_before] & place, has_behind], np.r_[has_before, behind[has_behind] & place]
-
-
 def close_pairs(codes: np.ndarray, groups: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Blocks of (left, right, differing bits) of all pairs of one group within the limit; codes as in `linked`."""
     place = np.arange(len(codes)) - np.repeat(_starts(groups), np.diff(np.r_[_starts(groups), len(codes)]))
@@ -228,41 +215,34 @@ def _signed(mask: int) -> int:
 def links(distinct: DataFrame, limit: int) -> DataFrame:
     """src, dst: links between the distinct fingerprints `distinct` (fp), enough to connect all within the limit.
 
-    A group of N fingerprints gives at most N links. With a column `band`, fingerprints meet within their band only, and
-    each group gives band, src, dst: of each fingerprint its closest ones, two at most. Patterns with over GROUP_ROWS members are factored by further bits
+    A group of N fingerprints gives at most N links. Patterns with over GROUP_ROWS members are factored by further bits
     until they are small or leave at most 16 bits open (then at most 2**16 distinct members can share one).
     """
     spark = distinct.sparkSession
-    band = ["band"] if "band" in distinct.columns else []
-    shape = ", ".join([*(f"{b} int" for b in band), "src long, dst long"])
+    shape = "src long, dst long"
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
-        codes, groups = rows["fp"].to_numpy().view(np.uint64), pd.factorize(pd.MultiIndex.from_frame(rows[[*band, "mask", "bits"]]))[0]
+        codes, groups = rows["fp"].to_numpy().view(np.uint64), pd.factorize(pd.MultiIndex.from_frame(rows[["mask", "bits"]]))[0]
         order = np.lexsort((gray_rank(codes), groups))
         codes, groups = codes[order], groups[order]
-        if band:
-            left, right = closest(codes, groups, limit)
-            bands = rows["band"].to_numpy()[order][left]
-            pairs = pd.DataFrame({"band": bands, "src": codes[left].view(np.int64), "dst": codes[right].view(np.int64)})
-            return pairs.drop_duplicates()
         labels = linked(codes, groups, limit)
         moved = np.flatnonzero(labels != np.arange(len(labels)))
         return pd.DataFrame({"src": codes[moved].view(np.int64), "dst": codes[labels[moved]].view(np.int64)})
 
-    masks, below, found = [0], distinct.select(*band, "fp", F.lit(0).cast("long").alias("above")), []
+    masks, below, found = [0], distinct.select("fp", F.lit(0).cast("long").alias("above")), []
     while masks:
         children = [(_signed(m), _signed(c)) for m in masks for c in _blocks(m, limit + 1)]
         table = F.create_map(*[x for m in masks for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(c)) for c in _blocks(m, limit + 1)]))])
-        keyed = below.select(*band, "fp", F.explode(F.element_at(table, F.col("above"))).alias("mask")).withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
-        counts = keyed.groupBy(*band, "mask", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        keyed = written(keyed.join(counts, [*band, "mask", "bits"]), "patterns")
+        keyed = below.select("fp", F.explode(F.element_at(table, F.col("above"))).alias("mask")).withColumn("bits", F.col("fp").bitwiseAND(F.col("mask")))
+        counts = keyed.groupBy("mask", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        keyed = written(keyed.join(counts, ["mask", "bits"]), "patterns")
         last = min(BITS - (c % (1 << BITS)).bit_count() for _, c in children) < 16
         small = keyed if last else keyed.where(F.col("n") <= GROUP_ROWS)
         rows = small.count()
         if rows:
-            tasks = F.pmod(F.xxhash64(*band, "mask", "bits"), F.lit(rows // TASK_ROWS + 1))
+            tasks = F.pmod(F.xxhash64("mask", "bits"), F.lit(rows // TASK_ROWS + 1))
             found.append(written(small.withColumn("task", tasks).groupBy("task").applyInPandas(search, shape), "links"))
-        below = keyed.where(F.col("n") > GROUP_ROWS).select(*band, "fp", F.col("mask").alias("above"))
+        below = keyed.where(F.col("n") > GROUP_ROWS).select("fp", F.col("mask").alias("above"))
         masks = [] if last or below.isEmpty() else [r["above"] for r in below.select("above").distinct().collect()]
         masks = [m % (1 << BITS) for m in masks]
     if not found:
@@ -308,34 +288,44 @@ def _first_of_each(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return chosen_rows(docs, written(best.select("best.doc_id", "best.row_key", "best.repeats"), "kept"))
 
 
-def similar(rows: DataFrame, limit: int = 3) -> DataFrame:
-    """src, dst: nodes of `rows` (see `signatures`) whose wide fingerprints are similar.
+def similar(rows: DataFrame) -> DataFrame:
+    """src, dst: pairs of nodes of `rows` (see `signatures`) that share a key and SIMILAR of their shingles."""
+    nodes = written(rows.groupBy("node").agg(F.first("keys").alias("keys"), F.first(F.size("shingles")).alias("n")), "nodes")
+    spread = nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
+    shared = spread.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    spread = written(spread.join(shared, ["band", "key"]), "shared")
+    return _verified(_pairs(spread, ["band", "key"]), rows)
 
-    Of the nodes that share a fingerprint, the smallest represents it: the others are compared with that one, and
-    representatives with the closest ones of other fingerprints that the index finds. So a group of N copies gives some N
-    candidates a band, not all pairs, and each of the bands picks others. Only candidates carry wide fingerprints.
-    """
-    nodes = written(rows.groupBy("node").agg(F.first("fps").alias("fps"), F.first("wide").alias("wide")), "nodes")
-    spread = nodes.select("node", F.posexplode("fps").alias("band", "fp"))
-    firsts = written(spread.groupBy("band", "fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")), "representatives")
-    own = spread.join(firsts.where("n > 1"), ["band", "fp"]).where("node <> first").select(F.col("node").alias("src"), F.col("first").alias("dst"))
-    met = links(firsts.select("band", "fp"), limit).distinct()
-    for end in ("src", "dst"):
-        named = firsts.select("band", F.col("fp").alias(end), F.col("first").alias(f"{end}_node"))
-        met = met.join(named, ["band", end])
-    pairs = own.union(met.select(F.col("src_node").alias("src"), F.col("dst_node").alias("dst"))).where("src <> dst")
-    pairs = written(pairs.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), "candidates")
+
+def _pairs(members: DataFrame, group: list[str]) -> DataFrame:
+    """src, dst: all pairs of `members` (node, n) of one group, src > dst, whose sizes let them be similar; each once."""
+    a = members.select(*group, F.col("node").alias("src"), F.col("n").alias("src_n"))
+    b = members.select(*group, F.col("node").alias("dst"), F.col("n").alias("dst_n"))
+    pairs = a.join(b, group).where("src > dst")
+    return pairs.where(_sizes_allow(F.col("src_n"), F.col("dst_n"))).select("src", "dst").distinct()
+
+
+def _sizes_allow(a: Column, b: Column) -> Column:
+    return F.least(a, b) * SIMILAR[1] >= F.greatest(a, b) * SIMILAR[0]
+
+
+def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs whose sets of shingles, from `rows`, are similar."""
+    pairs = written(pairs, "candidates")
+    named = pairs.select(F.col("src").alias("node")).union(pairs.select(F.col("dst").alias("node"))).distinct()
+    sets = rows.select("node", "shingles").join(named, "node", "left_semi").dropDuplicates(["node"])
+    sets = written(sets, "shingles")
     for end in ("src", "dst"):
-        pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("wide").alias(f"{end}_wide")), end)
-    apart = sum((F.bit_count(F.col("src_wide")[i].bitwiseXOR(F.col("dst_wide")[i])) for i in range(WIDE)), F.lit(0))
-    return pairs.where(apart <= int(WIDE_LIMIT * WIDE * BITS)).select("src", "dst")
+        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("shingles").alias(f"{end}_set")), end)
+    both = F.size(F.array_intersect("src_set", "dst_set"))
+    either = F.size("src_set") + F.size("dst_set") - both
+    return written(pairs.where(both * SIMILAR[1] >= either * SIMILAR[0]).select("src", "dst"), "similar")
 
 
 def one_of_similar(docs: DataFrame, limit: int = 3, size: int = 3) -> DataFrame:
     """The rows of `docs` of which no near-duplicate comes earlier: of each group the smallest doc_id, whole.
 
-    A group holds what `near_duplicates` links, and texts that share about 80% or more of their five-word shingles
-    (`similar`). Null and empty texts are copies of each other; missing ids come last; of repeated rows one stays; other
+    A group holds what `near_duplicates` links, and texts that share 80% or more of their five-word shingles (`similar`). Null and empty texts are copies of each other; missing ids come last; of repeated rows one stays; other
     columns are carried along, and an empty table gives an empty one.
     """
     signed = written(signatures(docs, size), "signatures")
@@ -344,6 +334,6 @@ def one_of_similar(docs: DataFrame, limit: int = 3, size: int = 3) -> DataFrame:
     rows = written(rows.select("doc_id", "row_key", "node", F.coalesce("root", "fp").alias("near")), "classes")
     lows = rows.groupBy("near").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     edges = rows.join(lows, "near").where("node <> low").select(F.col("node").alias("src"), F.col("low").alias("dst"))
-    roots = connected(edges.union(similar(signed, limit)))
+    roots = connected(edges.union(similar(signed)))
     rows = rows.join(roots, "node", "left").select("doc_id", "row_key", F.coalesce("root", "node").alias("root"))
     return _first_of_each(docs, rows)

@@ -140,6 +140,36 @@ def test_simhash_of_similar_texts(spark):
     assert simhash.one_of_similar(docs.limit(0)).count() == 0
 
 
+def edited(draw, base, kind, share):
+    """A copy of `base` with about `share` of its shingles common to both."""
+    n, fresh = len(base), [f"v{draw.randrange(10**6)}" for _ in range(len(base))]
+    if kind == "appended":
+        return base + fresh[: int(n * (1 / share - 1))]
+    if kind == "cut off":
+        return base[: int(n * share)]
+    gone = int(n * (1 - share) / (1 + share))
+    if kind == "replaced":
+        at = draw.randrange(n - gone)
+        return [*base[:at], *fresh[:gone], *base[at + gone :]]
+    copy = list(base)
+    for at in draw.sample(range(n), max(1, gone // 5)):
+        copy[at] = fresh[at]
+    return copy
+
+
+@pytest.mark.parametrize("kind", ["appended", "cut off", "replaced", "scattered"])
+def test_simhash_of_every_kind_of_edit(spark, kind):
+    draw, rows = random.Random(kind), []
+    for i in range(60):
+        base = [f"u{draw.randrange(10**5)}" for _ in range(draw.choice([120, 400, 1500]))]
+        rows += [(2 * i, " ".join(base), "n"), (2 * i + 1, " ".join(edited(draw, base, kind, draw.choice([0.83, 0.87, 0.92]))), "n")]
+    alike = similarities({i: t for i, t, _ in rows})
+    stayed = {r.doc_id for r in simhash.one_of_similar(frame(spark, rows)).collect()}
+    assert sum(share >= 0.8 for share in alike.values()) > 40
+    assert not [pair for pair, share in alike.items() if share >= 0.8 and set(pair) <= stayed]
+    assert {i for i, _, _ in rows} - stayed <= {i for pair, share in alike.items() if share >= 0.8 for i in pair}
+
+
 def test_simhash_of_one_large_group(spark, monkeypatch):
     """Copies of one text whose word sets hardly differ, in more than one upper node."""
     monkeypatch.setattr(simhash, "GROUP_ROWS", 64)
