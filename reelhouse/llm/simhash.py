@@ -36,6 +36,8 @@ SHINGLES_AT_ONCE = 65_536
 #: MinHash keys of a shingle set, and minima in a key. Two sets with a Jaccard similarity of 0.8 agree in a key with
 #: probability 0.8**4, so they share none of 32 keys about once in 20 million, and less than two about once in a million.
 BANDS, BAND_ROWS = 32, 4
+#: Members of a key up to which all are compared with each other at once, and turns in which a larger group meets one of its members.
+FEW, TURNS = 32, 3
 #: Words of a shingle.
 SHINGLE_WORDS = 5
 #: Jaccard similarity from which texts are similar, as a fraction.
@@ -289,19 +291,54 @@ def _first_of_each(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def similar(rows: DataFrame) -> DataFrame:
-    """src, dst: pairs of nodes of `rows` (see `signatures`) that share a key and SIMILAR of their shingles."""
+    """src, dst: verified pairs of nodes of `rows` (see `signatures`), enough to connect all that share a key and SIMILAR of their shingles.
+
+    Up to FEW nodes of a key are compared pairwise. In a larger group the members meet one of them, turn by turn; nodes
+    that are connected need no comparison any more, so a group of N copies costs some N pairs. A group that still holds
+    several components is subdivided by its members' other keys, and there all pairs across components are compared.
+    """
+    group = ["band", "key"]
     nodes = written(rows.groupBy("node").agg(F.first("keys").alias("keys"), F.first(F.size("shingles")).alias("n")), "nodes")
     spread = nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
-    shared = spread.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    spread = written(spread.join(shared, ["band", "key"]), "shared")
-    return _verified(_pairs(spread, ["band", "key"]), rows)
+    shared = written(spread.groupBy(*group).agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "groups")
+    spread = written(spread.join(shared, group), "shared")
+    found = _verified(_pairs(spread.where(F.col("members") <= FEW), group), rows)
+    crowded = spread.where(F.col("members") > FEW).select(*group, "node", "n")
+    for turn in range(TURNS + 1):
+        crowded = _apart(crowded, connected(found), group)
+        if crowded.isEmpty():
+            return found
+        if turn < TURNS:
+            found = found.union(_verified(_with_one(crowded, group, turn), rows))
+    other = crowded.select("node", F.col("band").alias("band2"), F.col("key").alias("key2"))
+    finer = crowded.join(other, "node").where("band < band2")
+    return found.union(_verified(_pairs(written(finer, "finer"), [*group, "band2", "key2"]), rows))
+
+
+def _apart(members: DataFrame, roots: DataFrame, group: list[str]) -> DataFrame:
+    """`members` of groups that aren't connected as a whole, with the root of each."""
+    named = members.select(*group, "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = written(named, "members")
+    several = named.groupBy(*group).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return written(named.join(written(several.select(*group), "open"), group), "crowded")
+
+
+def _with_one(members: DataFrame, group: list[str], turn: int) -> DataFrame:
+    """src, dst: each node with the member chosen this turn, of the groups that chose alike the one it meets most often."""
+    first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), F.col("node").alias("one"), F.col("root").alias("of"), F.col("n").alias("one_n")))
+    chosen = written(members.groupBy(*group).agg(first.alias("x")).select(*group, "x.one", "x.of", "x.one_n"), "chosen")
+    met = members.join(chosen, group).where("root <> of").where(_sizes_allow(F.col("n"), F.col("one_n")))
+    often = met.groupBy("node", "one").agg(F.count(F.lit(1)).alias("times"))
+    best = often.groupBy("node").agg(F.max(F.struct("times", "one")).alias("x"))
+    return best.select(F.greatest("node", "x.one").alias("src"), F.least("node", "x.one").alias("dst")).distinct()
 
 
 def _pairs(members: DataFrame, group: list[str]) -> DataFrame:
-    """src, dst: all pairs of `members` (node, n) of one group, src > dst, whose sizes let them be similar; each once."""
-    a = members.select(*group, F.col("node").alias("src"), F.col("n").alias("src_n"))
-    b = members.select(*group, F.col("node").alias("dst"), F.col("n").alias("dst_n"))
-    pairs = a.join(b, group).where("src > dst")
+    """src, dst: all pairs of `members` (node, n) of one group and different roots, if any, src > dst, whose sizes let them be similar; each once."""
+    root = F.col("root") if "root" in members.columns else F.col("node")
+    a = members.select(*group, F.col("node").alias("src"), F.col("n").alias("src_n"), root.alias("src_root"))
+    b = members.select(*group, F.col("node").alias("dst"), F.col("n").alias("dst_n"), root.alias("dst_root"))
+    pairs = a.join(b, group).where("src > dst and src_root <> dst_root")
     return pairs.where(_sizes_allow(F.col("src_n"), F.col("dst_n"))).select("src", "dst").distinct()
 
 

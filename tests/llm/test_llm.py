@@ -170,6 +170,21 @@ def test_simhash_of_every_kind_of_edit(spark, kind):
     assert {i for i, _, _ in rows} - stayed <= {i for pair, share in alike.items() if share >= 0.8 for i in pair}
 
 
+def test_simhash_of_crowds(spark, monkeypatch):
+    """Unrelated texts of the same few words, and texts that have a template in common, each with a near copy of its own."""
+    monkeypatch.setattr(simhash, "FEW", 3)
+    draw, rows = random.Random(8), []
+    template = [f"t{draw.randrange(10**5)}" for _ in range(300)]
+    for i in range(80):
+        base = [f"w{draw.randrange(40)}" for _ in range(500)] if i % 2 else template + [f"u{draw.randrange(10**5)}" for _ in range(110)]
+        copy = base[:-12] + [f"w{draw.randrange(40)}" for _ in range(20)]
+        rows += [(2 * i, " ".join(base), "n"), (2 * i + 1, " ".join(copy), "n")]
+    alike = similarities({i: t for i, t, _ in rows})
+    assert all(alike[2 * i, 2 * i + 1] >= 0.8 for i in range(80)) and sum(0.5 < share < 0.8 for share in alike.values()) > 1000
+    assert sum(share >= 0.8 for share in alike.values()) == 80
+    assert sorted(r.doc_id for r in simhash.one_of_similar(frame(spark, rows)).collect()) == list(range(0, 160, 2))
+
+
 def test_simhash_of_one_large_group(spark, monkeypatch):
     """Copies of one text whose word sets hardly differ, in more than one upper node."""
     monkeypatch.setattr(simhash, "GROUP_ROWS", 64)
