@@ -429,6 +429,28 @@ def test_licences(spark):
     assert found[8][:2] == ("Apache-2.0", "own") and found[9] == (None, "none", None)
 
 
+def test_licences_in_windows(spark):
+    import pathlib
+    import textwrap
+
+    whole = {n: (pathlib.Path(licenses.__file__).parent / "licence_texts" / f"{n}.txt").read_text() for n in licenses.TEXTS}
+    gpl = licenses.HEADERS[1][1]
+    prose = " ".join(words(5, 60))
+    wrapped = lambda t: "\n".join(f" * {x}" for x in textwrap.wrap(t, 60))
+    rows = [(f"h/{n}/LICENSE", t, n) for n, t in whole.items()]
+    rows += [(f"h/one/{n}.txt", "Copyright (c) 2020 Somebody " + " ".join(t.split()), n) for n, t in whole.items()]
+    rows += [
+        ("a.c", wrapped(gpl) + "\nint main() {}", "GPL-3.0"), ("b.c", wrapped(gpl.replace("version 3", "version 2")) + "\nint x;", "GPL-2.0"),
+        ("c.c", wrapped(gpl.replace("General", "Lesser General").replace("program", "library").replace("version 3", "version 2.1")), "LGPL-2.1"),
+        ("d.html", "<p>This work is licensed under the <a href='x'>GNU General Public License</a>, version 3.</p>", "GPL-3.0"),
+        ("e.html", f"<p>{prose} Released under the MIT License. {prose}</p>", "MIT"), ("f.txt", f"{prose} released under the Foo License. {prose}", None),
+        ("g.txt", f"{prose} permission licence {prose}", None), ("h/MIT/x/y.py", "code", "MIT"),
+    ]
+    files = spark.createDataFrame([(i, p, t) for i, (p, t, _) in enumerate(rows)], "file_id long, path string, text string")
+    found = {r.path: r.licence for r in licenses.scan(files).collect()}
+    assert found == {p: n for p, _, n in rows}
+
+
 def test_registered_sql(spark, folder):
     from compare import duck, rows_of
     from reelhouse.llm.queries import QUERIES, SQL
