@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from reelhouse.llm.common import row_key
 from reelhouse.session import written
 
 #: Bytes that the hash looks back on, reach of a cut, longest chunk (only where content repeats itself), least span.
@@ -69,16 +70,16 @@ def cuts(data: bytes) -> np.ndarray:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, nth, start, bytes, words, digest of every chunk; rows without doc_id or text have none.
+    """doc_id, row_key, nth, start, bytes, words, digest of every chunk; rows without doc_id or text have none.
 
     Words are counted where they end. 64 bits of digest do: a span takes several chunks in a row, so one chance match is none.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("nth", pa.int32()), ("start", pa.int64()), ("bytes", pa.int32()), ("words", pa.int32()), ("digest", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("nth", pa.int32()), ("start", pa.int64()), ("bytes", pa.int32()), ("words", pa.int32()), ("digest", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, held = [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 data = text.as_buffer().to_pybytes()
                 ends = cuts(data)
                 if not len(ends):
@@ -87,7 +88,7 @@ def chunks(docs: DataFrame) -> DataFrame:
                 space = _SPACE[np.frombuffer(data, dtype=np.uint8)]
                 ended = np.r_[0, np.cumsum(~space & np.r_[space[1:], True])]
                 digests = np.frombuffer(b"".join([xxhash.xxh3_64_digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]), dtype="<i8")
-                parts.append((np.full(len(ends), doc_id), np.arange(len(ends)), starts, ends - starts, ended[ends] - ended[starts], digests))
+                parts.append((np.full(len(ends), doc_id), np.full(len(ends), key), np.arange(len(ends)), starts, ends - starts, ended[ends] - ended[starts], digests))
                 held += len(ends)
                 if held > 100_000:
                     yield _batch(parts, schema)
@@ -95,8 +96,8 @@ def chunks(docs: DataFrame) -> DataFrame:
             if parts:
                 yield _batch(parts, schema)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    return rows.mapInArrow(cut, "doc_id long, nth int, start long, bytes int, words int, digest long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
+    return rows.mapInArrow(cut, "doc_id long, row_key long, nth int, start long, bytes int, words int, digest long")
 
 
 def _batch(parts, schema: pa.Schema) -> pa.RecordBatch:
@@ -105,38 +106,39 @@ def _batch(parts, schema: pa.Schema) -> pa.RecordBatch:
 
 
 def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, start, length (bytes of UTF-8), words, first_doc_id, dropped for every repeated span of `docs` (doc_id, text).
+    """doc_id, row_key, start, length (bytes of UTF-8), words, first_doc_id, dropped for every repeated span of `docs` (doc_id, text).
 
     A span is a run of neighbouring chunks that other documents hold too, of at least `least_words` words; a chunk's first
     holder is the smallest doc_id that has it. Neighbours fall into one span if their first holders agree on whether this
     document is the first. dropped tells spans whose chunks an earlier document holds; first_doc_id is the smallest first
     holder. A span of whole chunks is shorter than the passage it lies in, by less than two chunks on average.
 
-    Rows without doc_id or text take no part, neither do repeats within one document. Rows of one doc_id count as one document, and
-    exact repeats of a row once. An empty table has no spans. Other columns are not looked at.
+    Rows without doc_id or text take no part, neither do repeats within one document. Rows of one doc_id count as one
+    document when first holders are named, but spans lie within one text, which row_key tells; exact repeats of a row count once. An empty table has no spans. Other columns are not looked at.
     """
     found = written(chunks(docs), "chunks")
     holders = found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     repeated = holders.where("first < last").drop("last")
-    hits = found.join(repeated, "digest").select("doc_id", "nth", "start", "bytes", "words", "first", (F.col("first") < F.col("doc_id")).alias("dropped"))
-    hits = hits.dropDuplicates(["doc_id", "nth", "start", "bytes", "first"])
-    order = Window.partitionBy("doc_id", "dropped").orderBy("nth", "start")
-    runs = hits.withColumn("run", F.col("nth") - F.dense_rank().over(order))
-    spans = runs.groupBy("doc_id", "dropped", "run").agg(
+    hits = found.join(repeated, "digest").select("doc_id", "row_key", "nth", "start", "bytes", "words", "first", (F.col("first") < F.col("doc_id")).alias("dropped"))
+    hits = hits.dropDuplicates(["doc_id", "row_key", "nth"])
+    order = Window.partitionBy("doc_id", "row_key", "dropped").orderBy("nth")
+    runs = hits.withColumn("run", F.col("nth") - F.row_number().over(order))
+    spans = runs.groupBy("doc_id", "row_key", "dropped", "run").agg(
         F.min("start").alias("start"),
         F.max(F.col("start") + F.col("bytes")).alias("end"),
         F.sum("words").alias("words"),
         F.min("first").alias("first_doc_id"),
     )
     spans = spans.where(F.col("words") >= least_words)
-    return spans.select("doc_id", "start", (F.col("end") - F.col("start")).alias("length"), "words", "first_doc_id", "dropped")
+    return spans.select("doc_id", "row_key", "start", (F.col("end") - F.col("start")).alias("length"), "words", "first_doc_id", "dropped")
 
 
 def without_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """`docs` with the dropped spans cut out of their texts; the first holder keeps them. Other columns stay as they are."""
     names = docs.columns
-    gone = spans.where("dropped").groupBy(F.col("doc_id").alias("_llm_id")).agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("_llm_gone"))
-    joined = docs.join(gone, docs["doc_id"] == F.col("_llm_id"), "left")
+    gone = spans.where("dropped").groupBy(F.col("doc_id").alias("_llm_id"), F.col("row_key").alias("_llm_row")).agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("_llm_gone"))
+    keyed = docs.withColumn("_llm_key", row_key())
+    joined = keyed.join(gone, (keyed["doc_id"] == F.col("_llm_id")) & (F.col("_llm_key") == F.col("_llm_row")), "left")
 
     @F.pandas_udf("string")
     def rest(texts, gone):

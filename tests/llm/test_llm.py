@@ -414,6 +414,20 @@ def test_substring_dedup(spark, odd):
     assert ends[-1] == 18_000 and np.diff(np.r_[0, ends]).max() <= substring_dedup.LONGEST
 
 
+def test_substring_dedup_of_several_texts_with_one_id(spark):
+    passage = " ".join(words(78, 90))
+    texts = [f"{' '.join(words(300 + i, n))} {passage} {' '.join(words(400 + i, 40))}" for i, n in enumerate([30, 33, 90])]
+    docs = frame(spark, [(1, texts[0], "s"), (5, texts[1], "s"), (5, texts[2], "s"), (5, texts[2], "s")])
+    spans = substring_dedup.repeated_spans(docs)
+    got = spans.collect()
+    assert sorted((r.doc_id, r.dropped) for r in got) == [(1, False), (5, True), (5, True)]
+    assert len({r.row_key for r in got}) == 3 and all(r.words >= 60 for r in got)
+    left = [r.text for r in substring_dedup.without_repeats(docs, spans).collect()]
+    assert len(left) == 4 and texts[0] in left and sum(passage in t for t in left) == 1
+    for i, text in enumerate(texts):
+        assert any(t.startswith(" ".join(words(300 + i, 20))) and t.endswith(" ".join(words(400 + i, 40)[25:])) for t in left)
+
+
 def test_licences(spark):
     notice = "Licensed under the Apache License, Version 2.0."
     rows = [
