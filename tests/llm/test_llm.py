@@ -1,6 +1,7 @@
 """The pipeline operators against brute force, exact round trips and held-out accuracy, on small tables with odd rows."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -428,6 +429,26 @@ def test_substring_dedup_of_several_texts_with_one_id(spark):
         assert any(t.startswith(" ".join(words(300 + i, 20))) and t.endswith(" ".join(words(400 + i, 40)[25:])) for t in left)
 
 
+def test_substring_dedup_of_short_words_and_text_without_spaces(spark):
+    draw, rows, want = random.Random(4), [], {}
+    short = lambda n: " ".join("".join(draw.choice("abcdefghijklmnop") for _ in range(draw.choice([2, 2, 3]))) for _ in range(n))
+    signs = lambda n: "".join(chr(draw.randrange(0x4E00, 0x9000)) for _ in range(n))
+    for i in range(100):
+        passage, fill = (short(51), short) if i % 4 else (signs(90), signs)
+        space = " " if i % 4 else ""
+        before, behind = [fill(draw.randrange(60, 90)) + space for _ in range(2)], [space + fill(50) for _ in range(2)]
+        left, right = (len(os.path.commonprefix(x)) for x in ([t[::-1] for t in before], behind))  # by chance
+        for k in (0, 1):
+            rows.append((2 * i + k, before[k] + passage + behind[k], "s"))
+            start = len(before[k]) - left
+            want[2 * i + k] = [(len(before[k][:start].encode()), len(rows[-1][1][start : len(before[k] + passage) + right].encode()))]
+    got = {}
+    for r in substring_dedup.repeated_spans(frame(spark, rows)).collect():
+        got.setdefault(r.doc_id, []).append((r.start, r.length))
+        assert r.doc_id // 2 % 4 == 0 or 51 <= r.words <= 54
+    assert {i: (got.get(i), want[i]) for i in want if got.get(i) != want[i]} == {}
+
+
 def test_licences(spark):
     notice = "Licensed under the Apache License, Version 2.0."
     rows = [
