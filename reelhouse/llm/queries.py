@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import exact_dedup, licenses, mixing, neighbours, packing, quality, simhash, substring_dedup, token_counts, token_store
+from reelhouse.llm import (
+    exact_dedup, lexical, licenses, line_dedup, mixing, neighbours, packing, quality, simhash, substring_dedup, token_counts, token_store, whitening,
+)
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 QUERIES = {}
@@ -74,6 +76,22 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
 
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whitened(table(spark, folder, "embeddings"), components=8)
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_counts(table(spark, folder, "documents"), least_docs=10, least_chars=1)
+
+
+@query
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
 SQL = {
     "op3_mixing": r"""
 WITH sized AS (
@@ -105,4 +123,25 @@ WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS chars, sha256(regexp_rep
 SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
   row_number() OVER best = 1 AS kept, text_sha256
 FROM n WINDOW best AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)""",
+    "op12_line_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS nth FROM d),
+k AS (SELECT r, nth, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+often AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+kept AS (SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE o.key IS NOT NULL) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (WHERE o.key IS NULL), '') AS text
+  FROM k LEFT JOIN often o ON o.key = k.key GROUP BY r)
+SELECT d.doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM d JOIN kept USING (r)""",
+    "op13_lexical_search": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+whole AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS docs, sum(len(terms))::BIGINT AS all_terms FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, whole GROUP BY term, docs),
+asked AS (SELECT DISTINCT item_id, text, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+sized AS (SELECT r, doc_id, 10 + (90 * len(terms)::BIGINT * docs) // all_terms AS m FROM d, whole WHERE len(terms) > 0),
+scores AS (SELECT item_id, text, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN sized USING (r) GROUP BY ALL),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
