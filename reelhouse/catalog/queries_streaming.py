@@ -9,9 +9,9 @@ from reelhouse.catalog.queries_tables import shown
 from reelhouse.catalog.queries_worklist import _PROVIDED
 from reelhouse.catalog.registry import query
 from reelhouse.functions import time as tm
-from reelhouse.plans import monitor
 from reelhouse.session import shared_folder
 from reelhouse.sources.sample import SampleTables
+from reelhouse.streaming import completeness
 from reelhouse.streaming import measurements as stream
 
 _WINDOWED = f"""
@@ -53,11 +53,14 @@ def landed(spark, t: SampleTables, base: str) -> str:
     return path
 
 
+def stream_target(t: SampleTables):
+    return t.showings.select("id", "theater_id", "screen_id", "start_at", "seats_sold", F.lit(None).cast("timestamp_ntz").alias("scraped_at"))
+
+
 def run_stream(spark, folder):
     t = SampleTables(spark, folder)
     base = shared_folder(spark, f"measurement-stream-{uuid.uuid4().hex}")
-    target = t.showings.select("id", "theater_id", "screen_id", "start_at", "seats_sold", F.lit(None).cast("timestamp_ntz").alias("scraped_at"))
-    sink = stream.ShowingUpdates(spark, f"{base}/state", target, t.screens, t.theaters)
+    sink = stream.ShowingUpdates(spark, f"{base}/state", stream_target(t), t.screens, t.theaters, buckets=4, compact_every=1)
     source = stream.measurement_stream(spark, landed(spark, t, base), files_per_batch=5)
     sink.start(source).awaitTermination()
     return sink
@@ -73,7 +76,9 @@ def _(spark, folder):
     return shown(run_stream(spark, folder).current().select("id", "seats_sold", "screen_id", "scraped_at"))
 
 
-@query("t05_rejected_measurements", f"SELECT {_REASON} AS error, count(*) AS n FROM ({_WINDOWED}) WHERE {_REASON} IS NOT NULL GROUP BY 1")
+@query("t05_rejected_measurements", _STREAMED + f"""
+SELECT error, count(*) AS n FROM (SELECT {_REASON} AS error FROM ({_WINDOWED}) WHERE {_REASON} IS NOT NULL
+  UNION ALL SELECT CASE WHEN seats_remaining IS NULL THEN 'no_seats' ELSE 'no_screen' END FROM facts WHERE path = 'skipped') GROUP BY 1""")
 def _(spark, folder):
     return run_stream(spark, folder).rejections().groupBy("error").agg(F.count(F.lit(1)).alias("n"))
 
@@ -87,17 +92,20 @@ def _(spark, folder):
     shows = t.showings.select("id", "start_at", "seats_sold")
     shows.write.parquet(f"{base}/shows")
     source = spark.readStream.schema(shows.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/shows")
-    source = source.withColumn("start_at", F.col("start_at").cast("timestamp")).withWatermark("start_at", "40 days")
-
+    sums = completeness.CompletenessSums(spark, f"{base}/windows", compact_every=3)
+    sums.start(source).awaitTermination()
+    return shown(sums.totals().select("window_start", "total_shows", "missing_shows"))
 
-    def keep(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{base}/windows/batch={batch_id}")
 
-    # changed windows only, into files: neither the driver nor the state holds windows of all time
-    monitor.sliding_completeness(source).writeStream.outputMode("update").foreachBatch(keep).option(
-        "checkpointLocation", f"{base}/checkpoint"
-    ).trigger(availableNow=True).start().awaitTermination()
-    windows = spark.read.parquet(f"{base}/windows")
-    rest = [c for c in windows.columns if c not in ("window_start", "batch")]
-    latest = windows.groupBy("window_start").agg(F.max(F.struct("batch", *rest)).alias("w")).select("window_start", "w.*")
-    return shown(latest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "total_shows", "missing_shows"))
+@query("t02_routed_measurements", _STREAMED + f"""
+SELECT outcome, coalesce(error, '') AS error, count(*) AS n FROM (
+  SELECT CASE WHEN r.reason IS NOT NULL OR f.path = 'skipped' THEN 'rejected' WHEN k.k = 0 THEN 'updated' ELSE 'superseded' END AS outcome,
+    coalesce(r.reason, CASE WHEN f.path = 'skipped' THEN CASE WHEN f.seats_remaining IS NULL THEN 'no_seats' ELSE 'no_screen' END END) AS error
+  FROM (SELECT *, {_REASON} AS reason FROM ({_WINDOWED})) r LEFT JOIN facts f ON f.id = r.showing_id CROSS JOIN range(2) k(k)) GROUP BY 1, 2""")
+def _(spark, folder):
+    """Every measurement landed twice: the copy is superseded or rejected too."""
+    t = SampleTables(spark, folder)
+    sink = stream.ShowingUpdates(spark, f"{shared_folder(spark, f'routed-{uuid.uuid4().hex}')}", stream_target(t), t.screens, t.theaters, buckets=4)
+    sink.apply_batch(t.measurements.unionByName(t.measurements), 0)
+    outcomes = sink.outcomes().groupBy("outcome", F.coalesce("error", F.lit("")).alias("error"))
+    return outcomes.agg(F.count(F.lit(1)).alias("n"))

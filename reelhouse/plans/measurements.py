@@ -44,8 +44,8 @@ def _auditorium_key(auditorium: Column) -> Column:
     return F.concat(F.lit("auditorium:"), auditorium)
 
 
-def resolve(measurements: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Tag each measurement with its path and, where the text or capacity tells, its screen.
+def with_path(measurements: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Measurements with the path each takes and, where the text or capacity tells, its screen.
 
     One join serves both kinds of key. Rows without a key get one of their own that matches
     nothing, so they spread over the partitions instead of meeting on NULL.
@@ -64,10 +64,15 @@ def resolve(measurements: DataFrame, lookup: DataFrame) -> DataFrame:
         .otherwise(F.when(found, "auditorium").otherwise("stamped"))
     )
     return measurements.withColumn("match_key", key).join(lookup, ["theater_id", "match_key"], "left").select(
-        "showing_id", "seats_remaining", "measured_at", path.alias("path"), "matched_screen", "matched_seats"
+        *measurements.columns, path.alias("path"), "matched_screen", "matched_seats"
     )
 
 
+def resolve(measurements: DataFrame, lookup: DataFrame) -> DataFrame:
+    """What of with_path() the showings need."""
+    return with_path(measurements, lookup).select("showing_id", "seats_remaining", "measured_at", "path", "matched_screen", "matched_seats")
+
+
 def apply_measurements(
     showings: DataFrame, screens: DataFrame, measurements: DataFrame, as_of: Column | None = None
 ) -> DataFrame:
@@ -76,11 +81,15 @@ def apply_measurements(
     The showings table keeps its columns and gains 'path' (NULL where nothing was measured).
     Without as_of the stamp is the time of the measurement itself.
     """
-    stamp = F.col("measured_at") if as_of is None else as_of
-    known = screens.select(F.col("id").alias("_screen"), F.col("seat_count").alias("known_seats"))
     # The lookup covers every measurement, not just the latest ones: a superset of distinct keys
     # is cheaper than picking the latest twice more.
-    resolved = resolve(latest_measurements(measurements), screen_lookup(measurements, screens))
+    return apply_resolved(showings, screens, resolve(latest_measurements(measurements), screen_lookup(measurements, screens)), as_of)
+
+
+def apply_resolved(showings: DataFrame, screens: DataFrame, resolved: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """The same from one resolved measurement per showing, as resolve() gives them."""
+    stamp = F.col("measured_at") if as_of is None else as_of
+    known = screens.select(F.col("id").alias("_screen"), F.col("seat_count").alias("known_seats"))
     no_screen = -1 - F.col("id")
     both = (
         showings.join(resolved, F.col("id") == F.col("showing_id"), "left")

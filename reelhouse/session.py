@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +44,36 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(spark, f"{purpose}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _located(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written to its end."""
+    files, place = _located(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return files.exists(place)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of whatever store holds it; none if there is no such folder."""
+    files, place = _located(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _located(spark, path)
+    files.delete(place, True)
+
+
+@contextlib.contextmanager
+def held(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """A plan written once, as `written` does, for as long as the block runs; its folder is removed afterwards."""
+    path = shared_folder(df.sparkSession, f"{purpose}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove(df.sparkSession, path)

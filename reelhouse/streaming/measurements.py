@@ -8,10 +8,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reelhouse.functions import time as tm
 from reelhouse.operators.providers import measuring_window, provider_of
-from reelhouse.plans.measurements import apply_measurements
+from reelhouse.plans.measurements import apply_resolved, screen_lookup, with_path
 from reelhouse.schemas import SCHEMAS
+from reelhouse.session import children, complete, held, written
+from reelhouse.streaming.showing_state import ShowingState, day_of
 
-UPDATE_COLUMNS = ["id", "seats_sold", "screen_id", "scraped_at", "path", "measured_at"]
+UPDATE_COLUMNS = ["id", "seats_sold", "screen_id", "scraped_at", "path", "measured_at", "bucket", "day"]
 
 
 def measurement_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -22,14 +24,22 @@ def measurement_stream(spark: SparkSession, folder: str, files_per_batch: int |
     return reader.parquet(folder)
 
 
+def theater_windows(theaters: DataFrame) -> DataFrame:
+    """theater_id, provider and the first and last second around a start at which its shows may be measured."""
+    provider = provider_of(F.col("name"))
+    first, last = measuring_window(provider, F.col("name"))
+    return theaters.select(F.col("id").alias("theater_id"), provider.alias("provider"), first.alias("_first"), last.alias("_last"))
+
+
 def with_window(measurements: DataFrame, showings: DataFrame, theaters: DataFrame) -> DataFrame:
     """Measurements with the window of their show; rows of unknown shows keep NULL bounds.
 
     Works on a stream (stream-static join) as on a table.
     """
-    provider = provider_of(F.col("name"))
-    first, last = measuring_window(provider, F.col("name"))
-    windows = theaters.select(F.col("id").alias("theater_id"), provider.alias("provider"), first.alias("_first"), last.alias("_last"))
+    return _with_window(measurements, showings, theater_windows(theaters))
+
+
+def _with_window(measurements: DataFrame, showings: DataFrame, windows: DataFrame) -> DataFrame:
     starts = showings.select(F.col("id").alias("showing_id"), "start_at")
     joined = measurements.join(starts, "showing_id", "left").join(windows, "theater_id", "left")
     return joined.select(
@@ -61,65 +71,116 @@ def rejected(windowed: DataFrame) -> DataFrame:
     return windowed.withColumn("error", rejection()).where(F.col("error").isNotNull())
 
 
+#: What a batch leaves: measurements by outcome, and the updates of the state.
+RESOLVED = ["path", "matched_screen", "matched_seats"]
+UPDATED, SUPERSEDED, REJECTED = "updated", "superseded", "rejected"
+
+
+def routed(batch: DataFrame, state: DataFrame, screens: DataFrame, windows: DataFrame) -> DataFrame:
+    """Every row of the batch once, with its outcome and, where it was rejected, the reason.
+
+    Of the usable measurements of a show the one taken last updates it, unless the state already has a later one; the
+    others are superseded, replays of the same row too. A row is rejected as rejection() says, or because it gives no
+    seats (no_seats) or a seat grid that fits no screen (no_screen). `state` holds (id, start_at, measured_at),
+    `windows` is theater_windows().
+    """
+    names = batch.columns
+    numbered = batch.withColumn("_row", F.monotonically_increasing_id())
+    found = with_path(numbered, screen_lookup(batch, screens))
+    windowed = _with_window(found, state, windows)
+    unfit = F.when(F.col("path") == "skipped", F.when(F.col("seats_remaining").isNull(), "no_seats").otherwise("no_screen"))
+    judged = windowed.withColumn("error", F.coalesce(rejection(), unfit)).select(*names, *RESOLVED, "_row", "error")
+    rest = [c for c in names if c not in ("showing_id", "measured_at")]
+    winners = judged.where(F.col("error").isNull()).groupBy("showing_id").agg(F.max(F.struct("measured_at", *rest, "_row")).alias("_best"))
+    last = state.select(F.col("id").alias("showing_id"), F.col("measured_at").alias("_last"))
+    winners = winners.join(last, "showing_id", "left").select("showing_id", F.col("_best._row").alias("_winner"), (F.col("_last") > F.col("_best.measured_at")).alias("_late"))
+    stands = (F.col("_row") == F.col("_winner")) & ~F.coalesce("_late", F.lit(False))
+    outcome = F.when(F.col("error").isNotNull(), REJECTED).when(stands, UPDATED).otherwise(SUPERSEDED)
+    return judged.join(winners, "showing_id", "left").select(*names, *RESOLVED, "error", outcome.alias("outcome"))
+
+
 class ShowingUpdates:
-    """Append-only updates of the showings, one folder per micro-batch.
+    """The measurement stream's sink: updates of the showings, one folder per flush.
+
+    A flush replaces its own folders, so a batch run again after a failure leaves the same tables. It reads the state of
+    its own shows only (see showing_state), and every `compact_every` batches the updates so far are laid over the state.
 
-    A batch replaces its own folder, so a batch run again after a failure leaves the same
-    table. The showings themselves are never rewritten by the stream: their current state is
-    the base table with the updates laid over it, the one measured last on top.
+    Measurements may come in any order and more than once, however late: the usable one taken last wins. Every row of a
+    flush ends in exactly one of the folders updated, superseded and rejected under `routed`.
 
-    So measurements may come in any order and more than once, however late: one that is older
-    than what its show already has goes to 'superseded', every other one to the updates or,
-    with a reason, to 'rejected'. Nothing is dropped, and no state is held between batches.
+    Rows wait in `buffer` until `flush_rows` of them have come, or `flush_after` lies between the first and the last time
+    of measurement waiting, or one was taken in quiet hours; `flush` writes out what waits when a run ends.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, showings: DataFrame, screens: DataFrame, theaters: DataFrame):
-        self.spark, self.folder = spark, folder.rstrip("/")
-        self.showings, self.screens, self.theaters = showings, screens, theaters
-
-    def _empty(self) -> DataFrame:
-        columns = "id bigint, seats_sold int, screen_id bigint, scraped_at timestamp_ntz, path string, measured_at timestamp_ntz, batch_id bigint"
-        return self.spark.createDataFrame([], columns)
-
-    def updates(self, before: int | None = None) -> DataFrame:
-        if before == 0:
-            return self._empty()
-        rows = self.spark.read.schema(self._empty().schema).parquet(f"{self.folder}/updates")
-        return rows if before is None else rows.where(F.col("batch_id") < before)
-
-    def current(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
-        """Showings with the latest update of each laid over; 'only' narrows to some ids first."""
-        base, updates = self.showings, self.updates(before)
-        if only is not None:
-            base, updates = base.join(only, "id", "left_semi"), updates.join(only, "id", "left_semi")
-        latest = updates.groupBy("id").agg(
-            F.max(F.struct("measured_at", "batch_id", "seats_sold", "screen_id", "scraped_at")).alias("u")
-        )
-        over = {c: F.when(F.col("u").isNotNull(), F.col(f"u.{c}")).otherwise(F.col(c)) for c in ("seats_sold", "screen_id", "scraped_at")}
-        return base.join(latest, "id", "left").select(*[over[c].alias(c) if c in over else F.col(c) for c in base.columns])
+    def __init__(
+        self, spark: SparkSession, folder: str, showings: DataFrame, screens: DataFrame, theaters: DataFrame,
+        buckets: int = 64, compact_every: int = 20, flush_rows: int = 1, flush_after: str = "3 hours",
+    ):
+        self.spark, self.folder, self.screens = spark, folder.rstrip("/"), screens
+        self.windows = written(theater_windows(theaters), "theater-windows")
+        self.state = ShowingState(spark, self.folder, showings, buckets)
+        self.compact_every, self.flush_rows, self.flush_after = compact_every, flush_rows, flush_after
 
-    def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # read several times below; lost blocks are read again from the source
-        windowed = with_window(batch, self.showings, self.theaters)
-        good = accepted(windowed).select(*batch.columns)
-        ids = good.select(F.col("showing_id").alias("id")).distinct()
-        state = self.current(before=batch_id, only=ids)
-        known = self.updates(batch_id).join(ids, "id", "left_semi").groupBy(F.col("id").alias("showing_id")).agg(F.max("measured_at").alias("_last"))
-        timed = good.join(known, "showing_id", "left")
-        older = F.coalesce(F.col("measured_at") < F.col("_last"), F.lit(False))
-        fresh = timed.where(~older).select(*batch.columns)
-        measured = fresh.groupBy(F.col("showing_id").alias("id")).agg(F.max("measured_at").alias("measured_at"))
-        changed = apply_measurements(state, self.screens, fresh).where(F.col("path").isNotNull() & (F.col("path") != "skipped")).join(measured, "id")
-        timed.where(older).select(*batch.columns).write.mode("overwrite").parquet(f"{self.folder}/superseded/batch_id={batch_id}")
-        changed.select(*UPDATE_COLUMNS).write.mode("overwrite").parquet(f"{self.folder}/updates/batch_id={batch_id}")
-        rejected(windowed).select(*batch.columns, "error").write.mode("overwrite").parquet(f"{self.folder}/rejected/batch_id={batch_id}")
-        batch.unpersist()
+    def updates(self) -> DataFrame:
+        return self.state.updates()
+
+    def current(self) -> DataFrame:
+        """Showings with the latest update of each laid over."""
+        return self.state.current()
+
+    def outcomes(self) -> DataFrame:
+        """All measurements flushed so far with outcome, error and batch_id."""
+        return self.spark.read.parquet(f"{self.folder}/routed")
 
     def rejections(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/rejected")
+        return self.outcomes().where(F.col("outcome") == REJECTED)
+
+    def superseded(self) -> DataFrame:
+        return self.outcomes().where(F.col("outcome") == SUPERSEDED)
+
+    def _flushed(self, batch_id: int) -> bool:
+        return complete(self.spark, f"{self.folder}/updates/batch_id={batch_id}")
+
+    def _waiting(self, batch_id: int) -> list[str]:
+        """Buffer folders of the batches behind the last flush, up to this one."""
+        first = batch_id
+        while first > 0 and not self._flushed(first - 1) and complete(self.spark, f"{self.folder}/buffer/batch_id={first - 1}"):
+            first -= 1
+        return [f"{self.folder}/buffer/batch_id={n}" for n in range(first, batch_id + 1)]
+
+    def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
+        if self.flush_rows <= 1:
+            return self._flush(batch, batch_id)
+        batch.write.mode("overwrite").parquet(f"{self.folder}/buffer/batch_id={batch_id}")
+        waiting = self.spark.read.schema(batch.schema).parquet(*self._waiting(batch_id))
+        span = F.max("measured_at") - F.min("measured_at")
+        due = waiting.agg(
+            ((F.count(F.lit(1)) >= self.flush_rows) | F.coalesce(span >= F.expr(f"interval {self.flush_after}"), F.lit(False)) | F.coalesce(F.bool_or(tm.in_quiet_hours(F.col("measured_at"))), F.lit(False))).alias("due")
+        ).first()["due"]
+        if due:
+            self._flush(waiting, batch_id)
+
+    def flush(self) -> None:
+        """Write out what waits, under the last batch that came."""
+        landed = [int(n.removeprefix("batch_id=")) for n in children(self.spark, f"{self.folder}/buffer")]
+        if landed and not self._flushed(max(landed)):
+            self._flush(self.spark.read.schema(SCHEMAS["measurements"]).parquet(*self._waiting(max(landed))), max(landed))
+
+    def _flush(self, batch: DataFrame, batch_id: int) -> None:
+        if batch_id - 1 - self.state.newest(batch_id)[1] >= self.compact_every:
+            self.state.compact(batch_id)
+        with held(batch, "batch") as batch, held(self.state.slice(batch, batch_id), "batch-state") as rows:
+            done = routed(batch, rows, self.screens, self.windows)
+            done.write.mode("overwrite").partitionBy("outcome").parquet(f"{self.folder}/routed/batch_id={batch_id}")
+            taken = self.spark.read.schema(done.schema).parquet(f"{self.folder}/routed/batch_id={batch_id}").where(F.col("outcome") == UPDATED)
+            taken = taken.select("showing_id", "seats_remaining", "measured_at", *RESOLVED)
+            measured = taken.select(F.col("showing_id").alias("id"), F.col("measured_at").alias("_measured"))
+            changed = apply_resolved(rows.drop("measured_at"), self.screens, taken).where(F.col("path").isNotNull()).join(measured, "id")
+            changed = changed.withColumns({"measured_at": F.col("_measured"), "bucket": self.state.bucket(F.col("id")), "day": day_of(F.col("start_at"))})
+            changed.select(*UPDATE_COLUMNS).write.mode("overwrite").parquet(f"{self.folder}/updates/batch_id={batch_id}")
 
     def compact(self, folder: str) -> None:
-        """Write the current state as a new base table, from which a fresh update folder can start."""
+        """Write the current state as a new base table, from which a fresh folder can start."""
         self.current().write.mode("overwrite").parquet(folder)
 
     def start(self, measurements: DataFrame, interval: str | None = None) -> StreamingQuery:

@@ -143,8 +143,7 @@ def test_the_measurement_taken_last_wins_in_any_order_of_batches(spark, folder,
         sinks.append(sink)
     states = [s.current().where(F.col("id") == show).select("seats_sold", "screen_id").collect() for s in sinks]
     assert states[0] == states[1]
-    old = spark.read.parquet(str(tmp_path / "falling" / "superseded"))
-    assert old.count() == 1 and sinks[1].updates().count() == 1 and sinks[0].updates().count() == 2
+    assert sinks[1].superseded().count() == 1 and sinks[1].updates().count() == 1 and sinks[0].updates().count() == 2
 
 
 @pytest.mark.parametrize("reason", ["incomplete", "unknown_show"])
