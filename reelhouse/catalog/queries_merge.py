@@ -1,5 +1,7 @@
 """Keyed merges."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from reelhouse.catalog.queries_tables import shown
@@ -7,8 +9,9 @@ from reelhouse.catalog.queries_weekend import BIAS, PRICE, WEEKEND, estimate_ste
 from reelhouse.catalog.registry import query
 from reelhouse.functions import time as tm
 from reelhouse.operators import merge, publish
-from reelhouse.plans import rank
-from reelhouse.session import written
+from reelhouse.operators.partition_merge import PartitionedTable
+from reelhouse.plans import rank, weekly_load
+from reelhouse.session import shared_folder, written
 from reelhouse.sources.sample import SampleTables
 
 AS_OF = "2024-01-15 12:00:00"
@@ -52,19 +55,41 @@ def purchase_figures(t: SampleTables):
     )
 
 
-@query("m02_published_upsert", f"""
+_PUBLISHED = f"""
 WITH src AS ({_FIGURES})
 SELECT coalesce(t.film_id, s.film_id) AS film_id, coalesce(t.weekend_id, s.weekend_id) AS weekend_id,
   CASE WHEN s.film_id IS NULL THEN t.revenue_qc ELSE s.revenue_qc END AS revenue_qc,
   CASE WHEN s.film_id IS NULL THEN t.data_source ELSE 'cinoche' END AS data_source,
   coalesce(s.cumulatif_qc_to_date, t.cumulatif_qc_to_date) AS cumulatif_qc_to_date,
   CASE WHEN s.film_id IS NULL THEN t.rank END AS rank
-FROM revenues t FULL JOIN src s ON s.film_id = t.film_id AND s.weekend_id = t.weekend_id""")
+FROM revenues t FULL JOIN src s ON s.film_id = t.film_id AND s.weekend_id = t.weekend_id"""
+
+
+@query("m02_published_upsert", _PUBLISHED)
 def _(spark, folder):
     t = SampleTables(spark, folder)
     return merge.merge_published(t.revenues, purchase_figures(t))
 
 
+def stored(rows, partition, of=None):
+    """The rows as a partitioned table in the shared folder."""
+    table = PartitionedTable(rows.sparkSession, shared_folder(rows.sparkSession, f"stored-{uuid.uuid4().hex}"), partition, of)
+    table.create(rows)
+    return table
+
+
+@query("m02_published_by_partition", _PUBLISHED)
+def _(spark, folder):
+    """One weekend after the other into a table partitioned by weekend."""
+    t = SampleTables(spark, folder)
+    table = stored(t.revenues, "weekend_id")
+    figures = written(purchase_figures(t), "figures")
+    source, rules = merge.published_merge(table.read(), figures)
+    for weekend in (r[0] for r in t.weekends.select("id").collect()):
+        table.merge(source.where(F.col("weekend_id") == weekend), merge.REVENUE_KEY, rules)
+    return table.read().select(*t.revenues.columns)
+
+
 @query("q04_published_enrich", f"""
 WITH src AS ({_FIGURES}),
 feat AS (
@@ -90,17 +115,28 @@ def _(spark, folder):
     return shown(merge.merge_published(target, publish.published_rows(purchase_figures(t), t.showings, t.screens)))
 
 
-@query("m03_estimate_refresh", estimate_steps(WEEKEND, PRICE, BIAS) + """
+_REFRESHED = estimate_steps(WEEKEND, PRICE, BIAS) + """
 SELECT coalesce(t.film_id, s.film_id) AS film_id, coalesce(t.weekend_id, s.weekend_id) AS weekend_id,
   coalesce(t.data_source, s.data_source) AS data_source, t.rank,
   CASE WHEN s.film_id IS NOT NULL AND (t.film_id IS NULL OR t.data_source = 'estimate') THEN s.revenue_qc ELSE t.revenue_qc END AS revenue_qc,
   CASE WHEN s.film_id IS NOT NULL AND (t.film_id IS NULL OR t.data_source = 'estimate') THEN s.cumulatif_qc_to_date ELSE t.cumulatif_qc_to_date END AS cumulatif_qc_to_date
-FROM revenues t FULL JOIN final s ON s.film_id = t.film_id AND s.weekend_id = t.weekend_id""")
+FROM revenues t FULL JOIN final s ON s.film_id = t.film_id AND s.weekend_id = t.weekend_id"""
+
+
+@query("m03_estimate_refresh", _REFRESHED)
 def _(spark, folder):
     t = SampleTables(spark, folder)
     return merge.merge_estimates(t.revenues, written(weekend_estimate_query(spark, folder), "estimates"))
 
 
+@query("m03_estimates_by_partition", _REFRESHED)
+def _(spark, folder):
+    t = SampleTables(spark, folder)
+    table = stored(t.revenues, "weekend_id")
+    weekly_load.load_estimates_into(table, weekend_estimate_query(spark, folder))
+    return table.read().select(*t.revenues.columns)
+
+
 @query("m03_estimated_films", estimate_steps(WEEKEND, PRICE, BIAS) + """
 SELECT s.film_id FROM final s LEFT JOIN revenues t ON s.film_id = t.film_id AND s.weekend_id = t.weekend_id
 WHERE t.film_id IS NULL OR t.data_source = 'estimate'""")
@@ -128,19 +164,34 @@ def movie_source(t: SampleTables):
     )
 
 
-@query("m04_movie_fill_missing", f"""
+_FILLED = f"""
 WITH src AS ({_MOVIE_SOURCE})
 SELECT coalesce(t.id, s.id) AS id, coalesce(t.title, s.title) AS title, coalesce(t.fr_title, s.fr_title) AS fr_title,
   CAST(coalesce(t.release_date, s.release_date) AS VARCHAR) AS release_date,
   CASE WHEN t.runtime IS NULL OR t.runtime = 0 THEN coalesce(s.runtime, t.runtime) ELSE t.runtime END AS runtime,
   CASE WHEN t.budget IS NULL OR t.budget = 0 THEN coalesce(s.budget, t.budget) ELSE t.budget END AS budget,
   greatest(coalesce(t.popularity, 0), coalesce(s.popularity, 0)) AS popularity
-FROM movies t FULL JOIN src s ON s.id = t.id""")
+FROM movies t FULL JOIN src s ON s.id = t.id"""
+
+
+@query("m04_movie_fill_missing", _FILLED)
 def _(spark, folder):
     t = SampleTables(spark, folder)
     return shown(merge.merge_new_movies(t.movies, movie_source(t)))
 
 
+@query("m04_movies_by_bucket", _FILLED)
+def _(spark, folder):
+    """A table without a natural partition lies by bucket of its key; two merges, each of some buckets."""
+    t = SampleTables(spark, folder)
+    table = stored(t.movies, "bucket", lambda rows: F.pmod(F.xxhash64(F.col("id").cast("bigint")), F.lit(8)).cast("int"))
+    source = movie_source(t)
+    rules = {c: r for c, r in merge.MOVIE_RULES.items() if c in t.movies.columns and c in source.columns}
+    for part in (0, 1):
+        table.merge(source.where(table.of(source) % 2 == part), ["id"], rules)
+    return shown(table.read().select(*t.movies.columns))
+
+
 @query("m05_movie_refresh", f"""
 WITH src AS ({_MOVIE_SOURCE})
 SELECT t.id, t.title, coalesce(t.fr_title, s.fr_title) AS fr_title, t.runtime, t.budget,
@@ -243,15 +294,33 @@ def _(spark, folder):
     return merge.merge_theaters(t.theaters, known.unionByName(other)).select("id", "name", "company", "screens")
 
 
-@query("m09_seats_write", f"""
+_SEATS = f"""
 SELECT s.id, CASE WHEN s.seats_sold IS DISTINCT FROM x.v THEN x.v ELSE s.seats_sold END AS seats_sold,
   CASE WHEN s.seats_sold IS DISTINCT FROM x.v THEN '{AS_OF}' END AS scraped_at
-FROM showings s JOIN (SELECT id, CASE WHEN id % 5 = 0 THEN NULL ELSE CAST(least(floor(value), true_seats) AS INTEGER) END AS v FROM showing_facts) x USING (id)""")
-def _(spark, folder):
-    t = SampleTables(spark, folder)
-    source = t.showing_facts.select(
+FROM showings s JOIN (SELECT id, CASE WHEN id % 5 = 0 THEN NULL ELSE CAST(least(floor(value), true_seats) AS INTEGER) END AS v FROM showing_facts) x USING (id)"""
+
+
+def seats_written(t: SampleTables):
+    return t.showing_facts.select(
         "id", F.when(F.col("id") % 5 != 0, F.least(F.floor("value"), F.col("true_seats"))).cast("int").alias("seats_sold")
     )
+
+
+@query("m09_seats_by_partition", _SEATS)
+def _(spark, folder):
+    """Showings partitioned by local date; the source names the date of each show."""
+    t = SampleTables(spark, folder)
+    table = stored(t.showings.select("id", "seats_sold", F.lit(None).cast("timestamp_ntz").alias("scraped_at"), "date"), "date")
+    source = seats_written(t).withColumn("scraped_at", as_of()).join(t.showings.select("id", "date"), "id")
+    differs = ~F.col("t.seats_sold").eqNullSafe(F.col("s.seats_sold"))
+    table.merge(source, ["id"], {"seats_sold": merge.overwrite, "scraped_at": merge.overwrite}, differs, insert=False)
+    return shown(table.read().select("id", "seats_sold", "scraped_at"))
+
+
+@query("m09_seats_write", _SEATS)
+def _(spark, folder):
+    t = SampleTables(spark, folder)
+    source = seats_written(t)
     target = t.showings.select("id", "seats_sold", F.lit(None).cast("timestamp_ntz").alias("scraped_at"))
     return shown(merge.write_seats(target, source, as_of()))
 

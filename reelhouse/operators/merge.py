@@ -114,11 +114,19 @@ PUBLISHED_RULES: dict[str, Rule] = {
 }
 
 
+REVENUE_KEY = ["film_id", "weekend_id"]
+
+
+def published_merge(revenues: DataFrame, source: DataFrame) -> tuple[DataFrame, dict[str, Rule]]:
+    """Source rows and rules of merge_published."""
+    source = source.withColumn("data_source", F.lit(fv.PUBLISHED))
+    return source, {c: r for c, r in PUBLISHED_RULES.items() if c in revenues.columns and c in source.columns}
+
+
 def merge_published(revenues: DataFrame, source: DataFrame) -> DataFrame:
     """Published figures win, but a missing cumulative never erases a known one."""
-    source = source.withColumn("data_source", F.lit(fv.PUBLISHED))
-    rules = {c: r for c, r in PUBLISHED_RULES.items() if c in revenues.columns and c in source.columns}
-    return merge(revenues, source, ["film_id", "weekend_id"], rules)
+    source, rules = published_merge(revenues, source)
+    return merge(revenues, source, REVENUE_KEY, rules)
 
 
 ESTIMATE_COLUMNS = [
@@ -126,11 +134,16 @@ ESTIMATE_COLUMNS = [
 ]
 
 
+STILL_ESTIMATED = "t.data_source = '" + fv.ESTIMATE + "'"
+
+
+def estimate_rules(revenues: DataFrame) -> dict[str, Rule]:
+    return {c: overwrite for c in ESTIMATE_COLUMNS if c in revenues.columns}
+
+
 def merge_estimates(revenues: DataFrame, estimates: DataFrame) -> DataFrame:
     """Insert new estimates and refresh old ones; published rows stay as they are."""
-    rules = {c: overwrite for c in ESTIMATE_COLUMNS if c in revenues.columns}
-    keys = ["film_id", "weekend_id"]
-    return merge(revenues, estimates, keys, rules, F.col("t.data_source") == fv.ESTIMATE)
+    return merge(revenues, estimates, REVENUE_KEY, estimate_rules(revenues), F.expr(STILL_ESTIMATED))
 
 
 def estimated_films(revenues: DataFrame, estimates: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.operators import match_film, merge, publish
+from reelhouse.operators.partition_merge import PartitionedTable
 from reelhouse.plans.rank import rank_weekends
 from reelhouse.plans.weekend_estimate import estimate_weekend
 from reelhouse.session import written
@@ -37,7 +38,24 @@ def published_figures(local: DataFrame, abroad: DataFrame, results: DataFrame, y
 
 
 def load_published(revenues: DataFrame, figures: DataFrame, showings: DataFrame, screens: DataFrame) -> DataFrame:
-    return merge.merge_published(revenues, publish.published_rows(figures, showings, screens))
+    """Revenues with the figures merged in. The rows with their features are written once; the merge goes over them again."""
+    return merge.merge_published(revenues, written(publish.published_rows(figures, showings, screens), "published-rows"))
+
+
+def revenue_table(spark: SparkSession, path: str) -> PartitionedTable:
+    """Revenues partitioned by weekend: a week's run reads and rewrites that week."""
+    return PartitionedTable(spark, path, "weekend_id")
+
+
+def load_published_into(table: PartitionedTable, figures: DataFrame, showings: DataFrame, screens: DataFrame) -> None:
+    """The same into a stored table, of which only the weekends of the figures are read and rewritten."""
+    source, rules = merge.published_merge(table.read(), publish.published_rows(figures, showings, screens))
+    table.merge(source, merge.REVENUE_KEY, rules)
+
+
+def load_estimates_into(table: PartitionedTable, estimates: DataFrame) -> None:
+    """New estimates in, old ones refreshed, published rows untouched; only the estimates' weekends are rewritten."""
+    table.merge(estimates, merge.REVENUE_KEY, merge.estimate_rules(table.read()), F.expr(merge.STILL_ESTIMATED))
 
 
 def estimate_and_rank(
