@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from reelhouse import fixed_values as fv
 from reelhouse.functions import text as tx
 from reelhouse.operators import title_keys as tk
+from reelhouse.session import written
 
 SLOT = ["theater_id", "date", "time"]
 
@@ -51,14 +52,86 @@ def best_sessions(sessions: DataFrame) -> DataFrame:
     )
 
 
-def scored_session(wanted: DataFrame, sessions: DataFrame) -> DataFrame:
+def _base_score() -> Column:
+    """What runtime and language add to a score, whatever the titles are."""
+    off = F.abs(F.col("offer_runtime") - F.col("runtime"))
+    by_runtime = F.when(off <= 3, 0.0).when(off <= 6, 0.5).when(off <= 10, 1.0).when(off.isNotNull(), 2.0).otherwise(0.5)
+    return by_runtime + F.when(F.col("offer_language") != F.col("language"), 0.5).otherwise(0.0)
+
+
+def _title_score() -> Column:
+    return tx.squished_distance(*[F.col(c) for c in ("offer_form", "offer_chars", "want_form", "want_chars")])
+
+
+_WANT = [*SLOT, "title", "runtime", "language"]
+_CLASS = ["offer_runtime", "offer_language"]
+_OFFER = ["pos", "auditorium", "offer_title"]
+
+
+def _three_best(scored: DataFrame) -> DataFrame:
+    """Per want the three best of (score, pos, auditorium, offer_title), as o1, o2, o3."""
+    place = F.row_number().over(Window.partitionBy(*_WANT).orderBy("score", "pos"))
+    offer = F.struct("score", *_OFFER)
+    best = scored.withColumn("place", place).where(F.col("place") <= 3).groupBy(*_WANT)
+    return best.agg(*[F.max(F.when(F.col("place") == i, offer)).alias(f"o{i}") for i in (1, 2, 3)])
+
+
+def _same_want(left: str, right: str) -> Column:
+    same = F.lit(True)
+    for k in _WANT:
+        same = same & (F.col(f"{left}.{k}") == F.col(f"{right}.{k}") if k in SLOT else F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")))
+    return same
+
+
+def _bounded(wants: DataFrame, offers: DataFrame) -> DataFrame:
+    """Scored pairs of crowded slots that hold every want's three best, found by branch and bound.
+
+    Offers of a slot fall into classes of runtime and language, which bound their scores from below. The first
+    offer of every class (its first three for an empty title) gives each want a third-best score to beat. Then the class nearest to the want is opened, its
+    titles compared and the third best lowered; of the other classes only those are opened whose bound still beats it.
+    An empty title is equally far from all, so it needs no class opened.
+    """
+    forms = [*_OFFER, "offer_form", "offer_chars"]
+    first = F.row_number().over(Window.partitionBy(*SLOT, *_CLASS).orderBy("pos"))
+    heads = offers.withColumn("_nth", first).where(F.col("_nth") <= 3).groupBy(*SLOT, *_CLASS)
+    classes = heads.agg(F.collect_list(F.struct(*forms)).alias("_heads"), F.min("pos").alias("_first"))
+    met = wants.join(classes, SLOT).withColumn("base", _base_score())
+    scored = ["score", *_OFFER]
+    at_heads = met.select("*", F.explode(F.slice("_heads", 1, F.when(F.col("want_form") == "", 3).otherwise(1))).alias("_h")).select(*_WANT, "base", "want_form", "want_chars", *[F.col(f"_h.{c}").alias(c) for c in forms])
+    at_heads = at_heads.withColumn("score", F.col("base") + _title_score()).select(*_WANT, *scored)
+
+    def third(found: DataFrame) -> DataFrame:
+        return _three_best(found).select(*_WANT, F.struct(F.col("o3.score").alias("score"), F.col("o3.pos").alias("pos")).alias("_third"), F.col("o3").isNotNull().alias("_full"))
+
+    def opened(chosen: DataFrame) -> DataFrame:
+        inside = (F.col("c.offer_runtime").eqNullSafe(F.col("o.offer_runtime"))) & (F.col("c.offer_language").eqNullSafe(F.col("o.offer_language")))
+        for k in SLOT:
+            inside = inside & (F.col(f"c.{k}") == F.col(f"o.{k}"))
+        pairs = chosen.alias("c").join(offers.alias("o"), inside).select("c.*", *[f"o.{c}" for c in forms])
+        return pairs.withColumn("score", F.col("base") + _title_score()).select(*_WANT, *scored)
+
+    held = [*_WANT, "want_form", "want_chars", *_CLASS, "base", "_first"]
+    may_win = ~F.col("t._full") | (F.struct(F.col("m.base").alias("score"), F.col("m._first").alias("pos")) < F.col("t._third"))
+    open_to = met.where(F.col("want_form") != "").select(*held)
+    nearest = open_to.groupBy(*_WANT).agg(F.min("base").alias("_least"))
+    ranked = open_to.alias("m").join(nearest.alias("t"), _same_want("m", "t")).select("m.*", (F.col("base") == F.col("_least")).alias("_near"))
+    ranked = written(ranked, "session-classes")
+    start = written(at_heads, "session-heads")
+    near = ranked.where("_near").alias("m").join(third(start).alias("t"), _same_want("m", "t")).where(may_win).select("m.*")
+    start = written(start.unionByName(opened(near)).distinct(), "session-nearest")
+    rest = ranked.where("NOT _near").alias("m").join(third(start).alias("t"), _same_want("m", "t")).where(may_win).select("m.*")
+    return start.unionByName(opened(rest)).distinct()
+
+
+def scored_session(wanted: DataFrame, sessions: DataFrame, few: int = tk.FEW) -> DataFrame:
     """Wanted (theater_id, date, time, title, runtime, language) to a session by lowest score.
 
     Runtime distance, title distance and language add up; two best closer than a quarter
-    point are reported as ambiguous with the three best.
+    point are reported as ambiguous with the three best. In slots of more than `few` distinct
+    offers titles are compared only where a bound of the score allows one of the three best.
     """
     wants = (
-        wanted.select(*SLOT, "title", "runtime", "language").distinct()
+        wanted.select(*_WANT).distinct()
         .withColumn("want_form", tx.squished(F.coalesce("title", F.lit(""))))
         .withColumn("want_chars", tx.characters(F.col("want_form")))
     )
@@ -67,36 +140,26 @@ def scored_session(wanted: DataFrame, sessions: DataFrame) -> DataFrame:
         F.nullif("runtime_minutes", F.lit(0)).alias("offer_runtime"), F.col("language_code").alias("offer_language"),
     )
     # Offers alike in all that is scored tie, so the first three of them are enough.
-    alike = Window.partitionBy(*SLOT, "offer_title", "offer_runtime", "offer_language").orderBy("pos")
+    alike = Window.partitionBy(*SLOT, "offer_title", *_CLASS).orderBy("pos")
     offers = (
         offers.withColumn("_copy", F.row_number().over(alike)).where(F.col("_copy") <= 3).drop("_copy")
         .withColumn("offer_form", tx.squished(F.col("offer_title")))
         .withColumn("offer_chars", tx.characters(F.col("offer_form")))
     )
-    off = F.abs(F.col("offer_runtime") - F.col("runtime"))
-    by_runtime = F.when(off <= 3, 0.0).when(off <= 6, 0.5).when(off <= 10, 1.0).when(off.isNotNull(), 2.0).otherwise(0.5)
-    by_language = F.when(F.col("offer_language") != F.col("language"), 0.5).otherwise(0.0)
-    by_title = tx.squished_distance(*[F.col(c) for c in ("offer_form", "offer_chars", "want_form", "want_chars")])
-    score = by_runtime + by_title + by_language
-    keys = [*SLOT, "title", "runtime", "language"]
-    order = Window.partitionBy(*keys).orderBy("score", "pos")
-    offer = F.struct("score", "pos", "auditorium", "offer_title")
-    best = (
-        wants.join(offers, SLOT)
-        .withColumn("score", score)
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= 3)
-        .groupBy(*keys)
-        .agg(*[F.max(F.when(F.col("place") == i, offer)).alias(f"o{i}") for i in (1, 2, 3)])
-    )
+    crowded = sessions.groupBy(*SLOT).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > few).select(*SLOT)
+    crowded = crowded.join(wants, SLOT, "left_semi")
+    if crowded.isEmpty():
+        scored = wants.join(offers, SLOT).withColumn("score", _base_score() + _title_score())
+    else:
+        crowded, wants, offers = (written(df, "sessions") for df in (crowded, wants, offers))
+        sparse = wants.join(crowded, SLOT, "left_anti").join(offers, SLOT).withColumn("score", _base_score() + _title_score())
+        scored = sparse.select(*_WANT, "score", *_OFFER).unionByName(
+            _bounded(wants.join(crowded, SLOT, "left_semi"), offers.join(crowded, SLOT, "left_semi"))
+        )
+    best = _three_best(scored)
     close = F.col("o2").isNotNull() & (F.abs(F.col("o1.score") - F.col("o2.score")) < 0.25)
     top = F.array_compact(F.array(*[F.col(f"o{i}.pos") for i in (1, 2, 3)]))
-    same = [F.col(f"w.{k}").eqNullSafe(F.col(f"b.{k}")) for k in ("title", "runtime", "language")]
-    slot = [F.col(f"w.{k}") == F.col(f"b.{k}") for k in SLOT]
-    condition = slot[0]
-    for c in slot[1:] + same:
-        condition = condition & c
-    return wanted.alias("w").join(best.alias("b"), condition, "left").select(
+    return wanted.alias("w").join(best.alias("b"), _same_want("w", "b"), "left").select(
         "w.*",
         F.when(F.col("o1").isNull(), "NOT_FOUND_AT_TIME").when(close, "AMBIGUOUS_AT_TIME").otherwise("OK").alias("status"),
         F.when(~close, F.col("o1.pos")).alias("session_pos"),
@@ -108,40 +171,55 @@ def scored_session(wanted: DataFrame, sessions: DataFrame) -> DataFrame:
 def narrowed_session(wanted: DataFrame, sessions: DataFrame) -> DataFrame:
     """Wanted (theater_id, date, time, title, runtime) to a session by narrowing: runtime within three
     minutes if any, then title if any; of several auditoriums the general area; else the first.
+
+    Titles that contain the wanted one are found through keys. Where none does, the sessions near in
+    runtime, or all of the slot, decide as an aggregate of their minute, with no pair made.
     """
     pick = F.struct("pos", "auditorium", "seats_remaining")
     hall = tx.trim_space(F.coalesce("auditorium", F.lit("")))
     name = F.coalesce("movie_name", F.lit(""))
     # Sessions alike in all that is compared collapse to their first before any want meets them.
-    offers = (
-        sessions.groupBy(*SLOT, name.alias("offer_title"), "runtime_minutes", hall.alias("hall"))
-        .agg(F.min(pick).alias("any"), F.min(F.when(F.col("area_code") == fv.GENERAL_AREA, pick)).alias("general"))
+    offers = sessions.groupBy(*SLOT, name.alias("offer_title"), "runtime_minutes", hall.alias("hall")).agg(
+        F.min(pick).alias("any"), F.min(F.when(F.col("area_code") == fv.GENERAL_AREA, pick)).alias("general")
+    )
+    decided = [F.min("any").alias("any"), F.min("general").alias("general"), F.min("low").alias("low"), F.max("high").alias("high")]
+    spread = offers.withColumns({"low": F.col("hall"), "high": F.col("hall")})
+    keys = [*SLOT, "title", "runtime"]
+    wants = wanted.select(*keys).distinct()
+    names = (
+        offers.select(*SLOT, "offer_title").distinct()
         .withColumn("offer_low", tx.strip_marks(F.lower("offer_title")))
         .withColumn("offer_form", tx.squished(F.col("offer_title")))
     )
-    wants = (
-        wanted.select(*SLOT, "title", "runtime").distinct()
+    titles = (
+        wants.select(*SLOT, "title").distinct()
         .withColumn("want_low", tx.strip_marks(F.lower(F.coalesce("title", F.lit("")))))
         .withColumn("want_form", tx.squished(F.coalesce("title", F.lit(""))))
+        # a title without letters or digits is in all or in none, which decides nothing
+        .where((F.col("want_low") != "") & (F.col("want_form") != ""))
+        .join(names.groupBy(*SLOT).agg(F.count(F.lit(1)).alias("titles")), SLOT)
     )
+    want_keys = F.concat(tk.inside("a", F.col("want_low")), tk.inside("b", F.col("want_form")))
+    offer_keys = F.concat(tk.around("a", F.col("offer_low")), tk.around("b", F.col("offer_form")))
+    named = tk.meeting(titles, names, SLOT, ["title"], "offer_title", want_keys, offer_keys)
+    named = named.where(F.contains("offer_low", "want_low") | F.contains("offer_form", "want_form")).select(*SLOT, "title", "offer_title")
     near = F.coalesce(F.abs(F.col("runtime_minutes") - F.col("runtime")) <= 3, F.lit(False))
-    named = (F.col("want_low") != "") & (F.contains("offer_low", "want_low") | F.contains("offer_form", "want_form"))
-    keys = [*SLOT, "title", "runtime"]
-    groups = (
-        wants.join(offers, SLOT)
-        .groupBy(*keys, near.alias("near"), named.alias("named"))
-        .agg(
-            F.min("any").alias("any"),
-            F.min("general").alias("general"),
-            (F.min("hall") == F.max("hall")).alias("one_hall"),
-        )
-    )
-    chosen = F.when(F.col("one_hall"), F.col("any")).otherwise(F.coalesce("general", "any"))
-    return groups.groupBy(*keys).agg(F.max(F.struct("near", "named", chosen.alias("pick"))).alias("b")).select(
-        *keys,
-        F.col("b.pick.pos").alias("session_pos"),
-        tx.trim_space(F.col("b.pick.auditorium")).alias("auditorium"),
-        F.col("b.pick.seats_remaining").alias("seats_remaining"),
+    by_title = wants.join(named, [*SLOT, "title"]).join(spread, [*SLOT, "offer_title"]).groupBy(*keys, near.alias("near")).agg(*decided)
+    minutes = spread.groupBy(*SLOT, "runtime_minutes").agg(*decided)
+    reach = wants.select(*SLOT, "runtime").where(F.col("runtime").isNotNull()).distinct()
+    reach = reach.withColumn("runtime_minutes", F.explode(F.sequence(F.col("runtime") - 3, F.col("runtime") + 3)))
+    by_runtime = reach.join(minutes, [*SLOT, "runtime_minutes"]).groupBy(*SLOT, "runtime").agg(*decided)
+    whole = minutes.groupBy(*SLOT).agg(*decided)
+    found = ["any", "general", "low", "high"]
+    groups = [
+        by_title.select(*keys, F.when(F.col("near"), 1).otherwise(3).alias("turn"), *found),
+        wants.join(by_runtime, [*SLOT, "runtime"]).select(*keys, F.lit(2).alias("turn"), *found),
+        wants.join(whole, SLOT).select(*keys, F.lit(4).alias("turn"), *found),
+    ]
+    best = groups[0].unionByName(groups[1]).unionByName(groups[2]).groupBy(*keys).agg(F.min_by(F.struct(*found), "turn").alias("b"))
+    chosen = F.when(F.col("b.low") == F.col("b.high"), F.col("b.any")).otherwise(F.coalesce("b.general", "b.any"))
+    return best.select(*keys, chosen.alias("p")).select(
+        *keys, F.col("p.pos").alias("session_pos"), tx.trim_space(F.col("p.auditorium")).alias("auditorium"), F.col("p.seats_remaining").alias("seats_remaining")
     )
 
 
