@@ -12,9 +12,12 @@ import numpy as np
 #: Pieces whose ids an encoder remembers, and the longest piece that it does.
 REMEMBERED, LONGEST = 800_000, 48
 
-_LETTER = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+#: Letters that stay one letter when lower-cased; U+0130 becomes two, of which the second belongs to a stop behind it.
+_LETTER = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 #: A word before white space or a stop; one line end; stops before white space; else all up to the next white space.
 _PIECES = re.compile(rf" ?[{_LETTER}]+(?![^ \n.,!?;:])|\n(?![ \n])|[.,!?;:]+(?![^ \n])|[ \n]*[^ \n]+|[ \n]+")
+#: The same for a tokenizer that drops white space: the pieces alone.
+_BARE_PIECES = re.compile(rf"[{_LETTER}]+(?![^ \n.,!?;:])|[.,!?;:]+(?![^ \n])|[^ \n]+")
 _OTHER_SPACE = re.compile("[^\\S \\n]|[\u180e\u200b\ufeff]")
 
 
@@ -47,6 +50,12 @@ def _splits_at_space(tokenizer) -> bool:
     return '"behavior":"Removed","invert":true' in state.replace(" ", "") and "[^\\\\s" in state
 
 
+def _keeps_space(tokenizer) -> bool:
+    from tokenizers import pre_tokenizers
+
+    return isinstance(tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel)
+
+
 class Encoder:
     """Ids as the library gives them for the whole text, without added special tokens.
 
@@ -68,6 +77,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.cut, self.size = _splits_at_space(self.tokenizer), self.tokenizer.get_vocab_size()
+        self.pieces = _PIECES if _keeps_space(self.tokenizer) else _BARE_PIECES
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.last_special = self.tokenizer.token_to_id(self.special[-1]) if self.special else None
         self.known: dict[str, bytes] = {}
@@ -84,7 +94,7 @@ class Encoder:
             return b""
         if not self.cut or _OTHER_SPACE.search(text) or any(s in text for s in self.special):
             return self._library([text])[0]
-        pieces, known = _PIECES.findall(text), self.known
+        pieces, known = self.pieces.findall(text), self.known
         new = list(set(pieces).difference(known))
         if new:
             known.update(zip(new, self._together(new)))

@@ -296,6 +296,15 @@ def test_pieces_encode_as_the_whole_text(spark, folder, name):
     assert [coder.ids(t) for t in texts] == coder._library(texts)
 
 
+@pytest.mark.parametrize("name", [BYTE_BPE, WORD_BPE])
+def test_every_letter_before_every_stop(name):
+    letters = [c for c in map(chr, range(0x41, 0x250)) if c.isalpha()]
+    texts = [f"{a}{c}{s}{end}" for c in letters for s in ".,!?;:" for a in ("", "x", " B") for end in ("", " y", "\n", "z")]
+    texts += ["İ?", "BELEDİYESİ. İÇİN", "İ", "i̇.", "Iİ,İ"]
+    coder = tokens.Encoder(name)
+    assert [coder.ids(t) for t in texts] == coder._library(texts)
+
+
 def test_token_store(spark, odd, tmp_path):
     folder = f"file://{tmp_path}/store"
     files = token_store.write_store(odd, folder, WORD_BPE)
