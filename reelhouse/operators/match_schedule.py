@@ -15,6 +15,7 @@ from reelhouse.functions import text as tx
 from reelhouse.functions import time as tm
 from reelhouse.operators import title_keys as tk
 from reelhouse.operators.match_screen import neighbours
+from reelhouse.session import written
 
 SLOT = ["theater_id", "date", "time"]
 DAY = ["theater_id", "date"]
@@ -196,6 +197,12 @@ def pick_near(wanted: DataFrame, items: DataFrame, minutes: int = 10) -> DataFra
     at = [*DAY, "entry_minute"]
     entries = _near_forms(_first_entries(listed.withColumnRenamed("minute", "entry_minute"), at), "entry_title", "entry")
     near_titles = asked.join(reached, [*DAY, "minute"]).join(_groups(entries, at), at)
+    crowded = listed.groupBy(*DAY, "minute").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tk.FEW)
+    if crowded.isEmpty():
+        words = entries.select(*at, F.lit(None).cast("array<string>").alias("crowding")).limit(0)
+    else:
+        words = written(tk.crowding_words(entries, at, "entry_long"), "crowding-words")
+    entries, near_titles = tk.parted_words(entries.join(words, at, "left"), "entry"), tk.parted_words(near_titles.join(words, at, "left"), "want")
     want_keys, entry_keys = _near_keys("want", tk.inside), _near_keys("entry", tk.heads)
     pairs = tk.meeting(near_titles, entries, at, ["time", "title"], "entry_title", want_keys, entry_keys)
     exact = F.col("entry_listing") == F.col("want_listing")
@@ -211,7 +218,10 @@ def pick_near(wanted: DataFrame, items: DataFrame, minutes: int = 10) -> DataFra
 
     # an entry that shares nothing with the title is the first of its minute; every title begins with an empty one
     unlike = near_titles.select(*SLOT, "title", F.col("first").alias("entry"), F.when(F.col("want_base") == "", 200).otherwise(0).alias("score"))
-    timed = chosen(pairs.select(*SLOT, "title", "entry", score.alias("score")).unionByName(unlike), "time")
+    scored = pairs.select(*SLOT, "title", "entry", score.alias("score")).unionByName(unlike)
+    if not crowded.isEmpty():
+        scored = scored.unionByName(tk.best_by_crowding_words(near_titles, entries, at).select(*SLOT, "title", "entry", "score"))
+    timed = chosen(scored, "time")
     untimed = asked.join(reached.select(*DAY, "minute").distinct(), [*DAY, "minute"], "left_anti")
     open_days = items.join(untimed.select(*DAY).distinct(), DAY, "left_semi")  # entries without a time as well
     day_entries = _near_forms(_first_entries(open_days, DAY), "entry_title", "entry")
@@ -219,7 +229,7 @@ def pick_near(wanted: DataFrame, items: DataFrame, minutes: int = 10) -> DataFra
 
 
 def _near_keys(prefix: str, base_keys) -> Column:
-    listing, base, words = [F.col(f"{prefix}_{f}") for f in ("listing", "base", "long")]
+    listing, base, words = [F.col(f"{prefix}_{f}") for f in ("listing", "base", "rare")]
     return F.concat(F.array(F.concat(F.lit("l:"), listing)), base_keys("b", base), F.transform(words, lambda w: F.concat(F.lit("w:"), w)))
 
 
@@ -234,23 +244,31 @@ def _near_forms(df: DataFrame, title: str, prefix: str) -> DataFrame:
 def _sharing(untimed: DataFrame, entries: DataFrame) -> DataFrame:
     """Pairs of one theatre and day that share a long word or a title head, with their score.
 
-    Pairs are found through keys (words; heads of the entry title), so unrelated titles never meet.
+    Pairs are found through keys (words; heads of the entry title), so unrelated titles never meet. A word that many
+    titles of the day share is no key: it adds to the pairs found otherwise, and the best entry by such words alone
+    comes from rows of equal crowding words.
     """
+    words = written(tk.crowding_words(entries, DAY, "entry_long"), "crowding-words")
+    untimed, entries = tk.parted_words(untimed.join(words, DAY, "left"), "want"), tk.parted_words(entries.join(words, DAY, "left"), "entry")
+
     def word_keys(words: Column) -> Column:
         return F.transform(words, lambda w: F.struct(F.lit(1).alias("points"), w.alias("key")))
 
     def head_keys(heads: Column) -> Column:
         return F.transform(heads, lambda h: F.struct(F.lit(100).alias("points"), h.alias("key")))
 
-    left = untimed.withColumn("k", F.explode(F.concat(word_keys(F.col("want_long")), head_keys(tk.inside("", F.col("want_base")))))).select(
-        *SLOT, "title", "want_base", "k.points", "k.key"
+    left = untimed.withColumn("k", F.explode(F.concat(word_keys(F.col("want_rare")), head_keys(tk.inside("", F.col("want_base")))))).select(
+        *SLOT, "title", "want_base", "want_hot", "k.points", "k.key"
     )
-    right = entries.withColumn("k", F.explode(F.concat(word_keys(F.col("entry_long")), head_keys(tk.heads("", F.col("entry_base")))))).select(
-        *DAY, "entry_title", "entry", "entry_base", "k.points", "k.key"
+    right = entries.withColumn("k", F.explode(F.concat(word_keys(F.col("entry_rare")), head_keys(tk.heads("", F.col("entry_base")))))).select(
+        *DAY, "entry_title", "entry", "entry_base", "entry_hot", "k.points", "k.key"
     )
-    return (
+    also = F.size(F.array_intersect(F.first("want_hot"), F.first("entry_hot")))
+    found = (
         left.join(right, [*DAY, "points", "key"])
         .where((F.col("points") == 1) | F.startswith("entry_base", "want_base"))
         .groupBy(*SLOT, "title", "entry_title", "entry")
-        .agg(F.sum("points").alias("score"))
+        .agg((F.sum("points") + also).alias("score"))
+        .select(*SLOT, "title", "entry", "score")
     )
+    return found.unionByName(tk.best_by_crowding_words(untimed, entries, DAY).select(*SLOT, "title", "entry", "score"))

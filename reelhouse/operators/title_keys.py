@@ -57,6 +57,35 @@ def two_words(words: Column, offered: bool) -> Column:
     return F.concat(pairs, twice, single)
 
 
+def crowding_words(offers: DataFrame, group: list[str], words: str, few: int = FEW) -> DataFrame:
+    """`crowding`, the words that more than `few` offers of a group share: no use as keys, each being one hot key.
+
+    There are at most as many as the group has words, divided by `few`.
+    """
+    counted = offers.select(*group, F.explode(words).alias("_word")).groupBy(*group, "_word").agg(F.count(F.lit(1)).alias("_n"))
+    return counted.where(F.col("_n") > few).groupBy(*group).agg(F.collect_set("_word").alias("crowding"))
+
+
+def parted_words(df: DataFrame, prefix: str) -> DataFrame:
+    """Splits `<prefix>_long` by `crowding` into `<prefix>_rare`, which serve as keys, and `<prefix>_hot`, in order."""
+    long_, crowding = F.col(f"{prefix}_long"), F.coalesce("crowding", F.array().cast("array<string>"))
+    return df.withColumns({f"{prefix}_rare": F.array_except(long_, crowding), f"{prefix}_hot": F.array_sort(F.array_intersect(long_, crowding))}).drop("crowding")
+
+
+def best_by_crowding_words(wants: DataFrame, offers: DataFrame, group: list[str]) -> DataFrame:
+    """Wants with the first `entry` among those that share most of their crowding words, and that number as `score`.
+
+    Wants and offers that hold the same crowding words are one row each before they meet, so pairs grow with the
+    combinations of such words, not with titles. Offers that share other words too are found through those.
+    """
+    signed = offers.where(F.size("entry_hot") > 0).groupBy(*group, "entry_hot").agg(F.min("entry").alias("entry"))
+    asked = wants.where(F.size("want_hot") > 0).select(*group, "want_hot").distinct()
+    shared = F.size(F.array_intersect("want_hot", "entry_hot"))
+    met = asked.join(signed, group).withColumn("_shared", shared).where(F.col("_shared") > 0)
+    best = met.groupBy(*group, "want_hot").agg(F.min(F.struct((-F.col("_shared")).alias("minus"), "entry")).alias("_b"))
+    return wants.join(best, [*group, "want_hot"]).withColumns({"entry": F.col("_b.entry"), "score": -F.col("_b.minus")})
+
+
 def meeting(
     wants: DataFrame, offers: DataFrame, group: list[str], want_id: list[str], offer_id: str, want_keys: Column, offer_keys: Column, few: int = FEW
 ) -> DataFrame:

@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from reelhouse.operators import match_session
+from reelhouse.operators import match_schedule, match_session, title_keys
 
 AT = (1, "2024-01-05", "19:00")
 SESSION = "theater_id bigint, date string, time string, pos int, movie_name string, runtime_minutes int, language_code string, auditorium string, seats_remaining int, area_code string"
@@ -89,3 +89,39 @@ def test_narrowed_session_by_keys(spark):
         if len({s[7] for s in group}) > 1 and any(s[9] == "0000000001" for s in group):
             group = [s for s in group if s[9] == "0000000001"]
         assert got[(name, runtime)].session_pos == min(s[3] for s in group), want
+
+
+def test_a_word_that_all_titles_share_is_no_key(spark, monkeypatch):
+    """Titles of one minute, and of a day without that minute, that all hold one word: the rows of comparing all."""
+    rnd = random.Random(4)
+    stems = ["".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(150)]
+    make = lambda: " ".join(["film", *rnd.sample(stems, rnd.randint(1, 2))])
+    offered = list(dict.fromkeys(make() for _ in range(600)))
+    asked = list(dict.fromkeys([*(make() for _ in range(60)), *offered[:5], "film", "film inconnu", "rien"]))
+    entry = "theater_id bigint, date string, time string, pos int, title string, url string"
+    items = spark.createDataFrame([(*AT, i, t, f"u{i}") for i, t in enumerate(offered)], entry)
+    wants = [(1, "2024-01-05", time, t) for t in asked for time in ("19:05", "12:00")]
+    wanted = spark.createDataFrame(wants, "theater_id bigint, date string, time string, title string")
+    made = []
+    keep = title_keys.meeting
+
+    def counted(*args, **kwargs):
+        out = keep(*args, **kwargs)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(title_keys, "meeting", counted)
+    got = {(r.time, r.title): r for r in match_schedule.pick_near(wanted, items).collect()}
+    assert made[0] < len(asked) * len(offered) / 10
+    for _, _, time, t in wants:
+        words, best = {w for w in t.split() if len(w) > 2}, None
+        for i, o in enumerate(offered):
+            share = len(words & set(o.split()))
+            if time == "19:05":
+                score = (300 if o == t else 200 if o.startswith(t) else 0) + share
+            else:
+                score = share + (100 if o.startswith(t) else 0)
+            if (time == "19:05" or score) and (best is None or (-score, i) < best):
+                best = (-score, i)
+        r = got.get((time, t))
+        assert (None if r is None else (-r.score, r.pos)) == best, (time, t)
