@@ -71,20 +71,19 @@ def screen_within(wanted: DataFrame, screens: DataFrame, tolerance: int = 10) ->
     return _with_screen(_capacity_neighbours(wanted, screens), pick, screens)
 
 
-def _substrings(c: Column) -> Column:
-    """All distinct non-empty substrings of a (short) name."""
+#: Texts up to this length are looked up whole; longer ones by their head, and what is found is verified.
+LONG = 16
+
+
+def _pieces(c: Column, shortest: int) -> Column:
+    """Distinct substrings of `shortest` to LONG characters: their number grows with the length of the text, not its square."""
     n = F.length(c)
-    return F.when(
-        n > 0,
-        F.array_distinct(
-            F.flatten(
-                F.transform(
-                    F.sequence(F.lit(1), n),
-                    lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substr(c, i, k)),
-                )
-            )
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+
+    def at(i: Column) -> Column:
+        return F.transform(F.sequence(F.lit(shortest), F.least(n - i + 1, F.lit(LONG))), lambda k: F.substr(c, i, k))
+
+    starts = F.sequence(F.lit(1), n - shortest + 1)
+    return F.when(n >= shortest, F.array_distinct(F.flatten(F.transform(starts, at)))).otherwise(F.array().cast("array<string>"))
 
 
 def _one(c: Column, usable: Column | None = None) -> Column:
@@ -106,41 +105,60 @@ def screen_by_auditorium(wanted: DataFrame, screens: DataFrame) -> DataFrame:
 
     Tiers: same text; same normalised name; same digits; one normalised name contains the
     other; the screen name contains the text. Within a tier the shorter, then the lower id.
+
+    Screens are reduced to the best one per key before any text meets them. Only texts over
+    LONG characters meet the screens that hold their first LONG, to be compared in full.
     """
     name = F.coalesce("name", F.lit(""))
-    plain = tx.auditorium_key(name)
-    best = F.min(F.struct(F.length(name).alias("size"), "id", "seat_count")).alias("best")
+    named = screens.select("theater_id", F.struct(F.length(name).alias("size"), "id", "seat_count").alias("best"), name.alias("name"))
+    named = named.withColumns({"plain": tx.auditorium_key(F.col("name")), "low": F.lower("name")})
+    plain, low = F.col("plain"), F.col("low")
+    texts = wanted.select("theater_id", "auditorium").where(tx.trim_space(F.col("auditorium")) != "").distinct()
+    texts = texts.withColumn("said", tx.trim_space(F.col("auditorium"))).withColumns({"want": tx.auditorium_key(F.col("said")), "want_low": F.lower("said")})
+    said, want, want_low = F.col("said"), F.col("want"), F.col("want_low")
+
+    def short(c: Column) -> Column:
+        return F.length(c).between(1, LONG)
+
+    def long_head(c: Column) -> Column:
+        return _one(F.left(c, F.lit(LONG)), F.length(c) > LONG)
+
     screen_keys = _keyed(
-        screens,
+        named,
         {
-            "same": _one(name),
+            "same": _one(F.col("name")),
             "plain": _one(plain),
-            "digits": _one(tx.digits(name), tx.digits(name) != ""),
-            "part": _substrings(plain),
-            "whole": _one(plain, plain != ""),
-            "like": _substrings(F.lower(name)),
+            "digits": _one(tx.digits(F.col("name")), tx.digits(F.col("name")) != ""),
+            "part": _pieces(plain, 1),
+            "whole": _one(plain, short(plain)),
+            "like": _pieces(low, 1),
         },
-    ).groupBy("theater_id", "kind", "key").agg(best)
-
-    texts = wanted.select("theater_id", "auditorium").where(tx.trim_space(F.col("auditorium")) != "").distinct()
-    said = tx.trim_space(F.col("auditorium"))
-    key = tx.auditorium_key(said)
+    ).groupBy("theater_id", "kind", "key").agg(F.min("best").alias("best"))
     text_keys = _keyed(
         texts,
         {
             "same": _one(said),
-            "plain": _one(key),
+            "plain": _one(want),
             "digits": _one(tx.digits(said)),
-            "part": _one(key, key != ""),
-            "whole": _substrings(key),
-            "like": _one(F.lower(said)),
+            "part": _one(want, short(want)),
+            "whole": _pieces(want, 1),
+            "like": _one(want_low, short(want_low)),
         },
     )
+    looked_up = text_keys.join(screen_keys, ["theater_id", "kind", "key"]).select("theater_id", "auditorium", "kind", "best")
+    long_screens = _keyed(named, {"part": _pieces(plain, LONG), "whole": long_head(plain), "like": _pieces(low, LONG)})
+    long_texts = _keyed(texts, {"part": long_head(want), "whole": _pieces(want, LONG), "like": long_head(want_low)})
+    holds = (
+        F.when(F.col("kind") == "part", F.contains("plain", "want"))
+        .when(F.col("kind") == "whole", F.contains("want", "plain"))
+        .otherwise(F.contains("low", "want_low"))
+    )
+    compared = long_texts.join(long_screens, ["theater_id", "kind", "key"]).where(holds).select("theater_id", "auditorium", "kind", "best")
     tier = F.when(F.col("kind") == "same", 0)
     for kind, order in (("plain", 1), ("digits", 2), ("part", 3), ("whole", 3), ("like", 4)):
         tier = tier.when(F.col("kind") == kind, order)
     return (
-        text_keys.join(screen_keys, ["theater_id", "kind", "key"])
+        looked_up.unionByName(compared)
         .groupBy("theater_id", "auditorium")
         .agg(F.min(F.struct(tier.alias("tier"), "best")).alias("pick"))
         .select(

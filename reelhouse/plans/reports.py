@@ -77,8 +77,12 @@ def window_probe(outcomes: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def nested_schedule(shows: DataFrame) -> DataFrame:
-    """film -> date -> [{time, salle}] of (movie, date, time, salle), repeats dropped."""
+    """film and month -> date -> [{time, salle}] of (movie, date, time, salle), repeats dropped.
+
+    A map holds the days of one month, so none grows with the time that is kept.
+    """
     days = shows.groupBy("movie", "date").agg(F.array_sort(F.collect_set(F.struct("time", "salle"))).alias("shows"))
-    return days.groupBy("movie").agg(
+    month = F.left(F.col("date").cast("string"), F.lit(7))
+    return days.groupBy("movie", month.alias("month")).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("date", "shows")))).alias("schedule")
     )

@@ -23,5 +23,5 @@ def write_window_probe(rows: DataFrame, path: str) -> None:
 
 
 def write_nested_schedule(shows: DataFrame, path: str) -> None:
-    """One JSON object per film: {"movie": ..., "schedule": {date: [{time, salle}]}}."""
+    """One JSON object per film and month: {"movie": ..., "month": ..., "schedule": {date: [{time, salle}]}}."""
     nested_schedule(shows).write.mode("overwrite").json(path)

@@ -101,6 +101,41 @@ def test_auditorium_tiers(spark, screens):
     assert out == {s: i for s, i in said if i is not None}
 
 
+def test_long_auditorium_texts_match_brute_force(spark):
+    """Names and texts up to 300 characters, some inside each other, one shorter than a piece."""
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcd") for _ in range(rnd.randint(2, 30)))
+    names = [" ".join(word() for _ in range(rnd.randint(1, 20)))[:300] for _ in range(60)] + ["Salle 7", "ab", ""]
+    said = [n[a : a + rnd.randint(1, 200)] for n in names[:40] if n for a in [rnd.randrange(len(n))]] + [f"x {n} y" for n in names[:20]] + [n.upper() for n in names[:10]]
+    said = [t for t in dict.fromkeys(said) if t.strip()]
+    sc = [(i, 1, n, 80 + i) for i, n in enumerate(names)]
+    got = match_screen.screen_by_auditorium(
+        spark.createDataFrame([(1, t) for t in said], "theater_id bigint, auditorium string"),
+        spark.createDataFrame(sc, "id bigint, theater_id bigint, name string, seat_count int"),
+    )
+    found = {r.auditorium: (r.tier, r.screen_id) for r in got.collect()}
+    plain = lambda t: t.lower().replace("salle", "").replace(" ", "")
+    digits = lambda t: "".join(c for c in t if c.isdigit())
+    for t in said:
+        s, tiers = t.strip(" "), []
+        for i, _, n, _ in sc:
+            p, w = plain(n), plain(s)
+            if n == s:
+                tier = 0
+            elif p == w:
+                tier = 1
+            elif digits(n) and digits(n) == digits(s):
+                tier = 2
+            elif p and w and (p in w or w in p):
+                tier = 3
+            elif s.lower() in n.lower():
+                tier = 4
+            else:
+                continue
+            tiers.append((tier, len(n), i))
+        assert found.get(t) == (None if not tiers else (min(tiers)[0], min(tiers)[2])), t
+
+
 def test_hot_theatre_matches_brute_force(spark):
     """A third of all rows in one theatre, with many copies."""
     rnd = random.Random(7)

@@ -48,10 +48,13 @@ def test_window_probe_is_written_with_all_its_columns(spark, tmp_path):
 
 
 def test_nested_schedule_json(spark, tmp_path):
-    shows = spark.createDataFrame([("Dune", "2024-01-05", "19:00", "Salle 1")] * 2 + [("Dune", "2024-01-06", "20:00", None)], "movie string, date string, time string, salle string")
+    shows = spark.createDataFrame([("Dune", "2024-01-05", "19:00", "Salle 1")] * 2 + [("Dune", "2024-01-06", "20:00", None), ("Dune", "2024-02-01", "21:00", "B")], "movie string, date string, time string, salle string")
     sinks.write_nested_schedule(shows, str(tmp_path / "nested"))
     docs = [json.loads(line) for f in (tmp_path / "nested").glob("part-*.json") for line in f.read_text().splitlines()]
-    assert docs == [{"movie": "Dune", "schedule": {"2024-01-05": [{"time": "19:00", "salle": "Salle 1"}], "2024-01-06": [{"time": "20:00"}]}}]
+    assert sorted(docs, key=lambda d: d["month"]) == [
+        {"movie": "Dune", "month": "2024-01", "schedule": {"2024-01-05": [{"time": "19:00", "salle": "Salle 1"}], "2024-01-06": [{"time": "20:00"}]}},
+        {"movie": "Dune", "month": "2024-02", "schedule": {"2024-02-01": [{"time": "21:00", "salle": "B"}]}},
+    ]
 
 
 def test_sessions_take_the_first_date_only(spark):
