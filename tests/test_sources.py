@@ -113,7 +113,7 @@ def test_stream_equals_batch(spark, folder, tmp_path):
     t.measurements.repartition(3, "showing_id").write.parquet(landed)
     # the same files delivered twice: replays must change nothing
     t.measurements.repartition(2, "showing_id").write.mode("append").parquet(landed)
-    sink = stream.ShowingUpdates(spark, str(tmp_path / "state"), target, t.screens, t.theaters)
+    sink = stream.ShowingUpdates(spark, str(tmp_path / "state"), target, t.screens, t.theaters, buckets=2)
     sink.start(stream.measurement_stream(spark, landed, 3)).awaitTermination()
     good = stream.accepted(stream.with_window(t.measurements, target, t.theaters)).select(*t.measurements.columns)
     batch = ms.apply_measurements(target, t.screens, good).drop("path")
@@ -123,7 +123,7 @@ def test_stream_equals_batch(spark, folder, tmp_path):
 def test_batch_rerun_leaves_the_same_updates(spark, folder, tmp_path):
     t = SampleTables(spark, folder)
     target = t.showings.select("id", "theater_id", "screen_id", "start_at", "seats_sold", F.lit(None).cast("timestamp_ntz").alias("scraped_at"))
-    sink = stream.ShowingUpdates(spark, str(tmp_path), target, t.screens, t.theaters)
+    sink = stream.ShowingUpdates(spark, str(tmp_path), target, t.screens, t.theaters, buckets=2)
     sink.apply_batch(t.measurements, 0)
     once = sorted(map(tuple, sink.updates().collect()), key=repr)
     sink.apply_batch(t.measurements, 0)
@@ -140,7 +140,7 @@ def test_the_measurement_taken_last_wins_in_any_order_of_batches(spark, folder,
     show = last.first()["showing_id"]
     sinks = []
     for name, order in (("rising", [earlier, last]), ("falling", [last, earlier])):
-        sink = stream.ShowingUpdates(spark, str(tmp_path / name), target, t.screens, t.theaters)
+        sink = stream.ShowingUpdates(spark, str(tmp_path / name), target, t.screens, t.theaters, buckets=2)
         for batch_id, batch in enumerate(order):
             sink.apply_batch(batch, batch_id)
         sinks.append(sink)
