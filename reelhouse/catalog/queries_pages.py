@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 from reelhouse.catalog.queries_tables import shown
 from reelhouse.catalog.queries_match import sql_base
 from reelhouse.catalog.registry import query
+from reelhouse import fixed_values as fv
 from reelhouse.functions import text as tx
 from reelhouse.functions import time as tm
 from reelhouse.operators import seats
 from reelhouse.sources import pages, sample_pages
+from reelhouse.sources.elements import BlockLocator, Selector
 from reelhouse.sources.sample import SampleTables
 
 SITE = sample_pages.SITE
@@ -86,21 +88,25 @@ def _(spark, folder):
     return pages.original_titles(sample_pages.film_pages(SampleTables(spark, folder)))
 
 
+_TICKET_ROWS = """
+SELECT theater_id, CAST(date AS VARCHAR) AS date, CAST(pos AS VARCHAR) AS row, trim(title) AS title, time, key, concat('https://tickets.example/FR/Film-achat.awp?P1=01&P2=01&P3=', key) AS url FROM schedule_items
+UNION ALL SELECT theater_id, CAST(date AS VARCHAR), CAST(pos AS VARCHAR), trim(title), '23:30', concat('9', key), concat('https://tickets.example/FR/Film-achat.awp?P1=01&P2=01&P3=9', key) FROM schedule_items"""
 TICKET_SPEC = pages.TicketSpec("https://tickets.example/FR/Film-achat.awp?P1=01&P2=01", clean_title=tx.without_markup_remains)
 
 
-@query("s06g_ticket_rows", """
-SELECT theater_id, CAST(date AS VARCHAR) AS date, CAST(pos AS VARCHAR) AS row, trim(title) AS title, time, key, concat('https://tickets.example/FR/Film-achat.awp?P1=01&P2=01&P3=', key) AS url FROM schedule_items
-UNION ALL SELECT theater_id, CAST(date AS VARCHAR), CAST(pos AS VARCHAR), trim(title), '23:30', concat('9', key), concat('https://tickets.example/FR/Film-achat.awp?P1=01&P2=01&P3=9', key) FROM schedule_items""")
+@query("s06g_ticket_rows", _TICKET_ROWS)
 def _(spark, folder):
     rows = pages.ticket_rows(sample_pages.ticket_pages(SampleTables(spark, folder)), TICKET_SPEC)
     return shown(rows.select("theater_id", "date", "row", "title", "time", "key", "url"))
 
 
-@query("s06g_link_schedule", f"""
+_LINK_SCHEDULE = f"""
 WITH e AS (SELECT *, trim(regexp_replace(trim(regexp_replace(regexp_replace(title, '(?i)\\b(VF|VO|VOA|VOSTA|VOSTFR|FR|ENG|IMAX|ATMOS|4DX|3D|2D)\\b', ' ', 'g'), '\\s+', ' ', 'g')), '[|,;:\\-]\\s*$', '')) AS shown FROM schedule_items)
 SELECT theater_id, CAST(date AS VARCHAR) AS date, shown AS title, time, concat('https://tickets.example/FR/Film-achat.awp?P1=01&P2=01&P3=', key) AS url FROM e
-QUALIFY row_number() OVER (PARTITION BY theater_id, date, time, {sql_base('shown')} ORDER BY pos) = 1""")
+QUALIFY row_number() OVER (PARTITION BY theater_id, date, time, {sql_base('shown')} ORDER BY pos) = 1"""
+
+
+@query("s06g_link_schedule", _LINK_SCHEDULE)
 def _(spark, folder):
     spec = pages.LinkScheduleSpec("https://tickets.example/FR/Film-achat.awp")
     rows = pages.link_schedule(sample_pages.link_schedule_pages(SampleTables(spark, folder)), spec)
@@ -145,3 +151,23 @@ def _(spark, folder):
     landed = sample_pages.ticket_pages(SampleTables(spark, folder)).withColumn("html", moved)
     rows = pages.ticket_rows(landed, pages.TicketSpec("https://tickets.example/FR/Film-achat.awp?P1=01&P2=01", title_cells=("tzzrl_{row}_A12",)))
     return shown(rows.select("theater_id", "date", "row", "title", "time"))
+
+
+@query("x01_block_locator", _LINK_SCHEDULE)
+def _(spark, folder):
+    # a site whose film rows are told by their style
+    locator = BlockLocator(fv.STYLE_ANCHORS, fv.STYLED_HEADING, expand="row")
+    spec = pages.LinkScheduleSpec("https://tickets.example/FR/Film-achat.awp", clean_title=tx.without_markup_remains, locator=locator)
+    rows = pages.link_schedule(sample_pages.styled_schedule_pages(SampleTables(spark, folder)), spec)
+    return shown(rows.select("theater_id", "date", "title", "time", "url"))
+
+
+@query("x02_site_selectors", _TICKET_ROWS)
+def _(spark, folder):
+    # a site that differs in rows, titles, buttons and hidden keys
+    spec = pages.TicketSpec(
+        "https://tickets.example/FR/Film-achat.awp?P1=01&P2=01", title_cells=("film_{row}_T",), rows=("film_{row}_T",), cells=("film_{row}_T",), clean_title=tx.without_markup_remains,
+        buttons=(Selector("show-{row}-{cell}", tag="button"), Selector("show-{row}-*", role="button")), hidden_keys=("k_{row}_N{cell}",), hidden_range=(10, 20),
+    )
+    rows = pages.ticket_rows(sample_pages.other_site_pages(SampleTables(spark, folder)), spec)
+    return shown(rows.select("theater_id", "date", "row", "title", "time", "key", "url"))

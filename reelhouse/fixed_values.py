@@ -173,3 +173,11 @@ TITLE_TAIL = r"\s*[–—\-|•·:,/]\s*$"
 HEADING_MARKER = r'id="zrl_[0-9]+_A9"'
 TITLE_CELLS = ("zrl_{row}_A37", "zrl_{row}_A35")
 HIDDEN_KEY = "^[0-9]{5,}$"
+SCHEDULE_CELLS = ("zrl_{row}_A{cell}", "tzzrl_{row}_A{cell}", "tzrl_{row}_A{cell}", "c-{row}-A{cell}")
+BUTTON_IDS = ("c-{row}-A*", "zrl_{row}_A*")
+HIDDEN_KEY_CELLS = ("zrl_{row}_A{cell}", "tzzrl_{row}_A{cell}", "tzrl_{row}_A{cell}")
+HIDDEN_SCAN_RANGE = (2, 200)
+PURCHASE_LINK = r'<a[^>]+href="[^"]*Film-achat\.awp[^"]*P3=[0-9]+[^"]*"[^>]*>'
+STYLE_ANCHORS = ("margin-bottom:-1px",)
+STYLED_HEADING = r'id="zrl_[0-9]+_(?:A8|A9)"'
+FILM_LINK, FILM_TITLE = "movies-element-link", "movie-title"

@@ -17,6 +17,7 @@ from reelhouse import fixed_values as fv
 from reelhouse.functions import money
 from reelhouse.functions import text as tx
 from reelhouse.functions import time as tm
+from reelhouse.sources.elements import BlockLocator, Selector, any_fits, elements, located_links
 
 FieldOf = Callable[[Column], Column]
 
@@ -83,7 +84,7 @@ def box_office_spec(section: str, short_money: bool, site: str) -> RecordSpec:
         return all_of(body, f"(?s){with_class(fv.BOX_OFFICE_ROW)}.*?</tr>")
 
     def title(row: Column) -> Column:
-        return text_in(row, '<h2[^>]*movie-title[^>]*>', "h2")
+        return text_in(row, f"<h2[^>]*{fv.FILM_TITLE}[^>]*>", "h2")
 
     def original(row: Column) -> Column:
         infos = F.coalesce(text_in(row, with_class(fv.FILM_INFO), "div"), F.lit(""))
@@ -93,7 +94,7 @@ def box_office_spec(section: str, short_money: bool, site: str) -> RecordSpec:
         return lambda row: amount(F.coalesce(text_in(row, with_class(name) + r"\s*<span[^>]*>", "span"), F.lit("")))
 
     def address(row: Column) -> Column:
-        href = F.regexp_extract(row, '(?s)<h2[^>]*movie-title[^>]*>.*?<a[^>]*href="([^"]*)"', 1)
+        href = F.regexp_extract(row, f'(?s)<h2[^>]*{fv.FILM_TITLE}[^>]*>.*?<a[^>]*href="([^"]*)"', 1)
         return F.when(href.startswith("http"), href).otherwise(F.concat(F.lit(site), href))
 
     return RecordSpec(
@@ -191,7 +192,7 @@ def coming_soon(pages: DataFrame, site: str) -> DataFrame:
     """Announced films with their date: dated entries first, then further film links; first per address."""
     rest = [c for c in pages.columns if c != "html"]
     absolute = lambda h: F.when(h.startswith("http"), h).otherwise(F.concat(F.lit(site), h))
-    link = r'(?s)(<a\s[^>]*class="[^"]*movies-element-link[^"]*"[^>]*>.*?</a>)'
+    link = rf'(?s)(<a\s[^>]*class="[^"]*{fv.FILM_LINK}[^"]*"[^>]*>.*?</a>)'
     dated = RecordSpec(
         lambda html: pieces_after(html, r'<[a-zA-Z][^>]*\sdata-release-date="[^"]*"[^>]*>'),
         {
@@ -287,29 +288,21 @@ def original_titles(pages: DataFrame) -> DataFrame:
 # ---- ticketing schedules ------------------------------------------------------------------
 @dataclass(frozen=True)
 class TicketSpec:
-    """Per-site parts of a row schedule: title cells in order of preference, buttons, hidden keys."""
+    """Per-site parts of a row schedule.
+
+    `rows` names what makes a row exist, `title_cells` the ids of titles in order of preference, `buttons` the shows, and
+    `hidden_keys` the cells with keys, of those with numbers within `hidden_range`. `cells` are all cells that may hold a
+    title where none of `title_cells` does.
+    """
 
     purchase_url: str
     title_cells: tuple[str, ...] = fv.TITLE_CELLS
     clean_title: FieldOf = lambda t: t
-
-
-_CELL_ID = r"(?:c-([0-9]+)-A([0-9]+)|t?zz?rl_([0-9]+)_A([0-9]+))"
-
-
-def _cells(html: Column) -> Column:
-    """Opening tag and text of every element of a schedule row, in page order."""
-    opening = rf"<[a-zA-Z][^>]*\sid\s*=\s*[\"']?{_CELL_ID}(?=[\"'\s>])[^>]*>"
-    return all_of(html, f"(?s){opening}[^<]*")
-
-
-def _read_cell(element: Column) -> Column:
-    """Row and number of a cell, its id and opening tag, its text, and the clock time that shows, if any."""
-    tag = F.regexp_extract(element, "^(<[^>]*>)", 1)
-    cell_id = attribute(tag, "id")
-    part = lambda *groups: F.concat(*[F.regexp_extract(cell_id, f"^{_CELL_ID}$", g) for g in groups])
-    text = tx.trim_space(tx.decode_entities(F.regexp_replace(element, "^<[^>]*>", "")))
-    return F.struct(part(1, 3).alias("row"), part(2, 4).cast("int").alias("number"), cell_id.alias("id"), tag.alias("tag"), text.alias("text"))
+    buttons: tuple[Selector, ...] = tuple(Selector(i, tag, role) for i in fv.BUTTON_IDS for tag, role in (("a", None), (None, "button")))
+    hidden_keys: tuple[str, ...] = fv.HIDDEN_KEY_CELLS
+    hidden_range: tuple[int, int] = fv.HIDDEN_SCAN_RANGE
+    cells: tuple[str, ...] = fv.SCHEDULE_CELLS
+    rows: tuple[str, ...] = fv.SCHEDULE_CELLS
 
 
 def ticket_rows(pages: DataFrame, spec: TicketSpec) -> DataFrame:
@@ -319,27 +312,38 @@ def ticket_rows(pages: DataFrame, spec: TicketSpec) -> DataFrame:
     by page and row, so a page of any length costs its cells once.
     """
     rest = [c for c in pages.columns if c != "html"]
-    cells = pages.select(*rest, F.posexplode(_cells(F.col("html"))).alias("at", "element")).select(*rest, "at", _read_cell(F.col("element")).alias("cell"))
-    time = F.when(F.rlike("cell.text", F.lit("[0-9]")), tm.schedule_time(F.col("cell.text")))
-    timed = cells.withColumn("cell", F.col("cell").withField("time", time))
-    rows = timed.groupBy(*rest, F.col("cell.row").alias("row")).agg(F.array_sort(F.collect_list(F.struct("at", "cell"))).alias("placed"))
-    mine = F.transform("placed", lambda x: x["cell"])
-    is_key = lambda c: F.rlike(c["text"], F.lit(fv.HIDDEN_KEY))
-    buttons = F.filter("mine", lambda c: c["time"].isNotNull() & F.rlike(c["tag"], F.lit(r"""(?i)^<a\s|\srole\s*=\s*["']?button\b""")))
+    hidden, rows_of = [Selector(i) for i in spec.hidden_keys], [Selector(i) for i in spec.rows]
+    known = list(dict.fromkeys([*map(Selector, spec.title_cells), *spec.buttons, *hidden, *map(Selector, spec.cells), *rows_of]))
+    ids = "|".join(dict.fromkeys(s.pattern for s in known))
+    found = elements(pages, lambda tag: F.rlike(F.coalesce(attribute(tag, "id"), F.lit("")), F.lit(ids)))
+    role = F.lower(attribute(F.col("opening"), "role"))
+    found = found.select(*rest, "at", "name", "opening", attribute(F.col("opening"), "id").alias("id"), role.alias("role"), tx.trim_space(tx.decode_entities(F.col("text"))).alias("text"))
+    time = F.when(F.rlike("text", F.lit("[0-9]")), tm.schedule_time(F.col("text")))
+    low, high = spec.hidden_range
+    places = [F.when(s.cell(F.col("id")).between(low, high), F.struct(s.cell(F.col("id")).alias("number"), F.lit(i).alias("form"), F.col("text").alias("key"))) for i, s in enumerate(hidden)]
+    this = F.struct("id", "name", "role")
+    cells = found.select(
+        *rest, F.coalesce(*[s.row(F.col("id")) for s in known]).alias("row"),
+        F.struct(
+            "at", "id", "text", F.col("opening").alias("tag"), time.alias("time"), any_fits(rows_of, this).alias("makes_row"),
+            any_fits(map(Selector, spec.cells), this).alias("plain"), (any_fits(spec.buttons, this) & time.isNotNull()).alias("button"),
+            F.when(F.rlike("text", F.lit(fv.HIDDEN_KEY)), F.coalesce(*places)).alias("hidden"),
+        ).alias("cell"),
+    )
+    rows = cells.groupBy(*rest, "row").agg(F.array_sort(F.collect_list("cell")).alias("mine")).where(F.exists("mine", lambda c: c["makes_row"]))
     keyless = lambda c: F.coalesce(tx.url_param(attribute(c["tag"], "href"), "P3"), F.lit("")) == ""
-    forms = lambda c: F.when(c["id"].startswith("zrl"), 0).when(c["id"].startswith("tzz"), 1).otherwise(2)
-    by_number = lambda c: F.struct(c["number"], forms(c).alias("form"), c["text"])
     title_ids = [F.replace(F.lit(t), F.lit("{row}"), F.col("row")) for t in spec.title_cells]
 
-    def cell(cell_id: Column) -> Column:
-        return F.nullif(F.get(F.filter("mine", lambda c: c["id"] == cell_id), F.lit(0))["text"], F.lit(""))
+    def first_text(fits: FieldOf) -> Column:
+        return F.nullif(F.get(F.filter("mine", fits), F.lit(0))["text"], F.lit(""))
 
-    any_cell = F.nullif(F.get(F.filter("mine", lambda c: ~is_key(c) & c["time"].isNull() & (c["text"] != "")), F.lit(0))["text"], F.lit(""))
-    prepared = rows.select(*rest, "row", mine.alias("mine")).select(
+    titled = lambda i: first_text(lambda c: c["id"] == i)
+    any_cell = first_text(lambda c: c["plain"] & ~F.rlike(c["text"], F.lit(fv.HIDDEN_KEY)) & c["time"].isNull() & (c["text"] != ""))
+    prepared = rows.select(
         *rest, "row",
-        F.coalesce(*[cell(i) for i in title_ids], any_cell).alias("raw_title"),
-        buttons.alias("buttons"),
-        F.transform(F.array_sort(F.transform(F.filter("mine", is_key), by_number)), lambda c: c["text"]).alias("keys"),
+        F.coalesce(*map(titled, title_ids), any_cell).alias("raw_title"),
+        F.filter("mine", lambda c: c["button"]).alias("buttons"),
+        F.transform(F.array_sort(F.transform(F.filter("mine", lambda c: c["hidden"].isNotNull()), lambda c: c["hidden"])), lambda h: h["key"]).alias("keys"),
     )
     shows = prepared.select(
         *rest, "row", "raw_title", "buttons", "keys", F.posexplode("buttons").alias("pos", "button")
@@ -369,26 +373,39 @@ class LinkScheduleSpec:
     purchase_url: str
     heading: str = fv.HEADING_MARKER
     clean_title: FieldOf = lambda t: t
+    locator: BlockLocator | None = None
 
 
 _CLOCK = tx.pattern(r"{B}([0-9]{1,2})\s*[:hH]\s*([0-9]{2}){B}")
 
 
-def link_schedule(pages: DataFrame, spec: LinkScheduleSpec) -> DataFrame:
-    """Purchase links with the title of the heading above them and the time in or near the link."""
+def _headed_links(pages: DataFrame, heading: str) -> DataFrame:
+    """Purchase links with their section and the table of the heading above them."""
     rest = [c for c in pages.columns if c != "html"]
-    html = F.col("html")
     # The heading's own table may begin before the marker, so cut at the table that holds it.
-    cut = F.split(html, f"(?s)(?=<table(?:(?!<table).)*?{spec.heading})")
+    cut = F.split("html", f"(?s)(?=<table(?:(?!<table).)*?{heading})")
     sections = pages.select(*rest, F.posexplode(cut).alias("section", "part"))
-    link = r'(?is)<a[^>]+href="[^"]*Film-achat\.awp[^"]*P3=[0-9]+[^"]*"[^>]*>.*?</a>'
-    noise = tx.pattern(fv.SCHEDULE_NOISE)
-    block = tx.plain_text(F.regexp_extract("part", "(?s)^(.*?)(?:</table>|$)", 1))
-    block = tx.trim_space(tx.collapse_space(F.regexp_replace(block, noise, " ")))
-    links = sections.select(*rest, "section", block.alias("block"), F.posexplode(all_of(F.col("part"), link)).alias("pos", "link"))
+    block = F.regexp_extract("part", "(?s)^(.*?)(?:</table>|$)", 1)
+    link = rf"(?is){fv.PURCHASE_LINK}.*?</a>"
+    return sections.select(*rest, "section", block.alias("block"), F.posexplode(all_of(F.col("part"), link)).alias("pos", "link"))
+
+
+def link_schedule(pages: DataFrame, spec: LinkScheduleSpec) -> DataFrame:
+    """Purchase links with the title of the block they belong to and the time in or near the link.
+
+    The block is the table of the heading above the link or, with a locator, what that finds. Of links with one title and
+    time the first counts.
+    """
+    rest = [c for c in pages.columns if c != "html"]
+    if spec.locator is None:
+        links = _headed_links(pages, spec.heading)
+    else:
+        links = located_links(pages, f"(?is)^{fv.PURCHASE_LINK}", spec.locator).withColumn("section", F.lit(0))
+    text = tx.trim_space(tx.collapse_space(F.regexp_replace(tx.plain_text(F.col("block")), tx.pattern(fv.SCHEDULE_NOISE), " ")))
+    links = links.withColumn("block", text)
     before = F.regexp_replace("block", f"(?s)^(.+?){_CLOCK}.*$", "$1")
     title = spec.clean_title(tx.trim_space(F.regexp_replace(before, tx.pattern(r"[|,;:\-]\s*$"), "")))
-    href = tx.decode_entities(F.regexp_extract("link", 'href="([^"]*)"', 1))
+    href = tx.decode_entities(F.regexp_extract("link", '(?i)href="([^"]*)"', 1))
     query = F.regexp_extract(href, r"(\?[^#]*)", 1)
     near = lambda c: tm.ticket_time(F.regexp_replace(F.regexp_extract(c, _CLOCK, 0), r"\s", ""))
     shows = links.select(

@@ -137,6 +137,27 @@ def link_schedule_pages(t: SampleTables) -> DataFrame:
     return t.schedule_items.groupBy("theater_id", "date", F.col("time").alias("slot")).agg(html("<body>", joined(row, pos), "</body>").alias("html"))
 
 
+def styled_schedule_pages(t: SampleTables) -> DataFrame:
+    """One page per theatre, day and time: entries told by the style of a row in a nested table, with a foreign table before the link."""
+    pos = F.col("pos")
+    row = html(
+        '<TABLE><tr><td><table class=film><tr id=r', pos, '><td style="color:red;margin-bottom:-1px"><b>', F.col("title"), "</b> - ", F.col("time"),
+        "</td></tr><tr><td>Salle</td></tr></table></td></tr></TABLE><table class=pub><tr><td>Publicité 10:10</td></tr></table>",
+        '<p><a class="b" href="/FR/Film-achat.awp?P1=01&amp;P2=01&amp;P3=', F.col("key"), '"><span>', F.when(pos % 2 == 0, F.replace("time", F.lit(":"), F.lit("h"))).otherwise("Acheter"), "</span></a></p>",
+    )
+    return t.schedule_items.groupBy("theater_id", "date", F.col("time").alias("slot")).agg(html("<body>", joined(row, pos), "</body>").alias("html"))
+
+
+def other_site_pages(t: SampleTables) -> DataFrame:
+    """One page per theatre, day and time of a site with ids of its own: nested buttons, keys in the cells 10 to 20, a number that is no key in cell 21."""
+    pos = F.col("pos")
+    row = html(
+        "<div id='menu_", pos, "_T'>Menu</div><section><div id='film_", pos, "_T'><i>", F.col("title"), "</i></div><button id='show-", pos, "-2'><div><div>", F.replace("time", F.lit(":"), F.lit(" h ")),
+        "</div></div></button><a id='show-", pos, "-3'>12:34</a><div id='show-", pos, "-4' role=button><b>23</b>:30</div><i id=k_", pos, "_N21>77777</i><i id=k_", pos, "_N12>9", F.col("key"), "</i><i id=k_", pos, "_N9>88888</i><i id=k_", pos, "_N10>", F.col("key"), "</i></section>",
+    )
+    return t.schedule_items.groupBy("theater_id", "date", F.col("time").alias("slot")).agg(html("<body>", joined(row, pos), "</body>").alias("html"))
+
+
 def purchase_pages(t: SampleTables) -> DataFrame:
     """One purchase page per measured show."""
     m = t.measurements.join(t.showings.select(F.col("id").alias("showing_id"), "start_at"), "showing_id")
