@@ -153,17 +153,19 @@ def matched(wanted: DataFrame, picks: DataFrame, with_missing: bool = False) ->
 def unused_urls(picks: DataFrame, showings: DataFrame, order: list[str]) -> DataFrame:
     """Drop a pick whose address another show of the theatre already has at the same local time.
 
-    Within the batch the first show in the given order keeps it.
+    Within the batch the first show in the given order keeps it. Of all addresses ever used only those that the batch picked
+    go on to the comparison; `picks` is gone over twice, so hand over what is written.
     """
     keys = ["theater_id", "url", "time"]
+    picked = picks.select("theater_id", "url").distinct()
     taken = showings.where(F.col("purchase_url").isNotNull()).select(
         "theater_id",
         F.col("purchase_url").alias("url"),
         F.date_trunc("minute", tm.to_local(F.col("start_at"))).alias("_minute"),
         tm.to_local(F.col("start_at")).alias("_at"),
-    )
+    ).join(picked, ["theater_id", "url"], "left_semi")
     # a taken address blocks only shows at the very same time of day
-    taken = taken.where(F.col("_minute") == F.col("_at")).select("theater_id", "url", tm.hhmm(F.col("_at")).alias("time")).distinct()
+    taken = taken.where(F.col("_minute") == F.col("_at")).select("theater_id", "url", tm.hhmm(F.col("_at")).alias("time"))
     rest = [c for c in picks.columns if c not in keys and c not in order]
     return (
         picks.join(taken, keys, "left_anti")

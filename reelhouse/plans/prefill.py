@@ -53,13 +53,19 @@ def furthest_days(shows: DataFrame, as_of: Column, ahead: int = LOOKAHEAD_DAYS)
 
 
 def filled_urls(work: DataFrame, items: DataFrame, showings: DataFrame, as_of: Column) -> DataFrame:
-    """(showing_id, purchase_url) for shows up to their last day whose address nobody else uses."""
+    """(showing_id, purchase_url) for shows up to their last day whose address nobody else uses.
+
+    Schedule entries are narrowed to the slots of these shows before their titles are read. `work` is gone over twice.
+    """
     open_shows = work.where(
         F.col("purchase_url").isNull() & F.col("date").between(tm.local_date(as_of), F.col("end_date"))
     )
-    picks = match_schedule.matched(open_shows, match_schedule.pick_entries(open_shows, items)).select(
+    slots = open_shows.select(*match_schedule.SLOT).distinct()
+    asked = items.join(slots, match_schedule.SLOT, "left_semi")
+    picks = match_schedule.matched(open_shows, match_schedule.pick_entries(open_shows, asked)).select(
         "theater_id", "url", "time", "theater_name", "sort_title", "start_at", "showing_id", "strategy"
     )
+    picks = written(picks, "prefill-picks")
     free = match_schedule.unused_urls(picks, showings, ["theater_name", "sort_title", "start_at", "showing_id"])
     return free.select("showing_id", F.col("url").alias("purchase_url"), "strategy")
 

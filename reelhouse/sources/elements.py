@@ -87,8 +87,8 @@ class Selector:
         return F.regexp_extract(element_id, self.pattern, 2).try_cast("int") if "{cell}" in self.id else F.lit(None).cast("int")
 
     def fits(self, element: Column) -> Column:
-        """Whether a struct with id, name and role is one of them; never NULL."""
-        out = F.rlike(element["id"], F.lit(self.pattern))
+        """Whether a struct with ids (see `id_patterns`), name and role is one of them; never NULL."""
+        out = element["ids"][self.pattern]
         if self.tag is not None:
             out = out & (element["name"] == self.tag.lower())
         if self.role is not None:
@@ -96,6 +96,18 @@ class Selector:
         return F.coalesce(out, F.lit(False))
 
 
+def id_patterns(selectors: Iterable[Selector], element_id: Column) -> Column:
+    """A flag per id pattern of the selectors, so that each is tried once however many selectors have it."""
+    patterns = dict.fromkeys(s.pattern for s in selectors)
+    return F.struct(*[F.rlike(element_id, F.lit(p)).alias(p) for p in patterns])
+
+
+def with_id(selectors: Iterable[Selector]) -> Callable[[Column], Column]:
+    """Whether an opening tag has an id that one of the selectors names."""
+    ids = "|".join(dict.fromkeys(s.pattern[1:-1] for s in selectors))
+    return lambda opening: F.rlike(opening, F.lit(rf"""(?i)[\s"']id\s*=\s*["']?(?:{ids})(?=["'\s>])"""))
+
+
 def any_fits(selectors: Iterable[Selector], element: Column) -> Column:
     out = F.lit(False)
     for s in selectors:

@@ -17,7 +17,7 @@ from reelhouse import fixed_values as fv
 from reelhouse.functions import money
 from reelhouse.functions import text as tx
 from reelhouse.functions import time as tm
-from reelhouse.sources.elements import BlockLocator, Selector, any_fits, elements, located_links
+from reelhouse.sources.elements import BlockLocator, Selector, any_fits, elements, id_patterns, located_links, with_id
 
 FieldOf = Callable[[Column], Column]
 
@@ -314,16 +314,16 @@ def ticket_rows(pages: DataFrame, spec: TicketSpec) -> DataFrame:
     rest = [c for c in pages.columns if c != "html"]
     hidden, rows_of = [Selector(i) for i in spec.hidden_keys], [Selector(i) for i in spec.rows]
     known = list(dict.fromkeys([*map(Selector, spec.title_cells), *spec.buttons, *hidden, *map(Selector, spec.cells), *rows_of]))
-    ids = "|".join(dict.fromkeys(s.pattern for s in known))
-    found = elements(pages, lambda tag: F.rlike(F.coalesce(attribute(tag, "id"), F.lit("")), F.lit(ids)))
-    role = F.lower(attribute(F.col("opening"), "role"))
+    found = elements(pages, with_id(known))
+    role = F.lower(attribute(F.col("opening"), "role")) if any(s.role for s in spec.buttons) else F.lit(None).cast("string")
     found = found.select(*rest, "at", "name", "opening", attribute(F.col("opening"), "id").alias("id"), role.alias("role"), tx.trim_space(tx.decode_entities(F.col("text"))).alias("text"))
+    found = found.withColumn("ids", id_patterns(known, F.col("id")))
     time = F.when(F.rlike("text", F.lit("[0-9]")), tm.schedule_time(F.col("text")))
     low, high = spec.hidden_range
-    places = [F.when(s.cell(F.col("id")).between(low, high), F.struct(s.cell(F.col("id")).alias("number"), F.lit(i).alias("form"), F.col("text").alias("key"))) for i, s in enumerate(hidden)]
-    this = F.struct("id", "name", "role")
+    places = [F.when(F.col("ids")[s.pattern] & s.cell(F.col("id")).between(low, high), F.struct(s.cell(F.col("id")).alias("number"), F.lit(i).alias("form"), F.col("text").alias("key"))) for i, s in enumerate(hidden)]
+    this = {n: F.col(n) for n in ("ids", "name", "role")}
     cells = found.select(
-        *rest, F.coalesce(*[s.row(F.col("id")) for s in known]).alias("row"),
+        *rest, F.coalesce(*[F.when(F.col("ids")[p], s.row(F.col("id"))) for p, s in {s.pattern: s for s in known}.items()]).alias("row"),
         F.struct(
             "at", "id", "text", F.col("opening").alias("tag"), time.alias("time"), any_fits(rows_of, this).alias("makes_row"),
             any_fits(map(Selector, spec.cells), this).alias("plain"), (any_fits(spec.buttons, this) & time.isNotNull()).alias("button"),

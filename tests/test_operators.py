@@ -323,3 +323,21 @@ def test_announced_film_wants(spark):
     films = spark.createDataFrame([("https://x.example/films/le-film-vf", "Le film", dt.date(2025, 2, 1))], "href string, title string, release_date date")
     row = upcoming.film_wants(films).first()
     assert (row.title, row.year_hint, row.extra_queries) == ("Le film", 2025, ["Le Film"])
+
+
+def test_an_address_in_use_is_narrowed_to_the_picks_before_any_shuffle(spark):
+    """Another show of the theatre blocks an address at the same time of day only; the used addresses meet the picks by a semi join."""
+    from reelhouse.operators.match_schedule import unused_urls
+
+    used = spark.sql(
+        "select * from values (1, 'a', timestamp_ntz'2024-01-10 00:10:00'), (1, 'b', timestamp_ntz'2024-01-10 00:10:30'), (2, 'c', timestamp_ntz'2024-01-10 00:10:00'), "
+        "(1, 'd', timestamp_ntz'2024-01-10 01:10:00'), (1, null, timestamp_ntz'2024-01-10 00:10:00'), (1, 'a', timestamp_ntz'2024-02-10 00:10:00') t(theater_id, purchase_url, start_at)"
+    )
+    picks = spark.createDataFrame([(1, u, "19:10", i) for i, u in enumerate("abcddx")], "theater_id int, url string, time string, showing_id int")
+    free = unused_urls(picks, used, ["showing_id"])
+    assert sorted((r.url, r.showing_id) for r in free.collect()) == [("b", 1), ("c", 2), ("d", 3), ("x", 5)]
+    plan = free._jdf.queryExecution().optimizedPlan().toString()
+    anti = plan[plan.index("LeftAnti") :]
+    assert "LeftSemi" in anti  # every use of an address passes it before the comparison
+    assert unused_urls(picks, used.where("false"), ["showing_id"]).count() == 5
+    assert unused_urls(picks.where("false"), used, ["showing_id"]).count() == 0
