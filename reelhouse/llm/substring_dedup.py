@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from reelhouse.llm.common import row_key
-from reelhouse.session import written
+from reelhouse.session import held, written
 
 #: Bytes that the hash looks back on, reach of a cut, longest chunk (only where content repeats itself), least span.
 GEAR_BYTES, CUT_RADIUS, LONGEST, LEAST_WORDS = 8, 20, 1024, 28
@@ -133,12 +133,31 @@ def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
     Rows without doc_id or text take no part, neither do repeats within one document. Rows of one doc_id count as one
     document when first holders are named, but spans lie within one text, which row_key tells; exact repeats of a row count once. An empty table has no spans. Other columns are not looked at.
     """
-    found = written(chunks(docs), "chunks")
+    with held(chunks(docs), "chunks") as all_chunks:
+        shared = written(_shared(all_chunks), "shared-chunks")
+    spans = written(_runs(shared, least_words), "runs")
+    spans = _extended(spans, docs)
+    length = F.col("end") - F.col("start")
+    spans = spans.where((F.col("words") >= least_words) | ((length >= LEAST_BYTES) & (F.col("words") * LONG_WORDS < length)))
+    return spans.select("doc_id", "row_key", "start", length.alias("length"), "words", "first_doc_id", "dropped")
+
+
+def _shared(found: DataFrame) -> DataFrame:
+    """Chunks whose digest several documents hold. Places are compared among these only, so all chunks are shuffled with two ids once, and once whole."""
+    several = found.groupBy("digest").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z")
+    return found.join(several.select("digest"), "digest", "left_semi")
+
+
+def _runs(found: DataFrame, least_words: int) -> DataFrame:
+    """Runs of neighbouring shared chunks that can be spans, with what is needed to extend them.
+
+    One shuffle by text serves the repeated rows, the window and the grouping.
+    """
     place = F.struct("doc_id", "row_key", "start")
-    holders = found.groupBy("digest").agg(F.min(place).alias("a"), F.max(place).alias("z")).where("a.doc_id < z.doc_id")
+    holders = found.groupBy("digest").agg(F.min(place).alias("a"), F.max(place).alias("z"))
     hits = found.join(holders, "digest").withColumn("dropped", F.col("a.doc_id") < F.col("doc_id")).withColumn("first", F.col("a.doc_id"))
     hits = hits.withColumn("other", F.when(F.col("dropped"), F.col("a")).otherwise(F.col("z"))).drop("a", "z", "digest")
-    hits = hits.dropDuplicates(["doc_id", "row_key", "nth"])
+    hits = hits.repartition("doc_id", "row_key").dropDuplicates(["doc_id", "row_key", "nth"])
     order = Window.partitionBy("doc_id", "row_key", "dropped").orderBy("nth")
     runs = hits.withColumn("run", F.col("nth") - F.row_number().over(order))
     spans = runs.groupBy("doc_id", "row_key", "dropped", "run").agg(
@@ -151,11 +170,7 @@ def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
     )
     most = F.col("words") + F.col("head.left_words") + F.col("tail.right_words")
     reach = F.col("end") - F.col("start") + F.col("head.left") + F.col("tail.right")
-    spans = written(spans.where((most >= least_words) | ((reach >= LEAST_BYTES) & (F.col("words") * LONG_WORDS < reach))), "runs")
-    spans = _extended(spans, docs)
-    length = F.col("end") - F.col("start")
-    spans = spans.where((F.col("words") >= least_words) | ((length >= LEAST_BYTES) & (F.col("words") * LONG_WORDS < length)))
-    return spans.select("doc_id", "row_key", "start", length.alias("length"), "words", "first_doc_id", "dropped")
+    return spans.where((most >= least_words) | ((reach >= LEAST_BYTES) & (F.col("words") * LONG_WORDS < reach)))
 
 
 def _extended(spans: DataFrame, docs: DataFrame) -> DataFrame:
