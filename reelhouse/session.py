@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -11,6 +12,10 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders written in each open `scratch` block, innermost last.
+_SCRATCH: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scratch", default=())
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -38,14 +43,34 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a plan once to the shared folder and read it back, where several plans go on from it."""
+def written(df: DataFrame, purpose: str, keep: bool = False) -> DataFrame:
+    """Write a plan once to the shared folder and read it back, where several plans go on from it.
+
+    Inside a `scratch` block the folder goes with the block; with `keep` it goes with the block around that, if there is one.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, f"{purpose}-{uuid.uuid4().hex}")
+    blocks = _SCRATCH.get()
+    blocks = blocks[:-1] if keep else blocks
+    if blocks:
+        blocks[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A block whose written plans are removed at its end, but for those written with `keep`."""
+    paths: list[str] = []
+    before = _SCRATCH.set((*_SCRATCH.get(), paths))
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(before)
+        for path in paths:
+            remove(spark, path)
+
+
 def _located(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
