@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.llm.common import chosen_rows, connected, row_key, text_of
-from reelhouse.session import written
+from reelhouse.session import scratch, written
 
 BITS = 64
 HASH_SEED = 42
@@ -34,10 +34,17 @@ TASK_ROWS, PAIRS_AT_ONCE = 60_000, 2_000_000
 #: Shingles whose hash bits are counted at a time.
 SHINGLES_AT_ONCE = 65_536
 #: MinHash keys of a shingle set, and minima in a key. Two sets with a Jaccard similarity of 0.8 agree in a key with
-#: probability 0.8**4, so they share none of 32 keys about once in 20 million, and less than two about once in a million.
-BANDS, BAND_ROWS = 32, 4
+#: probability 0.8**7, so they share none of 48 keys about once in 80,000, sets at 0.85 once in 100 million; sets at 0.5 share
+#: one in 3 of 10 cases.
+BANDS, BAND_ROWS = 48, 7
 #: Members of a key up to which all are compared with each other at once, and turns in which a larger group meets one of its members.
-FEW, TURNS = 32, 3
+FEW, TURNS = 8, 3
+#: Members, and members apart from the largest component, of a crowded key that one comparison of sketches takes.
+BLOCK_ROWS = 1024
+#: Standard errors below SIMILAR down to which the sketches leave a pair to the exact comparison: one pair of some 3 million is lost.
+ERRORS = 5
+#: Pairs of a member apart, best first by sketch, that are compared exactly before all others are.
+BEST = 2
 #: Words of a shingle.
 SHINGLE_WORDS = 5
 #: Jaccard similarity from which texts are similar, as a fraction.
@@ -79,37 +86,49 @@ def _scattered(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def signature(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """MinHash keys of the set of shingles, and the set itself (32 bits of each hash); both empty without words."""
+def shingle_set(text: str) -> np.ndarray:
+    """The set of shingles, as 32 bits of each hash; empty without words."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     hashes = np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in words), dtype=np.uint64, count=len(words))
     shingles = hashes[: max(1, len(words) - SHINGLE_WORDS + 1)]
     for i in range(1, min(SHINGLE_WORDS, len(words))):
         shingles = _scattered(shingles * _STEP + hashes[i : i + len(shingles)])
-    shingles = np.unique((shingles >> np.uint64(32)).astype(np.uint32))
-    if not len(shingles):
-        return np.empty(0, dtype=np.int64), shingles.view(np.int32)
+    return np.unique((shingles >> np.uint64(32)).astype(np.uint32)).view(np.int32)
+
+
+def minima(shingles: np.ndarray) -> np.ndarray:
+    """Least value of each of BANDS * BAND_ROWS hashes over a set that isn't empty."""
+    shingles = shingles.astype(np.int32, copy=False).view(np.uint32)
     least = np.full(BANDS * BAND_ROWS, (1 << 32) - 1, dtype=np.uint32)
     for at in range(0, len(shingles), SHINGLES_AT_ONCE // 64):
         np.minimum(least, ((shingles[at : at + SHINGLES_AT_ONCE // 64] ^ _SALT) * _ODD).min(axis=1), out=least)
-    keys = np.zeros(BANDS, dtype=np.uint64)
+    return least
+
+
+def minhash_keys(least: np.ndarray) -> np.ndarray:
+    """One key a band; keys of different bands differ."""
+    keys = np.arange(BANDS, dtype=np.uint64)
     for part in least.reshape(BANDS, BAND_ROWS).T:
         keys = _scattered(keys * _STEP + part)
-    return keys.view(np.int64), shingles.view(np.int32)
+    return keys.view(np.int64)
+
+
+def sketch(least: np.ndarray) -> bytes:
+    """The middle byte of each minimum: two sets agree in one with their Jaccard similarity, and else once in 256."""
+    return (least >> np.uint32(12)).astype(np.uint8).tobytes()
 
 
 def signatures(docs: DataFrame, size: int = 3) -> DataFrame:
-    """doc_id, row_key, fp (see `fingerprints`), keys and shingles (see `signature`) and node, which stands for the shingles, per row."""
+    """doc_id, row_key, fp (see `fingerprints`), shingles (see `shingle_set`) and node, which stands for the shingles, per row."""
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            both = [signature(t) for t in rows["text"]]
             fps = np.array([fingerprint(t, size) for t in rows["text"]], dtype=np.uint64)
-            sets = {"keys": [b[0] for b in both], "shingles": [b[1] for b in both]}
-            yield pd.DataFrame({"doc_id": rows["doc_id"], "row_key": rows["row_key"], "fp": fps.view(np.int64), **sets})
+            sets = [shingle_set(t) for t in rows["text"]]
+            yield pd.DataFrame({"doc_id": rows["doc_id"], "row_key": rows["row_key"], "fp": fps.view(np.int64), "shingles": sets})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), text_of().alias("text"))
-    scored = rows.mapInPandas(score, "doc_id long, row_key long, fp long, keys array<long>, shingles array<int>")
+    scored = rows.mapInPandas(score, "doc_id long, row_key long, fp long, shingles array<int>")
     return scored.withColumn("node", F.xxhash64("shingles"))
 
 
@@ -279,48 +298,129 @@ def near_duplicates(docs: DataFrame, limit: int = 3, size: int = 3) -> DataFrame
 
 def one_of_each(docs: DataFrame, limit: int = 3, size: int = 3) -> DataFrame:
     """The rows of `docs` of which no near-duplicate comes earlier: of each component the smallest doc_id, whole."""
-    return _first_of_each(docs, _classes(docs, limit, size))
+    with scratch(docs.sparkSession):
+        best = written(_firsts(_classes(docs, limit, size)), "kept", keep=True)
+    return chosen_rows(docs, best)
 
 
-def _first_of_each(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows of `docs` that come first among those of one root in `rows` (doc_id, row_key, root)."""
+def _firsts(rows: DataFrame) -> DataFrame:
+    """doc_id, row_key, repeats of the first row of each root in `rows` (doc_id, row_key, root)."""
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "repeats")
     firsts = rows.groupBy("root", "doc_id", "row_key").agg(F.count(F.lit(1)).alias("repeats"))
     best = firsts.groupBy("root").agg(F.min(rank).alias("best"))
-    return chosen_rows(docs, written(best.select("best.doc_id", "best.row_key", "best.repeats"), "kept"))
+    return best.select("best.doc_id", "best.row_key", "best.repeats")
+
+
+def _keys(rows: DataFrame) -> DataFrame:
+    """node, n (shingles of its set), band and key for every key of every row; sets without shingles have none."""
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for sets in batches:
+            sets = sets[sets["shingles"].map(len) > 0]
+            keys = [minhash_keys(minima(s)) for s in sets["shingles"]]
+            n = sets["shingles"].map(len).to_numpy(dtype=np.int32)
+            band = np.tile(np.arange(BANDS, dtype=np.int32), len(sets))
+            yield pd.DataFrame({"node": np.repeat(sets["node"].to_numpy(), BANDS), "n": np.repeat(n, BANDS), "band": band, "key": np.concatenate(keys) if keys else np.empty(0, dtype=np.int64)})
+
+    return rows.select("node", "shingles").mapInPandas(spread, "node long, n int, band int, key long")
 
 
 def similar(rows: DataFrame) -> DataFrame:
     """src, dst: verified pairs of nodes of `rows` (see `signatures`), enough to connect all that share a key and SIMILAR of their shingles.
 
     Up to FEW nodes of a key are compared pairwise. In a larger group the members meet one of them, turn by turn; nodes
-    that are connected need no comparison any more, so a group of N copies costs some N pairs. A group that still holds
-    several components is subdivided by its members' other keys, and there all pairs across components are compared.
+    that are connected need no comparison any more, so a group of N copies costs some N pairs. In a group that still holds
+    several components, the members outside the largest one are compared with all others by sketch (`_by_sketch`), and
+    only what the sketches can't tell apart from similar is compared in full.
     """
-    group = ["band", "key"]
-    nodes = written(rows.groupBy("node").agg(F.first("keys").alias("keys"), F.first(F.size("shingles")).alias("n")), "nodes")
-    spread = nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
-    shared = written(spread.groupBy(*group).agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "groups")
-    spread = written(spread.join(shared, group), "shared")
+    spark, group = rows.sparkSession, ["key"]
+    with scratch(spark):
+        spread = written(_keys(rows), "keys")
+        shared = spread.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count(F.lit(1)).alias("members")).where("a < z")
+        shared = written(shared.select("key", "members"), "groups")
+        spread = written(spread.join(shared, group).dropDuplicates(["key", "node"]), "shared", keep=True)
     found = _verified(_pairs(spread.where(F.col("members") <= FEW), group), rows)
-    crowded = spread.where(F.col("members") > FEW).select(*group, "node", "n")
-    for turn in range(TURNS + 1):
+    crowded = spread.where(F.col("members") > FEW).select("key", "band", "node", "n")
+    for turn in range(TURNS + 2):
         crowded = _apart(crowded, connected(found), group)
         if crowded.isEmpty():
-            return found
-        if turn < TURNS:
-            found = found.union(_verified(_with_one(crowded, group, turn), rows))
-    other = crowded.select("node", F.col("band").alias("band2"), F.col("key").alias("key2"))
-    finer = crowded.join(other, "node").where("band < band2")
-    return found.union(_verified(_pairs(written(finer, "finer"), [*group, "band2", "key2"]), rows))
+            break
+        pairs = _with_one(crowded, group, turn) if turn < TURNS else _by_sketch(crowded, rows, BEST if turn == TURNS else None)
+        found = found.union(_verified(pairs, rows))
+    return found
+
+
+def _by_sketch(crowded: DataFrame, rows: DataFrame, best: int | None) -> DataFrame:
+    """src, dst: pairs of different components that share a crowded key and may be similar by their sketches, each once.
+
+    Of each key, the members outside its largest component meet all members, in blocks of BLOCK_ROWS. A pair is looked at in
+    the first crowded key that both have: equal keys mean equal sketches of that band, and `open` tells the crowded bands
+    of a node. With `best`, each member apart gives only that many pairs per block, those with the most alike sketches.
+    """
+    sizes = written(crowded.groupBy("key", "root").agg(F.count(F.lit(1)).alias("members")), "components")
+    main = sizes.groupBy("key").agg(F.max(F.struct("members", "root"))["root"].alias("main"), F.sum("members").alias("members"))
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK_ROWS)).cast("int")
+    others = sizes.join(main, "key").groupBy("key", "main").agg(
+        blocks(F.max(main["members"])).alias("blocks"), blocks(F.sum(F.when(F.col("root") != F.col("main"), sizes["members"]).otherwise(0))).alias("apart_blocks")
+    )
+    opened = crowded.groupBy("node").agg(F.first("root").alias("root"), F.first("n").alias("n"), F.bit_or(F.expr("shiftleft(1L, band)")).alias("open"))
+
+    def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for sets in batches:
+            yield pd.DataFrame({"node": sets["node"], "sketch": [sketch(minima(s)) for s in sets["shingles"]]})
+
+    sets = rows.select("node", "shingles").join(opened, "node", "left_semi").mapInPandas(sketched, "node long, sketch binary")
+    nodes = written(opened.join(sets.dropDuplicates(["node"]), "node"), "sketches")
+    placed = crowded.select("key", "band", "node", "root").join(others, "key").withColumn("at", F.xxhash64(F.lit(7), "node"))
+    every = placed.withColumn("block", F.pmod("at", "blocks")).withColumn("apart_block", F.explode(F.sequence(F.lit(0), F.col("apart_blocks") - 1)))
+    apart = placed.where("root <> main").withColumn("apart_block", F.pmod("at", "apart_blocks")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    place = ["key", "band", F.col("block").cast("int").alias("block"), F.col("apart_block").cast("int").alias("apart_block"), "node"]
+    dealt = every.select(*place, F.lit(False).alias("apart")).union(apart.select(*place, F.lit(True).alias("apart"))).join(nodes, "node")
+
+    def compare(key: tuple, members: pd.DataFrame) -> pd.DataFrame:
+        left, right = members[members["apart"]], members[~members["apart"]]
+        src, dst = _maybe_similar(left, right, int(members["band"].iloc[0]), best)
+        return pd.DataFrame({"src": np.maximum(src, dst), "dst": np.minimum(src, dst)})
+
+    return dealt.groupBy("key", "block", "apart_block").applyInPandas(compare, "src long, dst long").distinct()
+
+
+def _maybe_similar(left: pd.DataFrame, right: pd.DataFrame, band: int, best: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the pairs (one of left, one of right) of different roots that share no open band before `band` and whose sketches allow SIMILAR."""
+    if not len(left) or not len(right):
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    values, grids = BANDS * BAND_ROWS, {}
+    for name in ("node", "root", "n", "open"):
+        grids[name] = left[name].to_numpy(), right[name].to_numpy()
+    a, b = (np.frombuffer(b"".join(side["sketch"]), dtype=np.uint8).reshape(-1, values) for side in (left, right))
+    share = SIMILAR[0] / SIMILAR[1]
+    least = values * (share - ERRORS * np.sqrt(share * (1 - share) / values))
+    src, dst = [], []
+    for i in range(len(left)):
+        n = grids["n"][1]
+        here = (grids["root"][1] != grids["root"][0][i]) & (np.minimum(n, grids["n"][0][i]) >= share * np.maximum(n, grids["n"][0][i]) - 1e-9)
+        at = np.flatnonzero(here)
+        alike = b[at] == a[i]
+        agree = alike.sum(axis=1)
+        at, alike, agree = (x[agree >= least] for x in (at, alike, agree))
+        same = alike.reshape(-1, BANDS, BAND_ROWS)[:, :band].all(axis=2)
+        both = grids["open"][1][at] & grids["open"][0][i]
+        first = ~(same & ((both[:, None] >> np.arange(band)) & 1).astype(bool)).any(axis=1)
+        at, agree = at[first], agree[first]
+        if best is not None and len(at) > best:
+            at = at[np.argsort(-agree, kind="stable")[:best]]
+        src.append(np.full(len(at), grids["node"][0][i]))
+        dst.append(grids["node"][1][at])
+    return np.concatenate(src), np.concatenate(dst)
 
 
 def _apart(members: DataFrame, roots: DataFrame, group: list[str]) -> DataFrame:
     """`members` of groups that aren't connected as a whole, with the root of each."""
-    named = members.select(*group, "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = written(named, "members")
-    several = named.groupBy(*group).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return written(named.join(written(several.select(*group), "open"), group), "crowded")
+    with scratch(members.sparkSession):
+        named = members.select(*group, "band", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        named = written(named, "members")
+        several = named.groupBy(*group).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        return written(named.join(written(several.select(*group), "open"), group), "crowded", keep=True)
 
 
 def _with_one(members: DataFrame, group: list[str], turn: int) -> DataFrame:
@@ -348,15 +448,16 @@ def _sizes_allow(a: Column, b: Column) -> Column:
 
 def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs whose sets of shingles, from `rows`, are similar."""
-    pairs = written(pairs, "candidates")
-    named = pairs.select(F.col("src").alias("node")).union(pairs.select(F.col("dst").alias("node"))).distinct()
-    sets = rows.select("node", "shingles").join(named, "node", "left_semi").dropDuplicates(["node"])
-    sets = written(sets, "shingles")
-    for end in ("src", "dst"):
-        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("shingles").alias(f"{end}_set")), end)
-    both = F.size(F.array_intersect("src_set", "dst_set"))
-    either = F.size("src_set") + F.size("dst_set") - both
-    return written(pairs.where(both * SIMILAR[1] >= either * SIMILAR[0]).select("src", "dst"), "similar")
+    with scratch(rows.sparkSession):
+        pairs = written(pairs, "candidates")
+        named = pairs.select(F.col("src").alias("node")).union(pairs.select(F.col("dst").alias("node"))).distinct()
+        sets = rows.select("node", "shingles").join(named, "node", "left_semi").dropDuplicates(["node"])
+        sets = written(sets, "shingles")
+        for end in ("src", "dst"):
+            pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("shingles").alias(f"{end}_set")), end)
+        both = F.size(F.array_intersect("src_set", "dst_set"))
+        either = F.size("src_set") + F.size("dst_set") - both
+        return written(pairs.where(both * SIMILAR[1] >= either * SIMILAR[0]).select("src", "dst"), "similar", keep=True)
 
 
 def one_of_similar(docs: DataFrame, limit: int = 3, size: int = 3) -> DataFrame:
@@ -365,12 +466,14 @@ def one_of_similar(docs: DataFrame, limit: int = 3, size: int = 3) -> DataFrame:
     A group holds what `near_duplicates` links, and texts that share 80% or more of their five-word shingles (`similar`). Null and empty texts are copies of each other; missing ids come last; of repeated rows one stays; other
     columns are carried along, and an empty table gives an empty one.
     """
-    signed = written(signatures(docs, size), "signatures")
-    near = connected(links(written(signed.select("fp").distinct(), "distinct"), limit)).select(F.col("node").alias("fp"), "root")
-    rows = signed.select("doc_id", "row_key", "fp", "node").join(near, "fp", "left")
-    rows = written(rows.select("doc_id", "row_key", "node", F.coalesce("root", "fp").alias("near")), "classes")
-    lows = rows.groupBy("near").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    edges = rows.join(lows, "near").where("node <> low").select(F.col("node").alias("src"), F.col("low").alias("dst"))
-    roots = connected(edges.union(similar(signed)))
-    rows = rows.join(roots, "node", "left").select("doc_id", "row_key", F.coalesce("root", "node").alias("root"))
-    return _first_of_each(docs, rows)
+    with scratch(docs.sparkSession):
+        signed = written(signatures(docs, size), "signatures")
+        near = connected(links(written(signed.select("fp").distinct(), "distinct"), limit)).select(F.col("node").alias("fp"), "root")
+        rows = signed.select("doc_id", "row_key", "fp", "node").join(near, "fp", "left")
+        rows = written(rows.select("doc_id", "row_key", "node", F.coalesce("root", "fp").alias("near")), "classes")
+        lows = rows.groupBy("near").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+        edges = rows.join(lows, "near").where("node <> low").select(F.col("node").alias("src"), F.col("low").alias("dst"))
+        roots = connected(edges.union(similar(signed)))
+        best = _firsts(rows.join(roots, "node", "left").select("doc_id", "row_key", F.coalesce("root", "node").alias("root")))
+        best = written(best, "kept", keep=True)
+    return chosen_rows(docs, best)
