@@ -1,6 +1,7 @@
 """The pipeline operators against brute force, exact round trips and held-out accuracy, on small tables with odd rows."""
 
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -186,6 +187,31 @@ def test_simhash_of_crowds(spark, monkeypatch):
     assert sorted(r.doc_id for r in simhash.one_of_similar(frame(spark, rows)).collect()) == list(range(0, 160, 2))
 
 
+def test_sketches_lose_no_similar_pair():
+    """Over the bands that a pair shares, it is named once if it is similar, whatever bands are open, and never within a component."""
+    draw = np.random.default_rng(4)
+    base = draw.integers(-(2**31), 2**31, 300).astype(np.int32)
+    sets = [np.unique(np.r_[base[draw.random(300) > gone], draw.integers(-(2**31), 2**31, int(300 * gone))]).astype(np.int32) for gone in draw.uniform(0, 0.3, 90)]
+    least = [simhash.minima(x) for x in sets]
+    keys = np.array([simhash.minhash_keys(x) for x in least])
+    opened = draw.random(simhash.BANDS) > 0.2  # a key is open or not for all who have it
+    rows = pd.DataFrame({"node": np.arange(90), "root": np.arange(90) // 3, "n": [len(x) for x in sets], "sketch": [simhash.sketch(x) for x in least]})
+    rows["open"] = sum(1 << b for b in range(simhash.BANDS) if opened[b])
+    found = []
+    for band in np.flatnonzero(opened):
+        for key in np.unique(keys[:, band]):
+            group = rows[keys[:, band] == key]
+            left, right = simhash._maybe_similar(group[group["root"] % 2 == 1], group, int(band), None)
+            found += zip(left.tolist(), right.tolist())
+    assert len(found) == len(set(found)) and not [p for p in found if p[0] // 3 == p[1] // 3]
+    wanted = set()
+    for i, j in itertools.product(range(90), range(90)):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        if i // 3 != j // 3 and i // 3 % 2 == 1 and (keys[i] == keys[j])[opened].any() and both * 5 >= (len(sets[i]) + len(sets[j]) - both) * 4:
+            wanted.add((i, j))
+    assert len(wanted) > 100 and wanted <= set(found)
+
+
 def test_simhash_of_one_large_group(spark, monkeypatch):
     """Copies of one text whose word sets hardly differ, in more than one upper node."""
     monkeypatch.setattr(simhash, "GROUP_ROWS", 64)
