@@ -1,7 +1,7 @@
 """Elements of landed pages: where every tag stands, where its element ends, and blocks around a place.
 
-A page is cut before every '<'. The pieces are placed by windows within the page, so nesting and "the nearest before"
-are running aggregates and a page of any length costs its pieces once. All steps of one table keep the partitioning by page.
+A page is cut before every '<' and stays one row: nesting and "the nearest before" are worked out on arrays, one number per piece
+in Arrow batches, so no piece of markup is shuffled or sorted and a page of any length costs its pieces once.
 """
 
 from __future__ import annotations
@@ -10,11 +10,14 @@ import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PAGE = "_page"
-_NAME = r"^</?([a-zA-Z][a-zA-Z0-9]*)"
+_HEAD = r"^(</?[a-zA-Z][a-zA-Z0-9]*)"
 
 
 def cut_pages(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -23,22 +26,56 @@ def cut_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.withColumn(PAGE, F.md5(whole)).dropDuplicates([PAGE]).withColumn("_pieces", F.split(html, "(?=<)"))
 
 
+def _lists(like: pa.Array, values: pa.Array, lengths: np.ndarray) -> pa.Array:
+    """One list of so many values per row; NULL where `like` is."""
+    offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, values, mask=like.is_null() if like.null_count else None)
+
+
+def _levels(heads: pa.Array) -> pa.Array:
+    """depth and end (see `tags`) of the tags of pages, given the beginnings of their pieces ('<b', '</b', '' for none)."""
+    lengths = pc.fill_null(pc.list_value_length(heads), 0).to_numpy(zero_copy_only=False)
+    coded = heads.flatten().dictionary_encode()
+    texts, code = [t.lower() for t in coded.dictionary.to_pylist()], coded.indices.to_numpy(zero_copy_only=False)
+    names = {n: i for i, n in enumerate(dict.fromkeys(t.strip("</") for t in texts))}
+    shut_of, name_of = np.array([t.startswith("</") for t in texts], bool), np.array([names[t.strip("</")] for t in texts], np.int64)
+    page = np.repeat(np.arange(len(lengths)), lengths)
+    at = np.arange(len(code)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    tag = np.flatnonzero(np.array([t != "" for t in texts], bool)[code]) if texts else np.zeros(0, np.int64)
+    group, shut = (page * len(names) + name_of[code])[tag] if texts else tag, shut_of[code][tag] if texts else tag.astype(bool)
+    order = np.argsort(group, kind="stable")
+    opened = np.cumsum(np.where(shut, -1, 1)[order])
+    first = np.flatnonzero(np.diff(group[order], prepend=-1))
+    before = np.concatenate([[0], opened])[first]
+    depth = np.zeros(len(tag), np.int64)
+    depth[order] = opened - np.repeat(before, np.diff(first, append=len(tag))) + shut[order]
+    order = np.lexsort((depth, group))
+    this, after = order[:-1], order[1:]
+    ended = (group[this] == group[after]) & (depth[this] == depth[after]) & shut[after]
+    depths, ends = np.zeros(len(code), np.int32), np.full(len(code), -1, np.int32)
+    depths[tag], ends[tag[this[ended]]] = depth, at[tag[after[ended]]]
+    values = pa.StructArray.from_arrays([pa.array(depths), pa.array(ends, mask=ends < 0)], ["depth", "end"])
+    return _lists(heads, values, lengths)
+
+
+def _nested(cut: DataFrame) -> DataFrame:
+    """Cut pages with the beginning of every piece that is a tag and its depth and end."""
+    levels = F.arrow_udf(_levels, "array<struct<depth:int,end:int>>")
+    heads = F.transform("_pieces", lambda p: F.regexp_extract(p, _HEAD, 1))
+    return cut.withColumn("_heads", heads).withColumn("_levels", levels("_heads"))
+
+
+def _tag(head: Column) -> list[Column]:
+    return [F.lower(F.ltrim(head, F.lit("</"))).alias("name"), head.startswith("</").alias("closing")]
+
+
 def tags(cut: DataFrame) -> DataFrame:
     """page, at (number of the piece), name, closing, depth (elements of that name that are open), end per tag.
 
     end is the piece of the end tag. An element that is never closed, or can't be, has none; it hides no other element's end.
     """
-    pieces = cut.select(PAGE, F.posexplode("_pieces").alias("at", "piece"))
-    named = pieces.select(
-        PAGE, "at", F.lower(F.regexp_extract("piece", _NAME, 1)).alias("name"), F.col("piece").startswith("</").alias("closing"),
-        F.regexp_extract("piece", "^(<[^>]*>?)", 1).alias("opening"),
-    ).where("name <> ''")
-    step = F.when(F.col("closing"), -1).otherwise(1)
-    of_name = Window.partitionBy(PAGE, "name").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    level = F.sum(step).over(of_name) + F.when(F.col("closing"), 1).otherwise(0)
-    of_level = Window.partitionBy(PAGE, "name", "depth").orderBy("at")
-    end = F.lead(F.when(F.col("closing"), F.col("at"))).over(of_level)
-    return named.withColumn("depth", level).withColumn("end", end)
+    pieces = _nested(cut).select(PAGE, F.posexplode(F.arrays_zip("_pieces", "_heads", "_levels")).alias("at", "p")).where("p._heads <> ''")
+    return pieces.select(PAGE, "at", *_tag(F.col("p._heads")), F.regexp_extract("p._pieces", "^(<[^>]*>?)", 1).alias("opening"), "p._levels.depth", "p._levels.end")
 
 
 def elements(pages: DataFrame, wanted: Callable[[Column], Column], html: str = "html") -> DataFrame:
@@ -46,16 +83,20 @@ def elements(pages: DataFrame, wanted: Callable[[Column], Column], html: str = "
 
     Text of an element without an end is what stands before the next tag.
     """
-    cut = cut_pages(pages, html)
     rest = [c for c in pages.columns if c != html]
-    found = tags(cut).where(~F.col("closing") & wanted(F.col("opening")))
-    found = found.groupBy(PAGE).agg(F.collect_list(F.struct("at", "name", "opening", "end")).alias("_found"))
+
+    def opening(piece: Column, i: Column) -> Column:
+        head = F.get("_heads", i)
+        tag = F.regexp_extract(piece, "^(<[^>]*>?)", 1)
+        return F.when((head != "") & ~head.startswith("</") & wanted(tag), F.struct(i.alias("at"), head.alias("head"), tag.alias("opening")))
 
     def read(e: Column) -> Column:
-        inside = F.slice("_pieces", e["at"] + 1, F.coalesce(e["end"] - e["at"], F.lit(1)))
-        return F.struct(e["at"].alias("at"), e["name"].alias("name"), e["opening"].alias("opening"), F.regexp_replace(F.array_join(inside, ""), "<[^>]*>?", "").alias("text"))
+        end = F.get("_levels", e["at"])["end"]
+        inside = F.slice("_pieces", e["at"] + 1, F.coalesce(end - e["at"], F.lit(1)))
+        return F.struct(e["at"].alias("at"), e["head"].alias("head"), e["opening"].alias("opening"), F.regexp_replace(F.array_join(inside, ""), "<[^>]*>?", "").alias("text"))
 
-    return cut.join(found, PAGE).select(*rest, F.explode(F.transform("_found", read)).alias("e")).select(*rest, "e.*")
+    found = F.array_compact(F.transform("_pieces", opening))
+    return _nested(cut_pages(pages, html)).select(*rest, F.explode(F.transform(found, read)).alias("e")).select(*rest, "e.at", F.lower(F.substr("e.head", F.lit(2))).alias("name"), "e.opening", "e.text")
 
 
 # ---- selectors ----------------------------------------------------------------------------
@@ -136,60 +177,82 @@ class BlockLocator:
             raise ValueError(f"a block is a row or a table, not {self.expand}")
 
 
+_MARKS = ("tr", "table", "tr_end", "table_end", "a_end", "link", "marked")
+
+
+def _placed(locator: BlockLocator) -> Callable[[pa.Array, pa.Array, pa.Array], pa.Array]:
+    """Piece, place in it and length of links and of their blocks, given size, marks (bits as in `_MARKS`) and place of an anchor (from 1) of every piece."""
+
+    def nearest(places: np.ndarray, at: np.ndarray, after: bool) -> np.ndarray:
+        """The last of `places` up to each `at`, or the first from it on; NaN where there is none."""
+        i = np.searchsorted(places, at, "left" if after else "right") - (not after)
+        some = (i >= 0) & (i < len(places))
+        return np.where(some, np.append(places, 0)[np.where(some, i, -1)], np.nan)
+
+    def first(*choices: np.ndarray) -> np.ndarray:
+        out = choices[0]
+        for c in choices[1:]:
+            out = np.where(np.isnan(out), c, out)
+        return out
+
+    def blocks(of: dict[str, np.ndarray], place: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Bounds of the blocks around places, from the nearest beginnings up to `at` and ends from there on."""
+        tr, table = (nearest(of[n], at, False) for n in ("tr", "table"))
+        tr_end, table_end = (nearest(of[n], at, True) + len(end) for n, end in (("tr_end", "</tr>"), ("table_end", "</table>")))
+        if locator.expand == "row":
+            return np.array([first(tr, table, np.zeros(len(place))), first(tr_end, table_end, place + locator.look_ahead)])
+        return np.array([first(table, np.maximum(place - locator.look_behind, 0)), first(table_end, place + locator.look_ahead)])
+
+    def page(size: np.ndarray, marks: np.ndarray, anchored: np.ndarray) -> np.ndarray:
+        offset = np.cumsum(size) - size
+        of = {n: offset[(marks >> i) & 1 == 1] for i, n in enumerate(_MARKS)}
+        links, anchor = of["link"], offset[anchored > 0]
+        far = np.maximum(links - locator.look_behind, 0)
+        found = blocks(of, far, links - locator.look_behind)
+        for at, place in ((of["marked"], of["marked"]), (anchor, anchor + anchored[anchored > 0] - 1)):
+            before = np.searchsorted(at, links, "left") - 1
+            if len(at):
+                found = np.where(before >= 0, blocks(of, place, at)[:, before], found)
+        whole = size.sum()
+        links_end = first(nearest(of["a_end"], links, True) + len("</a>"), np.full(len(links), whole))
+        bounds = np.minimum(np.array([links, links_end, *found]), whole).astype(np.int64)
+        piece = np.searchsorted(offset, bounds, "right") - 1
+        out = [[piece[i], bounds[i] - offset[piece[i]], piece[i + 1], bounds[i + 1] - bounds[i]] for i in (0, 2)]
+        return np.array([*out[0], *out[1]]).astype(np.int32)
+
+    def placed(sizes: pa.Array, marks: pa.Array, anchored: pa.Array) -> pa.Array:
+        lengths = pc.fill_null(pc.list_value_length(sizes), 0).to_numpy(zero_copy_only=False)
+        flat = [a.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for a in (sizes, marks, anchored)]
+        ends = np.cumsum(lengths)
+        found = [page(*(a[end - n : end] for a in flat)) if n else np.zeros((8, 0), np.int32) for end, n in zip(ends, lengths)]
+        values = np.concatenate(found, axis=1) if found else np.zeros((8, 0), np.int32)
+        names = ("piece", "start", "last", "length")
+        parts = [pa.StructArray.from_arrays([pa.array(v) for v in values[i : i + 4]], names) for i in (0, 4)]
+        return _lists(sizes, pa.StructArray.from_arrays(parts, ["link", "block"]), np.array([f.shape[1] for f in found], np.int64))
+
+    return placed
+
+
 def located_links(pages: DataFrame, link: str, locator: BlockLocator, html: str = "html") -> DataFrame:
     """The page's other columns, pos, link and block (markup both) of every link whose opening tag fits a pattern, in page order."""
-    cut = cut_pages(pages, html)
     rest = [c for c in pages.columns if c != html]
-    in_page = Window.partitionBy(PAGE)
-    onward = in_page.orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    backward = in_page.orderBy(F.col("offset").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = in_page.orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
-    piece = F.col("piece")
-    pieces = cut.select(PAGE, F.posexplode("_pieces").alias("at", "piece")).withColumn("size", F.length("piece").cast("long"))
-    by_number = in_page.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pieces = pieces.withColumn("offset", F.sum("size").over(by_number) - F.col("size"))
-    is_tag = lambda name: F.rlike(piece, F.lit(rf"(?i)^<{name}(?=[\s>/])"))
-    anchored = F.greatest(*[F.locate(a, piece) for a in locator.anchors], F.lit(0), F.lit(0))
-    anchor = F.when(anchored > 0, F.col("offset") + anchored - 1)
-    marks = pieces.select(
-        PAGE, "offset", is_tag("tr").alias("tr"), is_tag("table").alias("table"), is_tag("/tr").alias("tr_end"), is_tag("/table").alias("table_end"),
-        is_tag("/a").alias("a_end"), F.rlike(piece, F.lit(link)).alias("is_link"), anchor.alias("anchor"),
-        F.when(F.rlike(piece, F.lit(locator.marker)), F.col("offset")).alias("marked"),
-    ).where("tr or table or tr_end or table_end or a_end or is_link or anchor is not null or marked is not null")
-    offset = F.col("offset")
-    behind = in_page.orderBy("offset").rangeBetween(Window.unboundedPreceding, -locator.look_behind)
-    beyond = in_page.orderBy(F.col("offset").desc()).rangeBetween(Window.unboundedPreceding, locator.look_behind)
-    last = lambda flag, over: F.last(F.when(F.col(flag), offset), ignorenulls=True).over(over)
-    names = ("tr", "table", "tr_end", "table_end")
-    near = {n: last(n, backward if n.endswith("end") else onward) for n in names}
-    far = {n: last(n, beyond if n.endswith("end") else behind) for n in names}
-    nearest = marks.select("*", *[w.alias(f"near_{n}") for n, w in near.items()], *[w.alias(f"far_{n}") for n, w in far.items()], last("a_end", backward).alias("link_end"))
-    around = lambda place, kind: _block(place, {n: F.col(f"{kind}_{n}") for n in names}, locator)
-    placed = nearest.withColumn("by_anchor", F.when(F.col("anchor").isNotNull(), around(F.col("anchor"), "near")))
-    placed = placed.withColumn("by_marker", F.when(F.col("marked").isNotNull(), around(F.col("marked"), "near")))
-    block = F.coalesce(
-        F.last("by_anchor", ignorenulls=True).over(earlier), F.last("by_marker", ignorenulls=True).over(earlier),
-        around(F.greatest(offset - locator.look_behind, F.lit(0)), "far"),
+    ends = {n: rf"(?i)^<{'/' + n[:-4] if n.endswith('_end') else n}(?=[\s>/])" for n in _MARKS[:5]}
+    fits = [*ends.values(), link, locator.marker]
+
+    def marks(piece: Column) -> Column:
+        flags = [F.rlike(piece, F.lit(p)).cast("int") * 2**i for i, p in enumerate(fits)]
+        return sum(flags[1:], flags[0])
+
+    part = "struct<piece:int,start:int,last:int,length:int>"
+    placed = F.arrow_udf(_placed(locator), f"array<struct<link:{part},block:{part}>>")
+    cut = cut_pages(pages, html).select(
+        *rest, "_pieces", F.transform("_pieces", F.length).alias("_sizes"), F.transform("_pieces", marks).alias("_marks"),
+        F.transform("_pieces", lambda p: F.greatest(*[F.locate(a, p) for a in locator.anchors], F.lit(0), F.lit(0))).alias("_anchored"),
     )
-    links = placed.withColumn("block", block).where("is_link")
-    links = links.groupBy(PAGE).agg(F.array_sort(F.collect_list(F.struct("offset", "link_end", "block"))).alias("_links"))
-
-    def part(start: Column, end: Column) -> Column:
-        return F.substr(F.col(html), (start + 1).cast("int"), (end - start).cast("int"))
 
     def read(x: Column) -> Column:
-        end = F.coalesce(x["link_end"] + len("</a>"), F.length(html).cast("long"))
-        return F.struct(part(x["offset"], end).alias("link"), part(x["block"]["start"], x["block"]["end"]).alias("block"))
-
-    return cut.join(links, PAGE).select(*rest, F.posexplode(F.transform("_links", read)).alias("pos", "x")).select(*rest, "pos", "x.*")
-
+        inside = F.slice("_pieces", x["piece"] + 1, F.greatest(x["last"] - x["piece"], F.lit(0)) + 1)
+        return F.substr(F.array_join(inside, ""), x["start"] + 1, F.greatest(x["length"], F.lit(0)))
 
-def _block(place: Column, near: dict[str, Column], locator: BlockLocator) -> Column:
-    """Bounds of the block around a place, from the nearest beginnings before it and ends after it."""
-    back, on = F.greatest(place - locator.look_behind, F.lit(0)), place + locator.look_ahead
-    table_end = near["table_end"] + len("</table>")
-    if locator.expand == "row":
-        start, end = F.coalesce(near["tr"], near["table"], F.lit(0)), F.coalesce(near["tr_end"] + len("</tr>"), table_end, on)
-    else:
-        start, end = F.coalesce(near["table"], back), F.coalesce(table_end, on)
-    return F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"))
+    both = lambda x: F.struct(read(x["link"]).alias("link"), read(x["block"]).alias("block"))
+    return cut.withColumn("_links", placed("_sizes", "_marks", "_anchored")).select(*rest, F.posexplode(F.transform("_links", both)).alias("pos", "x")).select(*rest, "pos", "x.*")

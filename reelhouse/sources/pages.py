@@ -318,15 +318,16 @@ def ticket_rows(pages: DataFrame, spec: TicketSpec) -> DataFrame:
     role = F.lower(attribute(F.col("opening"), "role")) if any(s.role for s in spec.buttons) else F.lit(None).cast("string")
     found = found.select(*rest, "at", "name", "opening", attribute(F.col("opening"), "id").alias("id"), role.alias("role"), tx.trim_space(tx.decode_entities(F.col("text"))).alias("text"))
     found = found.withColumn("ids", id_patterns(known, F.col("id")))
-    time = F.when(F.rlike("text", F.lit("[0-9]")), tm.schedule_time(F.col("text")))
+    # read once per cell; what is named twice in one step is worked out twice
+    found = found.withColumn("time", F.when(F.rlike("text", F.lit("[0-9]")), tm.schedule_time(F.col("text"))))
     low, high = spec.hidden_range
     places = [F.when(F.col("ids")[s.pattern] & s.cell(F.col("id")).between(low, high), F.struct(s.cell(F.col("id")).alias("number"), F.lit(i).alias("form"), F.col("text").alias("key"))) for i, s in enumerate(hidden)]
     this = {n: F.col(n) for n in ("ids", "name", "role")}
     cells = found.select(
         *rest, F.coalesce(*[F.when(F.col("ids")[p], s.row(F.col("id"))) for p, s in {s.pattern: s for s in known}.items()]).alias("row"),
         F.struct(
-            "at", "id", "text", F.col("opening").alias("tag"), time.alias("time"), any_fits(rows_of, this).alias("makes_row"),
-            any_fits(map(Selector, spec.cells), this).alias("plain"), (any_fits(spec.buttons, this) & time.isNotNull()).alias("button"),
+            "at", "id", "text", F.col("opening").alias("tag"), "time", any_fits(rows_of, this).alias("makes_row"),
+            any_fits(map(Selector, spec.cells), this).alias("plain"), (any_fits(spec.buttons, this) & F.col("time").isNotNull()).alias("button"),
             F.when(F.rlike("text", F.lit(fv.HIDDEN_KEY)), F.coalesce(*places)).alias("hidden"),
         ).alias("cell"),
     )

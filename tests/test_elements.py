@@ -1,5 +1,8 @@
 """Elements, selectors and block locators on pages in odd markup."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +101,37 @@ def test_nested_buttons_and_keys_out_of_range(spark):
     assert read(hidden_range=(1, 300)) == [("Dune", "19:10", "88888")]
     assert read(buttons=(Selector("c-{row}-*", tag="DIV"),)) == [("Dune", "20:00", "11111")]
     assert read(rows=("other_{row}",)) == []
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def restated(html):
+    """at, depth and end of every tag: of one name and depth, an end tag closes the tag before it."""
+    level, before, depths, ends = {}, {}, {}, {}
+    for at, piece in enumerate(re.split("(?=<)", html) if html[0] != "<" else ["<" + p for p in html.split("<")[1:]]):
+        tag = re.match("</?([a-zA-Z][a-zA-Z0-9]*)", piece)
+        if tag:
+            name, shut = tag[1].lower(), piece.startswith("</")
+            level[name] = level.get(name, 0) + (0 if shut else 1)
+            depths[at] = level[name]
+            if shut and (name, level[name]) in before:
+                ends[before[name, level[name]]] = at
+            before[name, level[name]] = at
+            level[name] -= shut
+    return [(at, depth, ends.get(at)) for at, depth in depths.items()]
+
+
+def test_long_pages_stay_one_row(spark):
+    """No piece of a page is dealt or sorted, whatever its length, and tags are those of a plain pass."""
+    rnd = random.Random(4)
+    markup = ["".join(rnd.choice(["<a>", "</a>", "<B id=x>", "</b>", "<div id=y>", "</div>", "text ", "< p", "<br/>"]) for _ in range(n)) + "." for n in (1, 3, 30, 3000)]
+    read = tags(cut_pages(paged(spark, *markup, None)).drop("page")).join(cut_pages(paged(spark, *markup)).select("_page", "html"), "_page").collect()
+    for html in markup:
+        assert sorted((r.at, r.depth, r.end) for r in read if r.html == html) == restated(html)
+    ids = lambda tag: F.contains(tag, F.lit("id="))
+    locator = BlockLocator(("margin:1",), "id=m", "row")
+    for found in (elements(paged(spark, *markup), ids), located_links(paged(spark, *markup), "^<a", locator)):
+        found.count()
+        assert "Window" not in plan_of(found) and "Join" not in plan_of(found)
