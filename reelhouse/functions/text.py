@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
 from pyspark.sql import Column
@@ -160,7 +161,9 @@ def long_word_overlap(a: Column, b: Column) -> Column:
 
 
 def characters(c: Column) -> Column:
-    return F.array_distinct(F.array_remove(F.split(c, ""), ""))
+    """The distinct characters of a squished text, a bit each."""
+    bits = [F.when(F.contains(c, F.lit(ch)), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, ch in enumerate(" 0123456789abcdefghijklmnopqrstuvwxyz")]
+    return functools.reduce(Column.bitwiseOR, bits)
 
 
 def title_distance(a: Column, b: Column) -> Column:
@@ -171,8 +174,8 @@ def title_distance(a: Column, b: Column) -> Column:
 
 def squished_distance(sa: Column, ca: Column, sb: Column, cb: Column) -> Column:
     """title_distance of two titles given their squished forms and distinct characters."""
-    smaller = F.greatest(F.lit(1), F.least(F.size(ca), F.size(cb)))
-    thirds = F.floor(F.size(F.array_intersect(ca, cb)) * 3 / smaller).cast("int")
+    smaller = F.greatest(F.lit(1), F.least(F.bit_count(ca), F.bit_count(cb)))
+    thirds = F.floor(F.bit_count(ca.bitwiseAND(cb)) * 3 / smaller).cast("int")
     return (
         F.when((sa == "") | (sb == ""), 4)
         .when(sa == sb, 0)

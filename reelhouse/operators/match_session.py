@@ -12,6 +12,8 @@ from reelhouse.operators import title_keys as tk
 from reelhouse.session import written
 
 SLOT = ["theater_id", "date", "time"]
+#: Distinct titles wanted in a crowded slot up to which each is compared with all its offers.
+FEW_TITLES = 256
 
 
 def session_key(
@@ -52,11 +54,13 @@ def best_sessions(sessions: DataFrame) -> DataFrame:
     )
 
 
-def _base_score() -> Column:
+def _base_score(offer_runtime: Column | None = None, offer_language: Column | None = None) -> Column:
     """What runtime and language add to a score, whatever the titles are."""
-    off = F.abs(F.col("offer_runtime") - F.col("runtime"))
+    offer_runtime = F.col("offer_runtime") if offer_runtime is None else offer_runtime
+    offer_language = F.col("offer_language") if offer_language is None else offer_language
+    off = F.abs(offer_runtime - F.col("runtime"))
     by_runtime = F.when(off <= 3, 0.0).when(off <= 6, 0.5).when(off <= 10, 1.0).when(off.isNotNull(), 2.0).otherwise(0.5)
-    return by_runtime + F.when(F.col("offer_language") != F.col("language"), 0.5).otherwise(0.0)
+    return by_runtime + F.when(offer_language != F.col("language"), 0.5).otherwise(0.0)
 
 
 def _title_score() -> Column:
@@ -83,13 +87,40 @@ def _same_want(left: str, right: str) -> Column:
     return same
 
 
+def _few_titles(wants: DataFrame, offers: DataFrame) -> DataFrame:
+    """Three best of crowded slots whose wants name few titles: each title is compared once per offer, and its wants meet classes.
+
+    Offers of one class of runtime and language differ in their titles' score alone, so a title's first three of a class are
+    all that a want can take from it, and of the classes only the three whose first offers are best.
+    """
+    members = offers.groupBy(*SLOT, *_CLASS).agg(F.collect_list(F.struct("pos", "auditorium", "offer_title", "offer_form", "offer_chars")).alias("_all"))
+    titles = wants.select(*SLOT, "want_form", "want_chars").dropDuplicates([*SLOT, "want_form"])
+
+    def compared(o: Column) -> Column:
+        score = tx.squished_distance(o["offer_form"], o["offer_chars"], F.col("want_form"), F.col("want_chars"))
+        return F.struct(score.cast("double").alias("score"), *[o[c].alias(c) for c in _OFFER])
+
+    first = F.slice(F.array_sort(F.transform("_all", compared)), 1, 3)
+    met = titles.join(members, SLOT).select(*SLOT, "want_form", F.struct(*_CLASS, first.alias("first")).alias("_class"))
+    met = met.groupBy(*SLOT, "want_form").agg(F.collect_list("_class").alias("_classes"))
+
+    def shifted(c: Column) -> Column:
+        base = _base_score(c["offer_runtime"], c["offer_language"])
+        return F.struct((c["first"][0]["score"] + base).alias("score"), c["first"][0]["pos"].alias("pos"), base.alias("base"), c["first"].alias("first"))
+
+    nearest = F.slice(F.array_sort(F.transform("_classes", shifted)), 1, 3)
+    scored = F.transform(nearest, lambda c: F.transform(c["first"], lambda o: F.struct((o["score"] + c["base"]).alias("score"), *[o[k].alias(k) for k in _OFFER])))
+    best = wants.join(met, [*SLOT, "want_form"]).select(*_WANT, F.array_sort(F.flatten(scored)).alias("_best"))
+    return best.select(*_WANT, *[F.get("_best", F.lit(i)).alias(f"o{i + 1}") for i in range(3)])
+
+
 def _bounded(wants: DataFrame, offers: DataFrame) -> DataFrame:
     """Scored pairs of crowded slots that hold every want's three best, found by branch and bound.
 
     Offers of a slot fall into classes of runtime and language, which bound their scores from below. The first
     offer of every class (its first three for an empty title) gives each want a third-best score to beat. Then the class nearest to the want is opened, its
     titles compared and the third best lowered; of the other classes only those are opened whose bound still beats it.
-    An empty title is equally far from all, so it needs no class opened.
+    An empty title is equally far from all, so it needs no class opened. Of each step only the three best per want are kept.
     """
     forms = [*_OFFER, "offer_form", "offer_chars"]
     first = F.row_number().over(Window.partitionBy(*SLOT, *_CLASS).orderBy("pos"))
@@ -100,6 +131,10 @@ def _bounded(wants: DataFrame, offers: DataFrame) -> DataFrame:
     at_heads = met.select("*", F.explode(F.slice("_heads", 1, F.when(F.col("want_form") == "", 3).otherwise(1))).alias("_h")).select(*_WANT, "base", "want_form", "want_chars", *[F.col(f"_h.{c}").alias(c) for c in forms])
     at_heads = at_heads.withColumn("score", F.col("base") + _title_score()).select(*_WANT, *scored)
 
+    def kept(found: DataFrame, purpose: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*_WANT).orderBy("score", "pos"))
+        return written(found.withColumn("_place", place).where(F.col("_place") <= 3).drop("_place"), purpose)
+
     def third(found: DataFrame) -> DataFrame:
         return _three_best(found).select(*_WANT, F.struct(F.col("o3.score").alias("score"), F.col("o3.pos").alias("pos")).alias("_third"), F.col("o3").isNotNull().alias("_full"))
 
@@ -115,10 +150,9 @@ def _bounded(wants: DataFrame, offers: DataFrame) -> DataFrame:
     open_to = met.where(F.col("want_form") != "").select(*held)
     nearest = open_to.groupBy(*_WANT).agg(F.min("base").alias("_least"))
     ranked = open_to.alias("m").join(nearest.alias("t"), _same_want("m", "t")).select("m.*", (F.col("base") == F.col("_least")).alias("_near"))
-    ranked = written(ranked, "session-classes")
-    start = written(at_heads, "session-heads")
+    start = kept(at_heads, "session-heads")
     near = ranked.where("_near").alias("m").join(third(start).alias("t"), _same_want("m", "t")).where(may_win).select("m.*")
-    start = written(start.unionByName(opened(near)).distinct(), "session-nearest")
+    start = kept(start.unionByName(opened(near)).distinct(), "session-nearest")
     rest = ranked.where("NOT _near").alias("m").join(third(start).alias("t"), _same_want("m", "t")).where(may_win).select("m.*")
     return start.unionByName(opened(rest)).distinct()
 
@@ -128,7 +162,8 @@ def scored_session(wanted: DataFrame, sessions: DataFrame, few: int = tk.FEW) ->
 
     Runtime distance, title distance and language add up; two best closer than a quarter
     point are reported as ambiguous with the three best. In slots of more than `few` distinct
-    offers titles are compared only where a bound of the score allows one of the three best.
+    offers wants of one title share its comparisons; where many titles are wanted, they are compared only where a bound of the
+    score allows one of the three best.
     """
     wants = (
         wanted.select(*_WANT).distinct()
@@ -149,14 +184,15 @@ def scored_session(wanted: DataFrame, sessions: DataFrame, few: int = tk.FEW) ->
     crowded = sessions.groupBy(*SLOT).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > few).select(*SLOT)
     crowded = crowded.join(wants, SLOT, "left_semi")
     if crowded.isEmpty():
-        scored = wants.join(offers, SLOT).withColumn("score", _base_score() + _title_score())
+        best = _three_best(wants.join(offers, SLOT).withColumn("score", _base_score() + _title_score()))
     else:
-        crowded, wants, offers = (written(df, "sessions") for df in (crowded, wants, offers))
-        sparse = wants.join(crowded, SLOT, "left_anti").join(offers, SLOT).withColumn("score", _base_score() + _title_score())
-        scored = sparse.select(*_WANT, "score", *_OFFER).unionByName(
-            _bounded(wants.join(crowded, SLOT, "left_semi"), offers.join(crowded, SLOT, "left_semi"))
-        )
-    best = _three_best(scored)
+        named = wants.join(crowded, SLOT, "left_semi").groupBy(*SLOT).agg(F.countDistinct("want_form").alias("_titles"))
+        named, wants, offers = (written(df, "sessions") for df in (named, wants, offers))
+        best = _three_best(wants.join(named, SLOT, "left_anti").join(offers, SLOT).withColumn("score", _base_score() + _title_score()))
+        for slots, method in ((F.col("_titles") <= FEW_TITLES, _few_titles), (F.col("_titles") > FEW_TITLES, lambda w, o: _three_best(_bounded(w, o)))):
+            chosen = named.where(slots).select(*SLOT)
+            if not chosen.isEmpty():
+                best = best.unionByName(method(wants.join(chosen, SLOT, "left_semi"), offers.join(chosen, SLOT, "left_semi")))
     close = F.col("o2").isNotNull() & (F.abs(F.col("o1.score") - F.col("o2.score")) < 0.25)
     top = F.array_compact(F.array(*[F.col(f"o{i}.pos") for i in (1, 2, 3)]))
     return wanted.alias("w").join(best.alias("b"), _same_want("w", "b"), "left").select(

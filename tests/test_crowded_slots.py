@@ -58,6 +58,27 @@ def test_scored_session_by_bounds(spark):
             assert (r.status, r.session_pos) == ("OK", best[0][1]), want
 
 
+def test_few_titles_share_their_comparisons(spark, monkeypatch):
+    """Of 40 wanted titles in 2,400 shapes nothing is written per want and class, and the rows are those of comparing all."""
+    sessions, _, offered, _ = tables(spark, 400, seed=5)
+    rnd = random.Random(6)
+    names = [*rnd.sample([s[4] for s in offered], 36), "", None, "a", "zz"]
+    asked = [(*AT, n, r, lang) for n in names for r in (None, *range(95, 114)) for lang in ("FR", "EN", None)]
+    wants = spark.createDataFrame(asked, WANT)
+    made = []
+    keep = match_session.written
+
+    def counted(df, purpose):
+        out = keep(df, purpose)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(match_session, "written", counted)
+    got = match_session.scored_session(wants, sessions).collect()
+    assert sum(made) < 2 * (len(asked) + len(offered))
+    assert sorted(map(str, match_session.scored_session(wants, sessions, few=10**6).collect())) == sorted(map(str, got))
+
+
 def test_five_thousand_titles_are_not_paired(spark, monkeypatch):
     """Of the pairs of 5,000 offers and a tenth of the wants, less than a fifth is compared before the last classes."""
     sessions, wants, *_ = tables(spark, 5000)
