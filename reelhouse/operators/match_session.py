@@ -94,15 +94,18 @@ def _few_titles(wants: DataFrame, offers: DataFrame) -> DataFrame:
     all that a want can take from it, and of the classes only the three whose first offers are best.
     """
     members = offers.groupBy(*SLOT, *_CLASS).agg(F.collect_list(F.struct("pos", "auditorium", "offer_title", "offer_form", "offer_chars")).alias("_all"))
+    slots = members.groupBy(*SLOT).agg(F.collect_list(F.struct(*_CLASS, "_all")).alias("_slot"))
     titles = wants.select(*SLOT, "want_form", "want_chars").dropDuplicates([*SLOT, "want_form"])
 
     def compared(o: Column) -> Column:
         score = tx.squished_distance(o["offer_form"], o["offer_chars"], F.col("want_form"), F.col("want_chars"))
         return F.struct(score.cast("double").alias("score"), *[o[c].alias(c) for c in _OFFER])
 
-    first = F.slice(F.array_sort(F.transform("_all", compared)), 1, 3)
-    met = titles.join(members, SLOT).select(*SLOT, "want_form", F.struct(*_CLASS, first.alias("first")).alias("_class"))
-    met = met.groupBy(*SLOT, "want_form").agg(F.collect_list("_class").alias("_classes"))
+    def reduced(c: Column) -> Column:
+        first = F.slice(F.array_sort(F.transform(c["_all"], compared)), 1, 3)
+        return F.struct(*[c[k].alias(k) for k in _CLASS], first.alias("first"))
+
+    met = titles.join(slots, SLOT).select(*SLOT, "want_form", F.transform("_slot", reduced).alias("_classes"))
 
     def shifted(c: Column) -> Column:
         base = _base_score(c["offer_runtime"], c["offer_language"])
