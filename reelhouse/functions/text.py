@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,6 +26,11 @@ _MARKS = "[\\u0300-\\u036f]"
 _MARKS_AND_SPACING_ACCENTS = "[\\^`\\u00a8\\u00af\\u00b4\\u00b7\\u00b8\\u0300-\\u036f]"
 
 
+def once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(c)`, with `c` worked out once however often `use` names it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def pattern(text: str) -> str:
     """Fill the word edges and the wide white-space class into a stored pattern.
 
@@ -324,6 +330,6 @@ def chain_and_screens(subtitle: Column) -> tuple[Column, Column]:
     chain = trim_space(F.element_at(F.split(subtitle, "•"), 1))
     count = F.regexp_extract(subtitle, f"(?i)([0-9]+){SPACE}+salle", 1)
     return (
-        F.when(mentions & (chain != ""), chain),
-        F.when(mentions & (count != ""), count.try_cast("int")),
+        F.when(mentions, once(chain, lambda c: F.when(c != "", c))),
+        F.when(mentions, once(count, lambda c: F.when(c != "", c.try_cast("int")))),
     )

@@ -61,7 +61,7 @@ def attribute(tag: Column, name: str) -> Column:
 
 
 def inner_text(html: Column) -> Column:
-    return F.nullif(tx.plain_text(html), F.lit(""))
+    return tx.once(tx.plain_text(html), lambda t: F.when(t != "", t))
 
 
 def text_in(html: Column, opening: str, tag: str) -> Column:
@@ -173,7 +173,7 @@ def showtime_blocks(pages: DataFrame) -> DataFrame:
     titles = [text_in(html, with_class(c), "a") for c in (fv.THEATER_TITLE, *fv.OTHER_THEATER_TITLES)]
     name = F.coalesce(*titles, text_in(html, r"<a\s[^>]*>", "a"))
     subtitles = [text_in(html, with_class(c), "div") for c in (fv.THEATER_SUBTITLE, *fv.OTHER_THEATER_SUBTITLES)]
-    tells = [F.when(F.rlike(x, F.lit("(?i)salle")), x) for x in (*subtitles, inner_text(html))]
+    tells = [tx.once(x, lambda t: F.when(F.rlike(t, F.lit("(?i)salle")), t)) for x in (*subtitles, inner_text(html))]
     subtitle = F.coalesce(*tells, F.lit(""))
     show_time = with_class("(?:" + "|".join((fv.SHOW_TIME, *fv.OTHER_SHOW_TIMES)) + ")")
     times = F.transform(all_of(html, f"(?s){show_time}(.*?)</", 1), tx.plain_text)
@@ -453,23 +453,32 @@ def seat_elements(pages: DataFrame) -> DataFrame:
 def hall_schedule(pages: DataFrame) -> DataFrame:
     """Film cards with day grids: film, date, time and hall of every show, repeats dropped."""
     rest = [c for c in pages.columns if c != "html"]
-    cards = pages.select(*rest, F.explode(pieces_after(F.col("html"), with_class(fv.HALL_CARD))).alias("card"))
-    days = cards.select(
-        *rest, text_in(F.col("card"), "<h2[^>]*>", "h2").alias("movie"),
-        F.explode(pieces_after(F.col("card"), with_class(fv.HALL_DAY))).alias("grid"),
-    )
-    shows = days.select(
-        *rest, "movie", attribute(F.regexp_extract("grid", "^(<[^>]*>)", 1), "data-date").alias("date"),
-        F.posexplode(all_of(F.col("grid"), r"(?s)<a\s[^>]*>.*?</a>")).alias("pos", "link"),
-    )
-    link = F.col("link")
-    clock = F.regexp_extract(F.coalesce(text_in(link, with_class(fv.HALL_TIME), "span"), F.lit("")), tx.pattern("{B}(0?[0-9]|1[0-9]|2[0-3]):([0-9]{2}){B}"), 0)
-    hall = text_in(link, with_class(fv.HALL_NAME), "span")
     named = tx.pattern(fv.HALL_NUMBER)
-    word, number = F.regexp_extract(hall, named, 1), F.regexp_extract(hall, named, 2)
-    tidy = F.when(word != "", F.concat_ws(" ", F.initcap(F.lower(word)), number)).otherwise(hall)
-    return (
-        shows.select(*rest, "movie", "date", F.nullif(F.lpad(F.nullif(clock, F.lit("")), 5, "0"), F.lit("")).alias("time"), tidy.alias("salle"))
-        .where(F.col("movie").isNotNull() & F.col("date").isNotNull() & F.col("time").isNotNull())
-        .distinct()
-    )
+
+    def card(html: Column) -> Column:
+        return F.struct(text_in(html, "<h2[^>]*>", "h2").alias("movie"), pieces_after(html, with_class(fv.HALL_DAY)).alias("grids"))
+
+    def texts(link: Column) -> Column:
+        clock = tx.pattern("{B}(0?[0-9]|1[0-9]|2[0-3]):([0-9]{2}){B}")
+        time = F.regexp_extract(F.coalesce(text_in(link, with_class(fv.HALL_TIME), "span"), F.lit("")), clock, 0)
+        hall = tx.once(
+            text_in(link, with_class(fv.HALL_NAME), "span"),
+            lambda h: F.struct(h.alias("text"), *[F.regexp_extract(h, named, i).alias(n) for i, n in ((1, "word"), (2, "number"))]),
+        )
+        return F.struct(time.alias("time"), hall.alias("hall"))
+
+    def show(t: Column) -> Column:
+        hall = t["hall"]
+        tidy = F.when(hall["word"] != "", F.concat_ws(" ", F.initcap(F.lower(hall["word"])), hall["number"])).otherwise(hall["text"])
+        return F.struct(F.when(t["time"] != "", F.lpad(t["time"], 5, "0")).alias("time"), tidy.alias("salle"))
+
+    def day(grid: Column) -> Column:
+        links = F.array_distinct(all_of(grid, r"(?s)<a\s[^>]*>.*?</a>"))
+        date = attribute(F.regexp_extract(grid, "^(<[^>]*>)", 1), "data-date")
+        return F.struct(date.alias("date"), F.array_distinct(F.transform(F.transform(links, texts), show)).alias("shows"))
+
+    # read within the arrays that are exploded: once per card, day and link, whatever is asked of them later
+    cards = pages.select(*rest, F.explode(F.transform(pieces_after(F.col("html"), with_class(fv.HALL_CARD)), card)).alias("card"))
+    days = cards.where(F.col("card.movie").isNotNull()).select(*rest, F.col("card.movie").alias("movie"), F.explode(F.transform("card.grids", day)).alias("day"))
+    shows = days.where(F.col("day.date").isNotNull()).select(*rest, "movie", F.col("day.date").alias("date"), F.explode("day.shows").alias("show"))
+    return shows.select(*rest, "movie", "date", "show.time", "show.salle").where(F.col("time").isNotNull()).distinct()
