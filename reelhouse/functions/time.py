@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reelhouse import fixed_values as fv
-from reelhouse.functions.text import SPACE, pattern, strip_marks, trim_space
+from reelhouse.functions.text import SPACE, once, pattern, strip_marks, trim_space
 
 
 # ---- weekends -----------------------------------------------------------------------------
@@ -126,23 +126,31 @@ def french_date(text: Column, after: str = "") -> Column:
 
 def french_day_month(label: Column, as_of: Column) -> Column:
     """Date from a label without year: the year of as_of, but January seen in December is next year's."""
-    low = F.lower(label)
     edge = f"(?:^|{SPACE})", f"(?={SPACE}|$)"
-    day = F.regexp_extract(low, f"{edge[0]}([0-9]{{1,2}})(?:er)?{edge[1]}", 1)
-    month = _month_number(F.regexp_extract(low, f"{edge[0]}({_MONTH_WORDS}){edge[1]}", 1))
-    year = F.year(as_of) + F.when((month == 1) & (F.month(as_of) == 12), 1).otherwise(0)
-    iso = F.concat_ws("-", year.cast("string"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
-    return F.when((day != "") & month.isNotNull(), F.try_to_date(iso, "yyyy-MM-dd"))
+
+    def parts(low: Column) -> Column:
+        day = F.regexp_extract(low, f"{edge[0]}([0-9]{{1,2}})(?:er)?{edge[1]}", 1)
+        return F.struct(day.alias("day"), _month_number(F.regexp_extract(low, f"{edge[0]}({_MONTH_WORDS}){edge[1]}", 1)).alias("month"))
+
+    def date(p: Column) -> Column:
+        day, month = p["day"], p["month"]
+        year = F.year(as_of) + F.when((month == 1) & (F.month(as_of) == 12), 1).otherwise(0)
+        iso = F.concat_ws("-", year.cast("string"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
+        return F.when((day != "") & month.isNotNull(), F.try_to_date(iso, "yyyy-MM-dd"))
+
+    return once(once(F.lower(label), parts), date)
 
 
 # ---- time text ----------------------------------------------------------------------------
 def program_time(text: Column) -> Column:
     """'18h45' or '18:45' as HH:MM; hour 24 reads as 00; anything else NULL."""
     x = F.regexp_replace(text, "[^0-9hH:]", "")
-    clock = F.regexp_extract(x, "^((?:[01]?[0-9]|2[0-4])[:hH][0-5][0-9])$", 1)
-    hour = F.lpad(F.regexp_replace(clock, "[:hH].*$", ""), 2, "0")
-    hour = F.when(hour == "24", "00").otherwise(hour)
-    return F.when(clock != "", F.concat(hour, F.lit(":"), F.right(clock, F.lit(2))))
+
+    def read(clock: Column) -> Column:
+        hour = F.lpad(F.regexp_replace(clock, "[:hH].*$", ""), 2, "0")
+        return F.when(clock != "", F.concat(once(hour, lambda h: F.when(h == "24", "00").otherwise(h)), F.lit(":"), F.right(clock, F.lit(2))))
+
+    return once(F.regexp_extract(x, "^((?:[01]?[0-9]|2[0-4])[:hH][0-5][0-9])$", 1), read)
 
 
 def schedule_time(text: Column) -> Column:

@@ -31,11 +31,13 @@ def first_films(listing: DataFrame, count: int) -> DataFrame:
 
 def normalised_blocks(blocks: DataFrame, as_of: Column) -> DataFrame:
     """(href, day_label, theater, times) with a date, a theatre and distinct readable times."""
-    return (
-        blocks.withColumn("date", tm.french_day_month(F.col("day_label"), as_of))
-        .withColumn("theater", tx.trim_space(F.col("theater")))
-        .withColumn("times", F.array_distinct(F.array_compact(F.transform("times", tm.program_time))))
-        .where(F.col("date").isNotNull() & (F.col("theater") != "") & (F.size("times") > 0))
+    times = F.array_distinct(F.array_compact(F.transform("times", tm.program_time)))
+    read = F.struct(tm.french_day_month(F.col("day_label"), as_of).alias("date"), tx.trim_space(F.col("theater")).alias("theater"), times.alias("times"))
+    # exploded, not filtered, so that each block is read once: a filter on what is read would read it again
+    usable = F.filter(F.array(read), lambda b: b["date"].isNotNull() & (b["theater"] != "") & (F.size(b["times"]) > 0))
+    rest = [c for c in blocks.columns if c != "date"]
+    return blocks.select("*", F.explode(usable).alias("_read")).select(
+        *[F.col(f"_read.{c}").alias(c) if c in ("theater", "times") else c for c in rest], F.col("_read.date").alias("date")
     )
 
 

@@ -1,6 +1,11 @@
 """Pieces of pages are read once each, whatever is asked of them later; forms of titles are worked out before they are read again."""
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
 from reelhouse import fixed_values as fv
+from reelhouse.plans import program
 from reelhouse.sources import pages
 
 
@@ -18,3 +23,18 @@ def test_links_of_halls_are_read_once(spark):
     plan = optimized(found)
     for name in (fv.HALL_TIME, fv.HALL_NAME):
         assert plan.count(pages.with_class(name)) == 1
+
+
+def test_blocks_of_the_program_are_read_once(spark):
+    rows = [
+        ("a", "mardi 2 janvier", " Cinéma  ", ["9h30", "09:30", "24h05", "tard"]), ("b", "samedi 30 décembre", "C", ["18h45"]),
+        ("c", "mardi 2 brumaire", "C", ["18h45"]), ("d", "mardi 2 janvier", " ", ["18h45"]), ("e", "mardi 2 janvier", "C", ["tard"]), ("f", None, None, None),
+    ]
+    blocks = spark.createDataFrame(rows, "href string, day_label string, theater string, times array<string>")
+    found = program.normalised_blocks(blocks, F.lit("2023-12-31").cast("date"))
+    assert found.columns == ["href", "day_label", "theater", "times", "date"]
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("a", "mardi 2 janvier", "Cinéma", ["09:30", "00:05"], dt.date(2024, 1, 2)), ("b", "samedi 30 décembre", "C", ["18:45"], dt.date(2023, 12, 30)),
+    ]
+    plan = optimized(found)
+    assert plan.count("[^0-9hH:]") == 1 and plan.count("(?:er)?") == 1
