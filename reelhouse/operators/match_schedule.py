@@ -45,18 +45,20 @@ def _shared_words(entry: Column, repeats: Column, wanted: Column) -> Column:
 
 
 def _title_forms(df: DataFrame, title: str, prefix: str) -> DataFrame:
-    key = tx.title_key(F.coalesce(F.col(title), F.lit("")))
-    return df.withColumn(f"{prefix}_words", tx.words(key)).withColumn(
-        f"{prefix}_flat", F.replace(key, F.lit(" "), F.lit(""))
-    )
+    keyed = df.withColumn("_key", tx.title_key(F.coalesce(F.col(title), F.lit(""))))
+    return keyed.withColumns({f"{prefix}_words": tx.words(F.col("_key")), f"{prefix}_flat": F.replace("_key", F.lit(" "), F.lit(""))}).drop("_key")
 
 
 def _wanted_titles(wanted: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct wanted titles with the size and first entry of their minute; the pairs of them and entries that may match."""
+    """Distinct wanted titles with the size and first entry of their minute; the pairs of them and entries that may match.
+
+    Titles and entries are written, since the pairs of small and of large minutes, the minutes and the picks all read them.
+    """
     entries = _title_forms(_first_entries(_usable(items), SLOT), "entry_title", "entry").withColumn(
         "entry_repeats", F.size("entry_words") > F.size(F.array_distinct("entry_words"))
     )
-    titles = _title_forms(wanted.select(*SLOT, "title").distinct(), "title", "want").join(_groups(entries, SLOT), SLOT)
+    entries = written(entries, "schedule-entries")
+    titles = written(_title_forms(wanted.select(*SLOT, "title").distinct(), "title", "want").join(_groups(entries, SLOT), SLOT), "wanted-titles")
     want_keys = F.concat(tk.inside("a", F.col("want_flat")), tk.around("b", F.col("want_flat")), tk.two_words(F.col("want_words"), False))
     entry_keys = F.concat(tk.around("a", F.col("entry_flat")), tk.inside("b", F.col("entry_flat")), tk.two_words(F.col("entry_words"), True))
     return titles, tk.meeting(titles, entries, SLOT, ["title"], "entry_title", want_keys, entry_keys)

@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from reelhouse import fixed_values as fv
+from reelhouse.operators import match_schedule
 from reelhouse.plans import program
 from reelhouse.sources import pages
 
@@ -38,3 +39,15 @@ def test_blocks_of_the_program_are_read_once(spark):
     ]
     plan = optimized(found)
     assert plan.count("[^0-9hH:]") == 1 and plan.count("(?:er)?") == 1
+
+
+SLOT = (1, dt.date(2024, 1, 5), "18:00")
+
+
+def test_titles_of_entries_are_read_before_they_meet(spark):
+    wanted = spark.createDataFrame([(*SLOT, "Le Film"), (*SLOT, None)], "theater_id long, date date, time string, title string")
+    items = spark.createDataFrame([(*SLOT, 1, "Autre", "u1"), (*SLOT, 2, "Film VF", "u2")], "theater_id long, date date, time string, pos int, title string, url string")
+    for pick in (match_schedule.pick_entries, match_schedule.pick_entries_both_ways):
+        found = pick(wanted, items)
+        assert "regexp" not in optimized(found), pick
+        assert found.count() == 2
