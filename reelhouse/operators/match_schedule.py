@@ -181,11 +181,13 @@ def pick_near(wanted: DataFrame, items: DataFrame, minutes: int = 10) -> DataFra
     """Entry of each (theater_id, date, time, title) at that time, else at the nearest time within
     some minutes (both, when equally near), by best title score; else by title alone that day.
     """
-    usable = items.where(F.col("time").isNotNull())
     minute = tm.minute_of_day(F.col("time"))
-    asked = wanted.select(*SLOT, "title").distinct().withColumn("minute", minute)
-    listed = usable.withColumn("minute", minute)
-    near = neighbours(asked, listed, DAY, "minute")
+    at = [*DAY, "entry_minute"]
+    listed = items.where(F.col("time").isNotNull()).withColumn("entry_minute", minute)
+    # read again for the minutes, the first of each, crowded ones and pairs
+    entries = written(_near_forms(_first_entries(listed, at), "entry_title", "entry"), "near-entries")
+    asked = written(_near_forms(wanted.select(*SLOT, "title").distinct().withColumn("minute", minute), "title", "want"), "near-titles")
+    near = neighbours(asked, entries.select(*DAY, F.col("entry_minute").alias("minute")), DAY, "minute")
     before, after = F.col("minute") - F.col("at_most"), F.col("at_least") - F.col("minute")
     gap = F.least(before, after)
     reached = near.where(gap <= minutes).select(
@@ -197,12 +199,11 @@ def pick_near(wanted: DataFrame, items: DataFrame, minutes: int = 10) -> DataFra
             )
         ).alias("entry_minute"),
     )
-    asked = _near_forms(asked, "title", "want")
-    at = [*DAY, "entry_minute"]
-    entries = _near_forms(_first_entries(listed.withColumnRenamed("minute", "entry_minute"), at), "entry_title", "entry")
-    near_titles = asked.join(reached, [*DAY, "minute"]).join(_groups(entries, at), at)
-    crowded = listed.groupBy(*DAY, "minute").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tk.FEW)
-    if crowded.isEmpty():
+    reached = written(reached, "near-minutes")
+    groups = _groups(entries, at)
+    near_titles = asked.join(reached, [*DAY, "minute"]).join(groups, at)
+    no_crowd = groups.where(F.col("entries") > tk.FEW).isEmpty()
+    if no_crowd:
         words = entries.select(*at, F.lit(None).cast("array<string>").alias("crowding")).limit(0)
     else:
         words = written(tk.crowding_words(entries, at, "entry_long"), "crowding-words")
@@ -223,10 +224,12 @@ def pick_near(wanted: DataFrame, items: DataFrame, minutes: int = 10) -> DataFra
     # an entry that shares nothing with the title is the first of its minute; every title begins with an empty one
     unlike = near_titles.select(*SLOT, "title", F.col("first").alias("entry"), F.when(F.col("want_base") == "", 200).otherwise(0).alias("score"))
     scored = pairs.select(*SLOT, "title", "entry", score.alias("score")).unionByName(unlike)
-    if not crowded.isEmpty():
+    if not no_crowd:
         scored = scored.unionByName(tk.best_by_crowding_words(near_titles, entries, at).select(*SLOT, "title", "entry", "score"))
     timed = chosen(scored, "time")
     untimed = asked.join(reached.select(*DAY, "minute").distinct(), [*DAY, "minute"], "left_anti")
+    if untimed.isEmpty():
+        return timed
     open_days = items.join(untimed.select(*DAY).distinct(), DAY, "left_semi")  # entries without a time as well
     day_entries = _near_forms(_first_entries(open_days, DAY), "entry_title", "entry")
     return timed.unionByName(chosen(_sharing(untimed, day_entries), "title"))

@@ -47,7 +47,10 @@ SLOT = (1, dt.date(2024, 1, 5), "18:00")
 def test_titles_of_entries_are_read_before_they_meet(spark):
     wanted = spark.createDataFrame([(*SLOT, "Le Film"), (*SLOT, None)], "theater_id long, date date, time string, title string")
     items = spark.createDataFrame([(*SLOT, 1, "Autre", "u1"), (*SLOT, 2, "Film VF", "u2")], "theater_id long, date date, time string, pos int, title string, url string")
-    for pick in (match_schedule.pick_entries, match_schedule.pick_entries_both_ways):
+    for pick in (match_schedule.pick_entries, match_schedule.pick_entries_both_ways, match_schedule.pick_near):
         found = pick(wanted, items)
         assert "regexp" not in optimized(found), pick
         assert found.count() == 2
+    # a title with a show too far off is looked for over the day
+    late = wanted.withColumn("time", F.lit("23:00"))
+    assert [(r["pos"], r["found_by"]) for r in match_schedule.pick_near(late.where("title is not null"), items.withColumn("title", F.lit("Le film noir"))).collect()] == [(1, "title")]
