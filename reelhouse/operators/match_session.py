@@ -221,15 +221,17 @@ def narrowed_session(wanted: DataFrame, sessions: DataFrame) -> DataFrame:
     offers = sessions.groupBy(*SLOT, name.alias("offer_title"), "runtime_minutes", hall.alias("hall")).agg(
         F.min(pick).alias("any"), F.min(F.when(F.col("area_code") == fv.GENERAL_AREA, pick)).alias("general")
     )
+    offers = written(offers, "session-offers")
     decided = [F.min("any").alias("any"), F.min("general").alias("general"), F.min("low").alias("low"), F.max("high").alias("high")]
     spread = offers.withColumns({"low": F.col("hall"), "high": F.col("hall")})
     keys = [*SLOT, "title", "runtime"]
-    wants = wanted.select(*keys).distinct()
+    wants = written(wanted.select(*keys).distinct(), "session-wants")
     names = (
         offers.select(*SLOT, "offer_title").distinct()
         .withColumn("offer_low", tx.strip_marks(F.lower("offer_title")))
         .withColumn("offer_form", tx.squished(F.col("offer_title")))
     )
+    names = written(names, "session-names")
     titles = (
         wants.select(*SLOT, "title").distinct()
         .withColumn("want_low", tx.strip_marks(F.lower(F.coalesce("title", F.lit("")))))
@@ -238,6 +240,7 @@ def narrowed_session(wanted: DataFrame, sessions: DataFrame) -> DataFrame:
         .where((F.col("want_low") != "") & (F.col("want_form") != ""))
         .join(names.groupBy(*SLOT).agg(F.count(F.lit(1)).alias("titles")), SLOT)
     )
+    titles = written(titles, "session-titles")
     want_keys = F.concat(tk.inside("a", F.col("want_low")), tk.inside("b", F.col("want_form")))
     offer_keys = F.concat(tk.around("a", F.col("offer_low")), tk.around("b", F.col("offer_form")))
     named = tk.meeting(titles, names, SLOT, ["title"], "offer_title", want_keys, offer_keys)

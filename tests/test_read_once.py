@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from reelhouse import fixed_values as fv
-from reelhouse.operators import match_schedule
+from reelhouse.operators import match_schedule, match_session
 from reelhouse.plans import program
 from reelhouse.sources import pages
 
@@ -54,3 +54,14 @@ def test_titles_of_entries_are_read_before_they_meet(spark):
     # a title with a show too far off is looked for over the day
     late = wanted.withColumn("time", F.lit("23:00"))
     assert [(r["pos"], r["found_by"]) for r in match_schedule.pick_near(late.where("title is not null"), items.withColumn("title", F.lit("Le film noir"))).collect()] == [(1, "title")]
+
+
+def test_sessions_are_read_before_they_meet(spark):
+    wanted = spark.createDataFrame([(*SLOT, "Film", 90)], "theater_id long, date date, time string, title string, runtime int")
+    sessions = spark.createDataFrame(
+        [(*SLOT, 1, "Film noir", 91, "Salle 1", "x", 10), (*SLOT, 2, "Autre", 90, "Salle 2", "x", 20)],
+        "theater_id long, date date, time string, pos long, movie_name string, runtime_minutes int, auditorium string, area_code string, seats_remaining int",
+    )
+    found = match_session.narrowed_session(wanted, sessions)
+    assert "regexp" not in optimized(found)
+    assert [(r["session_pos"], r["seats_remaining"]) for r in found.collect()] == [(1, 10)]
