@@ -45,11 +45,14 @@ def _(spark, folder):
     return stream.accepted(windowed(SampleTables(spark, folder))).groupBy("theater_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Files that the measurements land in, however many they are; more of them make larger batches, not more batches.
+LANDED_FILES = 10
+
+
 def landed(spark, t: SampleTables, base: str) -> str:
     """Measurements in files of mixed days, as a stream source would find them, in no order of time."""
-    path = f"{base}/landed"
-    rows = max(1, t.measurements.count() // 6)
-    t.measurements.orderBy(F.xxhash64("showing_id", "measured_at")).write.option("maxRecordsPerFile", rows).parquet(path)
+    path, mixed = f"{base}/landed", F.xxhash64("showing_id", "measured_at")
+    t.measurements.repartition(LANDED_FILES, mixed).sortWithinPartitions(mixed).write.parquet(path)
     return path
 
 

@@ -100,29 +100,24 @@ def _keyed(rows: DataFrame, keys: dict[str, Column]) -> DataFrame:
     return rows.withColumn("_k", F.explode(F.concat(*kinds))).select(*rows.columns, "_k.kind", "_k.key")
 
 
-def screen_by_auditorium(wanted: DataFrame, screens: DataFrame) -> DataFrame:
-    """(theater_id, auditorium) to a screen by name.
+def _short(c: Column) -> Column:
+    return F.length(c).between(1, LONG)
 
-    Tiers: same text; same normalised name; same digits; one normalised name contains the
-    other; the screen name contains the text. Within a tier the shorter, then the lower id.
 
-    Screens are reduced to the best one per key before any text meets them. Only texts over
-    LONG characters meet the screens that hold their first LONG, to be compared in full.
+def _long_head(c: Column) -> Column:
+    return _one(F.left(c, F.lit(LONG)), F.length(c) > LONG)
+
+
+def auditorium_offers(screens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What of screen_by_auditorium() doesn't depend on the texts: the best screen per key, and the screens by keys of long texts.
+
+    Screens are few rows with many keys each, so they are dealt over all cores first.
     """
     name = F.coalesce("name", F.lit(""))
     named = screens.select("theater_id", F.struct(F.length(name).alias("size"), "id", "seat_count").alias("best"), name.alias("name"))
+    named = named.repartition(screens.sparkSession.sparkContext.defaultParallelism)
     named = named.withColumns({"plain": tx.auditorium_key(F.col("name")), "low": F.lower("name")})
     plain, low = F.col("plain"), F.col("low")
-    texts = wanted.select("theater_id", "auditorium").where(tx.trim_space(F.col("auditorium")) != "").distinct()
-    texts = texts.withColumn("said", tx.trim_space(F.col("auditorium"))).withColumns({"want": tx.auditorium_key(F.col("said")), "want_low": F.lower("said")})
-    said, want, want_low = F.col("said"), F.col("want"), F.col("want_low")
-
-    def short(c: Column) -> Column:
-        return F.length(c).between(1, LONG)
-
-    def long_head(c: Column) -> Column:
-        return _one(F.left(c, F.lit(LONG)), F.length(c) > LONG)
-
     screen_keys = _keyed(
         named,
         {
@@ -130,24 +125,42 @@ def screen_by_auditorium(wanted: DataFrame, screens: DataFrame) -> DataFrame:
             "plain": _one(plain),
             "digits": _one(tx.digits(F.col("name")), tx.digits(F.col("name")) != ""),
             "part": _pieces(plain, 1),
-            "whole": _one(plain, short(plain)),
+            "whole": _one(plain, _short(plain)),
             "like": _pieces(low, 1),
         },
     ).groupBy("theater_id", "kind", "key").agg(F.min("best").alias("best"))
+    long_screens = _keyed(named, {"part": _pieces(plain, LONG), "whole": _long_head(plain), "like": _pieces(low, LONG)})
+    return screen_keys, long_screens
+
+
+def screen_by_auditorium(wanted: DataFrame, screens: DataFrame, offers: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """(theater_id, auditorium) to a screen by name.
+
+    Tiers: same text; same normalised name; same digits; one normalised name contains the
+    other; the screen name contains the text. Within a tier the shorter, then the lower id.
+
+    Screens are reduced to the best one per key before any text meets them. Only texts over
+    LONG characters meet the screens that hold their first LONG, to be compared in full.
+    Who asks several times about the same screens passes their auditorium_offers(), written once.
+    """
+    screen_keys, long_screens = auditorium_offers(screens) if offers is None else offers
+    texts = wanted.select("theater_id", "auditorium").where(tx.trim_space(F.col("auditorium")) != "").distinct()
+    texts = texts.withColumn("said", tx.trim_space(F.col("auditorium"))).withColumns({"want": tx.auditorium_key(F.col("said")), "want_low": F.lower("said")})
+    said, want, want_low = F.col("said"), F.col("want"), F.col("want_low")
+
     text_keys = _keyed(
         texts,
         {
             "same": _one(said),
             "plain": _one(want),
             "digits": _one(tx.digits(said)),
-            "part": _one(want, short(want)),
+            "part": _one(want, _short(want)),
             "whole": _pieces(want, 1),
-            "like": _one(want_low, short(want_low)),
+            "like": _one(want_low, _short(want_low)),
         },
     )
     looked_up = text_keys.join(screen_keys, ["theater_id", "kind", "key"]).select("theater_id", "auditorium", "kind", "best")
-    long_screens = _keyed(named, {"part": _pieces(plain, LONG), "whole": long_head(plain), "like": _pieces(low, LONG)})
-    long_texts = _keyed(texts, {"part": long_head(want), "whole": _pieces(want, LONG), "like": long_head(want_low)})
+    long_texts = _keyed(texts, {"part": _long_head(want), "whole": _pieces(want, LONG), "like": _long_head(want_low)})
     holds = (
         F.when(F.col("kind") == "part", F.contains("plain", "want"))
         .when(F.col("kind") == "whole", F.contains("want", "plain"))

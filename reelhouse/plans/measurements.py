@@ -22,11 +22,11 @@ def latest_measurements(measurements: DataFrame) -> DataFrame:
     )
 
 
-def screen_lookup(measurements: DataFrame, screens: DataFrame) -> DataFrame:
-    """(theater_id, match_key) to a screen, for every distinct capacity and auditorium text measured."""
+def screen_lookup(measurements: DataFrame, screens: DataFrame, offers: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """(theater_id, match_key) to a screen, for every distinct capacity and auditorium text measured; `offers` as in screen_by_auditorium()."""
     grid = F.col("source") == GRID_SOURCE
     by_size = screen_within(measurements.where(grid), screens)
-    by_name = screen_by_auditorium(measurements.where(~grid), screens)
+    by_name = screen_by_auditorium(measurements.where(~grid), screens, offers)
     return by_size.select(
         "theater_id", _capacity_key(F.col("capacity")).alias("match_key"), F.col("screen_id").alias("matched_screen"), F.col("seat_count").alias("matched_seats")
     ).unionByName(

@@ -80,10 +80,14 @@ class ShowingState:
     def _read(self, parts: list) -> DataFrame:
         paths = [f"{self.folder}/state/version={p['version']}/bucket={p['bucket']}/day={p['day']}" for p in parts]
         if not paths:
-            return self.spark.createDataFrame([], self.rows_schema)
+            return self._none(self.rows_schema)
         rows = self.spark.read.schema(self.schema).option("basePath", f"{self.folder}/state").parquet(*paths)
         return rows.select(*self.rows_schema.names)
 
+    def _none(self, kind: StructType) -> DataFrame:
+        """No rows, which the optimizer sees: joins with them fall away."""
+        return self.spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields])
+
     # ---- reading ----------------------------------------------------------------------------
     def updates(self, after: int = -1, before: int | None = None) -> DataFrame:
         """Appended updates of the batches behind `after` and ahead of `before`."""
@@ -92,7 +96,7 @@ class ShowingState:
         else:
             found = [p for n in range(after + 1, before) if complete(self.spark, p := f"{self.folder}/updates/batch_id={n}")]
         if not found:
-            return self.spark.createDataFrame([], UPDATE_SCHEMA)
+            return self._none(StructType.fromDDL(UPDATE_SCHEMA))
         rows = self.spark.read.schema(UPDATE_SCHEMA).option("basePath", f"{self.folder}/updates").parquet(*found)
         return rows.where(F.col("batch_id") > after)
 
@@ -101,17 +105,19 @@ class ShowingState:
 
         Shows start within a day of being measured, so the partitions around that day are read. Only for shows not
         found there are the other days of their buckets read too. No more than the batch's own (bucket, day) pairs
-        come to the driver.
+        come to the driver. What is asked and what is found near are written once; they go with the block around (`scratch`).
         """
         at = self.newest(before)
         asked = wanted.where(F.col("showing_id").isNotNull()).select(F.col("showing_id").alias("id"), F.to_date("measured_at").alias("_at")).distinct()
-        asked = asked.withColumn("bucket", self.bucket(F.col("id")))
-        ids = asked.select("id", "bucket").distinct()
-        days = asked.select("bucket", F.explode(F.array(*[day_of(F.date_add("_at", n)) for n in (-1, 0, 1)])).alias("day")).distinct()
+        asked = written(asked.withColumn("bucket", self.bucket(F.col("id"))), "asked")
+        ids = asked.select("id", "bucket").dropDuplicates(["id"])
+        days = asked.select("bucket", "_at").distinct().select("bucket", F.explode(F.array(*[day_of(F.date_add("_at", n)) for n in (-1, 0, 1)])).alias("day")).distinct()
         manifest = self.manifest(*at)
         near = manifest.join(days, ["bucket", "day"]).select("bucket", "day", "version").collect()
-        rows = self._read(near).join(ids.select("id"), "id", "left_semi")
-        missing = ids.join(rows.select("id"), "id", "left_anti")
+        held = ids.withColumnRenamed("bucket", "_bucket").join(self._read(near).withColumn("_held", F.lit(True)), "id", "left")
+        held = written(held.select("_bucket", "_held", *self.rows_schema.names), "held")
+        rows = held.where("_held").select(*self.rows_schema.names)
+        missing = held.where("_held is null").select("id", F.col("_bucket").alias("bucket"))
         far = manifest.join(missing.select("bucket").distinct(), "bucket", "left_semi").join(days, ["bucket", "day"], "left_anti").collect()
         if far:
             rows = rows.unionByName(self._read(far).join(missing.select("id"), "id", "left_semi"))
