@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,6 +16,8 @@ from reelhouse.session import written
 #: White space of the operators' word rules, as a Java and RE2 character class.
 WHITE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Edges that a task contracts at a time.
+EDGES_AT_ONCE = 1 << 20
 
 
 def text_of(column: str = "text") -> Column:
@@ -59,21 +64,62 @@ def running_total(df: DataFrame, order: list[Column], value: Column, purpose: st
     return total.drop("_part", "_value", "_local", "_offset")
 
 
-def _edge_state(edges: DataFrame):
-    mark = F.xxhash64("src", "dst").cast("decimal(38,0)")
-    return edges.agg(F.count(F.lit(1)).alias("n"), F.sum(mark).alias("marks")).first()
+def join_labels(labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+    """Give the members of each pair the smallest label of all that they reach."""
+    while True:
+        a, b = labels[left], labels[right]
+        apart = a != b
+        if not apart.any():
+            return
+        left, right, a, b = left[apart], right[apart], a[apart], b[apart]
+        low = np.minimum(a, b)
+        np.minimum.at(labels, a, low)
+        np.minimum.at(labels, b, low)
+        while not np.array_equal(jumped := labels[labels], labels):
+            labels[:] = jumped
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """src, dst: fewer edges with the same components; every EDGES_AT_ONCE edges of a task become stars around their smallest nodes."""
+
+    def stars(left: list[np.ndarray], right: list[np.ndarray]) -> pd.DataFrame:
+        nodes, ends = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+        labels = np.arange(len(nodes))
+        join_labels(labels, *np.split(ends, 2))
+        moved = np.flatnonzero(labels != np.arange(len(nodes)))
+        return pd.DataFrame({"src": nodes[moved], "dst": nodes[labels[moved]]})
+
+    def contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left, right, waiting = [], [], 0
+        for rows in batches:
+            left.append(rows["src"].to_numpy())
+            right.append(rows["dst"].to_numpy())
+            waiting += len(rows)
+            if waiting >= EDGES_AT_ONCE:
+                yield stars(left, right)
+                left, right, waiting = [], [], 0
+        if waiting:
+            yield stars(left, right)
+
+    return edges.mapInPandas(contract, "src long, dst long")
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every edge leads from a node to its root: each src has one dst and is none itself."""
+    ends = edges.select(F.col("src").alias("node"), "dst").union(edges.select(F.col("dst").alias("node"), F.lit(None).cast("long")))
+    of = ends.groupBy("node").agg(F.min("dst").alias("low"), F.max("dst").alias("high"), F.bool_or(F.col("dst").isNull()).alias("below"))
+    return of.where("low < high or (below and low is not null)").isEmpty()
 
 
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the undirected `edges` (src, dst); root is the smallest node reachable.
 
-    Alternates large-star and small-star steps until every edge leads from a node to its root. A hub never gathers its
-    neighbours: each step is a minimum (combined before the shuffle) and an equi-join, and each round is written to the
-    shared folder, so lineage stays short and a lost executor costs one round.
+    Each task first contracts the edges it holds. Then large-star and small-star steps alternate until every edge leads
+    from a node to its root. A hub never gathers its neighbours: each step is a minimum (combined before the shuffle) and
+    an equi-join, and each round is written to the shared folder, so lineage stays short and a lost executor costs one round.
     """
-    current = written(edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), "edges")
-    state = _edge_state(current)
-    while state["n"]:
+    current = written(_contracted(edges.where("src <> dst").select("src", "dst")), "edges")
+    while not _all_stars(current):
         both = current.union(current.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         lowest = both.groupBy("src").agg(F.min(F.least("src", "dst")).alias("low"))
         large = both.join(lowest, "src").where("dst > src").select(F.col("dst").alias("src"), F.col("low").alias("dst")).distinct()
@@ -83,12 +129,7 @@ def connected(edges: DataFrame) -> DataFrame:
             small.where("dst > low").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
         )
         current = written(small.distinct(), "edges")
-        after = _edge_state(current)
-        if after == state:
-            break
-        state = after
-    roots = current.select(F.col("dst").alias("node"), F.col("dst").alias("root")).distinct()
-    return current.select(F.col("src").alias("node"), F.col("dst").alias("root")).union(roots)
+    return current.select(F.col("src").alias("node"), F.col("dst").alias("root")).union(current.select("dst", "dst")).distinct()
 
 
 def all_of(conditions: list[Column]) -> Column:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import chosen_rows, connected, row_key, text_of
+from reelhouse.llm.common import chosen_rows, connected, join_labels, row_key, text_of
 from reelhouse.session import scratch, written
 
 BITS = 64
@@ -170,21 +170,6 @@ def _below(a: np.ndarray, b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -
     return left[once], right[once]
 
 
-def _join_labels(labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
-    """Give the members of each pair the smallest label of all that they reach."""
-    while True:
-        a, b = labels[left], labels[right]
-        apart = a != b
-        if not apart.any():
-            return
-        left, right, a, b = left[apart], right[apart], a[apart], b[apart]
-        low = np.minimum(a, b)
-        np.minimum.at(labels, a, low)
-        np.minimum.at(labels, b, low)
-        while not np.array_equal(jumped := labels[labels], labels):
-            labels[:] = jumped
-
-
 def linked(codes: np.ndarray, groups: np.ndarray, limit: int) -> np.ndarray:
     """For each code, the position of the first one of its group that it is linked with, over any number of links.
 
@@ -192,7 +177,7 @@ def linked(codes: np.ndarray, groups: np.ndarray, limit: int) -> np.ndarray:
     """
     labels = np.arange(len(codes))
     for left, right, _ in close_pairs(codes, groups, limit):
-        _join_labels(labels, left, right)
+        join_labels(labels, left, right)
     return labels
 
 

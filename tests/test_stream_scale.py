@@ -29,4 +29,4 @@ def test_offers_of_screens_serve_every_batch(spark):
         wanted = spark.createDataFrame(part, "theater_id bigint, auditorium string")
         found = screen_by_auditorium(wanted, None, offers).collect()
         assert sorted(map(tuple, found)) == sorted(map(tuple, screen_by_auditorium(wanted, screens).collect()))
-        assert part is texts[:2] or found
+        assert found
