@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +28,8 @@ GEAR_BYTES, CUT_RADIUS, LONGEST, LEAST_WORDS = 8, 20, 1024, 28
 LEAST_BYTES, LONG_WORDS = 6 * LEAST_WORDS, 20
 #: Bytes of a passage beyond its whole chunks: the chunk next to them, and this.
 MARGIN = GEAR_BYTES + CUT_RADIUS
-#: Bytes hashed at a time.
-BLOCK = 1 << 22
+#: Bytes hashed at a time, and texts that are cut at a time.
+BLOCK, TEXTS_AT_ONCE = 1 << 22, 512
 _GEAR = np.random.default_rng(3).integers(0, 2**32, 256, dtype=np.uint64).astype(np.uint32)
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
@@ -187,14 +188,22 @@ def _extended(spans: DataFrame, docs: DataFrame) -> DataFrame:
     asked = asked.groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("at", "back", "room")).alias("asked"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), F.col("text").cast("string").alias("text")).where("text is not null")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for doc_id, key, text, spots in zip(rows["doc_id"], rows["row_key"], rows["text"], rows["asked"]):
-                data = text.encode()
-                out = [(x["at"], x["back"], data[max(0, x["at"] - x["room"]) : x["at"] + 1] if x["back"] else data[x["at"] : x["at"] + x["room"]]) for x in spots]
-                yield pd.DataFrame(out, columns=["at", "back", "near"]).assign(doc_id=doc_id, row_key=key)
-
-    near = texts.join(written(asked, "asked"), ["doc_id", "row_key"]).mapInPandas(cut, "doc_id long, row_key long, at long, back boolean, near binary")
+            for first in range(0, rows.num_rows, TEXTS_AT_ONCE):
+                part = rows.slice(first, TEXTS_AT_ONCE)
+                texts, spots = part.column("text"), part.column("asked")
+                row = pc.list_parent_indices(spots)
+                at, back, room = spots.flatten().flatten()
+                near, last, data = [], -1, b""
+                for i, where, before, reach in zip(row.to_pylist(), at.to_pylist(), back.to_pylist(), room.to_pylist()):
+                    if i != last:
+                        last, data = i, texts[i].as_buffer().to_pybytes()
+                    near.append(data[max(0, where - reach) : where + 1] if before else data[where : where + reach])
+                ids = [part.column(c).take(row) for c in ("doc_id", "row_key")]
+                yield pa.RecordBatch.from_arrays([*ids, at, back, pa.array(near, type=pa.binary())], names=["doc_id", "row_key", "at", "back", "near"])
+
+    near = texts.join(written(asked, "asked"), ["doc_id", "row_key"]).mapInArrow(cut, "doc_id long, row_key long, at long, back boolean, near binary")
     near = written(near.dropDuplicates(["doc_id", "row_key", "at", "back"]), "near")
     for name, end in ends.items():
         named = near.select(F.struct("doc_id", "row_key", "at", "back").alias(f"{name}_spot"), F.col("near").alias(name))

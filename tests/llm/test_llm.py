@@ -12,6 +12,7 @@ import pandas as pd
 import pytest
 import xxhash
 
+from reelhouse import session
 from reelhouse.llm import exact_dedup, licenses, mixing, neighbours, packing, quality, simhash, substring_dedup, token_counts, token_store, tokens
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -450,6 +451,20 @@ def test_substring_dedup(spark, odd):
     assert ends[-1] == 18_000 and np.diff(np.r_[0, ends]).max() <= substring_dedup.LONGEST
 
 
+def test_substring_dedup_cuts_many_texts_at_a_time(spark, monkeypatch):
+    draw = random.Random(4)
+    words = lambda n: " ".join("".join(draw.choices("abcdefgh", k=6)) for _ in range(n))
+    first, second = words(50), words(60)
+    texts = [f"{words(9)}{own}x {first} y{own}{words(12)}{own}z {second} {own}{words(5)}" for own in "ijklmnopqrst"]
+    plans = []
+    monkeypatch.setattr(substring_dedup, "TEXTS_AT_ONCE", 5)
+    monkeypatch.setattr(substring_dedup, "written", lambda df, purpose: plans.append((purpose, df._jdf.queryExecution().toString())) or session.written(df, purpose))
+    got = substring_dedup.repeated_spans(frame(spark, [(i, text, "a") for i, text in enumerate(texts)]).coalesce(1)).collect()
+    found = {(r.doc_id, texts[r.doc_id].encode()[r.start : r.start + r.length].decode().strip(" xyz")) for r in got}
+    assert found == {(i, passage) for i in range(12) for passage in (first, second)}
+    assert "MapInArrow" in dict(plans)["near"]  # a data frame for each text took most of the time before
+
+
 def test_substring_dedup_of_several_texts_with_one_id(spark):
     passage = " ".join(words(78, 90))
     texts = [f"{' '.join(words(300 + i, n))} {passage} {' '.join(words(400 + i, 40))}" for i, n in enumerate([30, 33, 90])]
