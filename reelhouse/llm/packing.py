@@ -17,7 +17,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +27,8 @@ from reelhouse.llm.tokens import encoder
 END_ID = 1
 #: Ids that are packed together, and windows' tokens in one training step.
 BATCH_IDS, STEP_TOKENS = 1 << 20, 1 << 16
+#: Texts of an Arrow batch that are Python strings at a time.
+TEXTS_AT_ONCE = 64
 #: Windows of one task are numbered below this; tasks and their batches above.
 TASK_WINDOWS = 1 << 40
 
@@ -137,7 +139,7 @@ def packed(docs: DataFrame, tokenizer: str, window: int = 2048) -> DataFrame:
     columns are not looked at. sequence_id is unique, not consecutive.
     """
 
-    def windows(batch: list[tuple[int, bytes]], number: int) -> tuple[pd.DataFrame, int]:
+    def windows(batch: list[tuple[int, bytes]], number: int) -> tuple[pa.RecordBatch, int]:
         made = pack([len(ids) // 4 for _, ids in batch], window)
         rows = []
         for i, ((tier, pieces), step) in enumerate(zip(made, step_groups(made))):
@@ -147,27 +149,31 @@ def packed(docs: DataFrame, tokenizer: str, window: int = 2048) -> DataFrame:
                 doc_id, ids = batch[doc]
                 rows.append((doc_id, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)]), len(ids) // 4, number + i, at, tier, tier - filled, number + step))
                 at += n
-        return pd.DataFrame(rows, columns=columns), number + len(made)
+        return pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in zip(*rows)], names=columns), number + len(made)
 
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "padding", "step"]
     end = np.array([END_ID], dtype="<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder, batch, held, number = encoder(tokenizer), [], 0, None
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, str, int]]:
         for rows in batches:
+            for at in range(0, rows.num_rows, TEXTS_AT_ONCE):
+                yield from zip(*(c.to_pylist() for c in rows.slice(at, TEXTS_AT_ONCE).columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, batch, held, number = encoder(tokenizer), [], 0, None
+        for doc_id, text, task in texts(batches):
             if number is None:
-                number = int(rows["task"].iloc[0]) * TASK_WINDOWS
-            for doc_id, text in zip(rows["doc_id"], rows["text"]):
-                ids = coder.ids(text) + end
-                batch.append((None if pd.isna(doc_id) else int(doc_id), ids))
-                held += len(ids) // 4
-                if held >= BATCH_IDS:
-                    found, number = windows(batch, number)
-                    batch, held = [], 0
-                    yield found.astype({"doc_id": "Int64"})
+                number = task * TASK_WINDOWS
+            ids = coder.ids(text) + end
+            batch.append((doc_id, ids))
+            held += len(ids) // 4
+            if held >= BATCH_IDS:
+                found, number = windows(batch, number)
+                batch, held = [], 0
+                yield found
         if batch:
-            yield windows(batch, number)[0].astype({"doc_id": "Int64"})
+            yield windows(batch, number)[0]
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), F.spark_partition_id().alias("task"))
     schema = ", ".join(f"{c} long" for c in columns)
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)

@@ -332,6 +332,30 @@ def test_every_letter_before_every_stop(name):
     assert [coder.ids(t) for t in texts] == coder._library(texts)
 
 
+@pytest.mark.parametrize("name", [BYTE_BPE, WORD_BPE])
+def test_words_go_to_the_model(name, monkeypatch):
+    coder, library = tokens.Encoder(name), tokens.Encoder(name)
+    letters = [c for c in map(chr, range(0x250)) if re.fullmatch(f"[{tokens._LETTER}]", c)]
+    text = " ".join([a + b for a in letters for b in ("", "s", "\u00c9", "Of")] + ["".join(letters[i : i + 7]) for i in range(len(letters))])
+    asked = []
+    monkeypatch.setattr(coder, "_together", lambda pieces: asked.extend(pieces) or library._library(pieces))
+    assert coder.ids(text) == library._library([text])[0]
+    assert not asked  # the steps before the model take several times as long
+    assert coder.ids(text + ", 7") == library._library([text + ", 7"])[0]
+    assert asked
+
+
+def test_an_encoder_remembers_few_pieces(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 1000)
+    coder, library = tokens.Encoder(BYTE_BPE), tokens.Encoder(BYTE_BPE)
+    coder.ids(" frequent")
+    for i in range(30):
+        text = " ".join("x" + "".join(chr(97 + int(d)) for d in str(1000 * i + j)) for j in range(100))
+        assert coder.ids(text) == library._library([text])[0]
+        assert len(coder.known) <= 1000
+    assert " frequent" in coder.known  # all were forgotten at once before
+
+
 def test_token_store(spark, odd, tmp_path):
     folder = f"file://{tmp_path}/store"
     files = token_store.write_store(odd, folder, WORD_BPE)
