@@ -93,10 +93,14 @@ def meeting(
 
     Where a group offers few titles that is all of them, so pairs grow with the wants alone; else it is those that share
     a key. No match is lost either way; whether a pair does match is for the caller to say.
+
+    Wants and offers meet sorted, never broadcast: the sizes that Catalyst goes by are those of compressed files, of titles a
+    hundredth of their rows' and less, and don't count the keys that a title is exploded to.
     """
-    direct = wants.where(F.col("titles") <= few).join(offers, group)
+    direct = wants.where(F.col("titles") <= few).hint("merge").join(offers, group)
     many = wants.where(F.col("titles") > few)
     asked = many.withColumn("_key", F.explode(F.array_distinct(want_keys)))
-    listed = offers.join(many.select(*group).distinct(), group, "left_semi").withColumn("_key", F.explode(F.array_distinct(offer_keys)))
-    keyed = asked.join(listed, [*group, "_key"]).drop("_key").dropDuplicates([*group, *want_id, offer_id])
+    crowded = many.select(*group).distinct()
+    listed = offers.join(crowded.hint("merge"), group, "left_semi").withColumn("_key", F.explode(F.array_distinct(offer_keys)))
+    keyed = asked.hint("merge").join(listed, [*group, "_key"]).drop("_key").dropDuplicates([*group, *want_id, offer_id])
     return direct.unionByName(keyed)
