@@ -7,7 +7,7 @@ in Arrow batches, so no piece of markup is shuffled or sorted and a page of any
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,37 +32,63 @@ def _lists(like: pa.Array, values: pa.Array, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, values, mask=like.is_null() if like.null_count else None)
 
 
-def _levels(heads: pa.Array) -> pa.Array:
-    """depth and end (see `tags`) of the tags of pages, given the beginnings of their pieces ('<b', '</b', '' for none)."""
+#: Pieces worked on at a time, or one page where it has more: what numpy needs beside them doesn't grow with the pages of a batch.
+_PIECES = 1 << 16
+
+
+def _runs(lengths: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Places of the pieces of successive pages, and how many each page has."""
+    done, first = np.concatenate([[0], np.cumsum(lengths)]), 0
+    while first < len(lengths):
+        last = max(first + 1, int(np.searchsorted(done, done[first] + _PIECES, "right")) - 1)
+        yield slice(done[first], done[last]), lengths[first:last]
+        first = last
+
+
+def _nesting(heads: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces per page, and depth and end (see `tags`; -1 for none) of every piece, given the beginnings of the pieces ('<b', '</b', '' for none)."""
     lengths = pc.fill_null(pc.list_value_length(heads), 0).to_numpy(zero_copy_only=False)
     coded = heads.flatten().dictionary_encode()
-    texts, code = [t.lower() for t in coded.dictionary.to_pylist()], coded.indices.to_numpy(zero_copy_only=False)
+    texts, codes = [t.lower() for t in coded.dictionary.to_pylist()], coded.indices.to_numpy(zero_copy_only=False)
     names = {n: i for i, n in enumerate(dict.fromkeys(t.strip("</") for t in texts))}
     shut_of, name_of = np.array([t.startswith("</") for t in texts], bool), np.array([names[t.strip("</")] for t in texts], np.int64)
-    page = np.repeat(np.arange(len(lengths)), lengths)
-    at = np.arange(len(code)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    tag = np.flatnonzero(np.array([t != "" for t in texts], bool)[code]) if texts else np.zeros(0, np.int64)
-    group, shut = (page * len(names) + name_of[code])[tag] if texts else tag, shut_of[code][tag] if texts else tag.astype(bool)
-    order = np.argsort(group, kind="stable")
-    opened = np.cumsum(np.where(shut, -1, 1)[order])
-    first = np.flatnonzero(np.diff(group[order], prepend=-1))
-    before = np.concatenate([[0], opened])[first]
-    depth = np.zeros(len(tag), np.int64)
-    depth[order] = opened - np.repeat(before, np.diff(first, append=len(tag))) + shut[order]
-    order = np.lexsort((depth, group))
-    this, after = order[:-1], order[1:]
-    ended = (group[this] == group[after]) & (depth[this] == depth[after]) & shut[after]
-    depths, ends = np.zeros(len(code), np.int32), np.full(len(code), -1, np.int32)
-    depths[tag], ends[tag[this[ended]]] = depth, at[tag[after[ended]]]
+    some = np.array([t != "" for t in texts], bool)
+    depths, ends = np.zeros(len(codes), np.int32), np.full(len(codes), -1, np.int32)
+    for places, sizes in _runs(lengths):
+        code = codes[places]
+        page = np.repeat(np.arange(len(sizes)), sizes)
+        at = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        tag = np.flatnonzero(some[code]) if texts else np.zeros(0, np.int64)
+        group, shut = (page * len(names) + name_of[code])[tag] if texts else tag, shut_of[code][tag] if texts else tag.astype(bool)
+        order = np.argsort(group, kind="stable")
+        opened = np.cumsum(np.where(shut, -1, 1)[order])
+        first = np.flatnonzero(np.diff(group[order], prepend=-1))
+        before = np.concatenate([[0], opened])[first]
+        depth = np.zeros(len(tag), np.int64)
+        depth[order] = opened - np.repeat(before, np.diff(first, append=len(tag))) + shut[order]
+        order = np.lexsort((depth, group))
+        this, after = order[:-1], order[1:]
+        ended = (group[this] == group[after]) & (depth[this] == depth[after]) & shut[after]
+        depths[places][tag], ends[places][tag[this[ended]]] = depth, at[tag[after[ended]]]
+    return lengths, depths, ends
+
+
+def _levels(heads: pa.Array) -> pa.Array:
+    """depth and end of the tags of pages."""
+    lengths, depths, ends = _nesting(heads)
     values = pa.StructArray.from_arrays([pa.array(depths), pa.array(ends, mask=ends < 0)], ["depth", "end"])
     return _lists(heads, values, lengths)
 
 
-def _nested(cut: DataFrame) -> DataFrame:
-    """Cut pages with the beginning of every piece that is a tag and its depth and end."""
-    levels = F.arrow_udf(_levels, "array<struct<depth:int,end:int>>")
-    heads = F.transform("_pieces", lambda p: F.regexp_extract(p, _HEAD, 1))
-    return cut.withColumn("_heads", heads).withColumn("_levels", levels("_heads"))
+def _ends(heads: pa.Array) -> pa.Array:
+    """end alone: a number per piece, where a struct per piece would take eight times the memory."""
+    lengths, _, ends = _nesting(heads)
+    return _lists(heads, pa.array(ends, mask=ends < 0), lengths)
+
+
+def _headed(cut: DataFrame) -> DataFrame:
+    """Cut pages with the beginning of every piece that is a tag."""
+    return cut.withColumn("_heads", F.transform("_pieces", lambda p: F.regexp_extract(p, _HEAD, 1)))
 
 
 def _tag(head: Column) -> list[Column]:
@@ -74,7 +100,8 @@ def tags(cut: DataFrame) -> DataFrame:
 
     end is the piece of the end tag. An element that is never closed, or can't be, has none; it hides no other element's end.
     """
-    pieces = _nested(cut).select(PAGE, F.posexplode(F.arrays_zip("_pieces", "_heads", "_levels")).alias("at", "p")).where("p._heads <> ''")
+    levels = F.arrow_udf(_levels, "array<struct<depth:int,end:int>>")
+    pieces = _headed(cut).withColumn("_levels", levels("_heads")).select(PAGE, F.posexplode(F.arrays_zip("_pieces", "_heads", "_levels")).alias("at", "p")).where("p._heads <> ''")
     return pieces.select(PAGE, "at", *_tag(F.col("p._heads")), F.regexp_extract("p._pieces", "^(<[^>]*>?)", 1).alias("opening"), "p._levels.depth", "p._levels.end")
 
 
@@ -91,12 +118,13 @@ def elements(pages: DataFrame, wanted: Callable[[Column], Column], html: str = "
         return F.when((head != "") & ~head.startswith("</") & wanted(tag), F.struct(i.alias("at"), head.alias("head"), tag.alias("opening")))
 
     def read(e: Column) -> Column:
-        end = F.get("_levels", e["at"])["end"]
+        end = F.get("_ends", e["at"])
         inside = F.slice("_pieces", e["at"] + 1, F.coalesce(end - e["at"], F.lit(1)))
         return F.struct(e["at"].alias("at"), e["head"].alias("head"), e["opening"].alias("opening"), F.regexp_replace(F.array_join(inside, ""), "<[^>]*>?", "").alias("text"))
 
     found = F.array_compact(F.transform("_pieces", opening))
-    return _nested(cut_pages(pages, html)).select(*rest, F.explode(F.transform(found, read)).alias("e")).select(*rest, "e.at", F.lower(F.substr("e.head", F.lit(2))).alias("name"), "e.opening", "e.text")
+    nested = _headed(cut_pages(pages, html)).withColumn("_ends", F.arrow_udf(_ends, "array<int>")("_heads"))
+    return nested.select(*rest, F.explode(F.transform(found, read)).alias("e")).select(*rest, "e.at", F.lower(F.substr("e.head", F.lit(2))).alias("name"), "e.opening", "e.text")
 
 
 # ---- selectors ----------------------------------------------------------------------------

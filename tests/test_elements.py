@@ -2,10 +2,13 @@
 
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from reelhouse.sources import elements as module
 from reelhouse.sources import pages
 from reelhouse.sources.elements import BlockLocator, Selector, cut_pages, elements, located_links, tags
 
@@ -135,3 +138,17 @@ def test_long_pages_stay_one_row(spark):
     for found in (elements(paged(spark, *markup), ids), located_links(paged(spark, *markup), "^<a", locator)):
         found.count()
         assert "Window" not in plan_of(found) and "Join" not in plan_of(found)
+
+
+def test_nesting_of_many_pages_needs_the_memory_of_a_few():
+    """Beside its input and output, the nesting of a batch takes what one run of pages needs, and cutting into runs changes nothing."""
+    rnd = random.Random(7)
+    heads = ["", "<b", "</b", "<DIV", "</div", "</A"]
+    batch = pa.array([None, [], *[[rnd.choice(heads) for _ in range(20_000)] for _ in range(40)]], pa.list_(pa.string()))
+    tracemalloc.start()
+    got = module._levels(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * 800_000
+    assert got.to_pylist() == [x for i in range(len(batch)) for x in module._levels(batch.slice(i, 1)).to_pylist()]
+    assert module._ends(batch).to_pylist() == [p and [x["end"] for x in p] for p in got.to_pylist()]
