@@ -102,7 +102,7 @@ def _few_titles(wants: DataFrame, offers: DataFrame) -> DataFrame:
         return F.struct(score.cast("double").alias("score"), *[o[c].alias(c) for c in _OFFER])
 
     def reduced(c: Column) -> Column:
-        first = F.slice(F.array_sort(F.transform(c["_all"], compared)), 1, 3)
+        first = F.slice(F.sort_array(F.transform(c["_all"], compared)), 1, 3)
         return F.struct(*[c[k].alias(k) for k in _CLASS], first.alias("first"))
 
     met = titles.join(slots, SLOT).select(*SLOT, "want_form", F.transform("_slot", reduced).alias("_classes"))
@@ -111,9 +111,9 @@ def _few_titles(wants: DataFrame, offers: DataFrame) -> DataFrame:
         base = _base_score(c["offer_runtime"], c["offer_language"])
         return F.struct((c["first"][0]["score"] + base).alias("score"), c["first"][0]["pos"].alias("pos"), base.alias("base"), c["first"].alias("first"))
 
-    nearest = F.slice(F.array_sort(F.transform("_classes", shifted)), 1, 3)
+    nearest = F.slice(F.sort_array(F.transform("_classes", shifted)), 1, 3)
     scored = F.transform(nearest, lambda c: F.transform(c["first"], lambda o: F.struct((o["score"] + c["base"]).alias("score"), *[o[k].alias(k) for k in _OFFER])))
-    best = wants.join(met, [*SLOT, "want_form"]).select(*_WANT, F.array_sort(F.flatten(scored)).alias("_best"))
+    best = wants.join(met, [*SLOT, "want_form"]).select(*_WANT, F.sort_array(F.flatten(scored)).alias("_best"))
     return best.select(*_WANT, *[F.get("_best", F.lit(i)).alias(f"o{i + 1}") for i in range(3)])
 
 
@@ -184,18 +184,17 @@ def scored_session(wanted: DataFrame, sessions: DataFrame, few: int = tk.FEW) ->
         .withColumn("offer_form", tx.squished(F.col("offer_title")))
         .withColumn("offer_chars", tx.characters(F.col("offer_form")))
     )
-    crowded = sessions.groupBy(*SLOT).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > few).select(*SLOT)
-    crowded = crowded.join(wants, SLOT, "left_semi")
-    if crowded.isEmpty():
-        best = _three_best(wants.join(offers, SLOT).withColumn("score", _base_score() + _title_score()))
-    else:
-        named = wants.join(crowded, SLOT, "left_semi").groupBy(*SLOT).agg(F.countDistinct("want_form").alias("_titles"))
-        named, wants, offers = (written(df, "sessions") for df in (named, wants, offers))
-        best = _three_best(wants.join(named, SLOT, "left_anti").join(offers, SLOT).withColumn("score", _base_score() + _title_score()))
-        for slots, method in ((F.col("_titles") <= FEW_TITLES, _few_titles), (F.col("_titles") > FEW_TITLES, lambda w, o: _three_best(_bounded(w, o)))):
-            chosen = named.where(slots).select(*SLOT)
-            if not chosen.isEmpty():
-                best = best.unionByName(method(wants.join(chosen, SLOT, "left_semi"), offers.join(chosen, SLOT, "left_semi")))
+    # read again for the crowded slots, their titles and every method
+    wants, offers = written(wants, "session-wants"), written(offers, "session-offers")
+    crowded = offers.groupBy(*SLOT).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > few).select(*SLOT)
+    named = wants.join(crowded, SLOT, "left_semi").groupBy(*SLOT).agg(F.countDistinct("want_form").alias("_titles"))
+    named = written(named, "session-slots")
+    # never broadcast: the sizes that Catalyst goes by are those of compressed files
+    best = _three_best(wants.join(named, SLOT, "left_anti").hint("merge").join(offers, SLOT).withColumn("score", _base_score() + _title_score()))
+    for slots, method in ((F.col("_titles") <= FEW_TITLES, _few_titles), (F.col("_titles") > FEW_TITLES, lambda w, o: _three_best(_bounded(w, o)))):
+        chosen = named.where(slots).select(*SLOT)
+        if not chosen.isEmpty():
+            best = best.unionByName(method(wants.join(chosen, SLOT, "left_semi"), offers.join(chosen, SLOT, "left_semi")))
     close = F.col("o2").isNotNull() & (F.abs(F.col("o1.score") - F.col("o2.score")) < 0.25)
     top = F.array_compact(F.array(*[F.col(f"o{i}.pos") for i in (1, 2, 3)]))
     return wanted.alias("w").join(best.alias("b"), _same_want("w", "b"), "left").select(

@@ -65,3 +65,26 @@ def test_sessions_are_read_before_they_meet(spark):
     found = match_session.narrowed_session(wanted, sessions)
     assert "regexp" not in optimized(found)
     assert [(r["session_pos"], r["seats_remaining"]) for r in found.collect()] == [(1, 10)]
+
+
+def test_scored_sessions_are_read_once(spark):
+    """However many slots are crowded, sessions are gone over once, and wanted shows twice: for their titles and for the rows."""
+    read = {n: spark.sparkContext.accumulator(0) for n in ("wanted", "sessions")}
+
+    def counted(df, name):
+        def seen(t):
+            read[name].add(1)
+            return t
+
+        return df.withColumn("time", F.udf(seen, "string")("time"))
+
+    wanted = spark.createDataFrame([(*SLOT, t, 90, "FR") for t in ("Film", "Autre", None)], "theater_id long, date date, time string, title string, runtime int, language string")
+    sessions = spark.createDataFrame(
+        [(*SLOT, i, n, 90, "FR", f"Salle {i}") for i, n in enumerate(["Film", "Film noir", "Autre", None])],
+        "theater_id long, date date, time string, pos long, movie_name string, runtime_minutes int, language_code string, auditorium string",
+    )
+    found = match_session.scored_session(counted(wanted, "wanted"), counted(sessions, "sessions"), few=2)
+    assert {r["title"]: (r["status"], r["session_pos"], r["candidates"]) for r in found.collect()} == {
+        "Film": ("OK", 0, None), "Autre": ("OK", 2, None), None: ("AMBIGUOUS_AT_TIME", None, [0, 1, 2]),
+    }
+    assert read["sessions"].value == 4 and read["wanted"].value <= 6
